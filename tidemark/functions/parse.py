@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from tidemark.functions.text import blank_to_null
 from tidemark.schemas import VALUE
 
-# Java's $ also matches before a trailing newline, hence \A and \z.
-DIGITS_AND_DOTS = r"\A[0-9.]+\z"
+# Java's $ also matches before a trailing newline, hence \A and \z. A number is
+# digits and dots, spaces around it aside; group 1 is the number.
 YEAR_OR_RANGE = r"\A[0-9]{4}(-[0-9]{4})?\z"
+NUMBER = r"\A *([0-9.]+) *\z"
+LOWER_BOUND = r"\A *([0-9.]+) *(?:-|\z)"
+UPPER_BOUND = r"\A[^-]*- *([0-9.]+) *(?:-|\z)"
 
 
 def parse_year(period: Column) -> Column:
@@ -24,28 +27,40 @@ def parse_year(period: Column) -> Column:
 
 
 def looks_numeric(c: Column) -> Column:
-    return F.coalesce(blank_to_null(c).rlike(DIGITS_AND_DOTS), F.lit(False))
+    return F.coalesce(c.rlike(NUMBER), F.lit(False))
+
+
+def _captured(c: Column, pattern: str) -> Column:
+    return F.nullif(F.regexp_extract(c, pattern, 1), F.lit("")).try_cast(VALUE)
 
 
 def parse_number(c: Column) -> Column:
-    """Digits and dots only; text such as ``1.2.3`` passes the shape test but
-    is no number and gives NULL."""
-    return F.when(looks_numeric(c), blank_to_null(c).try_cast(VALUE))
+    """Digits and dots only; text such as ``1.2.3`` looks numeric but is no
+    number and gives NULL."""
+    return _captured(c.cast("string"), NUMBER)
 
 
 def parse_value(value_numeric: Column, display: Column) -> Column:
     return F.coalesce(parse_number(value_numeric), parse_number(display))
 
 
-def parse_bound(interval: Column, part: int) -> Column:
-    """Lower (part 1) or upper (part 2) bound of ``[10-14]``.
+def _inside_brackets(interval: Column) -> Column:
+    bare = F.replace(F.replace(interval, F.lit("[")), F.lit("]"))
+    return F.when(interval.like("%[%]%"), bare)
+
 
-    A value in front of the bracket stays glued to the lower bound, which then
-    is no number: ``12 [10-14]`` has only an upper bound.
+def lower_bound(interval: Column) -> Column:
+    """Number before the first dash of ``[10-14]``.
+
+    A value in front of the bracket stays glued to it, and the two together are
+    no number: ``12 [10-14]`` has only an upper bound.
     """
-    inner = F.translate(interval, "[]", "")
-    piece = F.split_part(inner, F.lit("-"), F.lit(part))
-    return F.when(interval.like("%[%]%"), parse_number(piece))
+    return _captured(_inside_brackets(interval), LOWER_BOUND)
+
+
+def upper_bound(interval: Column) -> Column:
+    """Number between the first dash and the next, or the end."""
+    return _captured(_inside_brackets(interval), UPPER_BOUND)
 
 
 def is_missing(value: Column, display: Column) -> Column:

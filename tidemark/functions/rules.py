@@ -36,30 +36,34 @@ OTHER = "Other"
 CATEGORIES = tuple(label for label, _ in CATEGORY_RULES)
 
 
-def mentions(name: Column, alternatives) -> Column:
-    text = F.lower(name)
+def _mentions(lowered: Column, alternatives) -> Column:
     return reduce(
-        or_, (reduce(and_, (text.contains(w) for w in words)) for words in alternatives)
+        or_,
+        (
+            reduce(and_, (lowered.contains(w) for w in words))
+            for words in alternatives
+        ),
     )
 
 
-def first_match(name: Column, rules, otherwise: str) -> Column:
+def _first_match(name: Column, rules, otherwise: str) -> Column:
+    lowered = F.lower(name)
     out = F.lit(otherwise)
     for label, alternatives in reversed(rules):
-        out = F.when(mentions(name, alternatives), F.lit(label)).otherwise(out)
+        out = F.when(_mentions(lowered, alternatives), label).otherwise(out)
     return out
 
 
 def category(name: Column) -> Column:
-    return first_match(name, CATEGORY_RULES, OTHER)
+    return _first_match(name, CATEGORY_RULES, OTHER)
 
 
 def severity(name: Column) -> Column:
-    return first_match(name, SEVERITY_RULES, "Overall")
+    return _first_match(name, SEVERITY_RULES, "Overall")
 
 
 def in_scope(name: Column) -> Column:
-    return mentions(name, SCOPE)
+    return _mentions(F.lower(name), SCOPE)
 
 
 def quality_score(missing: Column, issue: Column, ci_width: Column) -> Column:

@@ -31,11 +31,12 @@ def with_previous(
     to ``hot_rows`` take one window; larger ones, if any, are cut into chunks.
     """
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    hot = workspace.store(sizes.filter(F.col("__n") > hot_rows).select(*keys), "hot")
+    hot = sizes.filter(F.col("__n") > hot_rows).select(*keys)
     if hot.isEmpty():
         return _one_window(df, keys, order, id_col, values)
-    # At most rows/hot_rows groups are hot. The stored size decides how Spark
+    # At most rows/hot_rows groups are hot. Stored, their size decides how Spark
     # joins them; a join it does not broadcast is split by AQE where skewed.
+    hot = workspace.store(hot, "hot")
     cold = df.join(hot, list(keys), "left_anti")
     large = df.join(hot, list(keys), "left_semi")
     return _one_window(cold, keys, order, id_col, values).unionByName(

@@ -2,9 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+RECENT_YEARS = 5
+
+
+def is_recent() -> Column:
+    """The condition behind the time dimension's ``is_recent_5y``.
+
+    Spark prunes the fact's year partitions at run time for a comparison, not
+    for a bare flag.
+    """
+    return F.col("years_ago") <= RECENT_YEARS
+
 
 def with_time(fact: DataFrame, dim_time: DataFrame) -> DataFrame:
     """Inner join on the year.

@@ -104,7 +104,7 @@ def category_trend(w: Warehouse) -> DataFrame:
 def _recent_average(w: Warehouse, label: str, condition: Column) -> DataFrame:
     return (
         w.star()
-        .filter(F.col("is_recent_5y") & condition)
+        .filter(star.is_recent() & condition)
         .groupBy("indicator_category", label)
         .agg(average(F.col("indicator_value")).alias("avg_value"))
     )
@@ -177,7 +177,7 @@ def mortality_kpi(w: Warehouse) -> DataFrame:
         .filter(
             _is("indicator_category", "Mortality")
             & F.col("is_total_population")
-            & F.col("is_recent_5y")
+            & star.is_recent()
         )
         .agg(
             F.round(average(F.col("indicator_value")), 1).alias("avg_mortality_rate"),
@@ -273,7 +273,7 @@ def top_improvements(w: Warehouse) -> DataFrame:
         .filter(
             (F.col("percentage_change") < 0)
             & _is("sex_label", BOTH)
-            & F.col("is_recent_5y")
+            & star.is_recent()
         )
         .orderBy(*_up("percentage_change", "fact_key"))
         .limit(5)

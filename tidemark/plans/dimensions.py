@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.text import recode, title_case
 from tidemark.operators.numbering import number_rows
+from tidemark.operators.star import RECENT_YEARS
 from tidemark.params import Params
 from tidemark.workspace import Workspace
 
@@ -51,12 +52,12 @@ def dim_time(staged: DataFrame, params: Params) -> DataFrame:
         (now - year).alias("years_ago"),
         F.when(year == now, "Current year")
         .when(year == now - 1, "Last year")
-        .when(year >= now - 5, "Recent (5 years)")
+        .when(year >= now - RECENT_YEARS, "Recent (5 years)")
         .when(year >= now - 10, "Medium term (10 years)")
         .otherwise("Historical (>10 years)")
         .alias("time_category"),
         (year == now).alias("is_current_year"),
-        (year >= now - 5).alias("is_recent_5y"),
+        (year >= now - RECENT_YEARS).alias("is_recent_5y"),
         (year >= now - 10).alias("is_recent_10y"),
         F.lit(params.run_ts).alias("updated_at"),
     )

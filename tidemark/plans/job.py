@@ -38,6 +38,15 @@ PUBLISHED = T.StructType(
     ]
 )
 
+STORED = (
+    "raw_observations",
+    "stg_observations",
+    "dim_time",
+    "dim_demographics",
+    "fact_observations",
+    "mart_kpi_summary",
+)
+
 # Relation names dashboards use -> our tables.
 VIEWS = {
     "stg_health_indicators": "stg_observations",
@@ -88,8 +97,7 @@ def build_tables(
 ) -> dict[str, DataFrame]:
     """Write staging, dimensions, fact and KPI tables; each feeds the next.
 
-    The classified table is a filter and a projection of staging, so it stays a
-    view. Dimensions are stored before they are joined: their size on disk
+    Dimensions are stored before they are joined: their size on disk
     tells Spark whether a broadcast is safe.
     """
 
@@ -99,22 +107,30 @@ def build_tables(
     staged = table(stage(raw, params, workspace), "stg_observations")
     time = table(dim_time(staged, params), "dim_time")
     people = table(dim_demographics(staged, params, workspace), "dim_demographics")
-    classified = classify(staged)
     fact = table(
-        build_fact(classified, time, people, params, workspace),
+        build_fact(classify(staged), time, people, params, workspace),
         "fact_observations",
         ("time_key",),
     )
     cells = workspace.store(recent_cells(fact, time, people), "cells")
+    return with_derived(
+        {
+            "raw_observations": raw,
+            "stg_observations": staged,
+            "dim_time": time,
+            "dim_demographics": people,
+            "fact_observations": fact,
+            "mart_kpi_summary": table(kpi_summary(cells, params), "mart_kpi_summary"),
+        }
+    )
+
+
+def with_derived(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Add the tables that are a filter and a projection of a stored one."""
     return {
-        "raw_observations": raw,
-        "stg_observations": staged,
-        "int_classified": classified,
-        "dim_time": time,
-        "dim_demographics": people,
-        "fact_observations": fact,
-        "mart_kpi_summary": table(kpi_summary(cells, params), "mart_kpi_summary"),
-        "quarantine": malformed_numbers(raw),
+        **tables,
+        "int_classified": classify(tables["stg_observations"]),
+        "quarantine": malformed_numbers(tables["raw_observations"]),
     }
 
 
@@ -131,7 +147,10 @@ def as_warehouse(tables: Mapping[str, DataFrame], params: Params) -> Warehouse:
 def register_views(
     tables: Mapping[str, DataFrame], params: Params, workspace: Workspace
 ) -> None:
-    """Make the tables available to ``spark.sql`` under the dashboards' names."""
+    """Make the tables available to ``spark.sql`` under the dashboards' names.
+
+    The view of changes may read the workspace; keep that until it is dropped.
+    """
     for view, name in VIEWS.items():
         tables[name].createOrReplaceTempView(view)
     changes = yoy_changes(tables["int_classified"], params, workspace)
@@ -177,8 +196,8 @@ def run_job(
     return Run(tables, as_warehouse(tables, params), checks, metrics)
 
 
-def open_latest(spark: SparkSession, out: str, params: Params) -> Warehouse:
-    """The warehouse of the run published last."""
+def open_latest(spark: SparkSession, out: str) -> dict[str, DataFrame]:
+    """The tables of the run published last."""
     out = out.rstrip("/")
     last = (
         spark.read.schema(PUBLISHED)
@@ -188,8 +207,6 @@ def open_latest(spark: SparkSession, out: str, params: Params) -> Warehouse:
     )
     if last is None:
         raise ValueError(f"nothing published in {out}")
-    names = ("fact_observations", "dim_time", "dim_demographics", "mart_kpi_summary")
     folder = f"{out}/runs/{last['run_id']}"
-    return as_warehouse(
-        {n: spark.read.parquet(f"{folder}/{n}") for n in names}, params
-    )
+    tables = {n: spark.read.parquet(f"{folder}/{n}") for n in STORED}
+    return with_derived(tables)

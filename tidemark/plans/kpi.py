@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.rules import disparity_band
 from tidemark.operators.exact import ratio
-from tidemark.operators.star import star
+from tidemark.operators.star import is_recent
 from tidemark.params import Params
 from tidemark.plans.dimensions import RESIDENCE_LABELS, WEALTH_LABELS
 
@@ -31,7 +31,7 @@ def recent_cells(
     dimensions are joined, which keeps the joins as small as the result.
     """
     value, pct = F.col("indicator_value"), F.col("percentage_change")
-    recent = dim_time.filter("is_recent_5y").select("year")
+    recent = dim_time.filter(is_recent()).select("year")
     sums = (
         fact.join(F.broadcast(recent), fact["time_key"] == recent["year"])
         .groupBy("indicator_category", "year", "demographic_key")

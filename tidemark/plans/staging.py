@@ -59,8 +59,8 @@ def clean_observations(numbered: DataFrame, params: Params) -> DataFrame:
             "wealth_quintile"
         ),
         parse.parse_value(F.col("value_numeric"), F.col("value")).alias("parsed"),
-        parse.parse_bound(F.col("value_ci"), 1).alias("value_lower_ci"),
-        parse.parse_bound(F.col("value_ci"), 2).alias("value_upper_ci"),
+        parse.lower_bound(F.col("value_ci")).alias("value_lower_ci"),
+        parse.upper_bound(F.col("value_ci")).alias("value_upper_ci"),
         F.col("value").alias("display"),
         "value_numeric",
     )

@@ -207,8 +207,8 @@ def row_queries() -> dict[str, Callable[[Session], DataFrame]]:
         "parse_period": over_raw(year=parse.parse_year(col("period"))),
         "parse_value": over_raw(value=_parsed_value()),
         "parse_ci": over_raw(
-            value_lower_ci=parse.parse_bound(col("value_ci"), 1),
-            value_upper_ci=parse.parse_bound(col("value_ci"), 2),
+            value_lower_ci=parse.lower_bound(col("value_ci")),
+            value_upper_ci=parse.upper_bound(col("value_ci")),
         ),
         "quality_flags": over_raw(
             is_missing_value=parse.is_missing(_parsed_value(), col("value")),
