@@ -40,6 +40,7 @@ def test_run_publishes(spark, tmp_path):
     run = job.run_job(spark, path, out, FILE_PARAMS)
     assert tuple(run.metrics.head()) == (6, 6, 15)
     assert run.checks.count() == 16
+    assert run.preview.count() == 3
     # ties of (indicator, location, period) are numbered in file order
     fact = run.tables["fact_observations"].orderBy("fact_key").collect()
     assert [(r.fact_key, r.indicator_name, float(r.indicator_value)) for r in fact] == [

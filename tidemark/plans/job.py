@@ -72,11 +72,10 @@ class Run:
     warehouse: Warehouse
     checks: DataFrame
     metrics: DataFrame
+    preview: DataFrame
 
 
-def load_raw(
-    extract: DataFrame, path: str, run_ts=None
-) -> tuple[DataFrame, DataFrame]:
+def load_raw(extract: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
     """Write the raw table; return it and its one-row metrics.
 
     Rows read are observed while the table is written, rows loaded are counted
@@ -193,7 +192,13 @@ def run_job(
         "*",
     )
     line.write.mode("append").parquet(f"{out.rstrip('/')}/published")
-    return Run(tables, as_warehouse(tables, params), checks, metrics)
+    return Run(
+        tables=tables,
+        warehouse=as_warehouse(tables, params),
+        checks=checks,
+        metrics=metrics,
+        preview=raw.limit(3),
+    )
 
 
 def open_latest(spark: SparkSession, out: str) -> dict[str, DataFrame]:

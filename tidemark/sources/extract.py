@@ -86,7 +86,8 @@ def read_extract(
     """Read a CSV extract: one file, or a folder of files with equal headers.
 
     Every field is text. Short lines are filled with NULLs. A line with more
-    fields than the header fails the job when ``strict``, else it is set aside.
+    fields than the header fails the job when ``strict``, else it is set aside;
+    an extra field that is empty is ignored.
     ``multi_line`` admits line breaks inside quotes but keeps Spark from
     splitting a file, so large extracts should come without them.
     """
