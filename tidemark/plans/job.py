@@ -106,8 +106,10 @@ def build_tables(
     staged = table(stage(raw, params, workspace), "stg_observations")
     time = table(dim_time(staged, params), "dim_time")
     people = table(dim_demographics(staged, params, workspace), "dim_demographics")
+    fact = build_fact(classify(staged), time, people, params, workspace)
+    # The write sorts by year anyway; by key as well, equal names stay together.
     fact = table(
-        build_fact(classify(staged), time, people, params, workspace),
+        fact.sortWithinPartitions("time_key", "fact_key"),
         "fact_observations",
         ("time_key",),
     )
