@@ -77,6 +77,24 @@ def test_long_lines_fail_or_are_set_aside(spark, tmp_path):
     assert sorted(r.a for r in lenient.rejected.collect()) == ["3", "6"]
 
 
+def test_empty_extra_fields_are_extra_too(spark, tmp_path):
+    text = (
+        "a,b\n"
+        "1,2,\n"
+        "3,4,,\n"
+        "5,6,,7\n"
+        '"8,8","9,9",\n'
+        '"10,10","11,11"\n'
+        '"12,""12,"",","""13,"""\n'
+        '"",",,,"\n'
+        '14,"15,\t,",,16\n'
+    )
+    lenient = read(spark, tmp_path, text, strict=False)
+    kept = [(r.a, r.b) for r in in_file_order(lenient.rows)]
+    assert kept == [("10,10", "11,11"), ('12,"12,",', '"13,"'), (None, ",,,")]
+    assert [r.a for r in in_file_order(lenient.rejected)] == ["1", "3", "5", "8,8", "14"]
+
+
 def test_strict_count_also_fails(spark, tmp_path):
     with pytest.raises(PySparkException, match="more fields"):
         read(spark, tmp_path, "a,b\n1,2,3\n").rows.count()

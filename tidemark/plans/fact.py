@@ -11,6 +11,7 @@ from tidemark.plans.dimensions import TRIPLE
 from tidemark.plans.yoy import SERIES, add_changes
 from tidemark.workspace import Workspace
 
+# Columns of the fact table, in order.
 FACT_COLUMNS = (
     "fact_key",
     "time_key",

@@ -106,7 +106,8 @@ def build_tables(
     staged = table(stage(raw, params, workspace), "stg_observations")
     time = table(dim_time(staged, params), "dim_time")
     people = table(dim_demographics(staged, params, workspace), "dim_demographics")
-    fact = build_fact(classify(staged), time, people, params, workspace)
+    classified = classify(staged)
+    fact = build_fact(classified, time, people, params, workspace)
     # The write sorts by year anyway; by key as well, equal names stay together.
     fact = table(
         fact.sortWithinPartitions("time_key", "fact_key"),
@@ -122,15 +123,20 @@ def build_tables(
             "dim_demographics": people,
             "fact_observations": fact,
             "mart_kpi_summary": table(kpi_summary(cells, params), "mart_kpi_summary"),
-        }
+        },
+        classified,
     )
 
 
-def with_derived(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def with_derived(
+    tables: Mapping[str, DataFrame], classified: DataFrame | None = None
+) -> dict[str, DataFrame]:
     """Add the tables that are a filter and a projection of a stored one."""
+    if classified is None:
+        classified = classify(tables["stg_observations"])
     return {
         **tables,
-        "int_classified": classify(tables["stg_observations"]),
+        "int_classified": classified,
         "quarantine": malformed_numbers(tables["raw_observations"]),
     }
 
@@ -190,7 +196,7 @@ def run_job(
         raise ChecksFailed(checks, names)
     line = metrics.select(
         F.lit(run_id).alias("run_id"),
-        F.lit(params.run_ts).alias("published_at"),
+        F.current_timestamp().alias("published_at"),
         "*",
     )
     line.write.mode("append").parquet(f"{out.rstrip('/')}/published")

@@ -35,7 +35,9 @@ NULL_TOKENS = (
     "nan",
     "null",
 )
-_SURPLUS = "__surplus"
+# Spark cuts what exceeds its schema. One column more than the header has, and
+# the text of lines that do not fill it exactly, tell over-long lines apart.
+EXTRA, LINE = "extra_field", "line"
 
 
 @dataclass(frozen=True)
@@ -75,6 +77,20 @@ def _file_order() -> dict[str, Column]:
     }
 
 
+def _too_long(extra: Column, line: Column, width: int) -> Column:
+    """More fields than ``width``: one more if Spark saw nothing odd (no text),
+    else by counting the commas outside quotes, if there are enough at all."""
+
+    def commas(c: Column) -> Column:
+        return F.length(c) - F.length(F.replace(c, F.lit(",")))
+
+    unquoted = F.regexp_replace(
+        F.replace(line, F.lit('""')), r'(?<![^,])"[^"]*"', ""
+    )
+    counted = line.isNull() | ((commas(line) >= width) & (commas(unquoted) >= width))
+    return extra.isNotNull() | counted
+
+
 def read_extract(
     spark: SparkSession,
     path: str,
@@ -86,29 +102,30 @@ def read_extract(
     """Read a CSV extract: one file, or a folder of files with equal headers.
 
     Every field is text. Short lines are filled with NULLs. A line with more
-    fields than the header fails the job when ``strict``, else it is set aside;
-    an extra field that is empty is ignored.
+    fields than the header fails the job when ``strict``, else it is set aside.
     ``multi_line`` admits line breaks inside quotes but keeps Spark from
     splitting a file, so large extracts should come without them.
     """
     names = normalized_names(read_header(spark, path))
-    fields = [*names, _SURPLUS]
+    fields = [*names, EXTRA, LINE]
     scanned = (
         spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in fields]))
         .option("header", True)
         .option("escape", '"')
         .option("multiLine", multi_line)
+        .option("columnNameOfCorruptRecord", LINE)
+        .option("columnPruning", False)  # else fields are not counted
         .csv(path)
     )
     order = [c.alias(n) for n, c in _file_order().items()]
     lines = scanned.select(*fields, *order)
-    surplus = F.col(_SURPLUS).isNotNull()
+    surplus = _too_long(F.col(EXTRA), F.col(LINE), len(names))
     if strict:
         stop = F.raise_error(F.lit("a line has more fields than the header"))
         kept = lines.filter(F.when(surplus, stop.cast("boolean")).otherwise(True))
     else:
         kept = lines.filter(~surplus)
-    rows = null_tokens(kept.drop(_SURPLUS), names)
+    rows = null_tokens(kept.drop(EXTRA, LINE), names)
     return Extract(
         rows=rows.withColumn("ingestion_timestamp", F.lit(run_ts)),
         rejected=lines.filter(surplus),

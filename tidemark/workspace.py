@@ -20,7 +20,7 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if root:
         return root
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
     return tempfile.mkdtemp(prefix="tidemark-")
 

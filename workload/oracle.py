@@ -390,8 +390,10 @@ SELECTS: dict[str, str] = {
     "null_tokens": f"""SELECT src_key, if(period = 'n/a', NULL, period) AS period,
         if([{listed(TOKENS)}][src_key % {len(TOKENS)} + 1] IN ({listed(NULL_TOKENS)}),
            NULL, [{listed(TOKENS)}][src_key % {len(TOKENS)} + 1]) AS token FROM raw""",
-    "bad_rows": """SELECT src_key, if(src_key % 101 = 0, 'rejected', 'kept') AS fate,
-        indicator_code, if(src_key % 103 = 0 AND src_key % 101 <> 0, NULL, location)
+    "bad_rows": """SELECT src_key, 
+        if(src_key % 101 = 0 OR src_key % 107 = 0, 'rejected', 'kept') AS fate,
+        indicator_code,
+        if(src_key % 103 = 0 AND src_key % 101 <> 0 AND src_key % 107 <> 0, NULL, location)
         AS location FROM raw""",
     "normalize_headers": """SELECT src_key, indicator_code, value_ci,
         value_numeric AS valuenumeric, value, location AS value1 FROM raw""",

@@ -119,6 +119,7 @@ def bad_rows(s: Session) -> DataFrame:
     key = F.col("src_key")
     line = (
         F.when(key % 101 == 0, F.concat_ws(",", key, "indicator_code", "location", F.lit("x")))
+        .when(key % 107 == 0, F.concat_ws(",", key, "indicator_code", "location", F.lit(",x")))
         .when(key % 103 == 0, F.concat_ws(",", key, "indicator_code"))
         .otherwise(F.concat_ws(",", key, "indicator_code", "location"))
     )
