@@ -57,6 +57,13 @@ def test_previous_year_counts(spark, tables):
         assert changes.filter("years_gap = 0").count() == 3_134
 
 
+def test_some_series_are_hot_for_the_chunking_test(tables):
+    valued = tables["int_classified"].filter("indicator_value IS NOT NULL")
+    sizes = valued.groupBy(*yoy.SERIES).count()
+    assert sizes.filter("count > 8").count() > 10
+    assert sizes.filter("count <= 8").count() > 10
+
+
 def test_fact_holds_exactly_the_classified_rows_with_a_value(tables):
     ids = tables["int_classified"].filter("indicator_value IS NOT NULL")
     fact = tables["fact_observations"]
@@ -73,7 +80,7 @@ def test_classification_is_total(tables):
 
 
 @pytest.mark.parametrize(
-    "partitions, options", [(3, {}), (5, {"hot_rows": 20, "chunk_rows": 64})]
+    "partitions, options", [(3, {}), (5, {"hot_rows": 8, "chunk_rows": 64})]
 )
 def test_tables_do_not_depend_on_partitioning_or_chunking(spark, tables, partitions, options):
     workspace, other = build(spark, partitions, **options)

@@ -1,5 +1,6 @@
 """Models and dashboard queries on hand-written rows."""
 
+import dataclasses
 from decimal import Decimal
 
 import pytest
@@ -43,6 +44,19 @@ def test_staging_filters_and_numbering(spark, workspace):
     assert sorted(got) == [(1, "", "KEN"), (3, "a", "KEN"), (4, "b", "KEN"), (7, "d", "KEN")]
 
 
+def test_ids_after_the_filter_have_no_gaps(spark, workspace):
+    rows = [
+        row("b", "2014", "1"),
+        row("a", "2014", "1", location_code="UGA"),
+        row("a", "2014", "2", location_code=" KEN "),
+        row("aa", "later", "5"),
+    ]
+    params = dataclasses.replace(PARAMS, ids_after_filter=True)
+    staged = staging.stage(frame(spark, rows), params, workspace)
+    got = [(r.indicator_id, r.indicator_name) for r in staged.collect()]
+    assert sorted(got) == [(1, "a"), (2, "b")]
+
+
 def test_changes_follow_year_then_id(spark, workspace):
     rows = [
         row("Stunting", "2016", "8"),

@@ -23,6 +23,9 @@ class Params:
     focus_location: str = "KEN"
     recent_min_year: int = 2014
     tie_keys: tuple[str, ...] = ("source_file", "source_block", "source_row")
+    # True numbers only the rows staging keeps, so the rest is never sorted; ids
+    # then have no gaps and differ from those of the whole table.
+    ids_after_filter: bool = False
     run_ts: dt.datetime = field(default_factory=_now)
     # A LAG group above hot_rows is cut into chunks of at most chunk_rows rows.
     hot_rows: int = 1_000_000

@@ -78,9 +78,11 @@ def clean_observations(numbered: DataFrame, params: Params) -> DataFrame:
 
 def stage(raw: DataFrame, params: Params, workspace: Workspace) -> DataFrame:
     """Observations of the focus location that have a year and a name."""
-    return clean_observations(
-        number_raw(raw, params, workspace, wanted_only=True), params
-    )
+    if params.ids_after_filter:
+        numbered = number_raw(raw.filter(wanted(params)), params, workspace)
+    else:
+        numbered = number_raw(raw, params, workspace, wanted_only=True)
+    return clean_observations(numbered, params)
 
 
 def malformed_numbers(raw: DataFrame) -> DataFrame:
