@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.numbering import number_rows
 from tidemark.params import Params
 from tidemark.plans.dimensions import TRIPLE
-from tidemark.plans.yoy import SERIES, add_changes
+from tidemark.plans.yoy import add_changes
 from tidemark.workspace import Workspace
 
 # Columns of the fact table, in order.
@@ -44,20 +44,32 @@ def build_fact(
     params: Params,
     workspace: Workspace,
 ) -> DataFrame:
-    """Change columns come from the same pass, so no join by id is needed."""
-    changed = add_changes(classified, params, workspace)
-    keyed = changed.join(
+    """Number the valued rows by year, name and demographic, then id.
+
+    The demographic dimension is built from the same staging table, so it knows
+    every triple, and its keys rank triples by sex, residence and wealth. One
+    integer thus stands in for three texts in both shuffles. Change columns come
+    from the same pass, so no join by id is needed.
+    """
+    keyed = classified.join(
+        dim_demographics.select("demographic_key", *TRIPLE), list(TRIPLE), "left"
+    ).drop(*TRIPLE, "updated_at")
+    changed = add_changes(
+        keyed, params, workspace, ("indicator_name", "demographic_key")
+    )
+    timed = changed.join(
         # at most 10,000 four-digit years
         F.broadcast(dim_time.select(F.col("year").alias("time_key"))),
         changed["year"] == F.col("time_key"),
         "left",
-    ).join(dim_demographics.select("demographic_key", *TRIPLE), list(TRIPLE), "left")
-    slim = keyed.select(
-        "year",
-        *TRIPLE,
-        *[c for c in FACT_COLUMNS if c not in ("fact_key", "updated_at")],
+    )
+    slim = timed.select(
+        "year", *[c for c in FACT_COLUMNS if c not in ("fact_key", "updated_at")]
     )
     numbered = number_rows(
-        slim, ["year", *SERIES, "indicator_id"], "fact_key", workspace
+        slim,
+        ["year", "indicator_name", "demographic_key", "indicator_id"],
+        "fact_key",
+        workspace,
     )
     return numbered.withColumn("updated_at", F.lit(params.run_ts)).select(*FACT_COLUMNS)

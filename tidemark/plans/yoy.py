@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +16,10 @@ SERIES = ("indicator_name", "sex", "residence", "wealth_quintile")
 
 
 def add_changes(
-    classified: DataFrame, params: Params, workspace: Workspace
+    classified: DataFrame,
+    params: Params,
+    workspace: Workspace,
+    series: Sequence[str] = SERIES,
 ) -> DataFrame:
     """Every classified row that has a value, plus its change columns.
 
@@ -23,7 +28,7 @@ def add_changes(
     """
     rows = with_previous(
         classified.filter(F.col("indicator_value").isNotNull()),
-        SERIES,
+        series,
         ("year",),
         "indicator_id",
         {"previous_year_value": "indicator_value", "previous_year": "year"},
