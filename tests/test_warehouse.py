@@ -89,7 +89,10 @@ def test_order_by_size_of_change(spark):
         (4, 2020, "B", D(2)),
         (5, None, "A", D(0)),
     ]
-    schema = "indicator_id long, year int, indicator_category string, percentage_change decimal(9,2)"
+    schema = (
+        "indicator_id long, year int, indicator_category string,"
+        " percentage_change decimal(9,2)"
+    )
     df = spark.createDataFrame(rows, schema)
     assert [r.indicator_id for r in yoy.by_size_of_change(df).collect()] == [5, 4, 3, 1, 2]
 
