@@ -14,7 +14,6 @@ import time
 
 from pyspark.sql import SparkSession
 
-import __spark_entry__ as contract
 from tidemark.plans import dashboard, job
 from tidemark.workspace import Workspace
 from workload import registry
@@ -54,7 +53,7 @@ def main() -> None:
             seconds(lambda: build(spark)) for _ in range(RUNS)
         )
     }
-    for key, query in contract.queries().items():
+    for key, query in registry.queries().items():
 
         def run(query=query):
             query(spark, SF_DIR).write.format("noop").mode("overwrite").save()

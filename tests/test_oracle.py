@@ -6,10 +6,11 @@ import pytest
 
 import __spark_entry__ as contract
 from tests import compare
+from workload import oracle, registry
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+QUERIES = registry.queries()
+ORACLES = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
