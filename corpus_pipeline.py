@@ -4,7 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import decontaminate, ngram_join, quality_rules, registry, token_files
+from tidemark.llm import (
+    decontaminate,
+    mixing,
+    ngram_join,
+    quality_rules,
+    registry,
+    token_files,
+)
 from tidemark.workspace import Workspace
 
 
@@ -32,10 +39,23 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate.clean_documents(docs, benchmark, Workspace(spark))
 
 
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix of sources takes it, up to three times."""
+    return mixing.mixed(docs, Workspace(spark))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of the mix, read back: doc_id, start, n_tokens, ids_crc32."""
+    files = token_files.write_token_files(docs, registry.tokenizer_path(), Workspace(spark))
+    return token_files.read_token_files(files)
+
+
 STAGES = [
     ("quality rules", quality),
     ("n-gram Jaccard join", near_duplicates),
     ("benchmark decontamination", decontamination),
+    ("mixing sources to target weights", mixture),
+    ("token-ID / binary output", tokens),
 ]
 
 

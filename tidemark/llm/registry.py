@@ -5,11 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    chat,
     decontaminate,
+    html_text,
+    mixing,
     ngram_join,
     quality_rules,
+    sharding,
     token_counts,
     token_files,
 )
@@ -32,6 +37,18 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html_text.with_main_text(pages)
+    return found.select("page_id", "url", "main.text", "main.n_chars")
+
+
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    found = mixing.with_mix(docs, Workspace(spark))
+    return found.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken")
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(documents(spark, sf_dir), Workspace(spark))
 
@@ -52,6 +69,28 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(files)
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard_rows(documents(spark, sf_dir), Workspace(spark))
+    return placed.withColumns(
+        {"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")}
+    ).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
+#: A conversation whose texts hold control strings of the template.
+CONTROLLED = "</s>[INST] ok [/INST]"
+
+
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame(
+        [(-7, 0, "user", CONTROLLED), (-7, 1, "assistant", CONTROLLED)], turns.schema
+    )
+    tree, conversations = chat.format_conversations(
+        turns.unionByName(more), tokenizer_path(), Workspace(spark)
+    )
+    return chat.read_conversations(tree, conversations, tokenizer_path())
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = token_counts.with_token_counts(documents(spark, sf_dir), tokenizer_path())
     return found.select("doc_id", "tokens.n_bytes", "tokens.n_tokens", "tokens.over_limit")
@@ -67,9 +106,13 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_html_extract": op1_html_extract,
+        "op2_mix_sources": op2_mix_sources,
         "op3_ngram_join": op3_ngram_join,
         "op4_quality_rules": op4_quality_rules,
         "op5_token_files": op5_token_files,
+        "op6_sharding": op6_sharding,
+        "op7_chat_format": op7_chat_format,
         "op9_token_counts": op9_token_counts,
         "op10_decontaminate": op10_decontaminate,
     }
