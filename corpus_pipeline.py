@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm import (
     decontaminate,
@@ -27,10 +28,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows of one doc_id count as one document; rows without doc_id all stay.
     """
     groups = ngram_join.ngram_components(docs.select("doc_id", "text"), Workspace(spark))
-    others = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    first = docs.filter("doc_id IS NOT NULL").join(others, "doc_id", "left_anti")
-    nameless = docs.filter("doc_id IS NULL")
-    return first.dropDuplicates(["doc_id"]).unionByName(nameless).select(*docs.columns)
+    # Most documents are neither repeated nor a copy, and need no mark.
+    marks = (
+        groups.groupBy("doc_id")
+        .agg(F.count(F.lit(1)).alias("rows"), F.min("component_id").alias("component"))
+        .withColumn("stays", F.col("doc_id") == F.col("component"))
+        .filter("NOT stays OR rows > 1")
+    )
+    named = marks.select(F.col("doc_id").alias("__id"), F.col("stays").alias("__stays"))
+    marks = Workspace(spark).store(named, "marks")
+    marked = docs.join(marks, docs["doc_id"] == marks["__id"], "left")
+    single = marked.filter("__id IS NULL").select(*docs.columns)
+    repeated = marked.filter("__stays").select(*docs.columns).dropDuplicates(["doc_id"])
+    return single.unionByName(repeated)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

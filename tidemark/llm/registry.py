@@ -11,6 +11,7 @@ from tidemark.llm import (
     chat,
     decontaminate,
     html_text,
+    line_dedup,
     mixing,
     ngram_join,
     quality_rules,
@@ -91,6 +92,11 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_conversations(tree, conversations, tokenizer_path())
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = line_dedup.repeated_lines(documents(spark, sf_dir), Workspace(spark))
+    return line_dedup.summary(lines)
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = token_counts.with_token_counts(documents(spark, sf_dir), tokenizer_path())
     return found.select("doc_id", "tokens.n_bytes", "tokens.n_tokens", "tokens.over_limit")
@@ -113,6 +119,7 @@ def queries() -> dict[str, Query]:
         "op5_token_files": op5_token_files,
         "op6_sharding": op6_sharding,
         "op7_chat_format": op7_chat_format,
+        "op8_line_dedup": op8_line_dedup,
         "op9_token_counts": op9_token_counts,
         "op10_decontaminate": op10_decontaminate,
     }
