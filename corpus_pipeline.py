@@ -13,13 +13,15 @@ from tidemark.llm import (
     registry,
     token_files,
 )
+from tidemark.llm.columns import free_name, own
 from tidemark.workspace import Workspace
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    found = quality_rules.with_quality(docs, name="__quality")
-    return found.filter("__quality.kept").select(*docs.columns)
+    name = free_name(docs, "__quality")
+    found = quality_rules.with_quality(docs, name=name)
+    return found.filter(f"{name}.kept").select(*own(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,11 +37,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         .withColumn("stays", F.col("doc_id") == F.col("component"))
         .filter("NOT stays OR rows > 1")
     )
-    named = marks.select(F.col("doc_id").alias("__id"), F.col("stays").alias("__stays"))
+    key, stays = free_name(docs, "__id"), free_name(docs, "__stays")
+    named = marks.select(F.col("doc_id").alias(key), F.col("stays").alias(stays))
     marks = Workspace(spark).store(named, "marks")
-    marked = docs.join(marks, docs["doc_id"] == marks["__id"], "left")
-    single = marked.filter("__id IS NULL").select(*docs.columns)
-    repeated = marked.filter("__stays").select(*docs.columns).dropDuplicates(["doc_id"])
+    marked = docs.join(marks, docs["doc_id"] == marks[key], "left")
+    single = marked.filter(F.col(key).isNull()).select(*own(docs))
+    repeated = marked.filter(stays).select(*own(docs)).dropDuplicates(["doc_id"])
     return single.unionByName(repeated)
 
 

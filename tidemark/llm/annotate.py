@@ -22,13 +22,13 @@ def annotate(
     """``df`` with a struct column ``name`` of ``fields`` (DDL) behind its own.
 
     ``compute`` gets rows whose texts have about ``slice_bytes`` together and
-    returns one array per field. All columns of ``df`` pass through unchanged;
-    ``name`` must not be one of them.
+    returns one array per field. All columns of ``df`` pass through unchanged,
+    but one called ``name``, whose place the new one takes.
     """
-    if name in df.columns:
-        raise ValueError(f"the table already has a column {name}")
+    kept = [c for c in df.columns if c != name]
     struct = T._parse_datatype_string(fields)
-    schema = T.StructType([*df.schema.fields, T.StructField(name, struct)])
+    fields_kept = [f for f in df.schema.fields if f.name != name]
+    schema = T.StructType([*fields_kept, T.StructField(name, struct)])
     names = struct.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -37,7 +37,7 @@ def annotate(
                 found = compute(part)
                 column = pa.StructArray.from_arrays([found[n] for n in names], names)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, column], [*part.schema.names, name]
+                    [*[part[c] for c in kept], column], [*kept, name]
                 )
 
     return df.mapInArrow(run, schema)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.annotate import annotate
+from tidemark.llm.columns import free_name, own, quoted
 from tidemark.llm.words import ALNUM, LOWER, find_words, slices, text_bytes
 from tidemark.workspace import Workspace
 
@@ -182,27 +183,28 @@ def with_contamination(
         "windows",
     )
     blocks = max(1, -(-windows.count() // max_windows))
-    columns = docs.columns
+    columns = [c for c in docs.columns if c != name]
+    old = None
     for k in range(blocks):
         own = windows.filter(F.pmod(F.xxhash64("words"), F.lit(blocks)) == k)
         tests = docs.sparkSession.sparkContext.broadcast(_test_sets(own.toArrow()))
-        old = f"{name}_{k - 1}" if k else None
-        new = f"{name}_{k}" if k < blocks - 1 else name
+        new = free_name(docs, name) if k < blocks - 1 else name
 
         def compute(part, tests=tests, old=old):
             return _scan(part, tests.value, old)
 
-        docs = annotate(docs, compute, FIELDS, new).select(*columns, new)
+        scanned = annotate(docs, compute, FIELDS, new)
+        docs = scanned.select(*map(quoted, columns), quoted(new))
         if k < blocks - 1:
-            docs = workspace.store(docs, "scanned")
+            docs, old = workspace.store(docs, "scanned"), new
     return docs
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, workspace: Workspace) -> DataFrame:
     """The documents that are not contaminated, with their own columns only."""
-    name = "__found"
+    name = free_name(docs, "__found")
     found = with_contamination(docs, benchmark, workspace, name)
-    return found.filter(~F.col(f"{name}.contaminated")).select(*docs.columns)
+    return found.filter(~F.col(f"{name}.contaminated")).select(*own(docs))
 
 
 def _without_spans(part: pa.RecordBatch, found: str) -> dict[str, pa.Array]:
@@ -227,8 +229,9 @@ def _without_spans(part: pa.RecordBatch, found: str) -> dict[str, pa.Array]:
 
 def without_spans(docs: DataFrame, benchmark: DataFrame, workspace: Workspace) -> DataFrame:
     """All documents, each without its hit words and what stands between them."""
-    found = with_contamination(docs, benchmark, workspace, "__found")
-    cut = annotate(found, lambda part: _without_spans(part, "__found"), "text string", "__cut")
-    return cut.select(
-        *[F.col("__cut.text").alias("text") if c == "text" else c for c in docs.columns]
-    )
+    name = free_name(docs, "__found")
+    found = with_contamination(docs, benchmark, workspace, name)
+    new = free_name(found, "__cut")
+    cut = annotate(found, lambda part: _without_spans(part, name), "text string", new)
+    text = F.col(f"{new}.text").alias("text")
+    return cut.select(*[text if c == "text" else quoted(c) for c in docs.columns])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.columns import free_name, quoted
 from tidemark.workspace import Workspace
 
 PERCENT = 80
@@ -256,11 +257,10 @@ def summary(lines: DataFrame) -> DataFrame:
 def without_repeated_lines(docs: DataFrame, workspace: Workspace, **options) -> DataFrame:
     """``docs`` with the lines to remove cut from their texts, in all columns they had."""
     lines = repeated_lines(docs, workspace, **options).filter("exact OR near")
-    cuts = lines.groupBy("doc_id").agg(F.collect_set("line").alias("__cuts"))
-    cuts = workspace.store(cuts.withColumnRenamed("doc_id", "__doc"), "cuts")
-    joined = docs.join(cuts, docs["doc_id"].eqNullSafe(cuts["__doc"]), "left")
-    kept = F.filter(
-        F.split("text", "\n"), lambda x, i: ~F.array_contains(F.col("__cuts"), i)
-    )
-    text = F.when(F.col("__cuts").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    return joined.select(*[text.alias(c) if c == "text" else docs[c] for c in docs.columns])
+    doc, cut = free_name(docs, "__doc"), free_name(docs, "__cuts")
+    cuts = lines.groupBy(F.col("doc_id").alias(doc)).agg(F.collect_set("line").alias(cut))
+    cuts = workspace.store(cuts, "cuts")
+    joined = docs.join(cuts, docs["doc_id"].eqNullSafe(cuts[doc]), "left")
+    kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(F.col(cut), i))
+    text = F.when(F.col(cut).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    return joined.select(*[text.alias(c) if c == "text" else quoted(c) for c in docs.columns])

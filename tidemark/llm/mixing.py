@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.columns import free_name, own, quoted
 from tidemark.workspace import Workspace
 
 #: Weights of the sources in turn.
@@ -88,8 +89,20 @@ def same_as(a: str, b: str) -> Column:
     return F.col(f"{a}.source").eqNullSafe(F.col(f"{b}.source"))
 
 
-def _bin() -> Column:
-    return F.least(F.floor(F.col(_ODDS) / (1 + F.col(_ODDS)) * BINS), F.lit(BINS - 1))
+def _bin(odds: Column | None = None) -> Column:
+    odds = F.col(_ODDS) if odds is None else odds
+    return F.least(F.floor(odds / (1 + odds) * BINS), F.lit(BINS - 1))
+
+
+def _draw(
+    odds: Column | None = None, name: Column | None = None, size: Column | None = None
+) -> Column:
+    """What documents of a source are ordered by."""
+    return F.struct(
+        (F.col(_ODDS) if odds is None else odds).alias("odds"),
+        (F.col("doc_id") if name is None else name).alias("name"),
+        (F.col(_SIZE) if size is None else size).alias("size"),
+    )
 
 
 def cuts(draws: DataFrame, goals: DataFrame, workspace: Workspace) -> DataFrame:
@@ -171,22 +184,20 @@ def with_mix(
 
     Null and blank texts have size 0 and take nothing; a null source is a
     source of its own, the last. Rows of one doc_id draw one number; equal
-    ones join or stay together. Other columns pass; an empty table stays empty.
+    ones join or stay together. Other columns pass, but one called ``name``; an
+    empty table stays empty.
     """
-    kept = docs.columns
     chance = uniform(F.col("doc_id"), seed)
     weight = F.lit(1.0) if odds is None else odds.cast("double")
-    drawn = docs.withColumns(
-        {_SIZE: word_count(F.col("text")), _ODDS: chance / (1 - chance) / weight}
-    ).withColumn(
-        _DRAW,
+    held = free_name(docs, "__held")
+    drawn = docs.withColumn(
+        held,
         F.struct(
-            F.col(_ODDS).alias("odds"),
-            F.col("doc_id").alias("name"),
-            F.col(_SIZE).alias("size"),
+            word_count(F.col("text")).alias(_SIZE), (chance / (1 - chance) / weight).alias(_ODDS)
         ),
     )
-    draws = workspace.store(drawn.select("source", _SIZE, _ODDS, _DRAW), "draws")
+    draws = drawn.select("source", "doc_id", f"{held}.*").withColumn(_DRAW, _draw())
+    draws = workspace.store(draws.drop("doc_id"), "draws")
     goals = workspace.store(
         targets(draws.select("source", F.col(_SIZE).alias("size")), weights, most), "goals"
     )
@@ -197,25 +208,27 @@ def with_mix(
         .select("g.*", "e.bin", "e.last", "e.filler"),
         "plan",
     )
+    size, odd = F.col(f"d.{held}.{_SIZE}"), F.col(f"d.{held}.{_ODDS}")
+    draw = _draw(odd, F.col("d.doc_id"), size)
     first = (F.col("p.quota") > 0) & (
         F.when(F.col("p.bin").isNull(), True)
-        .when(_bin() < F.col("p.bin"), True)
-        .when(_bin() > F.col("p.bin"), False)
-        .otherwise(F.coalesce(F.col(_DRAW) <= F.col("p.last"), F.lit(False)))
-        | F.coalesce(F.col(_DRAW) == F.col("p.filler"), F.lit(False))
+        .when(_bin(odd) < F.col("p.bin"), True)
+        .when(_bin(odd) > F.col("p.bin"), False)
+        .otherwise(F.coalesce(draw <= F.col("p.last"), F.lit(False)))
+        | F.coalesce(draw == F.col("p.filler"), F.lit(False))
     )
     copies = F.col("p.copies") + first.cast("long")
     return (
         drawn.alias("d")
         .join(plan.alias("p"), same_as("d", "p"))
         .select(
-            *[F.col(f"d.`{c}`") for c in kept],
+            *[quoted(c, "d") for c in docs.columns if c != name],
             F.struct(
-                F.col(_SIZE).alias("size"),
+                size.alias("size"),
                 F.col("p.source_size").alias("source_size"),
                 F.col("p.target").alias("target"),
                 copies.alias("copies"),
-                (copies * F.col(_SIZE)).alias("taken"),
+                (copies * size).alias("taken"),
             ).alias(name),
         )
     )
@@ -226,7 +239,8 @@ def mixed(docs: DataFrame, workspace: Workspace, **options) -> DataFrame:
 
     A document without words is not taken.
     """
-    found = with_mix(docs, workspace, name="__mix", **options)
-    taken = found.filter("__mix.taken > 0")
-    times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("__mix.copies")))
-    return taken.withColumn("__time", times).select(*docs.columns)
+    name = free_name(docs, "__mix")
+    found = with_mix(docs, workspace, name=name, **options)
+    taken = found.filter(F.col(f"{name}.taken") > 0)
+    times = F.explode(F.sequence(F.lit(1).cast("long"), F.col(f"{name}.copies")))
+    return taken.withColumn(free_name(found, "__time"), times).select(*own(docs))
