@@ -13,13 +13,15 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import signature_tree
 from tidemark.llm.components import connected_components
-from tidemark.llm.words import LOWER, find_words, mix, slices, text_bytes
+from tidemark.llm.words import LOWER, distinct, find_words, mix, slices, text_bytes
 from tidemark.workspace import Workspace
 
 #: Shingles a bucket of the sharing count is planned for.
 BUCKET_ROWS = 1 << 22
 #: Counters of the frequency sketch, which is broadcast: 1 MB at any input size.
 COUNTERS = 1 << 18
+#: The largest bitmap of documents to look at again: 2**24 bits are 2 MB.
+MOST_BITS = 24
 #: Classes one signature tree holds; larger blocks are cut.
 CELL_ROWS = 4096
 
@@ -35,7 +37,7 @@ def shingle_sets(column: pa.Array, n: int) -> list[np.ndarray]:
     first, windows = words.windows(hashes, n)
     bound = np.searchsorted(first, words.bound)
     counts = words.counts
-    out = [np.unique(windows[a:b]) for a, b in zip(bound[:-1], bound[1:], strict=True)]
+    out = [distinct(windows[a:b]) for a, b in zip(bound[:-1], bound[1:], strict=True)]
     short = np.flatnonzero((counts > 0) & (counts < n))
     for k in sorted(set(counts[short].tolist())):
         first, windows = words.windows(hashes, k)
@@ -97,7 +99,7 @@ def _pack(n: int, bits: int):
                 same[1:] = cut[1:] == cut[:-1]
                 shared = same.copy()
                 shared[:-1] |= same[1:]
-                marker = np.unique(cut[shared])
+                marker = distinct(cut[shared])
                 keys = np.concatenate([cut, marker, marker])
                 owners = np.concatenate(
                     [owner, *(np.full(len(marker), len(names) + k) for k in (0, 1))]
@@ -151,7 +153,7 @@ def _count_shared(table: pa.Table) -> pa.Table:
     hashes = np.concatenate(column("hashes", np.uint32))
     classes, slot = np.unique(names, return_inverse=True)
     shared = np.bincount(slot, known, len(classes))
-    entry = np.unique(
+    entry = distinct(
         (hashes.astype(np.uint64) << np.uint64(32)) | np.repeat(slot, sent).astype(np.uint64)
     )
     key = entry >> np.uint64(32)
@@ -170,19 +172,53 @@ def _count_shared(table: pa.Table) -> pa.Table:
     )
 
 
-def _sets(n: int):
+def _slots(ids: np.ndarray, bits: int) -> np.ndarray:
+    return (mix(ids.astype(np.int64).view(np.uint64), 3) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _ids(column: pa.Array) -> np.ndarray:
+    return column.fill_null(0).to_numpy(zero_copy_only=False)
+
+
+def _bitmap(live: DataFrame) -> tuple[int, np.ndarray]:
+    """A bitmap of hashed doc_ids, sixteen bits for each up to MOST_BITS in all.
+
+    It tells which texts need no second look. With more ids than it has room
+    for it passes more texts, never fewer; the driver gets one row per word of
+    it that isn't empty.
+    """
+    count = live.count()
+    bits = min(MOST_BITS, max(10, (16 * count).bit_length()))
+
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = _slots(_ids(batch["doc_id"]), bits)
+            yield pa.record_batch({"word": pa.array(at >> 6), "bit": pa.array(at & 63)})
+
+    found = (
+        live.mapInArrow(words, "word long, bit long")
+        .groupBy("word")
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit as int))")).alias("bits"))
+        .toArrow()
+    )
+    bitmap = np.zeros(1 << (bits - 6), np.int64)
+    bitmap[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return bits, bitmap.view(np.uint64)
+
+
+def _sets(n: int, filtered):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, bitmap = filtered.value
         for batch in batches:
-            for part in slices(batch, "text"):
-                classes = part["class"].to_pylist()
-                sets = zip(classes, shingle_sets(part["text"], n), strict=True)
-                # A doc_id may come with several texts; only one is the class's.
-                sets = [(c, s) for c, s in sets if len(s) and class_of(s) == c]
+            at = _slots(_ids(batch["doc_id"]), bits)
+            hit = (bitmap[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
+            for part in slices(batch.filter(pa.array(hit == 1)), "text"):
+                sets = [s for s in shingle_sets(part["text"], n) if len(s)]
                 yield pa.record_batch(
                     {
-                        "class": pa.array([c for c, _ in sets], pa.int64()),
-                        "n": pa.array([len(s) for _, s in sets], pa.int64()),
-                        "shingles": pa.array([s.tobytes() for _, s in sets], pa.binary()),
+                        "class": pa.array([class_of(s) for s in sets], pa.int64()),
+                        "n": pa.array([len(s) for s in sets], pa.int64()),
+                        "shingles": pa.array([s.tobytes() for s in sets], pa.binary()),
                     }
                 )
 
@@ -270,11 +306,10 @@ def _cells(sets: DataFrame, blocks: DataFrame, percent: int, cell_rows: int) ->
     chunks, and pairs of chunks are its cells.
     """
     ratio = math.log(1.04 * 100 / percent)
-    sized = sets.join(blocks, sets["class"] == blocks["node"]).select(
-        "class", "n", "shingles", F.col("root").alias("block")
-    )
     count = blocks.groupBy(F.col("root").alias("block")).agg(F.count(F.lit(1)).alias("size"))
-    sized = sized.join(count, "block")
+    known = blocks.select(F.col("node").alias("class"), F.col("root").alias("block"))
+    known = known.join(count, "block")
+    sized = sets.join(known, "class").dropDuplicates(["class"])
     small = sized.filter(F.col("size") <= cell_rows).select(
         "block", F.lit(0).alias("band"), F.lit(0).alias("x"), F.lit(0).alias("y"),
         "class", "shingles",
@@ -352,16 +387,13 @@ def ngram_components(
         classes.join(shared, "class")
         .filter(F.col("shared") * 100 >= F.col("n") * percent)
         .filter("least IS NOT NULL")
-        .select("class", F.col("least").alias("doc_id")),
+        .select(F.col("least").alias("doc_id")),
         "live",
     )
-    # One text stands for a class. The join has dealt rows by doc_id already.
-    texts = docs.join(live, "doc_id").dropDuplicates(["doc_id", "text"])
+    # One document stands for a class; a few others that pass do no harm.
+    chosen = spark.sparkContext.broadcast(_bitmap(live))
     sets = workspace.store(
-        texts.select("class", "text").mapInArrow(
-            _sets(n), "class long, n long, shingles binary"
-        ),
-        "sets",
+        docs.mapInArrow(_sets(n, chosen), "class long, n long, shingles binary"), "sets"
     )
     level = spark.sparkContext.broadcast(_frequency(spark, sets))
     keys = sets.mapInArrow(_prefixes(level, percent), "class long, key long")

@@ -19,6 +19,7 @@ from tidemark.llm import (
     token_counts,
     token_files,
 )
+from tidemark.llm.oracle import oracle_sql as oracle_sql
 from tidemark.workspace import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,7 +124,3 @@ def queries() -> dict[str, Query]:
         "op9_token_counts": op9_token_counts,
         "op10_decontaminate": op10_decontaminate,
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}

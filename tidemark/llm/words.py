@@ -72,6 +72,14 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted values without repeats (by sorting, which is faster here than hashing)."""
+    ordered = np.sort(values)
+    new = np.ones(len(ordered), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    return ordered[new]
+
+
 def _spans(values: np.ndarray, kind: str, first: np.ndarray, last: np.ndarray):
     """Hashes of values[first:last], whatever their place."""
     up, down = _power_tables(kind, len(values) + 1)
