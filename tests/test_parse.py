@@ -14,7 +14,7 @@ def evaluate(spark, values, expr):
 
 
 def dec(x):
-    return None if x is None else Decimal(x).quantize(Decimal("0.000001"))
+    return None if x is None else Decimal(x)
 
 
 def test_year(spark):
@@ -53,9 +53,10 @@ def test_number(spark):
         None: None,
         "12\n": None,
         "\t12": None,
-        "1.23456789": "1.234568",
-        "999999999999": "999999999999",
-        "1000000000000": None,
+        "1.23456789": "1.23456789",
+        "1.1234567890126": "1.123456789013",
+        "99999999999999999999": "99999999999999999999",
+        "100000000000000000000": None,
     }
     expected = [dec(v) for v in cases.values()]
     assert evaluate(spark, cases, parse.parse_number) == expected
@@ -143,3 +144,30 @@ def test_recode(spark):
         spark, ["a", "b", "c", None], lambda c: text.recode(c, labels, F.upper(c))
     )
     assert out == ["Alpha", "Beta", "C", None]
+
+
+def test_unstorable_numbers(spark):
+    cases = {
+        "1.2.3": True,
+        ".": True,
+        "100000000000000000000": True,
+        "1.1234567890126": True,
+        "1.12345678901200": False,
+        "12.5": False,
+        "No data": False,
+        None: False,
+    }
+    assert evaluate(spark, cases, parse.unstorable_number) == list(cases.values())
+
+
+def test_unstorable_bounds(spark):
+    cases = {
+        "[1.2.3-4]": True,
+        "[5-99999999999999999999999]": True,
+        "[5-1.0000000000001]": True,
+        "[5-7.5]": False,
+        "12 [10-14]": False,
+        "5-99999999999999999999999": False,
+        None: False,
+    }
+    assert evaluate(spark, cases, parse.unstorable_bound) == list(cases.values())

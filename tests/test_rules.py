@@ -77,17 +77,25 @@ def test_quality_score(spark, missing, issue, width, score):
         ("10.99996", "10", "10.00", "Increasing", False),
         ("1", "3", "-66.67", "Decreasing", True),
         ("8.01", "8", "0.13", "Increasing", False),
+        ("-8.01", "8", "-200.13", "Decreasing", True),
+        ("1.0000002", "1.0000001", "0.00", "Increasing", False),
+        # seventh decimal of the quotient decides: 0.00500000000001 percent
+        ("1.000050000000", "1", "0.01", "Increasing", False),
+        ("1.000049999999", "1", "0.00", "Increasing", False),
+        ("99999999999999999999", "3", "3333333333333333333200.00", "Increasing", True),
+        ("12345678901234.5", "12345678901233.5", "0.00", "Increasing", False),
+        ("99999999999999999999", "0.000000000001", None, "Increasing", True),
     ],
 )
 def test_change(spark, value, previous, pct, trend, significant):
     row = [(Decimal(value), None if previous is None else Decimal(previous))]
-    df = spark.createDataFrame(row, "v decimal(18,6), p decimal(18,6)")
+    df = spark.createDataFrame(row, "v decimal(32,12), p decimal(32,12)")
     v, p = F.col("v"), F.col("p")
     change = rules.percentage_change(v, p)
     out = df.select(
-        F.round(change, 2).alias("pct"),
+        change.alias("pct"),
         rules.trend(v, p).alias("trend"),
-        rules.is_significant(change).alias("significant"),
+        rules.is_significant(v, p).alias("significant"),
     ).head()
     assert out.pct == (None if pct is None else Decimal(pct))
     assert (out.trend, out.significant) == (trend, significant)
@@ -105,6 +113,6 @@ def test_disparity_band(spark):
         None: "No data",
     }
     out = evaluate(
-        spark, cases, lambda c: rules.disparity_band(c.cast("decimal(18,6)"))
+        spark, cases, lambda c: rules.disparity_band(c.cast("decimal(32,12)"))
     )
     assert out == list(cases.values())

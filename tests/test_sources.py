@@ -127,9 +127,9 @@ def test_typed_columns(spark, tmp_path):
     path = tmp_path / "seed.csv"
     path.write_text("YEAR (DISPLAY),Numeric,Low,High,Note\n2014,1.5,x,,NA\n")
     df = extract.read_typed(spark, str(path))
-    assert dict(df.dtypes)["Low"] == "decimal(18,6)"
+    assert dict(df.dtypes)["Low"] == "decimal(32,12)"
     assert df.columns == ["YEAR (DISPLAY)", "Numeric", "Low", "High", "Note"]
-    assert tuple(df.head()) == ("2014", Decimal("1.500000"), None, None, None)
+    assert tuple(df.head()) == ("2014", Decimal("1.500000000000"), None, None, None)
 
 
 def test_audit_columns_hold_one_batch_time(spark):

@@ -230,12 +230,14 @@ def test_blank_display_value_scores_zero_but_stays_in_the_fact(spark, workspace)
 def test_malformed_numbers_go_to_the_quarantine(spark, workspace):
     rows = [
         row("Stunting", "2019", "1.2.3", value="4"),
-        row("Stunting", "2019", None, value="9" * 13),
+        row("Stunting", "2019", None, value="9" * 21),
         row("Stunting", "2019", "x", value="4"),
         row("Stunting", "2019", ".", value="4", indicator_code=None),
+        row("Stunting", "2019", "5", value_ci="[1.2.3-4]"),
+        row("Stunting", "2019", "5", value_ci="[5-" + "9" * 21 + "]"),
     ]
     tables = build(spark, workspace, rows)
-    assert sorted(r.k for r in tables["quarantine"].collect()) == [0, 1]
+    assert sorted(r.k for r in tables["quarantine"].collect()) == [0, 1, 4, 5]
 
 
 def test_no_facts_at_all(spark, workspace):

@@ -13,6 +13,8 @@ from tidemark.schemas import VALUE
 YEAR_OR_RANGE = r"\A[0-9]{4}(-[0-9]{4})?\z"
 NUMBER = r"\A *([0-9.]+) *\z"
 LOWER_BOUND = r"\A *([0-9.]+) *(?:-|\z)"
+# A thirteenth or later decimal that is not zero.
+TOO_FINE = r"\.[0-9]{12}[0-9]*[1-9]"
 UPPER_BOUND = r"\A[^-]*- *([0-9.]+) *(?:-|\z)"
 
 
@@ -30,8 +32,28 @@ def looks_numeric(c: Column) -> Column:
     return F.coalesce(c.rlike(NUMBER), F.lit(False))
 
 
+def _text(c: Column, pattern: str) -> Column:
+    return F.nullif(F.regexp_extract(c, pattern, 1), F.lit(""))
+
+
 def _captured(c: Column, pattern: str) -> Column:
-    return F.nullif(F.regexp_extract(c, pattern, 1), F.lit("")).try_cast(VALUE)
+    return _text(c, pattern).try_cast(VALUE)
+
+
+def _unstorable(text: Column) -> Column:
+    """Digits and dots that are no number, don't fit, or have too many decimals."""
+    lossy = text.rlike(TOO_FINE)
+    return text.isNotNull() & (text.try_cast(VALUE).isNull() | lossy)
+
+
+def unstorable_number(c: Column) -> Column:
+    return _unstorable(_text(c.cast("string"), NUMBER))
+
+
+def unstorable_bound(interval: Column) -> Column:
+    """Either bound of an interval cannot be stored."""
+    bare = _inside_brackets(interval)
+    return _unstorable(_text(bare, LOWER_BOUND)) | _unstorable(_text(bare, UPPER_BOUND))
 
 
 def parse_number(c: Column) -> Column:

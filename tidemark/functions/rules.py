@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 from operator import and_, or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.schemas import VALUE
+
+PERCENT = "decimal(34,2)"
+
 # Each rule is (label, alternatives); an alternative is the set of
 # words that must all occur in the lower-cased name. The first rule wins.
 CATEGORY_RULES = (
@@ -78,8 +83,21 @@ def quality_score(missing: Column, issue: Column, ci_width: Column) -> Column:
 
 
 def percentage_change(value: Column, previous: Column) -> Column:
-    """Unrounded; NULL without a baseline or with a baseline of zero."""
-    return F.when(previous != 0, (value - previous) / previous * 100)
+    """In hundredths of a percent, rounded half up once; NULL without a baseline
+    or with a baseline of zero.
+
+    Both are VALUE decimals. The quotient is an integer division, as Spark's own
+    keeps six decimals only at this width; that serves beyond 10**14 percent.
+    """
+    size, base = F.abs(value - previous).cast(VALUE), F.abs(previous)
+    twice = (size * F.lit(20000).cast("decimal(5,0)")).cast("decimal(37,12)") + base
+    whole = F.call_function("div", twice, base * F.lit(2).cast("decimal(1,0)"))
+    exact = (whole.cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast(PERCENT)
+    far = F.try_multiply(F.try_divide(size, base), F.lit(100).cast("decimal(3,0)"))
+    near = size.cast("double") < base.cast("double") * 1e12
+    pct = F.when(near, exact).otherwise(F.round(far, 2).try_cast(PERCENT))
+    falls = (value < previous) != (previous < 0)
+    return F.when(previous != 0, F.when(falls, -pct).otherwise(pct))
 
 
 def trend(value: Column, previous: Column) -> Column:
@@ -91,8 +109,10 @@ def trend(value: Column, previous: Column) -> Column:
     )
 
 
-def is_significant(pct: Column) -> Column:
-    return F.coalesce(F.abs(pct) >= 10, F.lit(False))
+def is_significant(value: Column, previous: Column) -> Column:
+    """A change by a tenth of the baseline or more."""
+    tenfold = F.abs(value - previous) * F.lit(10).cast("decimal(2,0)")
+    return F.coalesce((previous != 0) & (tenfold >= F.abs(previous)), F.lit(False))
 
 
 def disparity_band(gap: Column) -> Column:

@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SUMMABLE = "decimal(28,6)"  # a quotient of it keeps 16 decimals
+from tidemark.schemas import VALUE
+
+_SUMMABLE = "decimal(34,12)"  # a quotient of it keeps 16 decimals
 
 
 def ratio(total: Column, n: Column) -> Column:
-    """total / n with 16 decimals; NULL when n is zero."""
-    return F.when(n != 0, total.cast(_SUMMABLE) / n.cast("decimal(20,0)"))
+    """total / n with 16 decimals; NULL when n is zero or the total has more than
+    22 integer digits."""
+    return F.when(n != 0, total.try_cast(_SUMMABLE) / n.cast("decimal(20,0)"))
 
 
 def average(c: Column) -> Column:
     """AVG as an exact decimal, also for integers."""
-    c = c.cast(_SUMMABLE)
+    c = c.cast(VALUE)
     return ratio(F.sum(c), F.count(c))

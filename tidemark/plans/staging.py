@@ -88,11 +88,12 @@ def stage(raw: DataFrame, params: Params, workspace: Workspace) -> DataFrame:
 def malformed_numbers(raw: DataFrame) -> DataFrame:
     """Data rows with text made of digits and dots that is no storable number.
 
-    Their value is NULL (or the fallback's) in staging; this is where they can
-    be found.
+    Their value is NULL (or the fallback's, or rounded) in staging, and so are
+    the bounds of their interval; this is where they can be found.
     """
-
-    def broken(c: str):
-        return parse.looks_numeric(F.col(c)) & parse.parse_number(F.col(c)).isNull()
-
-    return drop_tag_rows(raw).filter(broken("value_numeric") | broken("value"))
+    broken = (
+        parse.unstorable_number(F.col("value_numeric"))
+        | parse.unstorable_number(F.col("value"))
+        | parse.unstorable_bound(F.col("value_ci"))
+    )
+    return drop_tag_rows(raw).filter(F.coalesce(broken, F.lit(False)))

@@ -37,14 +37,13 @@ def add_changes(
         params.chunk_rows,
     )
     value, previous = F.col("indicator_value"), F.col("previous_year_value")
-    pct = rules.percentage_change(value, previous)
     return rows.withColumns(
         {
             "absolute_change": value - previous,
-            "percentage_change": F.round(pct, 2),
+            "percentage_change": rules.percentage_change(value, previous),
             "years_gap": F.col("year") - F.col("previous_year"),
             "trend_direction": rules.trend(value, previous),
-            "is_significant_change": rules.is_significant(pct),
+            "is_significant_change": rules.is_significant(value, previous),
         }
     )
 

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Values, bounds and changes. Input with more than six decimals is rounded half
-# up; twelve or more integer digits do not fit and go to the quarantine.
-VALUE = T.DecimalType(18, 6)
+# Values and bounds: up to twenty integer digits and twelve decimals, so that
+# differences and the products that compare them stay exact in 38 digits. Text
+# that does not fit, or loses decimals to rounding, is listed in the quarantine.
+VALUE = T.DecimalType(32, 12)
 
 
 def _text(name: str, comment: str) -> T.StructField:

@@ -33,6 +33,13 @@ NAMES = (
 )
 
 
+# What stands before or behind numbers that try the limits.
+MANY_DIGITS = "1234567890123"
+MANY_DECIMALS = "0000012345"
+TINY = "0.000000"
+TOO_LONG = "9" * 30
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -107,6 +114,10 @@ def derived_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("wealth_quintile"),
         F.when(k % 11 == 0, None)
         .when(k % 13 == 0, "No data")
+        .when(k % 37 == 0, F.concat(F.lit(MANY_DIGITS), _text(h)))
+        .when(k % 41 == 0, F.concat(_text(h), F.lit(MANY_DECIMALS)))
+        .when(k % 43 == 0, F.concat(F.lit(TINY), (k % 10).cast("string")))
+        .when(k % 211 == 0, TOO_LONG)
         .otherwise(_text(h))
         .alias("value_numeric"),
         F.when(k % 17 == 0, "")
@@ -114,6 +125,9 @@ def derived_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(_text(h))
         .alias("value"),
         F.when(k % 7 == 0, None)
+        .when(k % 223 == 0, "[1.2.3-4]")
+        .when(k % 227 == 0, f"[5-{TOO_LONG}]")
+        .when(k % 229 == 0, f"[0.5-7.5{MANY_DECIMALS}0001]")
         .when(k % 19 == 0, F.concat(_text(h), F.lit(" "), interval))
         .otherwise(interval)
         .alias("value_ci"),

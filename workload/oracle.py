@@ -7,10 +7,17 @@ quotients are rounded half up in integer arithmetic first.
 
 from __future__ import annotations
 
-from workload.derived import NAMES, PARAMS
+from workload.derived import (
+    MANY_DECIMALS,
+    MANY_DIGITS,
+    NAMES,
+    PARAMS,
+    TINY,
+    TOO_LONG,
+)
 
 P = PARAMS
-MICRO = 1_000_000
+UNIT = 10**12  # values have twelve decimals
 
 # Texts read as NULL.
 NULL_TOKENS = (
@@ -24,23 +31,44 @@ def listed(values) -> str:
     return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
 
 
-def half_up(num: str, den: str, digits: int) -> str:
-    """num / den rounded half away from zero, as DOUBLE; den is positive."""
+def exact_double(x: str, digits: int) -> str:
+    """An integer number of 10**-digits as the DOUBLE next to it."""
+    scale = 10**digits
+    text = f"(abs({x}) // {scale}) || '.' || lpad((abs({x}) % {scale})::VARCHAR, {digits}, '0')"
+    return f"(CASE WHEN ({x}) < 0 THEN '-' ELSE '' END || {text})::DOUBLE"
+
+
+def half_up_units(num: str, den: str, digits: int) -> str:
+    """num / den in 10**-digits, rounded half away from zero; den is positive."""
     scale = 10**digits
     size = f"(2 * abs({num}) * {scale} + {den}) // (2 * {den})"
-    return f"(CASE WHEN {num} < 0 THEN -1 ELSE 1 END * ({size}))::DOUBLE / {scale}"
+    return f"(CASE WHEN {num} < 0 THEN -1 ELSE 1 END * ({size}))"
+
+
+def half_up(num: str, den: str, digits: int) -> str:
+    return exact_double(half_up_units(num, den, digits), digits)
+
 
+def units(x: str) -> str:
+    """A value as an integer number of 10**-12."""
+    return f"replace(({x})::DECIMAL(38,12)::VARCHAR, '.', '')::HUGEINT"
 
-def micros(x: str) -> str:
-    return f"(({x}) * {MICRO})::HUGEINT"
+
+def double(x: str) -> str:
+    return f"({x})::VARCHAR::DOUBLE"
 
 
 def avg_of(x: str, digits: int) -> str:
-    """Rounded average of a DECIMAL(18,6); NULL over no values."""
-    quotient = half_up(f"sum({micros(x)})", f"(count({x}) * {MICRO})::HUGEINT", digits)
+    """Rounded average of a value; NULL over no values."""
+    quotient = half_up(f"sum({units(x)})", f"(count({x}) * {UNIT}::HUGEINT)", digits)
     return f"CASE WHEN count({x}) > 0 THEN {quotient} END"
 
 
+def avg_pct(digits: int) -> str:
+    quotient = half_up("sum(pct)", "(count(pct) * 100)::HUGEINT", digits)
+    return f"CASE WHEN count(pct) > 0 THEN {quotient} END"
+
+
 def avg_int(x: str, digits: int) -> str:
     return half_up(f"sum({x})::HUGEINT", f"count({x})::HUGEINT", digits)
 
@@ -52,13 +80,24 @@ def hundredths(x: str) -> str:
 def number(x: str) -> str:
     return (
         f"CASE WHEN regexp_full_match(trim({x}), '[0-9.]+')"
-        f" THEN TRY_CAST(trim({x}) AS DECIMAL(18,6)) END"
+        f" THEN TRY_CAST(trim({x}) AS DECIMAL(32,12)) END"
     )
 
 
+def broken(x: str) -> str:
+    """Digits and dots that are no number, too long, or not zero beyond twelve decimals."""
+    return (
+        f"coalesce(regexp_full_match(trim({x}), '[0-9.]+') AND ({number(x)} IS NULL"
+        f" OR regexp_matches({x}, '\\.[0-9]{{12}}[0-9]*[1-9]')), false)"
+    )
+
+
+def piece(part: int) -> str:
+    return f"split_part(translate(value_ci, '[]', ''), '-', {part})"
+
+
 def bound(part: int) -> str:
-    piece = f"split_part(translate(value_ci, '[]', ''), '-', {part})"
-    return f"CASE WHEN value_ci LIKE '%[%]%' THEN {number(piece)} END"
+    return f"CASE WHEN value_ci LIKE '%[%]%' THEN {number(piece(part))} END"
 
 
 def labels(column: str, known: dict[str, str]) -> str:
@@ -149,10 +188,16 @@ SELECT CASE priority WHEN '1-URGENT' THEN 'Severe ' WHEN '2-HIGH' THEN 'Moderate
            AS residence,
        if(quintile BETWEEN 1 AND 5, 'Q' || quintile, NULL) AS wealth_quintile,
        CASE WHEN k % 11 = 0 THEN NULL WHEN k % 13 = 0 THEN 'No data'
+            WHEN k % 37 = 0 THEN '{MANY_DIGITS}' || {hundredths("h")}
+            WHEN k % 41 = 0 THEN {hundredths("h")} || '{MANY_DECIMALS}'
+            WHEN k % 43 = 0 THEN '{TINY}' || k % 10
+            WHEN k % 211 = 0 THEN '{TOO_LONG}'
             ELSE {hundredths("h")} END AS value_numeric,
        CASE WHEN k % 17 = 0 THEN '' WHEN k % 143 = 0 THEN '1.2.3'
             ELSE {hundredths("h")} END AS value,
-       CASE WHEN k % 7 = 0 THEN NULL ELSE
+       CASE WHEN k % 7 = 0 THEN NULL WHEN k % 223 = 0 THEN '[1.2.3-4]'
+            WHEN k % 227 = 0 THEN '[5-{TOO_LONG}]'
+            WHEN k % 229 = 0 THEN '[0.5-7.5{MANY_DECIMALS}0001]' ELSE
            if(k % 19 = 0, {hundredths("h")} || ' ', '')
            || '[' || {hundredths("h * 8 // 10")} || '-'
            || {hundredths("h * 12 // 10")} || ']' END AS value_ci,
@@ -192,13 +237,14 @@ WHERE {scope("indicator_name")} AND indicator_category <> 'Other'"""
 
 CTES["lagged"] = f"""
 SELECT *, lag(indicator_value) OVER series AS prev, lag(year) OVER series AS prev_year,
-       {micros("indicator_value - prev")} AS n, {micros("prev")} AS d
+       {units("indicator_value - prev")} AS n, {units("prev")} AS d
 FROM classified WHERE indicator_value IS NOT NULL
 WINDOW series AS (PARTITION BY indicator_name, sex, residence, wealth_quintile
                   ORDER BY year, indicator_id)"""
 
 CTES["changed"] = f"""
 SELECT *, indicator_value - prev AS absolute_change,
+       CASE WHEN d <> 0 THEN {half_up_units("n * 100", "d", 2)} END AS pct,
        CASE WHEN d <> 0 THEN {half_up("n * 100", "d", 2)} END AS percentage_change,
        CASE WHEN prev IS NULL THEN 'No baseline' WHEN n > 0 THEN 'Increasing'
             WHEN n < 0 THEN 'Decreasing' ELSE 'Stable' END AS trend_direction,
@@ -246,7 +292,7 @@ SELECT row_number() OVER (ORDER BY c.year, c.indicator_name, c.sex, c.residence,
        c.value_lower_ci, c.value_upper_ci, c.ci_width, c.prev AS previous_year_value,
        c.absolute_change, c.percentage_change, c.trend_direction,
        c.is_significant_change, c.is_missing_value, c.has_data_quality_issue,
-       c.data_quality_score
+       c.data_quality_score, c.pct
 FROM changed c
 LEFT JOIN people p USING (sex, residence, wealth_quintile)
 LEFT JOIN times t ON t.year = c.year"""
@@ -258,11 +304,11 @@ JOIN people USING (demographic_key)"""
 CTES["subgroups"] = f"""
 SELECT indicator_category, sex_label, residence_label, wealth_quintile_label,
        {avg_of("indicator_value", 2)} AS avg_indicator_value,
-       {half_up(micros("min(indicator_value)"), str(MICRO), 2)} AS min_indicator_value,
-       {half_up(micros("max(indicator_value)"), str(MICRO), 2)} AS max_indicator_value,
-       {half_up(micros("max(indicator_value) - min(indicator_value)"), str(MICRO), 2)}
+       {half_up(units("min(indicator_value)"), f"{UNIT}::HUGEINT", 2)} AS min_indicator_value,
+       {half_up(units("max(indicator_value)"), f"{UNIT}::HUGEINT", 2)} AS max_indicator_value,
+       {half_up(units("max(indicator_value) - min(indicator_value)"), f"{UNIT}::HUGEINT", 2)}
            AS value_range,
-       {avg_of("percentage_change::DECIMAL(18,6)", 4)} AS avg_percentage_change,
+       {avg_pct(4)} AS avg_percentage_change,
        count(*) AS measurement_count, max(year) AS most_recent_year,
        bool_or(is_low_wealth) AS includes_low_wealth, bool_or(is_rural) AS includes_rural
 FROM star WHERE is_recent_5y GROUP BY ALL"""
@@ -296,7 +342,7 @@ DECIMALS = (
 
 def all_of(table: str, *decimals: str, rename: str = "") -> str:
     """SELECT * with the named decimals as DOUBLE."""
-    casts = ", ".join(f"{d}::DOUBLE AS {d}" for d in decimals)
+    casts = ", ".join(f"{double(d)} AS {d}" for d in decimals)
     return f"SELECT * REPLACE ({casts}) FROM {table}"
 
 
@@ -305,14 +351,14 @@ CLASSIFIED = all_of(
     "classified", "indicator_value", "value_lower_ci", "value_upper_ci", "ci_width"
 )
 FACT = all_of(
-    "facts", "indicator_value", "value_lower_ci", "value_upper_ci", "ci_width",
+    "(SELECT * EXCLUDE (pct) FROM facts)", "indicator_value", "value_lower_ci", "value_upper_ci", "ci_width",
     "previous_year_value", "absolute_change",
 )
 YOY = """
 SELECT indicator_id, indicator_name, indicator_category, severity_level, year,
        prev_year AS previous_year, (year - prev_year)::INTEGER AS years_gap, sex,
-       residence, wealth_quintile, indicator_value::DOUBLE AS current_value,
-       prev::DOUBLE AS previous_year_value, absolute_change::DOUBLE AS absolute_change,
+       residence, wealth_quintile, indicator_value::VARCHAR::DOUBLE AS current_value,
+       prev::VARCHAR::DOUBLE AS previous_year_value, absolute_change::VARCHAR::DOUBLE AS absolute_change,
        percentage_change, trend_direction, is_significant_change, data_quality_score
 FROM changed"""
 
@@ -402,9 +448,9 @@ SELECTS: dict[str, str] = {
     "ingest_metrics": """SELECT count(*) AS rows_read, count(*) AS rows_loaded,
         14::INTEGER AS columns_loaded FROM raw""",
     "typed_seed": """SELECT src_key, if(period = 'n/a', NULL, period) AS "YEAR (DISPLAY)",
-        TRY_CAST(value_numeric AS DECIMAL(18,6))::DOUBLE AS "Numeric",
-        TRY_CAST(value AS DECIMAL(18,6))::DOUBLE AS "Low",
-        TRY_CAST(split_part(value_ci, ' ', 1) AS DECIMAL(18,6))::DOUBLE AS "High"
+        TRY_CAST(value_numeric AS DECIMAL(32,12))::VARCHAR::DOUBLE AS "Numeric",
+        TRY_CAST(value AS DECIMAL(32,12))::VARCHAR::DOUBLE AS "Low",
+        TRY_CAST(split_part(value_ci, ' ', 1) AS DECIMAL(32,12))::VARCHAR::DOUBLE AS "High"
         FROM raw""",
     # row expressions
     "drop_tag_rows": """SELECT src_key, indicator_code FROM raw
@@ -416,17 +462,15 @@ SELECTS: dict[str, str] = {
     "default_dims": f"""SELECT src_key, {SEX} AS sex, {RESIDENCE} AS residence,
         {WEALTH} AS wealth_quintile FROM raw""",
     "parse_period": f"SELECT src_key, {YEAR} AS year FROM raw",
-    "parse_value": f"SELECT src_key, ({VALUE})::DOUBLE AS value FROM raw",
-    "parse_ci": f"""SELECT src_key, ({bound(1)})::DOUBLE AS value_lower_ci,
-        ({bound(2)})::DOUBLE AS value_upper_ci FROM raw""",
+    "parse_value": f"SELECT src_key, ({VALUE})::VARCHAR::DOUBLE AS value FROM raw",
+    "parse_ci": f"""SELECT src_key, ({bound(1)})::VARCHAR::DOUBLE AS value_lower_ci,
+        ({bound(2)})::VARCHAR::DOUBLE AS value_upper_ci FROM raw""",
     "quality_flags": f"""SELECT src_key, {MISSING} AS is_missing_value,
         {ISSUE} AS has_data_quality_issue FROM raw""",
-    "quarantine": f"""SELECT src_key, value_numeric, value FROM raw
-        WHERE indicator_code <> '#indicator+code' AND (
-          (regexp_full_match(trim(value_numeric), '[0-9.]+')
-           AND TRY_CAST(trim(value_numeric) AS DECIMAL(18,6)) IS NULL)
-          OR (regexp_full_match(trim(value), '[0-9.]+')
-              AND TRY_CAST(trim(value) AS DECIMAL(18,6)) IS NULL))""",
+    "quarantine": f"""SELECT src_key, value_numeric, value, value_ci FROM raw
+        WHERE indicator_code <> '#indicator+code' AND ({broken("value_numeric")}
+          OR {broken("value")} OR (value_ci LIKE '%[%]%'
+          AND ({broken(piece(1))} OR {broken(piece(2))})))""",
     "title_case": f"""SELECT o_orderkey, {title("lower(o_orderpriority)")} AS label
         FROM orders""",
     "scope_filter": f"""SELECT src_key, indicator FROM raw WHERE {scope("indicator")}""",
@@ -434,7 +478,7 @@ SELECTS: dict[str, str] = {
         AS indicator_category FROM raw""",
     "classify_severity": f"""SELECT src_key, {severity("indicator")}
         AS severity_level FROM raw""",
-    "ci_width": "SELECT indicator_id, ci_width::DOUBLE AS ci_width FROM classified",
+    "ci_width": "SELECT indicator_id, ci_width::VARCHAR::DOUBLE AS ci_width FROM classified",
     "quality_score": "SELECT indicator_id, data_quality_score FROM classified",
     # models
     "stg_observations": STG,
@@ -445,9 +489,9 @@ SELECTS: dict[str, str] = {
     "dim_demographics": "SELECT * FROM people",
     "fact_observations": FACT,
     "fact_yoy_join": """SELECT c.indicator_id, c.year, c.sex, c.residence,
-        c.wealth_quintile, c.indicator_value::DOUBLE AS indicator_value,
-        y.prev::DOUBLE AS previous_year_value,
-        y.absolute_change::DOUBLE AS absolute_change, y.percentage_change,
+        c.wealth_quintile, c.indicator_value::VARCHAR::DOUBLE AS indicator_value,
+        y.prev::VARCHAR::DOUBLE AS previous_year_value,
+        y.absolute_change::VARCHAR::DOUBLE AS absolute_change, y.percentage_change,
         y.trend_direction, y.is_significant_change
         FROM classified c LEFT JOIN changed y
         USING (indicator_id, year, sex, residence, wealth_quintile)
@@ -457,7 +501,7 @@ SELECTS: dict[str, str] = {
     "distinct_triples": "SELECT DISTINCT sex, residence, wealth_quintile FROM staged",
     "star_join": """SELECT fact_key, year, decade_label, time_category, sex_label,
         residence_label, wealth_quintile_label, indicator_category,
-        indicator_value::DOUBLE AS indicator_value FROM star""",
+        indicator_value::VARCHAR::DOUBLE AS indicator_value FROM star""",
     "subgroup_aggregates": "SELECT * FROM subgroups",
     "equity_gap": all_of("gaps", "urban_value", "rural_value", "urban_rural_gap"),
     "disparity_band": f"""SELECT indicator_category, year, sex_label,
@@ -491,12 +535,12 @@ SELECTS: dict[str, str] = {
     ),
     "check_suite": suite(),
     # dashboard
-    "bi_stunting_trend": f"""SELECT year, indicator_value::DOUBLE AS stunting_percentage,
-        value_lower_ci::DOUBLE AS lower_bound, value_upper_ci::DOUBLE AS upper_bound
+    "bi_stunting_trend": f"""SELECT year, indicator_value::VARCHAR::DOUBLE AS stunting_percentage,
+        value_lower_ci::VARCHAR::DOUBLE AS lower_bound, value_upper_ci::VARCHAR::DOUBLE AS upper_bound
         FROM star WHERE {TOTAL} AND indicator_category = 'Stunting'
         AND severity_level = 'Overall'""",
     "bi_mortality_by_sex": """SELECT year, sex_label,
-        indicator_value::DOUBLE AS mortality_rate FROM star
+        indicator_value::VARCHAR::DOUBLE AS mortality_rate FROM star
         WHERE is_total_wealth AND is_total_residence
         AND indicator_category = 'Mortality'""",
     "bi_category_trend": f"""SELECT year, indicator_category, {MEAN} AS avg_value
@@ -513,7 +557,7 @@ SELECTS: dict[str, str] = {
     "bi_sex_gap": f"""SELECT indicator_category, sex_label, {MEAN} AS avg_value
         FROM star WHERE is_recent_5y AND is_total_wealth AND is_total_residence
         AND sex_label IN ('Female', 'Male') GROUP BY ALL""",
-    "bi_stunting_kpi": f"""SELECT indicator_value::DOUBLE AS current_stunting_rate,
+    "bi_stunting_kpi": f"""SELECT indicator_value::VARCHAR::DOUBLE AS current_stunting_rate,
         percentage_change AS yoy_change, trend_direction, year AS measurement_year
         FROM star WHERE {TOTAL} AND indicator_category = 'Stunting'
         AND severity_level = 'Overall' ORDER BY year DESC, fact_key LIMIT 1""",
@@ -521,8 +565,8 @@ SELECTS: dict[str, str] = {
         count(*) AS data_points, min(year) AS from_year, max(year) AS to_year
         FROM star WHERE {TOTAL} AND is_recent_5y AND indicator_category = 'Mortality'""",
     "bi_largest_gap": """SELECT indicator_category,
-        urban_rural_gap::DOUBLE AS gap_percentage, urban_value::DOUBLE AS urban_value,
-        rural_value::DOUBLE AS rural_value, disparity_level
+        urban_rural_gap::VARCHAR::DOUBLE AS gap_percentage, urban_value::VARCHAR::DOUBLE AS urban_value,
+        rural_value::VARCHAR::DOUBLE AS rural_value, disparity_level
         FROM kpi WHERE sex_label = 'Both Sexes' AND urban_rural_gap IS NOT NULL
         ORDER BY abs(urban_rural_gap) DESC, indicator_category, residence_label,
         wealth_quintile_label LIMIT 1""",
@@ -530,7 +574,7 @@ SELECTS: dict[str, str] = {
         count(*) FILTER (trend_direction = 'Decreasing') AS improving_indicators,
         count(*) FILTER (trend_direction = 'Increasing') AS worsening_indicators,
         count(*) FILTER (trend_direction = 'Stable') AS stable_indicators,
-        {avg_of("percentage_change::DECIMAL(18,6)", 2)} AS avg_change_pct
+        {avg_pct(2)} AS avg_change_pct
         FROM facts JOIN people USING (demographic_key)
         WHERE {TOTAL} AND percentage_change IS NOT NULL GROUP BY ALL""",
     "bi_quality_summary": f"""SELECT indicator_category, count(*) AS total_records,
@@ -539,27 +583,27 @@ SELECTS: dict[str, str] = {
         count(*) FILTER (is_significant_change) AS significant_changes
         FROM facts GROUP BY ALL""",
     "bi_yoy_detail": """SELECT year, indicator_category, residence_label,
-        indicator_value::DOUBLE AS current_value,
-        previous_year_value::DOUBLE AS previous_year_value,
-        absolute_change::DOUBLE AS absolute_change, percentage_change,
+        indicator_value::VARCHAR::DOUBLE AS current_value,
+        previous_year_value::VARCHAR::DOUBLE AS previous_year_value,
+        absolute_change::VARCHAR::DOUBLE AS absolute_change, percentage_change,
         is_significant_change FROM star WHERE percentage_change IS NOT NULL
         AND is_total_wealth AND sex_label = 'Both Sexes'
         AND residence_label IN ('Urban', 'Rural')""",
     "bi_top_improvements": """SELECT indicator_name, year, residence_label,
-        indicator_value::DOUBLE AS indicator_value, percentage_change,
-        absolute_change::DOUBLE AS absolute_change FROM star
+        indicator_value::VARCHAR::DOUBLE AS indicator_value, percentage_change,
+        absolute_change::VARCHAR::DOUBLE AS absolute_change FROM star
         WHERE is_recent_5y AND sex_label = 'Both Sexes' AND percentage_change < 0
         ORDER BY percentage_change, fact_key LIMIT 5""",
     "bi_severe": """SELECT year, indicator_name,
-        indicator_value::DOUBLE AS severe_percentage, residence_label FROM star
+        indicator_value::VARCHAR::DOUBLE AS severe_percentage, residence_label FROM star
         WHERE severity_level = 'Severe' AND is_total_wealth
         AND sex_label = 'Both Sexes'""",
     "bi_indicator_pivot": """SELECT year, demographic_key,
-        max(indicator_value) FILTER (indicator_category = 'Stunting')::DOUBLE AS stunting,
-        max(indicator_value) FILTER (indicator_category = 'Wasting')::DOUBLE AS wasting,
+        max(indicator_value) FILTER (indicator_category = 'Stunting')::VARCHAR::DOUBLE AS stunting,
+        max(indicator_value) FILTER (indicator_category = 'Wasting')::VARCHAR::DOUBLE AS wasting,
         max(indicator_value) FILTER (indicator_category = 'Underweight')::DOUBLE
             AS underweight,
-        max(indicator_value) FILTER (indicator_category = 'Anaemia')::DOUBLE AS anaemia
+        max(indicator_value) FILTER (indicator_category = 'Anaemia')::VARCHAR::DOUBLE AS anaemia
         FROM star WHERE severity_level = 'Overall' GROUP BY year, demographic_key
         HAVING stunting IS NOT NULL AND wasting IS NOT NULL""",
     "bi_coverage": f"""SELECT year,

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark import schemas
 from tidemark.functions import parse, rules, text
 from tidemark.operators import quality
 from tidemark.plans import dashboard, dimensions, job, kpi, staging, yoy
@@ -62,7 +63,7 @@ def present(df: DataFrame) -> DataFrame:
     def shown(f: T.StructField):
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.DecimalType):
-            c = (F.round(c, 4) if f.dataType.scale > 6 else c).cast("double")
+            c = (F.round(c, 4) if f.dataType.scale > 12 else c).cast("double")
         return c.alias(f.name)
 
     hidden = ("updated_at", "ingestion_timestamp")
@@ -152,7 +153,7 @@ def sink_roundtrip(s: Session) -> DataFrame:
     """Full replace: the second load leaves only its own rows."""
     path = s.workspace.path("sink")
     staged = s.tables["stg_observations"]
-    write_table(staged.withColumn("value", F.lit(None).cast("decimal(18,6)")), path)
+    write_table(staged.withColumn("value", F.lit(None).cast(schemas.VALUE)), path)
     return write_table(staged, path)
 
 
@@ -336,7 +337,7 @@ SESSION_QUERIES: dict[str, Callable[[Session], DataFrame]] = {
     ),
     "surrogate_key": surrogate_key,
     "quarantine": lambda s: staging.malformed_numbers(s.raw).select(
-        "src_key", "value_numeric", "value"
+        "src_key", "value_numeric", "value", "value_ci"
     ),
     "scope_filter": lambda s: s.raw.filter(rules.in_scope(F.col("indicator"))).select(
         "src_key", "indicator"
