@@ -38,7 +38,7 @@ def test_run_publishes(spark, tmp_path):
     path, out = write(tmp_path / "in.csv", ROWS), str(tmp_path / "out")
     before = os.listdir(shared_root(spark))
     run = job.run_job(spark, path, out, FILE_PARAMS)
-    assert tuple(run.metrics.head()) == (6, 6, 15)
+    assert tuple(run.metrics.head()) == (6, 6, 0, 13)
     assert run.checks.count() == 16
     assert run.preview.count() == 3
     # ties of (indicator, location, period) are numbered in file order
@@ -68,6 +68,8 @@ def test_last_run_wins_and_failed_runs_stay_hidden(spark, tmp_path, monkeypatch)
     with pytest.raises(job.ChecksFailed, match="accepted_values") as failure:
         job.run_job(spark, first, out, latest)
     assert failure.value.report.filter("status = 'fail'").count() == 1
+    (failed,) = failure.value.failures.values()
+    assert {r.indicator_category for r in failed.collect()} == {"Stunting"}
     assert job.open_latest(spark, out)["fact_observations"].count() == 1
 
 
@@ -93,9 +95,32 @@ def test_lenient_run_keeps_rejected_lines(spark, tmp_path):
     path = write(tmp_path / "in.csv", ROWS)
     with open(path, "a") as f:
         f.write(",".join(["x"] * (len(HEADER) + 1)) + "\n")
-    run = job.run_job(spark, path, str(tmp_path / "out"), FILE_PARAMS, strict=False)
+    out = str(tmp_path / "out")
+    run = job.run_job(spark, path, out, FILE_PARAMS, strict=False)
     assert run.tables["rejected"].count() == 1
-    assert run.metrics.head().rows_loaded == 6
+    assert tuple(run.metrics.head()) == (7, 6, 1, 13)
+    latest = job.open_latest(spark, out)
+    assert latest["rejected"].count() == 1
+    assert latest["checks"].count() == 16
+
+
+def test_typed_seed_enters_the_warehouse(spark, tmp_path):
+    path = tmp_path / "seed.csv"
+    path.write_text(
+        "Indicator,Indicator Code,Location,Location Code,Sex,Residence,Wealth Quintile,"
+        "YEAR (DISPLAY),Numeric,Low,High\n"
+        "Wasting,C1,Kenya,KEN,,urban,,2018,4.25,3,5\n"
+        "Wasting,C1,Kenya,KEN,,rural,,2019,x,3,\n"
+        "Wasting,C1,Kenya,KEN,,rural,,2019,6,1,9,SURPLUS\n"
+    )
+    run = job.run_job(
+        spark, str(path), str(tmp_path / "out"), FILE_PARAMS, strict=False, seed=True
+    )
+    assert tuple(run.metrics.head()) == (3, 2, 1, 13)
+    fact = run.tables["fact_observations"].collect()
+    assert [(float(r.indicator_value), float(r.ci_width), r.time_key) for r in fact] == [
+        (4.25, 2.0, 2018)
+    ]
 
 
 def test_views(spark, tmp_path):

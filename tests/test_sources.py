@@ -126,12 +126,62 @@ def test_byte_order_mark(spark, tmp_path):
 def test_typed_columns(spark, tmp_path):
     path = tmp_path / "seed.csv"
     path.write_text("YEAR (DISPLAY),Numeric,Low,High,Note\n2014,1.5,x,,NA\n")
-    df = extract.read_typed(spark, str(path))
+    df = extract.read_typed(spark, str(path)).rows.drop(*extract.ORDER)
     assert dict(df.dtypes)["Low"] == "decimal(32,12)"
     assert df.columns == ["YEAR (DISPLAY)", "Numeric", "Low", "High", "Note"]
     assert tuple(df.head()) == ("2014", Decimal("1.500000000000"), None, None, None)
 
 
+def test_typed_rows_share_header_names_and_surplus_detection(spark, tmp_path):
+    path = tmp_path / "seed.csv"
+    path.write_text("Value,Numeric,Value\nx,1.5,y\nx,2,y,SURPLUS\n")
+    with pytest.raises(PySparkException, match="more fields"):
+        extract.read_typed(spark, str(path)).rows.collect()
+    lenient = extract.read_typed(spark, str(path), strict=False)
+    rows = lenient.rows.drop(*extract.ORDER)
+    assert rows.columns == ["Value", "Numeric", "Value.1"]
+    assert [tuple(r) for r in rows.collect()] == [("x", Decimal("1.5"), "y")]
+    assert [r.line for r in lenient.rejected.collect()] == ["x,2,y,SURPLUS"]
+
+
+def test_seed_rows_under_the_raw_contract(spark, tmp_path):
+    path = tmp_path / "seed.csv"
+    path.write_text(
+        "Indicator Code,YEAR (DISPLAY),Numeric,Low,High\nC1,2014,1.5,1,2\nC2,2015,x,,2\n"
+    )
+    rows = extract.raw_from_seed(extract.read_typed(spark, str(path)).rows, RUN_TS)
+    found = [
+        (r.indicator_code, r.period, r.value_numeric, r.value, r.value_ci)
+        for r in in_file_order(rows)
+    ]
+    one, two = "1.000000000000", "2.000000000000"
+    assert found == [
+        ("C1", "2014", "1.500000000000", "1.500000000000", f"[{one}-{two}]"),
+        ("C2", "2015", None, None, None),
+    ]
+
+
+@pytest.mark.parametrize("second", ["value,name", "name", "name,value,more", "name,other"])
+@pytest.mark.parametrize("header", ["name,value", "name,name", "name,"])
+def test_files_with_another_header_fail(spark, tmp_path, header, second):
+    folder = tmp_path / "extract"
+    folder.mkdir()
+    (folder / "a.csv").write_text(f"{header}\na,1\nb,2\n")
+    (folder / "b.csv").write_text(f"{second}\n3,c\n")
+    with pytest.raises(Exception, match="header|FAILED_READ_FILE"):
+        extract.read_extract(spark, str(folder), RUN_TS, strict=False).rows.collect()
+    (folder / "b.csv").write_text(f"{header}\nc,3\n")
+    rows = extract.read_extract(spark, str(folder), RUN_TS).rows
+    assert sorted(r[0] for r in rows.collect()) == ["a", "b", "c"]
+
+
+def test_line_break_in_a_quoted_header(spark, tmp_path):
+    text = 'name,"Value\n(shown)"\nx,1\n'
+    rows = read(spark, tmp_path, text, multi_line=True).rows
+    assert rows.columns[:2] == ["name", "valueshown"]
+    assert [tuple(r)[:2] for r in rows.collect()] == [("x", "1")]
+
+
 def test_audit_columns_hold_one_batch_time(spark):
     df = extract.audit_columns(spark.range(3), RUN_TS, "a.csv")
     row = df.agg(

@@ -13,14 +13,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.rules import CATEGORIES
+from tidemark.workspace import Workspace
 
 
 def _report(
-    df: DataFrame, check: str, table: str, column, failing: Column, total: Column
+    df: DataFrame, check, table: str, column, failing: Column, total: Column
 ) -> DataFrame:
     column = F.lit(column) if isinstance(column, str) else column
+    check = F.lit(check) if isinstance(check, str) else check
     return df.select(
-        F.lit(check).alias("check"),
+        check.alias("check"),
         F.lit(table).alias("table"),
         column.alias("column"),
         F.when(failing == 0, "pass").otherwise("fail").alias("status"),
@@ -143,34 +145,113 @@ FOREIGN_KEYS = (
 )
 
 
-def run_suite(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """All sixteen checks, one row each."""
-    reports = [check_not_null(tables[t], t, cols) for t, cols in NOT_NULL.items()]
+def _column_checks(tables: Mapping[str, DataFrame], table: str) -> DataFrame:
+    """The not-null and accepted-values checks of a table, counted in one pass."""
+    rules = [("not_null", c, F.col(c).isNull()) for c in NOT_NULL.get(table, ())]
+    if table in ACCEPTED:
+        column, values = ACCEPTED[table]
+        rules.append(("accepted_values", column, ~F.col(column).isin(*values)))
+    counted = tables[table].agg(
+        F.count(F.lit(1)).alias("n"),
+        F.array(
+            *[
+                F.struct(
+                    F.lit(check).alias("check"),
+                    F.lit(column).alias("name"),
+                    F.count_if(failing).alias("bad"),
+                )
+                for check, column, failing in rules
+            ]
+        ).alias("found"),
+    ).select("n", F.inline("found"))
+    return _report(counted, F.col("check"), table, F.col("name"), F.col("bad"), F.col("n"))
+
+
+def _key_counts(
+    tables: Mapping[str, DataFrame], table: str, workspace: Workspace
+) -> DataFrame:
+    """Rows per combination of a table's foreign keys, with the NULLs of its
+    other checked columns: small, stored, and all that those checks need."""
+    keys = [column for t, column, _, _ in FOREIGN_KEYS if t == table]
+    others = [c for c in NOT_NULL.get(table, ()) if c not in keys]
+    counted = tables[table].groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count_if(F.col(c).isNull()).alias(c) for c in others],
+    )
+    return workspace.store(counted, f"{table}-keys")
+
+
+def _checks_by_key(
+    tables: Mapping[str, DataFrame], table: str, workspace: Workspace
+) -> list[DataFrame]:
+    counts = _key_counts(tables, table, workspace)
+    total = F.coalesce(F.sum("rows"), F.lit(0))
+    reports = []
+    for column in NOT_NULL.get(table, ()):
+        foreign = any((table, column) == key[:2] for key in FOREIGN_KEYS)
+        nulls = F.when(F.col(column).isNull(), F.col("rows")) if foreign else F.col(column)
+        found = counts.agg(F.coalesce(F.sum(nulls), F.lit(0)).alias("bad"), total.alias("n"))
+        reports.append(_report(found, "not_null", table, column, F.col("bad"), F.col("n")))
+    for child, column, parent, parent_column in FOREIGN_KEYS:
+        if child == table:
+            known = tables[parent].select(F.col(parent_column).alias("known")).distinct()
+            joined = counts.join(known, counts[column] == known["known"], "left")
+            orphan = F.col(column).isNotNull() & F.col("known").isNull()
+            found = joined.agg(
+                F.coalesce(F.sum(F.when(orphan, F.col("rows"))), F.lit(0)).alias("bad"),
+                total.alias("n"),
+            )
+            reports.append(_report(found, "relationships", table, column, F.col("bad"), F.col("n")))
+    return reports
+
+
+def run_suite(tables: Mapping[str, DataFrame], workspace: Workspace) -> DataFrame:
+    """All sixteen checks, one row each; no table is read more than twice.
+
+    Uniqueness takes a pass of its own. A table with foreign keys is counted by
+    them once, and the other checks work on those counts.
+    """
+    children = {table for table, *_ in FOREIGN_KEYS}
+    reports = [_column_checks(tables, t) for t in NOT_NULL if t not in children]
+    for table in sorted(children):
+        reports += _checks_by_key(tables, table, workspace)
     reports += [check_unique(tables[t], t, col) for t, col in UNIQUE.items()]
-    reports += [
-        check_accepted_values(tables[t], t, col, values)
-        for t, (col, values) in ACCEPTED.items()
-    ]
-    reports += [
-        check_relationships(tables[t], t, col, tables[parent], parent_col)
-        for t, col, parent, parent_col in FOREIGN_KEYS
-    ]
     return reduce(DataFrame.unionByName, reports)
 
 
+def failing_rows(
+    tables: Mapping[str, DataFrame], check: str, table: str, column: str
+) -> DataFrame:
+    """What a check of the suite found: rows, or repeated values with their count."""
+    df = tables[table]
+    if check == "not_null":
+        return not_null_failures(df, column)
+    if check == "unique":
+        return unique_failures(df, column)
+    if check == "accepted_values":
+        return accepted_values_failures(df, column, ACCEPTED[table][1])
+    parent, key = next(k[2:] for k in FOREIGN_KEYS if k[:2] == (table, column))
+    return relationships_failures(df, column, tables[parent], key)
+
+
 class EmptyExtract(ValueError):
     """The raw table holds no rows."""
 
 
 def completeness(raw: DataFrame) -> DataFrame:
-    """Rows, and rows with an indicator and with a value."""
-    missing = {"indicator", "value"} - set(raw.columns)
-    if missing:
-        raise ValueError(f"raw table lacks columns: {', '.join(sorted(missing))}")
+    """Rows, and rows with an indicator and with a value.
+
+    Without both columns only rows are counted; the other counts are NULL.
+    """
+    skip = not {"indicator", "value"} <= set(raw.columns)
+
+    def filled(column: str) -> Column:
+        return F.lit(None).cast("long") if skip else F.count(column)
+
     return raw.agg(
         F.count(F.lit(1)).alias("total_rows"),
-        F.count("indicator").alias("non_null_indicators"),
-        F.count("value").alias("non_null_values"),
+        filled("indicator").alias("non_null_indicators"),
+        filled("value").alias("non_null_values"),
     )
 
 

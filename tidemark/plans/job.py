@@ -8,14 +8,15 @@ previous run until then, and a failed run publishes nothing.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.quality import run_suite, validate_raw
+from tidemark.operators.quality import failing_rows, run_suite, validate_raw
 from tidemark.params import Params
 from tidemark.plans.classified import classify
 from tidemark.plans.dashboard import Warehouse
@@ -25,7 +26,7 @@ from tidemark.plans.kpi import kpi_summary, recent_cells
 from tidemark.plans.staging import malformed_numbers, stage
 from tidemark.plans.yoy import yoy_changes
 from tidemark.schemas import conform_raw
-from tidemark.sources.extract import read_extract
+from tidemark.sources.extract import LONG, Extract, raw_from_seed, read_extract, read_typed
 from tidemark.workspace import Workspace, write_table
 
 PUBLISHED = T.StructType(
@@ -34,6 +35,7 @@ PUBLISHED = T.StructType(
         T.StructField("published_at", T.TimestampType()),
         T.StructField("rows_read", T.LongType()),
         T.StructField("rows_loaded", T.LongType()),
+        T.StructField("rows_rejected", T.LongType()),
         T.StructField("columns_loaded", T.IntegerType()),
     ]
 )
@@ -46,6 +48,8 @@ STORED = (
     "fact_observations",
     "mart_kpi_summary",
 )
+# Further tables of a run: its checks, and the lines a lenient read set aside.
+REPORTS = ("checks", "rejected")
 
 # Relation names dashboards use -> our tables.
 VIEWS = {
@@ -59,11 +63,13 @@ VIEWS = {
 
 
 class ChecksFailed(RuntimeError):
-    """At least one data check failed; ``report`` holds all of them."""
+    """At least one data check failed; ``report`` holds all of them, ``failures``
+    the offending rows (or repeated values) of each that failed, as stored."""
 
-    def __init__(self, report: DataFrame, failed: list[str]):
-        super().__init__(f"failed checks: {', '.join(failed)}")
+    def __init__(self, report: DataFrame, failures: Mapping[str, DataFrame]):
+        super().__init__(f"failed checks: {', '.join(failures)}")
         self.report = report
+        self.failures = failures
 
 
 @dataclass(frozen=True)
@@ -75,18 +81,27 @@ class Run:
     preview: DataFrame
 
 
-def load_raw(extract: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
+def load_raw(
+    extract: Extract,
+    path: str,
+    shape: Callable[[DataFrame], DataFrame] = conform_raw,
+) -> tuple[DataFrame, DataFrame]:
     """Write the raw table; return it and its one-row metrics.
 
-    Rows read are observed while the table is written, rows loaded are counted
-    in what was written.
+    Lines read and rejected are observed while the table is written, rows
+    loaded are counted in what was written. Columns are the source's and the
+    two of the audit.
     """
     seen = Observation()
-    raw = write_table(extract.observe(seen, F.count(F.lit(1)).alias("n")), path)
+    lines = extract.lines.observe(
+        seen, F.count(F.lit(1)).alias("read"), F.count_if(F.col(LONG)).alias("rejected")
+    )
+    raw = write_table(shape(replace(extract, lines=lines).rows), path)
     metrics = raw.agg(
-        F.lit(seen.get["n"]).cast("long").alias("rows_read"),
+        F.lit(seen.get["read"]).cast("long").alias("rows_read"),
         F.count(F.lit(1)).alias("rows_loaded"),
-        F.lit(len(raw.columns)).alias("columns_loaded"),
+        F.lit(seen.get["rejected"]).cast("long").alias("rows_rejected"),
+        F.lit(len(extract.names) + 2).alias("columns_loaded"),
     )
     return raw, metrics
 
@@ -173,27 +188,46 @@ def run_job(
     rename: Mapping[str, str] | None = None,
     strict: bool = True,
     multi_line: bool = False,
+    seed: bool = False,
 ) -> Run:
-    """Ingest, validate, build, check and publish one extract."""
+    """Ingest, validate, build, check and publish one extract.
+
+    ``seed`` reads a typed seed instead (year, number and bounds in columns of
+    their own). Tables that fail a check stay in the run's folder, with the
+    rows that failed, but are not published.
+    """
     params = params or Params()
     run_id = f"{params.run_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     folder = f"{out.rstrip('/')}/runs/{run_id}"
-    extract = read_extract(
-        spark, csv_path, params.run_ts, strict=strict, multi_line=multi_line
-    )
+    options = {"strict": strict, "multi_line": multi_line}
+
+    def shape(rows: DataFrame) -> DataFrame:
+        return conform_raw(raw_from_seed(rows, params.run_ts) if seed else rows, rename)
+
+    if seed:
+        extract = read_typed(spark, csv_path, **options)
+    else:
+        extract = read_extract(spark, csv_path, params.run_ts, **options)
     with Workspace(spark) as workspace:
-        raw, metrics = load_raw(
-            conform_raw(extract.rows, rename), f"{folder}/raw_observations"
-        )
+        if not strict:
+            extract = extract.stored(workspace)
+        raw, metrics = load_raw(extract, f"{folder}/raw_observations", shape)
         validate_raw(raw)
         tables = build_tables(raw, params, workspace, folder)
         if not strict:
             tables["rejected"] = write_table(extract.rejected, f"{folder}/rejected")
-        checks = write_table(run_suite(tables), f"{folder}/checks")
-    failed = checks.filter("status = 'fail'")
-    names = [f"{r.check} {r.table}.{r.column}" for r in failed.collect()]
-    if names:
-        raise ChecksFailed(checks, names)
+        checks = write_table(run_suite(tables, workspace), f"{folder}/checks")
+        tables["checks"] = checks
+        failed = checks.filter("status = 'fail'").collect()
+        failures = {
+            f"{r.check} {r.table}.{r.column}": write_table(
+                failing_rows(tables, r.check, r.table, r.column),
+                f"{folder}/failures/{r.check}-{r.table}-{r.column}",
+            )
+            for r in failed  # at most one row per check of the suite
+        }
+    if failures:
+        raise ChecksFailed(checks, failures)
     line = metrics.select(
         F.lit(run_id).alias("run_id"),
         F.current_timestamp().alias("published_at"),
@@ -222,4 +256,10 @@ def open_latest(spark: SparkSession, out: str) -> dict[str, DataFrame]:
         raise ValueError(f"nothing published in {out}")
     folder = f"{out}/runs/{last['run_id']}"
     tables = {n: spark.read.parquet(f"{folder}/{n}") for n in STORED}
+    for name in REPORTS:
+        try:
+            tables[name] = spark.read.parquet(f"{folder}/{name}")
+        except AnalysisException as e:  # a strict run rejects nothing
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
     return with_derived(tables)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import csv
 import re
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def normalize_header(name: str) -> str:
@@ -42,16 +43,50 @@ def normalize_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*normalized_names(df.columns))
 
 
-def read_header(spark: SparkSession, path: str) -> list[str]:
-    """The first non-blank line of the extract, split as CSV.
+def read_header(spark: SparkSession, path: str, multi_line: bool = False) -> list[str]:
+    """The fields of the extract's first line that isn't blank.
 
-    Spark renames repeated headers its own way, hence the look at the text.
+    Spark renames repeated headers its own way, hence the look at the line.
     """
-    line = (
-        spark.read.text(path)
-        .filter("_metadata.file_block_start = 0 AND trim(value) <> ''")
-        .head()
-    )
-    if line is None:
+    first = _fields(spark, path, multi_line).head()
+    if first is None:
         raise ValueError(f"no header line in {path}")
-    return next(csv.reader([line["value"].removeprefix("﻿")]))
+    names = [name or "" for name in first]
+    return [names[0].removeprefix("\ufeff"), *names[1:]]
+
+
+def _fields(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    reader = spark.read.option("header", False).option("escape", '"')
+    try:
+        return reader.option("multiLine", multi_line).csv(path)
+    except AnalysisException as e:
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            raise ValueError(f"no header line in {path}") from e
+        raise
+
+
+def check_headers(spark: SparkSession, path: str, multi_line: bool = False) -> None:
+    """Raise if two files of the extract begin with different lines.
+
+    Reads the extract once; lines are numbered in file order, so the first one
+    of each file is that with the least number of its first block.
+    """
+    if multi_line:
+        fields = _fields(spark, path, multi_line)
+        line = F.to_json(F.array(*[F.col(f"`{c}`") for c in fields.columns]))
+    else:
+        fields = spark.read.text(path).filter("trim(value) <> ''")
+        line = F.col("value")
+    first = (
+        fields.select(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("row"),
+            line.alias("header"),
+        )
+        .filter("block = 0")
+        .groupBy("file")
+        .agg(F.min_by("header", "row").alias("header"))
+    )
+    if len(first.select("header").distinct().limit(2).collect()) > 1:
+        raise ValueError(f"files in {path} have different headers")

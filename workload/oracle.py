@@ -445,8 +445,19 @@ SELECTS: dict[str, str] = {
         value_numeric AS valuenumeric, value, location AS value1 FROM raw""",
     "audit_columns": "SELECT src_key, 'derived.csv' AS source_file FROM raw",
     "sink_roundtrip": STG,
-    "ingest_metrics": """SELECT count(*) AS rows_read, count(*) AS rows_loaded,
-        14::INTEGER AS columns_loaded FROM raw""",
+    "ingest_metrics": """SELECT count(*) AS rows_read,
+        count(*) FILTER (src_key % 101 <> 0 AND src_key % 107 <> 0) AS rows_loaded,
+        count(*) FILTER (src_key % 101 = 0 OR src_key % 107 = 0) AS rows_rejected,
+        5::INTEGER AS columns_loaded FROM raw""",
+    "typed_seed_long": """SELECT src_key,
+        if(period = 'n/a' AND fate = 'kept', NULL, period) AS period,
+        CASE WHEN fate = 'kept'
+             THEN TRY_CAST(value_numeric AS DECIMAL(32,12))::VARCHAR::DOUBLE END AS number,
+        CASE WHEN fate = 'kept' THEN printf('[%d.000000000000-%d.000000000000]',
+             src_key % 7, src_key % 9) END AS value_ci, fate
+        FROM (SELECT *, if(src_key % 101 = 0, 'rejected', 'kept') AS fate FROM raw)""",
+    "header_order": """SELECT 'same' AS folder, count(*) AS rows_read FROM raw
+        UNION ALL SELECT 'other', NULL""",
     "typed_seed": """SELECT src_key, if(period = 'n/a', NULL, period) AS "YEAR (DISPLAY)",
         TRY_CAST(value_numeric AS DECIMAL(32,12))::VARCHAR::DOUBLE AS "Numeric",
         TRY_CAST(value AS DECIMAL(32,12))::VARCHAR::DOUBLE AS "Low",

@@ -114,7 +114,7 @@ def null_tokens(s: Session) -> DataFrame:
     return extract.null_tokens(rows, ["period", "token"])
 
 
-def bad_rows(s: Session) -> DataFrame:
+def some_bad_lines(s: Session) -> extract.Extract:
     key = F.col("src_key")
     line = (
         F.when(key % 101 == 0, F.concat_ws(",", key, "indicator_code", "location", F.lit("x")))
@@ -125,7 +125,11 @@ def bad_rows(s: Session) -> DataFrame:
     path = s.workspace.path("lines")
     lines = s.raw.select(line.alias("src_key,Indicator Code,Location"))
     lines.write.option("header", True).option("sep", "\t").csv(path)
-    read = extract.read_extract(s.workspace.spark, path, PARAMS.run_ts, strict=False)
+    return extract.read_extract(s.workspace.spark, path, PARAMS.run_ts, strict=False)
+
+
+def bad_rows(s: Session) -> DataFrame:
+    read = some_bad_lines(s)
 
     def fate(df: DataFrame, name: str) -> DataFrame:
         return df.select(
@@ -158,8 +162,9 @@ def sink_roundtrip(s: Session) -> DataFrame:
 
 
 def ingest_metrics(s: Session) -> DataFrame:
-    audited = extract.audit_columns(s.raw, PARAMS.run_ts, "derived.csv")
-    return job.load_raw(audited, s.workspace.path("loaded"))[1]
+    """Of a lenient read that rejects lines."""
+    read = some_bad_lines(s).stored(s.workspace)
+    return job.load_raw(read, s.workspace.path("loaded"), lambda rows: rows)[1]
 
 
 def typed_seed(s: Session) -> DataFrame:
@@ -171,10 +176,58 @@ def typed_seed(s: Session) -> DataFrame:
         F.split_part("value_ci", F.lit(" "), F.lit(1)).alias("High"),
     )
     path = write_csv(seed, s, "seed")
-    typed = extract.read_typed(s.workspace.spark, path)
+    typed = extract.read_typed(s.workspace.spark, path).rows.drop(*extract.ORDER)
     return typed.withColumn("src_key", F.col("src_key").cast("long"))
 
 
+def typed_seed_long(s: Session) -> DataFrame:
+    """A seed with over-long lines, under the names of the raw contract."""
+    key = F.col("src_key")
+    line = F.concat_ws(
+        ",", key, "period", F.coalesce("value_numeric", F.lit("NA")), key % 7, key % 9,
+        F.when(key % 101 == 0, F.lit("SURPLUS")),
+    )
+    path = s.workspace.path("long-seed")
+    lines = s.raw.select(line.alias("Src Key,YEAR (DISPLAY),Numeric,Low,High"))
+    lines.write.option("header", True).option("sep", "\t").csv(path)
+    read = extract.read_typed(s.workspace.spark, path, strict=False)
+    kept = extract.raw_from_seed(read.rows, PARAMS.run_ts).select(
+        F.col("src_key").cast("long").alias("src_key"),
+        "period",
+        F.col("value_numeric").try_cast("double").alias("number"),
+        "value_ci",
+        F.lit("kept").alias("fate"),
+    )
+    rejected = read.rejected.select(
+        F.col("Src Key").cast("long").alias("src_key"),
+        F.col("YEAR (DISPLAY)").alias("period"),
+        F.lit(None).cast("double").alias("number"),
+        F.lit(None).cast("string").alias("value_ci"),
+        F.lit("rejected").alias("fate"),
+    )
+    return kept.unionByName(rejected)
+
+
+def header_order(s: Session) -> DataFrame:
+    """Whether a folder is read: two files with one header, or with two orders of it."""
+    spark, raw = s.workspace.spark, s.raw.select("src_key", "location", "period")
+    rows = []
+    for name, columns in (("same", raw.columns), ("other", raw.columns[::-1])):
+        path = s.workspace.path(f"headers-{name}")
+        raw.filter("src_key % 2 = 0").write.option("header", True).csv(path)
+        rest = raw.filter("src_key % 2 = 1").select(*columns)
+        rest.write.mode("append").option("header", True).csv(path)
+        read = extract.read_extract(spark, path, PARAMS.run_ts)
+        try:
+            found = write_table(read.rows, s.workspace.path("read")).count()
+        except Exception as e:
+            if "FAILED_READ_FILE" not in str(e) and "header" not in str(e):
+                raise
+            found = None
+        rows.append((name, found))
+    return spark.createDataFrame(rows, "folder string, rows_read long")
+
+
 # --- row expressions over the raw table
 
 
@@ -332,6 +385,8 @@ SESSION_QUERIES: dict[str, Callable[[Session], DataFrame]] = {
     "sink_roundtrip": sink_roundtrip,
     "ingest_metrics": ingest_metrics,
     "typed_seed": typed_seed,
+    "typed_seed_long": typed_seed_long,
+    "header_order": header_order,
     "drop_tag_rows": lambda s: staging.drop_tag_rows(s.raw).select(
         "src_key", "indicator_code"
     ),
@@ -377,7 +432,7 @@ SESSION_QUERIES: dict[str, Callable[[Session], DataFrame]] = {
     "check_range": lambda s: quality.check_range(
         s.tables["int_classified"], "int_classified", "ci_width", 0, 20
     ),
-    "check_suite": lambda s: quality.run_suite(s.tables),
+    "check_suite": lambda s: quality.run_suite(s.tables, s.workspace),
 }
 
 TABLE_QUERIES: dict[str, Query] = {
