@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.numbering import number_rows
+from tidemark.operators.numbering import number_rows, number_wanted, running_totals
 from tidemark.workspace import Workspace
 
 ORDER = ["a", "b", "k"]
@@ -109,3 +109,29 @@ def test_is_a_permutation(spark, pairs):
         out = numbered(df, w)
     assert sorted(out.values()) == list(range(1, len(rows) + 1))
     assert out == expected(df)
+
+
+def test_running_totals(hot, workspace):
+    groups = hot.groupBy("a", "b").count()
+    out = running_totals(groups, ["a", "b"], {"before": F.col("count")}, workspace)
+    w = Window.orderBy(F.col("a").asc_nulls_last(), F.col("b").asc_nulls_last())
+    exact = F.sum("count").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    exact = groups.withColumn("before", F.coalesce(exact, F.lit(0)))
+    assert sorted(map(repr, out.collect())) == sorted(map(repr, exact.collect()))
+
+
+@pytest.mark.parametrize("wanted", ["b = 'x' AND k % 3 = 0", "a IS NULL", "false", "true", "null"])
+def test_numbers_of_wanted_groups(hot, workspace, wanted):
+    """One hot group, NULL keys, groups with no wanted row, and NULL conditions."""
+    out = number_wanted(hot, ["a", "b"], ["k"], "n", workspace, F.expr(wanted).cast("boolean"))
+    assert out.columns == ["n", *hot.columns]
+    whole, rows = expected(hot), out.collect()
+    assert {r.k for r in rows} == {r.k for r in hot.filter(F.expr(wanted).cast("boolean")).collect()}
+    assert all(whole[r.k] == r.n and r.text == f"payload {r.k}" for r in rows)
+
+
+def test_only_wanted_groups_are_sorted(spark, hot):
+    with Workspace(spark) as w:
+        number_wanted(hot, ["a", "b"], ["k"], "n", w, F.expr("a = 'm' AND b = 'x'"))
+        placed = spark.read.parquet(f"{w.root}/n-*").count()
+    assert placed == hot.filter("a = 'm' AND b = 'x'").count()

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators.previous import chunked_previous, with_previous
+from tidemark.operators.previous import with_previous
 from tidemark.workspace import Workspace
 
 KEYS, ORDER = ["g"], ["year"]
@@ -40,10 +40,11 @@ def df(spark, rows):
 
 
 @pytest.mark.parametrize("chunk_rows", [1, 7, 100, 10_000])
-def test_chunks_equal_brute_force(df, rows, chunk_rows):
-    out = chunked_previous(df, KEYS, ORDER, "i", VALUES, chunk_rows)
-    assert out.columns == [*df.columns, *VALUES]
-    assert collected(out) == brute_force(rows)
+def test_chunks_equal_brute_force(spark, df, rows, chunk_rows):
+    with Workspace(spark) as w:
+        out = with_previous(df, KEYS, ORDER, "i", VALUES, w, 0, chunk_rows)
+        assert out.columns == [*df.columns, *VALUES]
+        assert collected(out) == brute_force(rows)
 
 
 @pytest.mark.parametrize("hot_rows", [0, 50, 1000, 1_000_000])
@@ -63,5 +64,6 @@ def test_chunks_stay_small(df):
 def test_null_values_are_carried(spark):
     rows = [("a", 2000, 1, None), ("a", 2001, 2, 5), ("a", 2001, 3, None), ("a", 2002, 9, 1)]
     df = spark.createDataFrame(rows, "g string, year int, i long, v int")
-    out = chunked_previous(df, KEYS, ORDER, "i", VALUES, 1)
-    assert collected(out) == brute_force(rows)
+    with Workspace(spark) as w:
+        out = with_previous(df, KEYS, ORDER, "i", VALUES, w, 0, 1)
+        assert collected(out) == brute_force(rows)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.workspace import Workspace
 
 _CHUNK, _ROW, _PREV, _CARRY = "__chunk", "__row", "__prev", "__carry"
+_HOT, _LAST = "__hot", "__last"
 
 
 def with_previous(
@@ -28,20 +29,18 @@ def with_previous(
     must be a unique integer. Keys and order must not be NULL.
 
     Group sizes are counted first (pre-aggregated in the map tasks). Groups up
-    to ``hot_rows`` take one window; larger ones, if any, are cut into chunks.
+    to ``hot_rows`` are one window partition each; larger ones are cut into
+    chunks of consecutive ids, which share ``id_col div chunk_rows`` and so have
+    at most that many rows.
     """
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    hot = sizes.filter(F.col("__n") > hot_rows).select(*keys)
-    if hot.isEmpty():
-        return _one_window(df, keys, order, id_col, values)
     # At most rows/hot_rows groups are hot. Stored, their size decides how Spark
     # joins them; a join it does not broadcast is split by AQE where skewed.
-    hot = workspace.store(hot, "hot")
-    cold = df.join(hot, list(keys), "left_anti")
-    large = df.join(hot, list(keys), "left_semi")
-    return _one_window(cold, keys, order, id_col, values).unionByName(
-        chunked_previous(large, keys, order, id_col, values, chunk_rows)
-    )
+    hot = workspace.store(sizes.filter(F.col("__n") > hot_rows).select(*keys), "hot")
+    if hot.isEmpty():
+        return _one_window(df, keys, order, id_col, values)
+    marked = df.join(hot.withColumn(_HOT, F.lit(True)), list(keys), "left")
+    return _chunked(marked, df.columns, keys, order, id_col, values, workspace, chunk_rows)
 
 
 def _one_window(df, keys, order, id_col, values):
@@ -51,33 +50,39 @@ def _one_window(df, keys, order, id_col, values):
     )
 
 
-def chunked_previous(
-    df: DataFrame,
+def _chunked(
+    marked: DataFrame,
+    columns: Sequence[str],
     keys: Sequence[str],
     order: Sequence[str],
     id_col: str,
     values: Mapping[str, str],
+    workspace: Workspace,
     chunk_rows: int,
 ) -> DataFrame:
-    """The same result with no window partition above ``chunk_rows`` rows.
+    """One window over all rows, and the last row of each chunk carried to the next.
 
-    Ids are unique integers, so rows sharing ``id_col div chunk_rows`` are at
-    most ``chunk_rows``. The first row of a chunk takes its predecessor from
-    the last row of the chunk before, carried over one row per chunk.
+    Rows of other groups have no chunk; their partition is the group. The
+    windowed rows are stored: the tails are filtered from them, so hot rows are
+    scanned and sorted once, and carried over one row per chunk.
     """
-    chunk = [*keys, *order, _CHUNK]
-    rows = df.withColumns(
+    chunk = F.when(F.col(_HOT), F.call_function("div", F.col(id_col), F.lit(chunk_rows)))
+    cut = {f"__cut_{c}": F.when(F.col(_HOT), F.col(c)) for c in order}
+    row = F.struct(*[F.col(s).alias(n) for n, s in values.items()])
+    rows = marked.withColumns({_CHUNK: chunk, _ROW: row, **cut})
+    inside = Window.partitionBy(*keys, *cut, _CHUNK).orderBy(*order, id_col)
+    within = rows.withColumns(
         {
-            _CHUNK: F.floor(F.col(id_col) / chunk_rows),
-            _ROW: F.struct(*[F.col(s).alias(n) for n, s in values.items()]),
+            _PREV: F.lag(_ROW).over(inside),
+            _LAST: F.col(_CHUNK).isNotNull() & F.lead(F.lit(1)).over(inside).isNull(),
         }
     )
-    inside = Window.partitionBy(*chunk).orderBy(id_col)
-    within = rows.withColumn(_PREV, F.lag(_ROW).over(inside))
-    tails = rows.groupBy(*chunk).agg(F.max_by(_ROW, id_col).alias(_ROW))
+    within = workspace.store(within.select(*columns, _CHUNK, _ROW, _PREV, _LAST), "chunks")
+    place = [*keys, *order, _CHUNK]
     across = Window.partitionBy(*keys).orderBy(*order, _CHUNK)
-    carried = tails.select(*chunk, F.lag(_ROW).over(across).alias(_CARRY))
+    tails = within.filter(_LAST).select(*place, F.lag(_ROW).over(across).alias(_CARRY))
+    carried = workspace.store(tails.filter(F.col(_CARRY).isNotNull()), "carried")
     found = F.coalesce(_PREV, _CARRY)
-    return within.join(carried, chunk, "left").select(
-        *df.columns, *[found[n].alias(n) for n in values]
+    return within.join(carried, place, "left").select(
+        *columns, *[found[n].alias(n) for n in values]
     )

@@ -38,6 +38,8 @@ class Warehouse:
 BOTH = SEX_LABELS["both"]
 URBAN_RURAL = (RESIDENCE_LABELS["urban"], RESIDENCE_LABELS["rural"])
 MALE_FEMALE = (SEX_LABELS["male"], SEX_LABELS["female"])
+# Categories of the wealth gradient.
+GRADIENT = ("Stunting", "Underweight")
 # Categories of the pivot, in column order.
 PIVOTED = ("Stunting", "Wasting", "Underweight", "Anaemia")
 
@@ -132,7 +134,7 @@ def wealth_gradient(w: Warehouse) -> DataFrame:
         (label != WEALTH_LABELS["total"])
         & _is("sex_label", BOTH)
         & F.col("is_total_residence")
-        & F.col("indicator_category").isin("Stunting", "Underweight"),
+        & F.col("indicator_category").isin(*GRADIENT),
     ).orderBy(
         *_up("indicator_category"),
         rank.asc_nulls_last(),
@@ -307,13 +309,23 @@ def severe_cases(w: Warehouse) -> DataFrame:
 
 
 def indicator_pivot(w: Warehouse) -> DataFrame:
-    """Highest value per category, side by side, where the first two exist."""
+    """Highest value per category, side by side, where the first two exist.
+
+    Facts of the four categories are reduced to one row per cell before the
+    dimensions are joined.
+    """
+    cells = (
+        w.fact.filter(
+            _is("severity_level", "Overall") & F.col("indicator_category").isin(*PIVOTED)
+        )
+        .groupBy("time_key", "demographic_key", "indicator_category")
+        .agg(F.max("indicator_value").alias("highest"))
+    )
     return (
-        w.star()
-        .filter(_is("severity_level", "Overall"))
+        star.star(cells, w.dim_time, w.dim_demographics)
         .groupBy("year", "demographic_key")
         .pivot("indicator_category", list(PIVOTED))
-        .agg(F.max("indicator_value"))
+        .agg(F.max("highest"))
         .withColumnsRenamed({c: c.lower() for c in PIVOTED})
         .dropna(subset=["stunting", "wasting"])
         .orderBy(_down("year"), *_up("demographic_key"))

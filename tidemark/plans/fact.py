@@ -46,7 +46,8 @@ def build_fact(
 ) -> DataFrame:
     """Number the valued rows by year, name and demographic, then id.
 
-    The demographic dimension is built from the same staging table, so it knows
+    Numbers come first: their order is known before the previous measurement
+    is, and range bounds are then sampled from a plain scan. The demographic dimension is built from the same staging table, so it knows
     every triple, and its keys rank triples by sex, residence and wealth. One
     integer thus stands in for three texts in both shuffles. Change columns come
     from the same pass, so no join by id is needed.
@@ -54,8 +55,14 @@ def build_fact(
     keyed = classified.join(
         dim_demographics.select("demographic_key", *TRIPLE), list(TRIPLE), "left"
     ).drop(*TRIPLE, "updated_at")
+    numbered = number_rows(
+        keyed.filter(F.col("indicator_value").isNotNull()),
+        ["year", "indicator_name", "demographic_key", "indicator_id"],
+        "fact_key",
+        workspace,
+    )
     changed = add_changes(
-        keyed, params, workspace, ("indicator_name", "demographic_key")
+        numbered, params, workspace, ("indicator_name", "demographic_key")
     )
     timed = changed.join(
         # at most 10,000 four-digit years
@@ -63,13 +70,4 @@ def build_fact(
         changed["year"] == F.col("time_key"),
         "left",
     )
-    slim = timed.select(
-        "year", *[c for c in FACT_COLUMNS if c not in ("fact_key", "updated_at")]
-    )
-    numbered = number_rows(
-        slim,
-        ["year", "indicator_name", "demographic_key", "indicator_id"],
-        "fact_key",
-        workspace,
-    )
-    return numbered.withColumn("updated_at", F.lit(params.run_ts)).select(*FACT_COLUMNS)
+    return timed.withColumn("updated_at", F.lit(params.run_ts)).select(*FACT_COLUMNS)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import parse, text
-from tidemark.operators.numbering import number_rows
+from tidemark.operators.numbering import number_rows, number_wanted
 from tidemark.params import Params
 from tidemark.workspace import Workspace
 
@@ -23,16 +23,15 @@ def number_raw(
 ) -> DataFrame:
     """Number data rows by raw indicator, location and period.
 
-    With ``wanted_only`` the numbers are those of the whole table but only the
-    rows staging keeps are carried through the sort.
+    With ``wanted_only`` the numbers are those of the whole table, but only the
+    rows staging keeps come out, and only groups that have any are sorted.
     """
-    return number_rows(
-        drop_tag_rows(raw),
-        ["indicator", "location", "period", *params.tie_keys],
-        "indicator_id",
-        workspace,
-        keep=wanted(params) if wanted_only else None,
-    )
+    rows, groups = drop_tag_rows(raw), ["indicator", "location", "period"]
+    if wanted_only:
+        return number_wanted(
+            rows, groups, params.tie_keys, "indicator_id", workspace, wanted(params)
+        )
+    return number_rows(rows, [*groups, *params.tie_keys], "indicator_id", workspace)
 
 
 def wanted(params: Params):

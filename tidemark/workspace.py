@@ -6,6 +6,9 @@ recomputation that could number rows differently from what was already used.
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -22,7 +25,15 @@ def shared_root(spark: SparkSession) -> str:
         return root
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix="tidemark-")
+    return _local_root()
+
+
+@functools.cache
+def _local_root() -> str:
+    """One temporary folder for this process, deleted when it ends."""
+    folder = tempfile.mkdtemp(prefix="tidemark-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 class Workspace:

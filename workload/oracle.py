@@ -7,6 +7,8 @@ quotients are rounded half up in integer arithmetic first.
 
 from __future__ import annotations
 
+from tidemark.functions.rules import CATEGORIES
+from tidemark.plans.dashboard import GRADIENT, MALE_FEMALE, URBAN_RURAL
 from workload.derived import (
     MANY_DECIMALS,
     MANY_DIGITS,
@@ -154,11 +156,11 @@ def scope(name: str) -> str:
 
 
 def band(gap: str) -> str:
-    return f"""CASE WHEN {gap} IS NULL THEN 'No data'
-        WHEN abs({gap}) < 1 THEN 'Minimal disparity'
-        WHEN abs({gap}) < 5 THEN 'Small disparity'
-        WHEN abs({gap}) < 10 THEN 'Moderate disparity'
-        ELSE 'Large disparity' END"""
+    return f"""CASE WHEN abs({gap}) >= 10 THEN 'Large disparity'
+        WHEN abs({gap}) >= 5 THEN 'Moderate disparity'
+        WHEN abs({gap}) >= 1 THEN 'Small disparity'
+        WHEN {gap} IS NOT NULL THEN 'Minimal disparity'
+        ELSE 'No data' END"""
 
 
 # name -> body, each using only names above it.
@@ -410,8 +412,8 @@ def suite() -> str:
     parts.append(
         check(
             "accepted_values", "int_classified", "indicator_category", "classified",
-            "SELECT count(*) FROM classified WHERE indicator_category NOT IN ('Stunting',"
-            " 'Wasting', 'Underweight', 'Anaemia', 'Mortality', 'Immunization')",
+            f"SELECT count(*) FROM classified"
+            f" WHERE indicator_category NOT IN ({listed(CATEGORIES)})",
         )
     )
     for column, parent, key in (
@@ -495,6 +497,7 @@ SELECTS: dict[str, str] = {
     "stg_observations": STG,
     "int_classified": CLASSIFIED,
     "yoy_changes": YOY,
+    "yoy_changes_hot": YOY,
     "yoy_ordered": YOY,
     "dim_time": "SELECT * FROM times",
     "dim_demographics": "SELECT * FROM people",
@@ -536,9 +539,10 @@ SELECTS: dict[str, str] = {
     ),
     "check_relationships": check(
         "relationships", "orders", "o_custkey", "orders",
-        orphans("orders", "o_custkey",
-                "(SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING')",
-                "c_custkey"),
+        orphans(
+            "(SELECT if(o_orderkey % 97 = 0, -o_custkey, o_custkey) AS o_custkey FROM orders)",
+            "o_custkey", "customer", "c_custkey",
+        ),
     ),
     "check_range": check(
         "range", "int_classified", "ci_width", "classified",
@@ -548,37 +552,37 @@ SELECTS: dict[str, str] = {
     # dashboard
     "bi_stunting_trend": f"""SELECT year, indicator_value::VARCHAR::DOUBLE AS stunting_percentage,
         value_lower_ci::VARCHAR::DOUBLE AS lower_bound, value_upper_ci::VARCHAR::DOUBLE AS upper_bound
-        FROM star WHERE {TOTAL} AND indicator_category = 'Stunting'
+        FROM star WHERE indicator_category = 'Stunting' AND {TOTAL}
         AND severity_level = 'Overall'""",
     "bi_mortality_by_sex": """SELECT year, sex_label,
         indicator_value::VARCHAR::DOUBLE AS mortality_rate FROM star
-        WHERE is_total_wealth AND is_total_residence
-        AND indicator_category = 'Mortality'""",
+        WHERE indicator_category = 'Mortality' AND is_total_residence
+        AND is_total_wealth""",
     "bi_category_trend": f"""SELECT year, indicator_category, {MEAN} AS avg_value
         FROM star WHERE {TOTAL} AND severity_level = 'Overall'
         AND year >= {P.recent_min_year} GROUP BY ALL""",
     "bi_urban_rural": f"""SELECT indicator_category, residence_label, {MEAN} AS avg_value
-        FROM star WHERE is_recent_5y AND is_total_wealth AND sex_label = 'Both Sexes'
-        AND residence_label IN ('Urban', 'Rural') AND severity_level = 'Overall'
-        GROUP BY ALL""",
+        FROM star WHERE residence_label IN ({listed(URBAN_RURAL)})
+        AND sex_label = 'Both Sexes' AND is_total_wealth AND is_recent_5y
+        AND severity_level = 'Overall' GROUP BY ALL""",
     "bi_wealth_gradient": f"""SELECT indicator_category, wealth_quintile_label,
-        {MEAN} AS avg_value FROM star WHERE is_recent_5y AND is_total_residence
-        AND sex_label = 'Both Sexes' AND wealth_quintile_label <> 'All Wealth Groups'
-        AND indicator_category IN ('Underweight', 'Stunting') GROUP BY ALL""",
+        {MEAN} AS avg_value FROM star WHERE wealth_quintile_label <> 'All Wealth Groups'
+        AND sex_label = 'Both Sexes' AND is_total_residence AND is_recent_5y
+        AND indicator_category IN ({listed(GRADIENT)}) GROUP BY ALL""",
     "bi_sex_gap": f"""SELECT indicator_category, sex_label, {MEAN} AS avg_value
-        FROM star WHERE is_recent_5y AND is_total_wealth AND is_total_residence
-        AND sex_label IN ('Female', 'Male') GROUP BY ALL""",
+        FROM star WHERE sex_label IN ({listed(MALE_FEMALE)}) AND is_total_residence
+        AND is_total_wealth AND is_recent_5y GROUP BY ALL""",
     "bi_stunting_kpi": f"""SELECT indicator_value::VARCHAR::DOUBLE AS current_stunting_rate,
         percentage_change AS yoy_change, trend_direction, year AS measurement_year
-        FROM star WHERE {TOTAL} AND indicator_category = 'Stunting'
+        FROM star WHERE indicator_category = 'Stunting' AND {TOTAL}
         AND severity_level = 'Overall' ORDER BY year DESC, fact_key LIMIT 1""",
     "bi_mortality_kpi": f"""SELECT {avg_of("indicator_value", 1)} AS avg_mortality_rate,
         count(*) AS data_points, min(year) AS from_year, max(year) AS to_year
-        FROM star WHERE {TOTAL} AND is_recent_5y AND indicator_category = 'Mortality'""",
+        FROM star WHERE indicator_category = 'Mortality' AND {TOTAL} AND is_recent_5y""",
     "bi_largest_gap": """SELECT indicator_category,
         urban_rural_gap::VARCHAR::DOUBLE AS gap_percentage, urban_value::VARCHAR::DOUBLE AS urban_value,
         rural_value::VARCHAR::DOUBLE AS rural_value, disparity_level
-        FROM kpi WHERE sex_label = 'Both Sexes' AND urban_rural_gap IS NOT NULL
+        FROM kpi WHERE urban_rural_gap IS NOT NULL AND sex_label = 'Both Sexes'
         ORDER BY abs(urban_rural_gap) DESC, indicator_category, residence_label,
         wealth_quintile_label LIMIT 1""",
     "bi_trend_scorecard": f"""SELECT indicator_category,
@@ -593,22 +597,22 @@ SELECTS: dict[str, str] = {
         {avg_int("data_quality_score", 1)} AS avg_quality_score,
         count(*) FILTER (is_significant_change) AS significant_changes
         FROM facts GROUP BY ALL""",
-    "bi_yoy_detail": """SELECT year, indicator_category, residence_label,
+    "bi_yoy_detail": f"""SELECT year, indicator_category, residence_label,
         indicator_value::VARCHAR::DOUBLE AS current_value,
         previous_year_value::VARCHAR::DOUBLE AS previous_year_value,
         absolute_change::VARCHAR::DOUBLE AS absolute_change, percentage_change,
-        is_significant_change FROM star WHERE percentage_change IS NOT NULL
-        AND is_total_wealth AND sex_label = 'Both Sexes'
-        AND residence_label IN ('Urban', 'Rural')""",
+        is_significant_change FROM star WHERE residence_label IN ({listed(URBAN_RURAL)})
+        AND sex_label = 'Both Sexes' AND is_total_wealth
+        AND percentage_change IS NOT NULL""",
     "bi_top_improvements": """SELECT indicator_name, year, residence_label,
         indicator_value::VARCHAR::DOUBLE AS indicator_value, percentage_change,
         absolute_change::VARCHAR::DOUBLE AS absolute_change FROM star
-        WHERE is_recent_5y AND sex_label = 'Both Sexes' AND percentage_change < 0
+        WHERE percentage_change < 0 AND sex_label = 'Both Sexes' AND is_recent_5y
         ORDER BY percentage_change, fact_key LIMIT 5""",
     "bi_severe": """SELECT year, indicator_name,
         indicator_value::VARCHAR::DOUBLE AS severe_percentage, residence_label FROM star
-        WHERE severity_level = 'Severe' AND is_total_wealth
-        AND sex_label = 'Both Sexes'""",
+        WHERE severity_level = 'Severe' AND sex_label = 'Both Sexes'
+        AND is_total_wealth""",
     "bi_indicator_pivot": """SELECT year, demographic_key,
         max(indicator_value) FILTER (indicator_category = 'Stunting')::VARCHAR::DOUBLE AS stunting,
         max(indicator_value) FILTER (indicator_category = 'Wasting')::VARCHAR::DOUBLE AS wasting,
