@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import signature_tree
@@ -20,8 +20,11 @@ from tidemark.workspace import Workspace
 BUCKET_ROWS = 1 << 22
 #: Counters of the frequency sketch, which is broadcast: 1 MB at any input size.
 COUNTERS = 1 << 18
+PARTS = 1024
 #: The largest bitmap of documents to look at again: 2**24 bits are 2 MB.
 MOST_BITS = 24
+#: Classes with a block that are broadcast, 24 bytes each; more are joined by shuffle.
+MOST_KNOWN = 1 << 20
 #: Classes one signature tree holds; larger blocks are cut.
 CELL_ROWS = 4096
 
@@ -213,12 +216,12 @@ def _sets(n: int, filtered):
             at = _slots(_ids(batch["doc_id"]), bits)
             hit = (bitmap[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
             for part in slices(batch.filter(pa.array(hit == 1)), "text"):
-                sets = [s for s in shingle_sets(part["text"], n) if len(s)]
+                sets = {class_of(s): s for s in shingle_sets(part["text"], n) if len(s)}
                 yield pa.record_batch(
                     {
-                        "class": pa.array([class_of(s) for s in sets], pa.int64()),
-                        "n": pa.array([len(s) for s in sets], pa.int64()),
-                        "shingles": pa.array([s.tobytes() for s in sets], pa.binary()),
+                        "class": pa.array(list(sets), pa.int64()),
+                        "n": pa.array([len(s) for s in sets.values()], pa.int64()),
+                        "shingles": pa.array([s.tobytes() for s in sets.values()], pa.binary()),
                     }
                 )
 
@@ -232,62 +235,140 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = np.frombuffer(s.as_buffer(), np.uint64) >> np.uint64(64 - 18)
             total += np.bincount(at.astype(np.int64), minlength=COUNTERS)
     if total.any():
-        yield pa.record_batch({"counts": pa.array([total.tobytes()], pa.binary())})
+        parts = total.reshape(PARTS, -1).astype(np.uint32)
+        yield pa.record_batch(
+            {
+                "part": pa.array(np.arange(PARTS, dtype=np.int32)),
+                "counts": pa.array([p.tobytes() for p in parts], pa.binary()),
+            }
+        )
 
 
-def _add(table: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(x.as_py(), np.int64) for x in table["counts"])
-    return pa.table({"counts": pa.array([total.tobytes()], pa.binary())})
+def _add(key, table: pa.Table) -> pa.Table:
+    total = sum(np.frombuffer(x.as_py(), np.uint32).astype(np.int64) for x in table["counts"])
+    return pa.table(
+        {"part": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()])}
+    )
 
 
-def _frequency(spark: SparkSession, sets: DataFrame) -> np.ndarray:
+def _frequency(sets: DataFrame) -> np.ndarray:
     """Per counter a level: 0 up to twice the mean load, then its logarithm.
 
-    Partial sums meet by their task number in three steps, so that no task
-    holds many of them.
+    Every task sends its counters in PARTS pieces, each of which is summed up
+    in a group of its own: a kilobyte per task. The driver gets two megabytes.
     """
-    sums = sets.select("shingles").mapInArrow(_tally, "counts binary")
-    for width in (4096, 64, 1):
-        sums = (
-            sums.withColumn("g", F.spark_partition_id() % width)
-            .groupBy("g")
-            .applyInArrow(lambda key, table: _add(table), "counts binary")
-        )
-    row = sums.first()
-    counts = np.frombuffer(row["counts"], np.int64) if row else np.zeros(COUNTERS, np.int64)
+    sums = sets.select("shingles").mapInArrow(_tally, "part int, counts binary")
+    sums = sums.groupBy("part").applyInArrow(
+        lambda key, table: _add(key, table), "part int, counts binary"
+    ).toArrow()
+    counts = np.zeros((PARTS, COUNTERS // PARTS), np.int64)
+    for part, raw in zip(sums["part"].to_pylist(), sums["counts"], strict=True):
+        counts[part] = np.frombuffer(raw.as_py(), np.int64)
+    counts = counts.ravel()
     mean = max(1.0, counts.mean())
     return np.maximum(0, np.log2(np.maximum(counts, 1) / mean)).astype(np.uint8)
 
 
+def _chains(keys: np.ndarray, names: np.ndarray, low: np.ndarray, high: np.ndarray, percent: int):
+    """Join what shares a key and may be of similar size, to the first of its run.
+
+    Entries of a key are put in order of size. Where the next one's least size
+    is too large for the largest so far, nothing before links with anything
+    behind; the run ends. Returns key, first name, least and largest size of
+    each run, and the edges (name, first name).
+    """
+    order = np.lexsort((high, low, keys))
+    keys, names, low, high = (x[order] for x in (keys, names, low, high))
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    if len(keys):
+        # The largest size so far within each key: keys are told apart by an offset.
+        lift = np.cumsum(new) * (int(high.max()) + 1)
+        top = np.maximum.accumulate(high + lift) - lift
+        new[1:] |= percent * low[1:] > 100 * top[:-1]
+    first = np.flatnonzero(new)
+    run = np.cumsum(new) - 1
+    head = names[first][run]
+    other = names != head
+    most = np.maximum.reduceat(high, first) if len(first) else high
+    return keys[first], names[first], low[first], most, names[other], head[other]
+
+
+def _distinct_edges(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return a[new], b[new]
+
+
+#: Buckets in which rare shingles meet.
+KEY_BITS = 6
+
+
+_ENTRY = "bucket int, keys binary, names binary, low binary, high binary, a binary, b binary"
+
+
 def _prefixes(level, percent: int):
-    """The shingles a set must share one of, rarest first, with any set it links to."""
+    """Per batch and bucket the shingles of which linked sets share one.
+
+    A set must share one of its rarest shingles with any set it links to. The
+    classes of a batch that share one and are of similar size are joined here;
+    one of them travels on with the shingle and the range of their sizes.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = level.value
         for batch in batches:
-            names, keys = [], []
+            names, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+            sizes = [np.zeros(0, np.int64)]
             for name, s in zip(batch["class"].to_pylist(), batch["shingles"], strict=True):
                 h = np.frombuffer(s.as_buffer(), np.uint64)
                 take = len(h) - -(-percent * len(h) // 100) + 1
                 order = np.lexsort((h, levels[(h >> np.uint64(64 - 18)).astype(np.int64)]))
-                keys.append(h[order[:take]].view(np.int64))
-                names.append(np.full(len(keys[-1]), name))
-            if names:
-                yield pa.record_batch(
-                    {
-                        "class": pa.array(np.concatenate(names)),
-                        "key": pa.array(np.concatenate(keys)),
-                    }
-                )
+                keys.append(h[order[:take]])
+                names.append(np.full(take, name))
+                sizes.append(np.full(take, len(h)))
+            size = np.concatenate(sizes)
+            *entry, a, b = _chains(
+                np.concatenate(keys), np.concatenate(names), size, size, percent
+            )
+            edges = _distinct_edges(a, b)
+            entry[2:] = [x.astype(np.uint32) for x in entry[2:]]
+            start = np.arange(1 << KEY_BITS, dtype=np.uint64) << np.uint64(64 - KEY_BITS)
+            cuts = np.append(np.searchsorted(entry[0], start), len(entry[0]))
+            for k in range(1 << KEY_BITS):
+                if k == 0 or cuts[k] < cuts[k + 1]:
+                    part = [x[cuts[k] : cuts[k + 1]] for x in entry]
+                    part += edges if k == 0 else [x[:0] for x in edges]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([k], pa.int32()), *[pa.array([v.tobytes()]) for v in part]],
+                        names=[f.split()[0] for f in _ENTRY.split(", ")],
+                    )
 
     return run
 
 
+def _meet(table: pa.Table, percent: int) -> pa.Table:
+    """Edges between classes that share a shingle of the bucket and may be alike in size."""
+
+    def column(name, dtype):
+        return np.concatenate([np.frombuffer(x.as_py(), dtype) for x in table[name]])
+
+    low, high = (column(c, np.uint32).astype(np.int64) for c in ("low", "high"))
+    *_, a, b = _chains(column("keys", np.uint64), column("names", np.int64), low, high, percent)
+    a = np.concatenate([a, column("a", np.int64)])
+    b = np.concatenate([b, column("b", np.int64)])
+    a, b = _distinct_edges(a, b)
+    return pa.table({"a": pa.array(a), "b": pa.array(b)})
+
+
 def _link_cell(percent: int):
     def run(table: pa.Table) -> pa.Table:
-        table = table.select(["class", "shingles"])
-        names = table["class"].to_numpy()
-        sets = [np.frombuffer(s.as_py(), np.uint64) for s in table["shingles"]]
+        # Of a class that came twice, either will do.
+        both = zip(table["class"].to_pylist(), table["shingles"], strict=True)
+        by_name = {name: np.frombuffer(s.as_py(), np.uint64) for name, s in both}
+        names, sets = np.fromiter(by_name, np.int64, len(by_name)), list(by_name.values())
         label = signature_tree.link(sets, percent)
         linked = names != names[label]
         return pa.table(
@@ -297,7 +378,9 @@ def _link_cell(percent: int):
     return run
 
 
-def _cells(sets: DataFrame, blocks: DataFrame, percent: int, cell_rows: int) -> DataFrame:
+def _cells(
+    sets: DataFrame, blocks: DataFrame, workspace: Workspace, percent: int, cell_rows: int
+) -> DataFrame:
     """Sets by cell. Two sets of a block that can link meet in some cell.
 
     A block of up to ``cell_rows`` classes is one cell. A larger one is cut by
@@ -308,8 +391,10 @@ def _cells(sets: DataFrame, blocks: DataFrame, percent: int, cell_rows: int) ->
     ratio = math.log(1.04 * 100 / percent)
     count = blocks.groupBy(F.col("root").alias("block")).agg(F.count(F.lit(1)).alias("size"))
     known = blocks.select(F.col("node").alias("class"), F.col("root").alias("block"))
-    known = known.join(count, "block")
-    sized = sets.join(known, "class").dropDuplicates(["class"])
+    known = workspace.store(known.join(count, "block"), "known")
+    if known.count() <= MOST_KNOWN:
+        known = F.broadcast(known)
+    sized = sets.join(known, "class")
     small = sized.filter(F.col("size") <= cell_rows).select(
         "block", F.lit(0).alias("band"), F.lit(0).alias("x"), F.lit(0).alias("y"),
         "class", "shingles",
@@ -395,18 +480,15 @@ def ngram_components(
     sets = workspace.store(
         docs.mapInArrow(_sets(n, chosen), "class long, n long, shingles binary"), "sets"
     )
-    level = spark.sparkContext.broadcast(_frequency(spark, sets))
-    keys = sets.mapInArrow(_prefixes(level, percent), "class long, key long")
-    keys = workspace.store(keys, "keys")
-    leaders = (
-        keys.groupBy("key")
-        .agg(F.min("class").alias("leader"), F.max("class").alias("last"))
-        .filter("leader <> last")
+    level = spark.sparkContext.broadcast(_frequency(sets))
+    candidates = (
+        sets.mapInArrow(_prefixes(level, percent), _ENTRY)
+        .groupBy("bucket")
+        .applyInArrow(lambda key, table: _meet(table, percent), "a long, b long")
     )
-    candidates = keys.join(leaders, "key").select("class", "leader")
     blocks = workspace.store(connected_components(candidates, workspace), "blocks")
     links = (
-        _cells(sets, blocks, percent, cell_rows)
+        _cells(sets, blocks, workspace, percent, cell_rows)
         .groupBy("block", "band", "x", "y")
         .applyInArrow(lambda key, table: _link_cell(percent)(table), "a long, b long")
     )

@@ -16,7 +16,7 @@ import pyarrow as pa
 U64 = np.uint64
 
 #: Text bytes handled at once; numpy needs about sixty bytes for each of them.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 
 def byte_set(ranges: str) -> np.ndarray:
