@@ -25,19 +25,28 @@ def annotate(
     returns one array per field. All columns of ``df`` pass through unchanged,
     but one called ``name``, whose place the new one takes.
     """
-    kept = [c for c in df.columns if c != name]
+    columns = df.columns
+    kept = [c for c in columns if c != name]
     struct = T._parse_datatype_string(fields)
     fields_kept = [f for f in df.schema.fields if f.name != name]
-    schema = T.StructType([*fields_kept, T.StructField(name, struct)])
+    # Spark takes dots in names for parts of a struct here; plain ones go in.
+    plain = df.toDF(*[f"_{k}" for k in range(len(columns))])
+    schema = T.StructType(
+        [
+            *[T.StructField(f"_{k}", f.dataType) for k, f in enumerate(fields_kept)],
+            T.StructField("_new", struct),
+        ]
+    )
     names = struct.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text, slice_bytes):
+            named = pa.RecordBatch.from_arrays(batch.columns, names=columns)
+            for part in slices(named, text, slice_bytes):
                 found = compute(part)
                 column = pa.StructArray.from_arrays([found[n] for n in names], names)
                 yield pa.RecordBatch.from_arrays(
-                    [*[part[c] for c in kept], column], [*kept, name]
+                    [*[part[c] for c in kept], column], names=schema.names
                 )
 
-    return df.mapInArrow(run, schema)
+    return plain.mapInArrow(run, schema).toDF(*kept, name)

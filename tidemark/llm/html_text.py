@@ -87,7 +87,10 @@ def _marks(attrs: list[tuple[str, str | None]]) -> set[str]:
 
 
 class LineParser(HTMLParser):
-    """Turns parser events into lines with the number of tags in and before them."""
+    """Turns parser events into lines with the number of tags in and before them.
+
+    Elements that hold others together are layout and do not count.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -106,7 +109,7 @@ class LineParser(HTMLParser):
             self.tags = 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        self.tags += 1
+        self.tags += tag not in _BOXES
         if self.silent:
             if tag == self.silent[-1] and tag not in _VOID:
                 self.silent.append(tag)
@@ -148,7 +151,7 @@ class LineParser(HTMLParser):
             self.end_line()
 
     def handle_endtag(self, tag: str) -> None:
-        self.tags += 1
+        self.tags += tag not in _BOXES
         if self.silent:
             if tag == self.silent[-1]:
                 self.silent.pop()

@@ -155,6 +155,12 @@ class Coder:
             now[low] = (now[low] << U64(32)) | more.astype(U64)
             place += len(low)
             x[: len(now)] = now
+        # Where a segment ends the next one's checkpoint stands, or the start of encoding.
+        after = _LOW
+        if k + 1 < count:
+            after = np.frombuffer(block, "<u8", lanes, at + 8 * lanes * (k + 1))
+        if place != (places[k + 1] if k + 1 < count else n_words) or (x != after).any():
+            raise CorruptFile("a segment ends in another state")
         ids = self.table.symbols[out]
         if zlib.crc32(ids.astype("<u4")) != checks[k]:
             raise CorruptFile("a segment's checksum differs")
