@@ -24,7 +24,7 @@ from tidemark.llm.words import slices
 from tidemark.workspace import Workspace
 
 #: Ids after which a file is closed (behind a whole document).
-FILE_TOKENS = 1 << 22
+FILE_TOKENS = 1 << 21
 _MAGIC = b"TMTK\x01\x00\x00\x00"
 FILES = "part int, seq int, n_docs long, n_tokens long, payload binary"
 

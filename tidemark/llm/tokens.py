@@ -22,7 +22,7 @@ from tidemark.llm.words import span_hashes, text_bytes
 #: Pieces a worker remembers before it starts anew.
 REMEMBERED = 1 << 20
 #: Text bytes of one encoding batch.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 # Kinds of bytes, as bits.
 _BLANK, _SOLID, _LETTER, _POINT, _PAIR, _FEED = 1, 2, 4, 8, 16, 32
