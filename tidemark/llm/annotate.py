@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tidemark.llm.batches import bound_batches
 from tidemark.llm.words import SLICE_BYTES, slices
 
 
@@ -25,6 +26,7 @@ def annotate(
     returns one array per field. All columns of ``df`` pass through unchanged,
     but one called ``name``, whose place the new one takes.
     """
+    bound_batches(df.sparkSession)
     columns = df.columns
     kept = [c for c in columns if c != name]
     struct = T._parse_datatype_string(fields)

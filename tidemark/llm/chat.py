@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.batches import bound_batches
 from tidemark.llm.tokens import BATCH_BYTES, encoder
 from tidemark.llm.words import slices
 from tidemark.operators.numbering import number_rows
@@ -187,6 +188,7 @@ def format_conversations(
     with a null conv_id form one conversation. An empty table gives two empty
     tables.
     """
+    bound_batches(turns.sparkSession)
     empty = F.lit("")
     rows = turns.select(
         F.col("conv_id").cast("long").alias("conv_id"),

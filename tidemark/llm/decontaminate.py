@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.annotate import annotate
+from tidemark.llm.batches import bound_batches
 from tidemark.llm.columns import free_name, own, quoted
 from tidemark.llm.words import ALNUM, LOWER, find_words, slices, text_bytes
 from tidemark.workspace import Workspace
@@ -175,6 +176,7 @@ def with_contamination(
     the items are dealt into blocks of about that many, and the documents are
     scanned once for each block, carrying what the earlier ones found.
     """
+    bound_batches(docs.sparkSession)
     items = benchmark.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"), "text"
     )

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import signature_tree
+from tidemark.llm.batches import bound_batches
 from tidemark.llm.components import connected_components
 from tidemark.llm.words import LOWER, distinct, find_words, mix, slices, text_bytes
 from tidemark.workspace import Workspace
@@ -445,6 +446,7 @@ def ngram_components(
     signature trees find the links.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     members = workspace.store(
         docs.mapInArrow(_membership(n), "doc_id long, n_shingles long, class long"), "members"

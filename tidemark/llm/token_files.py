@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.batches import bound_batches
 from tidemark.llm.rans import BLOCK, Coder, CorruptFile, Table
 from tidemark.llm.tokens import BATCH_BYTES, encoder
 from tidemark.llm.words import slices
@@ -127,6 +128,7 @@ def write_token_files(
     Rows are dealt by ranges of doc_id; each task encodes its range in order
     and closes a file every ``file_tokens`` ids, so it holds one file at most.
     """
+    bound_batches(docs.sparkSession)
     ordered = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .repartitionByRange("doc_id")

@@ -108,7 +108,8 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
     col = batch.column(column)
     if col.null_count:
         col = col.fill_null("")
-    at = np.frombuffer(col.cast(pa.large_string()).buffers()[1], np.int64)
+    col = col.cast(pa.large_string())
+    at = np.frombuffer(col.buffers()[1], np.int64)
     at = at[col.offset : col.offset + len(col) + 1]
     start = 0
     while start < batch.num_rows:
