@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tidemark.llm.batches import bound_batches
+from tidemark.llm.batches import bound_batches, tidy
 from tidemark.llm.words import SLICE_BYTES, slices
 
 
@@ -51,4 +51,4 @@ def annotate(
                     [*[part[c] for c in kept], column], names=schema.names
                 )
 
-    return plain.mapInArrow(run, schema).toDF(*kept, name)
+    return plain.mapInArrow(tidy(run), schema).toDF(*kept, name)

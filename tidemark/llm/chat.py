@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.batches import bound_batches
+from tidemark.llm.batches import bound_batches, tidy
 from tidemark.llm.tokens import BATCH_BYTES, encoder
 from tidemark.llm.words import slices
 from tidemark.operators.numbering import number_rows
@@ -201,7 +201,7 @@ def format_conversations(
     grouped = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("row")).alias("turns"))
     steps = workspace.store(
         grouped.mapInArrow(
-            _nodes,
+            tidy(_nodes),
             "conv_id long, depth int, node binary, parent binary, path binary, "
             "role string, text string",
         ),
@@ -217,7 +217,7 @@ def format_conversations(
     first = placed.groupBy("node").agg(F.min("rank").alias("rank"))
     own = placed.select("s.depth", "s.node", "s.parent", "s.role", "s.text", "rank")
     nodes = own.join(first, ["node", "rank"]).mapInArrow(
-        _segments(path),
+        tidy(_segments(path)),
         "node binary, parent binary, depth int, rank long, ids array<int>, n_tokens long, "
         "n_chars long, loss_from int, loss_to int",
     )
@@ -304,4 +304,4 @@ def read_conversations(tree: DataFrame, conversations: DataFrame, path: str) ->
     whole = parts.groupBy("number").agg(
         F.first("conv_id").alias("conv_id"), F.sort_array(F.collect_list(part)).alias("parts")
     )
-    return whole.select("conv_id", "parts").mapInArrow(_read(path), DIGESTS)
+    return whole.select("conv_id", "parts").mapInArrow(tidy(_read(path)), DIGESTS)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.annotate import annotate
-from tidemark.llm.batches import bound_batches
+from tidemark.llm.batches import bound_batches, tidy
 from tidemark.llm.columns import free_name, own, quoted
 from tidemark.llm.words import ALNUM, LOWER, find_words, slices, text_bytes
 from tidemark.workspace import Workspace
@@ -181,7 +181,7 @@ def with_contamination(
         F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"), "text"
     )
     windows = workspace.store(
-        items.mapInArrow(_item_windows(window), "n int, hash long, words binary, item string"),
+        items.mapInArrow(tidy(_item_windows(window)), "n int, hash long, words binary, item string"),
         "windows",
     )
     blocks = max(1, -(-windows.count() // max_windows))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import signature_tree
-from tidemark.llm.batches import bound_batches
+from tidemark.llm.batches import bound_batches, give_back, tidy
 from tidemark.llm.components import connected_components
 from tidemark.llm.words import LOWER, distinct, find_words, mix, slices, text_bytes
 from tidemark.workspace import Workspace
@@ -167,6 +167,8 @@ def _count_shared(table: pa.Table) -> pa.Table:
     found[:-1] |= same
     at = (entry[found] & np.uint64(0xFFFFFFFF)).astype(np.int64)
     shared += np.bincount(at, minlength=len(classes))
+    del entry, key, same, found, at, hashes, names
+    give_back()
     keep = (shared > 0) & (classes >= 0)
     return pa.table(
         {
@@ -200,7 +202,7 @@ def _bitmap(live: DataFrame) -> tuple[int, np.ndarray]:
             yield pa.record_batch({"word": pa.array(at >> 6), "bit": pa.array(at & 63)})
 
     found = (
-        live.mapInArrow(words, "word long, bit long")
+        live.mapInArrow(tidy(words), "word long, bit long")
         .groupBy("word")
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit as int))")).alias("bits"))
         .toArrow()
@@ -258,7 +260,7 @@ def _frequency(sets: DataFrame) -> np.ndarray:
     Every task sends its counters in PARTS pieces, each of which is summed up
     in a group of its own: a kilobyte per task. The driver gets two megabytes.
     """
-    sums = sets.select("shingles").mapInArrow(_tally, "part int, counts binary")
+    sums = sets.select("shingles").mapInArrow(tidy(_tally), "part int, counts binary")
     sums = sums.groupBy("part").applyInArrow(
         lambda key, table: _add(key, table), "part int, counts binary"
     ).toArrow()
@@ -449,7 +451,7 @@ def ngram_components(
     bound_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     members = workspace.store(
-        docs.mapInArrow(_membership(n), "doc_id long, n_shingles long, class long"), "members"
+        docs.mapInArrow(tidy(_membership(n)), "doc_id long, n_shingles long, class long"), "members"
     )
     classes = (
         members.filter("class IS NOT NULL")
@@ -463,7 +465,7 @@ def ngram_components(
     bits = min(20, max(6, math.ceil(math.log2(max(1, total / BUCKET_ROWS)))))
     counts = (
         docs.mapInArrow(
-            _pack(n, bits),
+            tidy(_pack(n, bits)),
             "bucket int, names binary, sent binary, known binary, hashes binary",
         )
         .groupBy("bucket")
@@ -480,11 +482,11 @@ def ngram_components(
     # One document stands for a class; a few others that pass do no harm.
     chosen = spark.sparkContext.broadcast(_bitmap(live))
     sets = workspace.store(
-        docs.mapInArrow(_sets(n, chosen), "class long, n long, shingles binary"), "sets"
+        docs.mapInArrow(tidy(_sets(n, chosen)), "class long, n long, shingles binary"), "sets"
     )
     level = spark.sparkContext.broadcast(_frequency(sets))
     candidates = (
-        sets.mapInArrow(_prefixes(level, percent), _ENTRY)
+        sets.mapInArrow(tidy(_prefixes(level, percent)), _ENTRY)
         .groupBy("bucket")
         .applyInArrow(lambda key, table: _meet(table, percent), "a long, b long")
     )

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.batches import bound_batches
+from tidemark.llm.batches import bound_batches, tidy
 from tidemark.llm.rans import BLOCK, Coder, CorruptFile, Table
 from tidemark.llm.tokens import BATCH_BYTES, encoder
 from tidemark.llm.words import slices
@@ -134,7 +134,7 @@ def write_token_files(
         .repartitionByRange("doc_id")
         .sortWithinPartitions("doc_id")
     )
-    files = ordered.mapInArrow(_write(path, end_id, file_tokens), FILES)
+    files = ordered.mapInArrow(tidy(_write(path, end_id, file_tokens)), FILES)
     return workspace.store(files, "token-files")
 
 
@@ -187,7 +187,7 @@ def read_token_files(files: DataFrame, with_ids: bool = False) -> DataFrame:
     """
     fields = "part int, seq int, doc_id long, at long, n_tokens long, ids_crc32 long"
     fields += ", ids array<int>" * with_ids
-    rows = files.select("part", "seq", "payload").mapInArrow(_read(with_ids), fields)
+    rows = files.select("part", "seq", "payload").mapInArrow(tidy(_read(with_ids)), fields)
     columns = ["n_tokens", "ids_crc32", *["ids"] * with_ids]
     return rows.join(_offsets(files), ["part", "seq"]).select(
         "doc_id", (F.col("before") + F.col("at")).alias("start"), *columns

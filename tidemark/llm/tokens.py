@@ -20,7 +20,7 @@ import pyarrow as pa
 from tidemark.llm.words import span_hashes, text_bytes
 
 #: Pieces a worker remembers before it starts anew.
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 19
 #: Text bytes of one encoding batch.
 BATCH_BYTES = 1 << 20
 
