@@ -1,192 +1,409 @@
-"""Line dedup by an exact set-similarity join, in DataFrame operations."""
+"""Line dedup by an exact set-similarity join of the lines' words."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm import words as w
+from tidemark.llm.batches import bound_batches, tidy
 from tidemark.llm.columns import free_name, quoted
+from tidemark.llm.components import connected_components
 from tidemark.workspace import Workspace
 
 PERCENT = 80
-#: Counters of token frequency; the levels made of them are one small array.
-COUNTERS = 1 << 16
-#: Bits of the filter that tells which lines are in some candidate pair.
-FILTER_BITS = 1 << 22
+#: Counters of token frequency: 2 MB are broadcast at any input size.
+COUNTERS, PARTS = 1 << 19, 1024
+_COUNTER_BITS = np.uint64(64 - 19)
+#: Buckets in which lines meet that share a rare token.
+BUCKET_BITS = 6
 #: Earlier lines with the same rare token that every line is compared with.
-REACH = 63
-#: Lines with more equal copies than this send only the first to the join.
-COPIES = 16
+REACH = 255
+#: The largest bitmap of lines to look at again: 2**24 bits are 2 MB.
+MOST_BITS = 24
+#: Lines with a block that are broadcast, 16 bytes each; more are joined by shuffle.
+MOST_KNOWN = 1 << 20
+#: Stands for a null doc_id, which comes first.
+NULL_ID = np.iinfo(np.int64).min
+
+
+class Lines:
+    """Lines with a word of a slice, each with its distinct tokens in order of rarity."""
+
+    def __init__(self, part: pa.RecordBatch, levels: np.ndarray | None = None):
+        offsets, data = w.text_bytes(part["text"])
+        found = w.find_words(offsets, data)
+        start, end, bound = w.lines(offsets, data)
+        first = np.searchsorted(found.start, start)
+        count = np.searchsorted(found.start, end) - first
+        owner = np.repeat(np.arange(len(bound) - 1), np.diff(bound))
+        full = count > 0
+        self.doc_id = part["doc_id"].fill_null(NULL_ID).to_numpy(zero_copy_only=False)[owner][full]
+        self.number = (np.arange(len(start)) - bound[owner])[full].astype(np.int32)
+        tokens = found.hashes()
+        of = np.repeat(np.arange(len(self.number)), count[full])
+        # One key sorts: line, rarity, and as many bits of the hash as are left.
+        rarity = np.uint64(0)
+        if levels is not None:
+            rarity = levels[(tokens >> _COUNTER_BITS).astype(np.int64)].astype(np.uint64)
+        bits = np.uint64(max(1, len(self.number)).bit_length())
+        key = (rarity << np.uint64(56)) | (tokens >> np.uint64(8))
+        order = np.argsort((of.astype(np.uint64) << (np.uint64(64) - bits)) | (key >> bits))
+        tokens, of = tokens[order], of[order]
+        new = np.ones(len(tokens), bool)
+        new[1:] = (tokens[1:] != tokens[:-1]) | (of[1:] != of[:-1])
+        self.tokens, self.of = tokens[new], of[new]
+        self.size = np.bincount(self.of, minlength=len(self.number))
+        self.first = np.cumsum(self.size) - self.size
+
+    def __len__(self) -> int:
+        return len(self.number)
+
+    def classes(self) -> np.ndarray:
+        """A name of each line's set: the sum of its mixed tokens."""
+        if not len(self):
+            return np.zeros(0, np.int64)
+        return np.add.reduceat(w.mix(self.tokens, 5), self.first).view(np.int64)
+
+    def bits(self) -> np.ndarray:
+        """A bitmap of 64 bits of each line's tokens."""
+        one = np.uint64(1) << ((self.tokens >> np.uint64(20)) & np.uint64(63))
+        return np.bitwise_or.reduceat(one, self.first) if len(self) else one
+
+
+def _blobs(names: list[str], rows: list[tuple]) -> pa.RecordBatch:
+    """Rows of a bucket number and packed arrays."""
+    columns = [[r[0] for r in rows], *([r[k].tobytes() for r in rows] for k in range(1, len(names)))]
+    kinds = [pa.int32(), *[pa.binary()] * (len(names) - 1)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names
+    )
 
-_SEAT = ("pos", "n", "bits", "doc_id", "line")
 
+def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every line with its class, and at the end how often tokens occur, in PARTS pieces."""
+    counts = np.zeros(COUNTERS, np.int64)
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """Lines with a word: doc_id, line number from 0, sorted hashes of distinct tokens."""
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "words"))
-    words = F.array_remove(F.split("words", r"[\x09-\x0D\x20]+"), "")
-    tokens = F.sort_array(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w))))
-    return lines.select("doc_id", "line", tokens.alias("tokens")).filter(F.size("tokens") > 0)
+    def rows(doc_id, line, name, part, raw):
+        return pa.record_batch(
+            {
+                "doc_id": pa.array(doc_id, pa.int64(), mask=doc_id == NULL_ID),
+                "line": pa.array(line, pa.int32()),
+                "class": pa.array(name, pa.int64()),
+                "part": pa.array(part, pa.int32()),
+                "counts": pa.array(raw, pa.binary()),
+            }
+        )
 
+    for batch in batches:
+        for piece in w.slices(batch, "text"):
+            lines = Lines(piece)
+            at = (lines.tokens >> _COUNTER_BITS).astype(np.int64)
+            counts += np.bincount(at, minlength=COUNTERS)
+            none = [None] * len(lines)
+            yield rows(lines.doc_id, lines.number, lines.classes(), none, none)
+    if counts.any():
+        pieces = [p.tobytes() for p in counts.reshape(PARTS, -1).astype(np.uint32)]
+        zero = np.zeros(PARTS, np.int64)
+        yield rows(zero, zero, zero, np.arange(PARTS), pieces)
 
-def _levels(lines: DataFrame) -> Column:
-    """Per counter the logarithm of how many tokens it counts, as a constant array.
 
-    The driver gets one row per counter, whatever the input.
-    """
-    counts = (
-        lines.select(F.explode("tokens").alias("token"))
-        .groupBy(F.col("token").bitwiseAND(COUNTERS - 1).cast("int").alias("counter"))
-        .agg(F.floor(F.log2(F.count(F.lit(1)))).cast("int").alias("level"))
-        .collect()
-    )
-    level = dict.fromkeys(range(COUNTERS), 0) | {r["counter"]: r["level"] for r in counts}
-    return F.split(F.lit(",".join(map(str, level.values()))), ",").cast("array<bigint>")
+def _levels(survey: DataFrame) -> np.ndarray:
+    """Per counter the logarithm of how many tokens it counts, in quarters."""
 
+    def add(key, table):
+        total = sum(np.frombuffer(x.as_py(), np.uint32).astype(np.int64) for x in table["counts"])
+        return pa.table({"part": table["part"][:1], "counts": pa.array([total.tobytes()])})
 
-def _need(n: Column, m: Column, overlap: Column, percent: int) -> Column:
-    """Two sets of n and m tokens with this overlap reach the similarity."""
-    return overlap * (100 + percent) >= percent * (n + m)
+    pieces = survey.filter("part IS NOT NULL").select("part", "counts")
+    sums = pieces.groupBy("part").applyInArrow(add, "part int, counts binary").toArrow()
+    counts = np.zeros((PARTS, COUNTERS // PARTS), np.int64)
+    for part, raw in zip(sums["part"].to_pylist(), sums["counts"], strict=True):
+        counts[part] = np.frombuffer(raw.as_py(), np.int64)
+    return (4 * np.log2(np.maximum(counts.ravel(), 1))).astype(np.uint8)
 
 
-def _postings(lines: DataFrame, hot: DataFrame, percent: int) -> DataFrame:
-    """A row per line and token of its prefix, rarest tokens first.
+_POSTING = ["bucket", "token", "doc_id", "line", "n", "pos", "bits", "name"]
+_KINDS = [np.uint32, np.int64, np.int32, np.uint32, np.uint32, np.uint64, np.int64]
 
-    Two linked lines have a token of both prefixes in common. Sets of up to
-    three tokens link with equal ones only (above three quarters).
+
+def _postings(levels, percent: int):
+    """Per slice and bucket the rarest tokens of lines, of which linked ones share one.
+
+    Of the lines of a slice with one set only the first is sent. Sets of a few
+    tokens link with equal ones alone and are left out.
     """
-    levels = _levels(lines)
-    own = lines.withColumns({"n": F.size("tokens"), "class": F.xxhash64("tokens")})
-    own = own.join(hot, "class", "left").filter(
-        F.col("first").isNull() | (F.col("first") == F.struct("doc_id", "line"))
-    )
     smallest = -(-percent // (100 - percent))
-    own = own.filter(F.col("n") >= smallest)
-    ranked = F.transform(
-        "tokens",
-        lambda t: F.shiftleft(
-            F.element_at(levels, (t.bitwiseAND(COUNTERS - 1) + 1).cast("int")), 57
-        ).bitwiseOR(F.shiftrightunsigned(t, 7)),
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in w.slices(batch, "text"):
+                lines = Lines(piece, levels.value)
+                classes = lines.classes()
+                place = np.lexsort((lines.number, lines.doc_id))
+                _, once = np.unique(classes[place], return_index=True)
+                chosen = np.zeros(len(lines), bool)
+                chosen[place[once]] = True
+                chosen &= lines.size >= smallest
+                pos = np.arange(len(lines.of)) - lines.first[lines.of]
+                prefix = lines.size - -(-percent * lines.size // 100) + 1
+                sent = np.flatnonzero(chosen[lines.of] & (pos < prefix[lines.of]))
+                of, tokens = lines.of[sent], lines.tokens[sent]
+                bucket = tokens >> np.uint64(64 - BUCKET_BITS)
+                order = np.argsort(bucket, kind="stable")
+                of, tokens, bucket = of[order], tokens[order], bucket[order]
+                columns = [
+                    tokens & np.uint64(0xFFFFFFFF), lines.doc_id[of], lines.number[of],
+                    lines.size[of], pos[sent][order], lines.bits()[of], classes[of],
+                ]
+                columns = [c.astype(k) for c, k in zip(columns, _KINDS, strict=True)]
+                cuts = np.searchsorted(bucket, np.arange((1 << BUCKET_BITS) + 1))
+                rows = [
+                    (k, *[c[a:b] for c in columns])
+                    for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))
+                    if a < b
+                ]
+                if rows:
+                    yield _blobs(_POSTING, rows)
+
+    return run
+
+
+_FOUND = (
+    "name long, other long, token long, rank long, doc_id long, line int, "
+    "n long, pos long, bits long, open boolean"
+)
+
+
+def _common(a: dict, b: dict, percent: int) -> np.ndarray:
+    """Most tokens pairs of lines can share, or 0 if that or their sizes won't do.
+
+    Length, positional and bitmap filters.
+    """
+    na, nb = a["n"].astype(np.int64), b["n"].astype(np.int64)
+    left = np.minimum(na - a["pos"], nb - b["pos"])
+    misses_a = np.bitwise_count(a["bits"] & ~b["bits"])
+    misses_b = np.bitwise_count(b["bits"] & ~a["bits"])
+    common = np.minimum(left, np.minimum(na - misses_a, nb - misses_b))
+    sizes = 100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)
+    return np.where(sizes & (common * (100 + percent) >= percent * (na + nb)), common, 0)
+
+
+def _first_of_each(seat: dict) -> dict:
+    """Of lines with one set the first stands for all; in order of token and place."""
+    order = np.lexsort((seat["line"], seat["doc_id"], seat["name"], seat["token"]))
+    token, name = seat["token"][order], seat["name"][order]
+    once = np.ones(len(order), bool)
+    once[1:] = (token[1:] != token[:-1]) | (name[1:] != name[:-1])
+    seat = {k: v[order[once]] for k, v in seat.items()}
+    order = np.lexsort((seat["line"], seat["doc_id"], seat["token"]))
+    return {k: v[order] for k, v in seat.items()}
+
+
+def _meet(table: pa.Table, percent: int, reach: int) -> pa.Table:
+    """Pairs of a bucket to verify, and the places of tokens for which that may not do.
+
+    Every line is compared with the ``reach`` lines before it that have the
+    same token. Of those that pass the filters, the one that may have most in
+    common is told, and the first line of all where there are more than
+    ``reach``. A line with further ones is open; of the tokens of open lines
+    every place is told as well (other is null). Lines go by the names of their
+    sets, for each of which its first line stands.
+    """
+    seat = _first_of_each(
+        {
+            name: np.concatenate([np.frombuffer(x.as_py(), kind) for x in table[name]])
+            for name, kind in zip(_POSTING[1:], _KINDS, strict=True)
+        }
     )
-    one = F.lit(1).cast("long")
-    bits = F.aggregate(
-        "tokens",
-        F.lit(0).cast("long"),
-        lambda a, t: a.bitwiseOR(
-            F.call_function(
-                "shiftleft", one, F.shiftrightunsigned(t, 20).bitwiseAND(63).cast("int")
-            )
-        ),
+    new = np.ones(len(seat["token"]), bool)
+    new[1:] = seat["token"][1:] != seat["token"][:-1]
+    starts = np.flatnonzero(new)
+    group = np.cumsum(new) - 1
+    rank = np.arange(len(new)) - starts[group]
+
+    def taken(at):
+        return {k: v[at] for k, v in seat.items()}
+
+    found = np.zeros(len(new), np.int64)
+    most, best = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
+    later = np.arange(len(new))
+    for back in range(1, reach + 1):
+        later = later[rank[later] >= back]
+        if not len(later):
+            break
+        common = _common(taken(later), taken(later - back), percent)
+        a, common = later[common > 0], common[common > 0]
+        found[a] += 1
+        more = common > most[a]
+        most[a[more]], best[a[more]] = common[more], a[more] - back
+    far = np.flatnonzero(rank > reach)
+    first = _common(taken(far), taken(starts[group[far]]), percent) > 0
+    some = np.flatnonzero(found)
+    a = np.concatenate([some, far[first]])
+    b = np.concatenate([best[some], starts[group[far[first]]]])
+    # Lines at one place of repeated documents are no match for each other.
+    apart = (seat["doc_id"][a] != seat["doc_id"][b]) | (seat["line"][a] != seat["line"][b])
+    name, other = seat["name"][a[apart]], seat["name"][b[apart]]
+    order = np.lexsort((other, name))
+    name, other = name[order], other[order]
+    once = np.ones(len(order), bool)
+    once[1:] = (name[1:] != name[:-1]) | (other[1:] != other[:-1])
+    name, other = name[once], other[once]
+    open_ = (found > 1) | (rank > reach)
+    crowd = np.flatnonzero(np.bitwise_or.reduceat(open_, starts)[group] if len(new) else new)
+    own = taken(crowd)
+    bucket = table["bucket"][0].as_py()
+
+    def column(first, second, kind):
+        return pa.concat_arrays([pa.array(first, kind), pa.array(second, kind)])
+
+    no_pair, no_place = [None] * len(crowd), [None] * len(name)
+    place = {
+        "token": own["token"].astype(np.int64) + (bucket << 32),
+        "rank": rank[crowd],
+        "doc_id": own["doc_id"],
+        "line": own["line"].astype(np.int64),
+        "n": own["n"].astype(np.int64),
+        "pos": own["pos"].astype(np.int64),
+        "bits": own["bits"].view(np.int64),
+        "open": open_[crowd],
+    }
+    kinds = {"line": pa.int32(), "open": pa.bool_()}
+    return pa.table(
+        {
+            "name": column(name, own["name"], pa.int64()),
+            "other": column(other, no_pair, pa.int64()),
+            **{k: column(no_place, v, kinds.get(k, pa.int64())) for k, v in place.items()},
+        }
     )
-    length = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1
-    return own.select(
-        "doc_id", "line", "n", bits.alias("bits"),
-        F.posexplode(F.slice(F.sort_array(ranked), F.lit(1), length)).alias("pos", "token"),
-    )
 
 
-def _can_link(percent: int) -> Column:
-    """Length, positional and bitmap filters for the lines a and b of a pair."""
-    a, b = "a.{}".format, "b.{}".format
-    na, nb = F.col(a("n")), F.col(b("n"))
-    sizes = 100 * F.least(na, nb) >= percent * F.greatest(na, nb)
-    left = F.least(na - F.col(a("pos")), nb - F.col(b("pos")))
-    misses_a = F.bit_count(F.col(a("bits")).bitwiseAND(F.bitwise_not(F.col(b("bits")))))
-    misses_b = F.bit_count(F.col(b("bits")).bitwiseAND(F.bitwise_not(F.col(a("bits")))))
-    common = F.least(left, na - misses_a, nb - misses_b)
-    return sizes & _need(na, nb, common, percent)
+def _rest(places: DataFrame, near: DataFrame, percent: int) -> DataFrame:
+    """Open lines that are still there with all those before them that pass the filters."""
 
+    columns = ("name", "rank", "doc_id", "line", "n", "pos", "bits")
 
-def _candidates(postings: DataFrame, percent: int, reach: int) -> DataFrame:
-    """Pairs that pass the filters, and the places of tokens with more than ``reach`` lines.
+    def side(df, name):
+        return df.select("token", *[F.col(c).alias(f"{name}_{c}") for c in columns])
 
-    Every line is paired with the ``reach`` lines before it that have the same
-    token, and with the first. Where there are more, the rows (b is null) say
-    who is there, for whom these did not settle.
-    """
-    by = Window.partitionBy("token").orderBy("doc_id", "line")
-    seat = F.struct(*_SEAT)
-    near = F.collect_list(seat).over(by.rowsBetween(-reach, -1))
-    placed = postings.select(
-        "token",
-        seat.alias("a"),
-        near.alias("near"),
-        (F.row_number().over(by) - 1).alias("rank"),
-        F.first(seat).over(by).alias("leader"),
-        F.count(F.lit(1)).over(Window.partitionBy("token")).alias("all"),
-    )
-    none = F.array().cast(placed.schema["near"].dataType)
-    leader = F.when(F.col("rank") > reach, F.array("leader")).otherwise(none)
-    self_ = F.when(
-        F.col("all") > reach + 1, F.array(F.lit(None).cast(placed.schema["leader"].dataType))
-    ).otherwise(none)
-    pairs = placed.filter("all > 1").select(
-        "token", "rank", "a", F.explode(F.concat("near", leader, self_)).alias("b")
-    )
-    return pairs.filter(F.col("b").isNull() | _can_link(percent))
+    open_ = places.filter("open").join(near, "name", "left_anti")
+    both = side(open_, "a").join(side(places, "b"), "token")
+    na, nb = F.col("a_n"), F.col("b_n")
+    left = F.least(na - F.col("a_pos"), nb - F.col("b_pos"))
 
+    def misses(x, y):
+        return F.bit_count(F.col(f"{x}_bits").bitwiseAND(F.bitwise_not(F.col(f"{y}_bits"))))
 
-def _distinct_pairs(pairs: DataFrame) -> DataFrame:
-    return pairs.select(
-        F.col("a.doc_id").alias("doc_id"),
-        F.col("a.line").alias("line"),
-        F.col("b.doc_id").alias("other_doc"),
-        F.col("b.line").alias("other_line"),
-    ).distinct()
+    common = F.least(left, na - misses("a", "b"), nb - misses("b", "a"))
+    return both.filter(
+        (F.col("b_rank") < F.col("a_rank"))
+        & ((F.col("a_doc_id") != F.col("b_doc_id")) | (F.col("a_line") != F.col("b_line")))
+        & (100 * F.least(na, nb) >= percent * F.greatest(na, nb))
+        & (common * (100 + percent) >= percent * (na + nb))
+    ).select(F.col("a_name").alias("name"), F.col("b_name").alias("other"))
 
 
-def _filtered(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Lines of which a small bitmap says that they may be wanted, and the other way never."""
+def _slots(names: np.ndarray, bits: int) -> np.ndarray:
+    return (w.mix(names.view(np.uint64), 3) >> np.uint64(64 - bits)).astype(np.int64)
 
-    def at(doc: str, line: str) -> Column:
-        return F.xxhash64(doc, line).bitwiseAND(FILTER_BITS - 1)
 
-    words = (
-        wanted.select(at("doc_id", "line").alias("h"))
-        .groupBy(F.shiftright("h", 6).alias("word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("bits"))
-    )
-    every = lines.sparkSession.range(FILTER_BITS // 64).join(
-        words, F.col("id") == F.col("word"), "left"
+def _bitmap(ends: DataFrame, count: int) -> tuple[int, np.ndarray]:
+    """A bitmap of hashed names of sets, sixteen bits for each up to MOST_BITS in all."""
+    bits = min(MOST_BITS, max(10, (16 * count).bit_length()))
+
+    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = _slots(batch["name"].to_numpy(), bits)
+            yield pa.record_batch({"word": pa.array(at >> 6), "bit": pa.array(at & 63)})
+
+    found = (
+        ends.mapInArrow(tidy(slots), "word long, bit long")
+        .groupBy("word")
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit as int))")).alias("bits"))
+        .toArrow()
     )
-    entry = F.struct("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
-    bitmap = every.agg(F.sort_array(F.collect_list(entry))["bits"].alias("bitmap")).scalar()
-    h = at("doc_id", "line")
-    word = F.element_at(bitmap, (F.shiftright(h, 6) + 1).cast("int"))
-    bit = F.call_function("shiftright", word, h.bitwiseAND(63).cast("int")).bitwiseAND(1)
-    return lines.filter(bit == 1)
+    bitmap = np.zeros(1 << (bits - 6), np.int64)
+    bitmap[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return bits, bitmap.view(np.uint64)
+
+
+def _sets(wanted):
+    """Sets of the lines that the bitmap lets pass, each once per slice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, bitmap = wanted.value
+        for batch in batches:
+            for piece in w.slices(batch, "text"):
+                lines = Lines(piece)
+                names, once = np.unique(lines.classes(), return_index=True)
+                at = _slots(names, bits)
+                hit = ((bitmap[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)) == 1
+                names, once = names[hit], once[hit]
+                spans = zip(lines.first[once], lines.first[once] + lines.size[once], strict=True)
+                yield pa.record_batch(
+                    {
+                        "name": pa.array(names),
+                        "tokens": pa.array(
+                            [lines.tokens[a:b].tobytes() for a, b in spans], pa.binary()
+                        ),
+                    }
+                )
+
+    return run
+
+
+def _verify(pairs: pa.Table, sets: pa.Table, percent: int) -> pa.Table:
+    """Later lines of a block's pairs that reach the similarity."""
+    named = zip(sets["name"].to_pylist(), sets["tokens"], strict=True)
+    tokens = {name: np.frombuffer(raw.as_py(), np.uint64) for name, raw in named}
+    done = set()
+    for name, other in zip(pairs["name"].to_pylist(), pairs["other"].to_pylist(), strict=True):
+        if name not in done:
+            a, b = tokens[name], tokens[other]
+            both = np.concatenate([a, b])
+            both.sort()
+            common = int(np.count_nonzero(both[1:] == both[:-1]))
+            if common * (100 + percent) >= percent * (len(a) + len(b)):
+                done.add(name)
+    return pa.table({"name": pa.array(list(done), pa.int64())})
 
 
 def _verified(
-    lines: DataFrame, pairs: DataFrame, workspace: Workspace, percent: int
+    docs: DataFrame, pairs: DataFrame, workspace: Workspace, percent: int
 ) -> DataFrame:
-    """The later lines of pairs whose Jaccard similarity reaches ``percent``."""
-    pairs = workspace.store(pairs, "pairs")
-    ends = pairs.select("doc_id", "line").unionByName(
-        pairs.select(F.col("other_doc").alias("doc_id"), F.col("other_line").alias("line"))
-    )
-    wanted = workspace.store(ends.distinct(), "ends")
-    texts = _filtered(lines, wanted).join(wanted, ["doc_id", "line"], "left_semi")
-    texts = workspace.store(texts.dropDuplicates(["doc_id", "line"]), "texts")
-    other = texts.select(
-        F.col("doc_id").alias("other_doc"), F.col("line").alias("other_line"),
-        F.col("tokens").alias("other"),
-    )
-    both = pairs.join(texts, ["doc_id", "line"]).join(other, ["other_doc", "other_line"])
-    common = F.size(F.array_intersect("tokens", "other"))
+    """The later lines of pairs whose Jaccard similarity reaches ``percent``.
+
+    Pairs that hang together form a block, which gets each of its sets once.
+    """
+    spark = docs.sparkSession
+    pairs = workspace.store(pairs.distinct(), "pairs")
+    ends = pairs.select("name").unionByName(pairs.select(F.col("other").alias("name")))
+    ends = workspace.store(ends.distinct(), "ends")
+    chosen = spark.sparkContext.broadcast(_bitmap(ends, ends.count()))
+    edges = pairs.select(F.col("name").alias("a"), F.col("other").alias("b"))
+    blocks = workspace.store(connected_components(edges, workspace), "blocks")
+    small = blocks.count() <= MOST_KNOWN
+
+    def by_block(df: DataFrame, block: str) -> DataFrame:
+        own = blocks.select(F.col("node").alias("name"), F.col("root").alias(block))
+        return df.join(F.broadcast(own) if small else own, "name")
+
+    sets = docs.mapInArrow(tidy(_sets(chosen)), "name long, tokens binary")
     return (
-        both.filter(_need(F.size("tokens"), F.size("other"), common, percent))
-        .select("doc_id", "line")
-        .distinct()
+        by_block(pairs, "y")
+        .groupBy("y")
+        .cogroup(by_block(sets, "x").groupBy("x"))
+        .applyInArrow(lambda left, right: _verify(left, right, percent), "name long")
     )
 
 
 def repeated_lines(
-    docs: DataFrame,
-    workspace: Workspace,
-    percent: int = PERCENT,
-    reach: int = REACH,
-    copies: int = COPIES,
+    docs: DataFrame, workspace: Workspace, percent: int = PERCENT, reach: int = REACH
 ) -> DataFrame:
     """Lines to remove, of all lines with a word: doc_id, line, exact, near.
 
@@ -198,48 +415,46 @@ def repeated_lines(
 
     Null texts have no lines. Rows of one doc_id are one document; lines at
     one place of it are no match for each other. An empty table gives no rows.
+
+    Words are counted over all documents; a line's prefix are its rarest
+    words, of which it must share one with any match. Lines meet by those, pass
+    length, positional and bitmap filters, and are verified on their whole sets.
     """
+    bound_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    lines = workspace.store(_lines(docs), "lines")
-    named = lines.select("doc_id", "line", F.xxhash64("tokens").alias("class"))
-    firsts = workspace.store(
-        named.groupBy("class").agg(
-            F.min(F.struct("doc_id", "line")).alias("first"), F.count(F.lit(1)).alias("rows")
+    survey = workspace.store(
+        docs.mapInArrow(
+            tidy(_survey), "doc_id long, line int, class long, part int, counts binary"
         ),
-        "firsts",
-    )
-    # Stored, its size tells Spark how to join it.
-    hot = workspace.store(
-        firsts.filter(F.col("rows") > copies).select("class", "first"), "hot"
-    )
-    found = workspace.store(_candidates(_postings(lines, hot, percent), percent, reach), "found")
-    near = _verified(
-        lines, _distinct_pairs(found.filter("b IS NOT NULL")), workspace, percent
+        "survey",
     )
-    near = workspace.store(near, "near")
-    # Places too crowded for that: lines that are still there meet all before.
-    places = found.filter("b IS NULL").select("token", "rank", "a")
-    open_ = (
-        places.filter(F.col("rank") > reach + 1)
-        .withColumns({"doc_id": F.col("a.doc_id"), "line": F.col("a.line")})
-        .join(near, ["doc_id", "line"], "left_anti")
-        .select("token", "rank", "a")
+    levels = docs.sparkSession.sparkContext.broadcast(_levels(survey))
+    found = (
+        docs.mapInArrow(
+            tidy(_postings(levels, percent)),
+            "bucket int, " + ", ".join(f"{c} binary" for c in _POSTING[1:]),
+        )
+        .groupBy("bucket")
+        .applyInArrow(lambda key, table: _meet(table, percent, reach), _FOUND)
     )
-    before = places.select("token", F.col("rank").alias("earlier"), F.col("a").alias("b"))
-    rest = open_.join(before, "token").filter(
-        (F.col("earlier") > 0) & (F.col("earlier") < F.col("rank") - reach) & _can_link(percent)
+    found = workspace.store(found, "found")
+    pairs = found.filter("other IS NOT NULL").select("name", "other")
+    near = workspace.store(_verified(docs, pairs, workspace, percent), "near")
+    # Lines with more candidates than were verified, if they are still there.
+    rest = workspace.store(
+        _rest(found.filter("other IS NULL"), near, percent).distinct(), "rest"
     )
-    late = _verified(lines, _distinct_pairs(rest), workspace, percent)
-    near = near.unionByName(late).withColumn("near", F.lit(True))
+    if not rest.isEmpty():
+        near = near.unionByName(_verified(docs, rest, workspace, percent))
+    near = near.distinct().select(F.col("name").alias("class"), F.lit(True).alias("hit"))
+    named = survey.filter("part IS NULL").select("doc_id", "line", "class")
+    firsts = named.groupBy("class").agg(F.min(F.struct("doc_id", "line")).alias("first"))
     same = F.col("first") < F.struct("doc_id", "line")
-    return (
-        named.join(firsts.select("class", "first"), "class")
-        .join(near.alias("n"), ["doc_id", "line"], "left")
-        .select(
-            "doc_id", "line", same.alias("exact"),
-            (~same & F.coalesce("near", F.lit(False))).alias("near"),
-        )
-    )
+    sets = firsts.join(near, "class", "left")
+    return named.join(sets, "class").select(
+        "doc_id", "line", same.alias("exact"),
+        (~same & F.coalesce("hit", F.lit(False))).alias("near"),
+    )
 
 
 def summary(lines: DataFrame) -> DataFrame:
