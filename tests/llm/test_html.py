@@ -77,3 +77,28 @@ def test_smoothing_and_threshold():
     assert h.smoothed([1.0] * 5) == pytest.approx([1.0] * 5)
     assert h.threshold([1, 2, 1, 100, 90]) == pytest.approx((4 / 3 + 95) / 2)
     assert h.threshold([3, 3]) == 3
+
+
+def lengths(*sizes):
+    return [("word " * 600)[: n - 1] + "." for n in sizes]
+
+
+@pytest.mark.parametrize(
+    "sizes",
+    [
+        (20, 60, 300, 300, 300, 60),
+        (30, 120, 150, 140, 130, 2500, 140, 150, 120),
+        (40, 200, 260, 240, 900, 850, 230, 210, 190),
+    ],
+)
+def test_regions_keep_short_and_long_lines(sizes):
+    first, *rest = lengths(*sizes)
+    story = f"<h2>{first}</h2>" + "".join(f"<p>{t}</p>" for t in rest)
+    links = "<div><ul>" + "<li><a href=z>More</a></li>" * 8 + "</ul></div>"
+    pages = [
+        f"<body>{AROUND}<div class=story>{story}</div>{BEHIND}",
+        f"<body>{links}<div><div class=story>{story}</div></div>{links}",
+        f"<body><div class=top><a href=x>Home</a></div>{story}<a href=z>More</a>",
+    ]
+    for page in pages:
+        assert h.main_text(page).split("\n") == [first, *rest]

@@ -16,14 +16,14 @@ FIELDS = "text string, n_chars long"
 
 #: Lines on either side that smooth a line's ratio, and the width of the bell.
 RADIUS, SIGMA = 2, 1.0
-#: An element is left for its child if the child has this share of its content.
-DESCEND = 0.7
 
 # Elements whose text is never part of an article.
 _SILENT = frozenset(
     "head title script style noscript template svg canvas iframe object select option "
     "button textarea input dialog datalist".split()
 )
+# Elements that end a link left open.
+_CLOSES_LINKS = frozenset("p li tr td".split())
 _BOILERPLATE = frozenset("nav footer aside form menu".split())
 _MAIN = frozenset("article main".split())
 _VOID = frozenset(
@@ -38,6 +38,9 @@ _LINES = _BOXES | frozenset(
     "p h1 h2 h3 h4 h5 h6 li dt dd tr th pre hr br address figcaption caption summary "
     "legend option thead tbody tfoot address hgroup".split()
 )
+# Boxes judged as a whole; rows, cells and parts of a list go with what they are in.
+_LAYOUT = frozenset("div section center header ul ol dl table".split())
+_WHOLE = frozenset("table ul ol dl blockquote figure details".split())
 # Words in class, id and role that mark what surrounds an article.
 _AROUND = frozenset(
     "ad ads adbox adslot advert adverts advertisement advertising banner sponsor sponsored "
@@ -56,14 +59,20 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 @dataclass
 class Box:
-    """An element that holds lines: how far to trust it, and its content's size."""
+    """An element that holds lines: how far to trust it, and its content's size.
+
+    ``named`` boxes are boilerplate by their class, id or role alone, ``sure``
+    ones by more; ``dropped`` and ``main`` follow from the boxes around.
+    """
 
     tag: str
     parent: Box | None
-    dropped: bool
-    comments: bool
-    main: bool
-    lines: int = 0
+    sure: bool = False
+    named: bool = False
+    comments: bool = False
+    header: bool = False
+    dropped: bool = False
+    main: bool = False
     mass: int = 0
 
 
@@ -71,19 +80,36 @@ class Box:
 class Line:
     text: str
     tags: int
+    linked: int
     box: Box
 
+    @property
+    def links(self) -> bool:
+        """Whether most of the line is text of links."""
+        return 2 * self.linked > len(self.text)
+
+
+def _names(attrs: list[tuple[str, str | None]]) -> list[set[str]]:
+    """The words of every name in class, id and role."""
+    return [
+        {w.lower() for w in _WORD.findall(part)}
+        for name, value in attrs
+        if name in ("class", "id", "role") and value
+        for part in value.split()
+    ]
+
+
+def _marked(names: list[set[str]], words: frozenset[str]) -> bool:
+    return any(n & words for n in names)
+
 
-def _marks(attrs: list[tuple[str, str | None]]) -> set[str]:
-    words: set[str] = set()
-    for name, value in attrs:
-        if name in ("class", "id", "role") and value:
-            words.update(w.lower() for w in _WORD.findall(value))
-        elif name == "hidden" or (name == "aria-hidden" and value == "true"):
-            words.add("hidden")
-        elif name == "style" and value and "display:none" in value.replace(" ", "").lower():
-            words.add("hidden")
-    return words
+def _hidden(attrs: list[tuple[str, str | None]]) -> bool:
+    return any(
+        name == "hidden"
+        or (name == "aria-hidden" and value == "true")
+        or (name == "style" and "display:none" in (value or "").replace(" ", "").lower())
+        for name, value in attrs
+    )
 
 
 class LineParser(HTMLParser):
@@ -94,18 +120,21 @@ class LineParser(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        root = Box("", None, False, False, False)
+        root = Box("", None)
         self.box, self.boxes = root, [root]
         self.lines: list[Line] = []
         self.text: list[str] = []
-        self.tags = 0
+        self.tags, self.anchors = 0, False
+        self.linked: list[str] = []
         self.silent: list[str] = []
 
     def end_line(self) -> None:
         text = " ".join("".join(self.text).split())
+        linked = len(" ".join("".join(self.linked).split()))
         self.text.clear()
+        self.linked.clear()
         if text:
-            self.lines.append(Line(text, self.tags, self.box))
+            self.lines.append(Line(text, self.tags, linked, self.box))
             self.tags = 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -121,6 +150,8 @@ class LineParser(HTMLParser):
             if tag not in _VOID:
                 self.silent.append(tag)
             return
+        if tag == "a" or tag in _CLOSES_LINKS:
+            self.anchors = tag == "a" and any(name == "href" for name, _ in attrs)
         if tag not in _LINES:
             return
         self.end_line()
@@ -128,20 +159,14 @@ class LineParser(HTMLParser):
             self._open(tag, attrs)
 
     def _open(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        above, marks = self.box, _marks(attrs)
-        comments = above.comments or bool(marks & _COMMENTS)
-        around = (
-            tag in _BOILERPLATE
-            or bool(marks & _AROUND)
-            or (not above.main and (tag == "header" or bool(marks & _HEADER)))
-        )
-        main = tag in _MAIN and not comments and not marks & _AROUND
+        names = _names(attrs)
         self.box = Box(
             tag,
-            above,
-            comments or ((above.dropped or around) and not main),
-            comments,
-            main or (above.main and not around),
+            self.box,
+            sure=tag in _BOILERPLATE or _hidden(attrs),
+            named=_marked(names, _AROUND),
+            comments=self.box.comments or _marked(names, _COMMENTS),
+            header=tag == "header" or _marked(names, _HEADER),
         )
         self.boxes.append(self.box)
 
@@ -156,6 +181,8 @@ class LineParser(HTMLParser):
             if tag == self.silent[-1]:
                 self.silent.pop()
             return
+        if tag == "a" or tag in _BOXES:
+            self.anchors = False
         if tag not in _LINES:
             return
         self.end_line()
@@ -168,6 +195,8 @@ class LineParser(HTMLParser):
     def handle_data(self, data: str) -> None:
         if not self.silent:
             self.text.append(data)
+            if self.anchors:
+                self.linked.append(data)
 
     def run(self, html: str) -> list[Line]:
         while True:
@@ -209,74 +238,116 @@ def threshold(values: list[float]) -> float:
     return (low + high) / 2
 
 
-def _weigh(boxes: list[Box], lines: list[Line], content: list[bool]) -> None:
-    """Give every box the content in it; boxes come after the ones around them."""
-    for line, good in zip(lines, content, strict=True):
-        line.box.lines += 1
-        line.box.mass += len(line.text) * good
+def _weigh(boxes: list[Box], lines: list[tuple[Line, int]]) -> None:
+    """Give every box the weight of the lines in it; boxes come after the ones around them."""
+    for box in boxes:
+        box.mass = 0
+    for line, weight in lines:
+        line.box.mass += weight
     for box in reversed(boxes):
         if box.parent is not None:
-            box.parent.lines += box.lines
             box.parent.mass += box.mass
 
 
-def _within(boxes: list[Box], region: Box) -> set[int]:
-    """Identities of the region and all boxes in it."""
-    inside = {id(region)}
+def _judge(boxes: list[Box]) -> None:
+    """Say which boxes are dropped and which are of an article; parents come first."""
+    for box in boxes[1:]:
+        above = box.parent
+        around = box.sure or box.named or (box.header and not above.main)
+        main = box.tag in _MAIN and not (box.comments or box.sure or box.named)
+        box.dropped = box.comments or ((above.dropped or around) and not main)
+        box.main = main or (above.main and not around)
+
+
+def _within(boxes: list[Box], regions: list[Box]) -> set[int]:
+    """Identities of the regions and all boxes in them."""
+    inside = {id(b) for b in regions}
     for box in boxes:
         if id(box.parent) in inside:
             inside.add(id(box))
     return inside
 
 
-def _innermost(boxes: list[Box]) -> Box:
-    """From the root down, as long as one child has nearly all of the content."""
-    best: dict[int, Box] = {}
-    for box in boxes[1:]:
-        other = best.get(id(box.parent))
-        if not box.dropped and (other is None or box.mass > other.mass):
-            best[id(box.parent)] = box
-    region = boxes[0]
-    while True:
-        child = best.get(id(region))
-        if child is None or not child.mass or child.mass < DESCEND * region.mass:
-            return region
-        region = child
+def _innermost(boxes: list[Box], start: int, tags: frozenset[str] | None = None) -> Box:
+    """From a box down, as long as one box in it, of ``tags`` if given, has all its content.
+
+    What is in a box follows it without a gap.
+    """
+    region = boxes[start]
+    inside = {id(region)}
+    for k in range(start + 1, len(boxes)):
+        box = boxes[k]
+        if id(box.parent) not in inside:
+            break
+        inside.add(id(box))
+        if region.mass and box.mass == region.mass and (tags is None or box.tag in tags):
+            region, inside = box, {id(box)}
+    return region
+
+
+def _articles(boxes: list[Box]) -> list[Box]:
+    """The outermost article and main elements that have content."""
+    out, inside = [], set()
+    for k, box in enumerate(boxes):
+        if id(box.parent) in inside:
+            inside.add(id(box))
+        elif box.tag in _MAIN and box.main and not box.dropped and box.mass:
+            inside.add(id(box))
+            out.append(_innermost(boxes, k, _MAIN))
+    return out
+
+
+def _link_blocks(boxes: list[Box], region: Box) -> set[int]:
+    """Boxes of a region that hold nothing but lines of links."""
+    empty, whole = set(), set()
+    for box in boxes:
+        if id(box.parent) in empty:
+            empty.add(id(box))
+        elif box is not region and id(box.parent) not in whole and box.tag in _LAYOUT:
+            if not box.mass:
+                empty.add(id(box))
+        if box.tag in _WHOLE or id(box.parent) in whole:
+            whole.add(id(box))
+    return empty
 
 
 def main_text(html: str | None) -> str:
     """The article of a page: its blocks in order, one per line.
 
     Lines end at block elements and line breaks. A line's ratio is its length
-    by the tags in and before it; ratios are smoothed and split in two clusters,
-    and the lines of the upper one are content. The region is the article or
-    main element with most content, or else the innermost element that holds
-    nearly all of it; of the latter, what stands before the first and behind
-    the last line of content goes. Elements known to stand around articles
-    (menus, notices, adverts, forms, comments) are dropped anywhere.
+    by the tags in and before it; ratios are smoothed and split in two clusters.
+    A line is content if its ratio and the smoothed one are in the upper, or if it is
+    not mostly links, so short lines beside long ones are never lost. The
+    region is the article or main element with most content, and all of its
+    lines stay; without one, it is the innermost element that holds all content,
+    and of its lines only blocks of links go, and lines of links at its ends.
+    Elements known to stand around articles (menus, notices, adverts, forms,
+    comments) are dropped anywhere.
     """
     if not html:
         return ""
     parser = LineParser()
-    lines = [x for x in parser.run(html) if not x.box.dropped]
+    every, boxes = parser.run(html), parser.boxes
+    _judge(boxes)
+    lines = [x for x in every if not x.box.dropped]
     if not lines:
         return ""
-    ratios = smoothed([len(x.text) / max(1, x.tags) for x in lines])
+    own = [len(x.text) / max(1, x.tags) for x in lines]
+    ratios = smoothed(own)
     least = threshold(ratios)
-    content = [r >= least for r in ratios]
-    _weigh(parser.boxes, lines, content)
-    marked = [b for b in parser.boxes if b.tag in _MAIN and b.main and not b.dropped and b.lines]
-    if marked:
-        most = max(b.mass for b in marked)
-        region = [b for b in marked if b.mass >= most][-1]
-    else:
-        region = _innermost(parser.boxes)
-    inside = _within(parser.boxes, region)
+    content = [
+        min(r, o) >= least or not x.links for x, r, o in zip(lines, ratios, own, strict=True)
+    ]
+    _weigh(boxes, [(x, len(x.text) * good) for x, good in zip(lines, content, strict=True)])
+    regions = _articles(boxes)
+    if regions:
+        inside = _within(boxes, [max(regions, key=lambda b: b.mass)])
+        return "\n".join(x.text for x in lines if id(x.box) in inside)
+    region = _innermost(boxes, 0)
+    inside = _within(boxes, [region]) - _link_blocks(boxes, region)
     kept = [(x, good) for x, good in zip(lines, content, strict=True) if id(x.box) in inside]
-    if not marked:
-        edges = [k for k, (_, good) in enumerate(kept) if good]
-        kept = kept[edges[0] : edges[-1] + 1] if edges else []
-    return "\n".join(x.text for x, _ in kept)
+    edges = [k for k, (_, good) in enumerate(kept) if good]
+    return "\n".join(x.text for x, _ in kept[edges[0] : edges[-1] + 1]) if edges else ""
 
 
 def extract(column: pa.Array) -> dict[str, pa.Array]:
