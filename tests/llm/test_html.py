@@ -102,3 +102,39 @@ def test_regions_keep_short_and_long_lines(sizes):
     ]
     for page in pages:
         assert h.main_text(page).split("\n") == [first, *rest]
+
+
+def test_every_region_stays():
+    small, large = "<p>A few words.</p>", paragraphs(3)
+    both = ["A few words.", *expected(3)]
+    for page in (
+        f"<body><article>{small}</article><article>{large}</article>",
+        f"<body>{AROUND}<article>{small}</article>{BEHIND}<article>{large}</article>",
+        f"<body><section>{small}</section><section>{large}</section>",
+        f"<body><article>{small}</article><div>{large}</div>",
+        f"<body><main><article>{small}</article><article>{large}</article></main>",
+    ):
+        assert h.main_text(page).split("\n") == both
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body class='has-sidebar'><div>{}</div>",
+        "<body class=sidebar><div>{}</div>",
+        "<div class='content no-sidebar'>{}</div>",
+        "<div class=widget>{}</div>",
+        "<article><section id='legal-analysis'>{}</section></article>",
+        "<article><div class='search-results'>{}</div></article>",
+        "<head><meta charset=utf-8><div>{}</div>",
+        "<head><title>T</title>{}",
+        "<div><select><option>A<option>B</select>{}</div>",
+        "<div class=site-footer><p>&copy; site</p></div><div>{}</div>",
+    ],
+)
+def test_no_text_vanishes(page):
+    assert h.main_text(page.format(paragraphs(3))).split("\n") == expected(3)
+
+
+def test_text_in_an_open_head():
+    assert h.main_text("<head><meta charset=utf-8>Just text<p>more") == "Just text\nmore"

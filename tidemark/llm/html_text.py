@@ -22,8 +22,13 @@ _SILENT = frozenset(
     "head title script style noscript template svg canvas iframe object select option "
     "button textarea input dialog datalist".split()
 )
+# Elements of a head; the first other one ends it, closed or not.
+_HEAD = frozenset("head html title meta link base style script noscript template".split())
 # Elements that end a link left open.
 _CLOSES_LINKS = frozenset("p li tr td".split())
+# Elements that hold no blocks; a block ends them.
+_INLINE_SILENT = frozenset("select option datalist".split())
+_IN_LISTS = frozenset("option hr legend".split())
 _BOILERPLATE = frozenset("nav footer aside form menu".split())
 _MAIN = frozenset("article main".split())
 _VOID = frozenset(
@@ -41,7 +46,8 @@ _LINES = _BOXES | frozenset(
 # Boxes judged as a whole; rows, cells and parts of a list go with what they are in.
 _LAYOUT = frozenset("div section center header ul ol dl table".split())
 _WHOLE = frozenset("table ul ol dl blockquote figure details".split())
-# Words in class, id and role that mark what surrounds an article.
+# Names in class, id and role that mark what surrounds an article. A longer name
+# is one if it is made of these and of _PLACES only: "has-sidebar" is none.
 _AROUND = frozenset(
     "ad ads adbox adslot advert adverts advertisement advertising banner sponsor sponsored "
     "promo promoted promotion cookie cookies consent gdpr notice notices alert newsletter "
@@ -50,6 +56,10 @@ _AROUND = frozenset(
     "widget popup modal overlay pagination pager login search searchbox toolbar copyright "
     "legal disclaimer skip contentinfo complementary dialog hidden".split()
 )
+_PLACES = frozenset(
+    "site page global bar box block wrapper wrap container list links link section area top "
+    "bottom left right primary secondary inner outer item items buttons button form".split()
+)
 _COMMENTS = frozenset(
     "comment comments commentlist disqus discussion replies reply respond responses".split()
 )
@@ -100,7 +110,7 @@ def _names(attrs: list[tuple[str, str | None]]) -> list[set[str]]:
 
 
 def _marked(names: list[set[str]], words: frozenset[str]) -> bool:
-    return any(n & words for n in names)
+    return any(n & words and n <= words | _PLACES for n in names)
 
 
 def _hidden(attrs: list[tuple[str, str | None]]) -> bool:
@@ -140,11 +150,14 @@ class LineParser(HTMLParser):
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += tag not in _BOXES
         if self.silent:
-            if tag == self.silent[-1] and tag not in _VOID:
-                self.silent.append(tag)
-            if tag == "body":  # a head that was never closed
+            first, last = self.silent[0], self.silent[-1]
+            in_head = first in ("head", "title") and last in ("head", "title")
+            in_list = last in _INLINE_SILENT and tag in _LINES and tag not in _IN_LISTS
+            if tag == "body" or (in_head and tag not in _HEAD) or in_list:  # never closed
                 self.silent.clear()
             else:
+                if tag in _SILENT and tag not in _VOID:
+                    self.silent.append(tag)
                 return
         if tag in _SILENT:
             if tag not in _VOID:
@@ -159,11 +172,12 @@ class LineParser(HTMLParser):
             self._open(tag, attrs)
 
     def _open(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        names = _names(attrs)
+        page = tag in ("html", "body")
+        names = [] if page else _names(attrs)
         self.box = Box(
             tag,
             self.box,
-            sure=tag in _BOILERPLATE or _hidden(attrs),
+            sure=tag in _BOILERPLATE or (not page and _hidden(attrs)),
             named=_marked(names, _AROUND),
             comments=self.box.comments or _marked(names, _COMMENTS),
             header=tag == "header" or _marked(names, _HEADER),
@@ -178,8 +192,9 @@ class LineParser(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         self.tags += tag not in _BOXES
         if self.silent:
-            if tag == self.silent[-1]:
-                self.silent.pop()
+            if tag in self.silent:  # and with it what was not closed inside
+                while self.silent.pop() != tag:
+                    pass
             return
         if tag == "a" or tag in _BOXES:
             self.anchors = False
@@ -193,6 +208,8 @@ class LineParser(HTMLParser):
             self.box = box.parent
 
     def handle_data(self, data: str) -> None:
+        if self.silent == ["head"] and data.strip():
+            self.silent.clear()
         if not self.silent:
             self.text.append(data)
             if self.anchors:
@@ -259,6 +276,24 @@ def _judge(boxes: list[Box]) -> None:
         box.main = main or (above.main and not around)
 
 
+def _clear_names(boxes: list[Box], lines: list[Line]) -> bool:
+    """Trust no class name of a box with most of the text, unless articles lie outside of it."""
+    certain: set[int] = set()
+    for box in boxes:
+        if box.sure or box.comments or id(box.parent) in certain:
+            certain.add(id(box))
+    _weigh(boxes, [(x, len(x.text)) for x in lines if id(x.box) not in certain and not x.links])
+    half = boxes[0].mass / 2
+    large = [b for b in boxes if b.named and b.mass > half]
+    if not large:
+        return False
+    articles = {id(x.box) for x in lines if x.box.main and not x.box.dropped}
+    wrong = [b for b in large if articles <= _within(boxes, [b])]
+    for box in wrong:
+        box.named = False
+    return bool(wrong)
+
+
 def _within(boxes: list[Box], regions: list[Box]) -> set[int]:
     """Identities of the regions and all boxes in them."""
     inside = {id(b) for b in regions}
@@ -318,17 +353,21 @@ def main_text(html: str | None) -> str:
     by the tags in and before it; ratios are smoothed and split in two clusters.
     A line is content if its ratio and the smoothed one are in the upper, or if it is
     not mostly links, so short lines beside long ones are never lost. The
-    region is the article or main element with most content, and all of its
-    lines stay; without one, it is the innermost element that holds all content,
-    and of its lines only blocks of links go, and lines of links at its ends.
-    Elements known to stand around articles (menus, notices, adverts, forms,
-    comments) are dropped anywhere.
+    regions are all article and main elements with content, and all of their
+    lines stay. If there is none, or articles without a main element hold less
+    than half of the content, the region is the innermost element that holds
+    all content; of its lines only blocks of links go, and lines of links at
+    its ends. Elements known to stand around articles (menus, notices, adverts,
+    forms, comments) are dropped anywhere, if known by a class name only unless
+    most of the page is in them.
     """
     if not html:
         return ""
     parser = LineParser()
     every, boxes = parser.run(html), parser.boxes
     _judge(boxes)
+    while _clear_names(boxes, every):
+        _judge(boxes)
     lines = [x for x in every if not x.box.dropped]
     if not lines:
         return ""
@@ -340,8 +379,9 @@ def main_text(html: str | None) -> str:
     ]
     _weigh(boxes, [(x, len(x.text) * good) for x, good in zip(lines, content, strict=True)])
     regions = _articles(boxes)
-    if regions:
-        inside = _within(boxes, [max(regions, key=lambda b: b.mass)])
+    sure = any(b.tag == "main" for b in regions)
+    if regions and (sure or 2 * sum(b.mass for b in regions) >= boxes[0].mass):
+        inside = _within(boxes, regions)
         return "\n".join(x.text for x in lines if id(x.box) in inside)
     region = _innermost(boxes, 0)
     inside = _within(boxes, [region]) - _link_blocks(boxes, region)
