@@ -381,11 +381,43 @@ def _link_cell(percent: int):
     return run
 
 
+def _count_cell(percent: int):
+    """Per class of a cell with links the class of its label, and the copies it links to.
+
+    Two classes that meet in several cells count in one: that of the later of
+    their bands, and of both their chunks.
+    """
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        _, band, x, y = (k.as_py() for k in key)
+        names, once = np.unique(table["class"].to_numpy(), return_index=True)
+        table = table.take(once)
+        sets = [np.frombuffer(s.as_py(), np.uint64) for s in table["shingles"]]
+        side = table["c"].to_numpy() if x != y else np.full(len(names), -1)
+        late = table["own"].to_numpy() == band
+        label, links = signature_tree.count_links(
+            sets, percent, table["copies"].to_numpy(), late, side
+        )
+        some = links > 0
+        return pa.table(
+            {
+                "a": pa.array(names[some]),
+                "b": pa.array(names[label][some]),
+                "links": pa.array(links[some]),
+            }
+        )
+
+    return run
+
+
 def _cells(
     sets: DataFrame, blocks: DataFrame, workspace: Workspace, percent: int, cell_rows: int
 ) -> DataFrame:
     """Sets by cell. Two sets of a block that can link meet in some cell.
 
+    ``blocks`` has node, root and the copies of the node. With every set go its
+    own band and its chunk.
+
     A block of up to ``cell_rows`` classes is one cell. A larger one is cut by
     size: sets a band or more apart are too unequal, so each goes to its own
     band's cell and to the next one's. A cell still too large is cut into
@@ -393,20 +425,22 @@ def _cells(
     """
     ratio = math.log(1.04 * 100 / percent)
     count = blocks.groupBy(F.col("root").alias("block")).agg(F.count(F.lit(1)).alias("size"))
-    known = blocks.select(F.col("node").alias("class"), F.col("root").alias("block"))
+    known = blocks.select(F.col("node").alias("class"), F.col("root").alias("block"), "copies")
     known = workspace.store(known.join(count, "block"), "known")
     if known.count() <= MOST_KNOWN:
         known = F.broadcast(known)
     sized = sets.join(known, "class")
     small = sized.filter(F.col("size") <= cell_rows).select(
         "block", F.lit(0).alias("band"), F.lit(0).alias("x"), F.lit(0).alias("y"),
-        "class", "shingles",
+        "class", "shingles", "copies", F.lit(0).alias("own"), F.lit(0).alias("c"),
     )
     if count.filter(F.col("size") > cell_rows).isEmpty():
         return small
     band = F.floor(F.log("n") / ratio).cast("int")
-    large = sized.filter(F.col("size") > cell_rows).withColumn(
-        "band", F.explode(F.array(band, band + 1))
+    large = (
+        sized.filter(F.col("size") > cell_rows)
+        .withColumn("own", band)
+        .withColumn("band", F.explode(F.array(F.col("own"), F.col("own") + 1)))
     )
     chunks = large.groupBy("block", "band").agg(
         F.ceil(F.count(F.lit(1)) / (max(1, cell_rows // 2))).cast("int").alias("k")
@@ -418,35 +452,16 @@ def _cells(
         .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
         .select(
             "block", "band", F.least("c", "o").alias("x"), F.greatest("c", "o").alias("y"),
-            "class", "shingles",
+            "class", "shingles", "copies", "own", "c",
         )
     )
     return small.unionByName(large)
 
 
-def ngram_components(
-    docs: DataFrame,
-    workspace: Workspace,
-    n: int = 5,
-    percent: int = 80,
-    cell_rows: int = CELL_ROWS,
-) -> DataFrame:
-    """Documents with shingle counts and components: doc_id, n_shingles, component_id.
-
-    ``docs`` needs doc_id (long) and text; other columns are ignored. Texts are
-    linked when 100 * common >= percent * all of their distinct n-word
-    shingles. component_id is the smallest doc_id reachable by links.
-
-    Null and blank texts have no shingles and link with nothing, not even with
-    each other. Repeated rows come out repeated. A null doc_id is never the
-    smallest of a component that has another. An empty table gives no rows.
-
-    Equal sets are one class from the start. Classes whose shingles are mostly
-    their own cannot link: a count over all shingles finds, per class, how many
-    some other class holds. The others share one of their rarest shingles with
-    every partner; classes so connected form blocks, and inside a block
-    signature trees find the links.
-    """
+def _candidates(
+    docs: DataFrame, workspace: Workspace, n: int, percent: int
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Documents with their classes, classes, sets that may link, and blocks of those."""
     spark = docs.sparkSession
     bound_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -459,6 +474,7 @@ def ngram_components(
         .agg(
             F.min("doc_id").alias("least"),
             F.first("n_shingles").alias("n"),
+            F.count(F.lit(1)).alias("copies"),
         )
     )
     total = members.agg(F.sum("n_shingles")).first()[0] or 0
@@ -475,8 +491,7 @@ def ngram_components(
     live = workspace.store(
         classes.join(shared, "class")
         .filter(F.col("shared") * 100 >= F.col("n") * percent)
-        .filter("least IS NOT NULL")
-        .select(F.col("least").alias("doc_id")),
+        .select(F.coalesce("least", F.lit(0)).alias("doc_id")),
         "live",
     )
     # One document stands for a class; a few others that pass do no harm.
@@ -491,20 +506,88 @@ def ngram_components(
         .applyInArrow(lambda key, table: _meet(table, percent), "a long, b long")
     )
     blocks = workspace.store(connected_components(candidates, workspace), "blocks")
-    links = (
-        _cells(sets, blocks, workspace, percent, cell_rows)
-        .groupBy("block", "band", "x", "y")
-        .applyInArrow(lambda key, table: _link_cell(percent)(table), "a long, b long")
-    )
+    return members, classes, sets, blocks
+
+
+def _named(classes: DataFrame, links: DataFrame, workspace: Workspace) -> DataFrame:
+    """Classes with the least doc_id reachable by links."""
     roots = connected_components(links, workspace)
     groups = workspace.store(
         classes.join(roots, classes["class"] == roots["node"], "left").select(
-            "class", "least", F.coalesce("root", "class").alias("root")
+            "class", "least", "copies", F.coalesce("root", "class").alias("root")
         ),
         "groups",
     )
     least = groups.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = groups.join(least, "root").select("class", "component_id")
+    return groups.join(least, "root").select("class", "copies", "component_id")
+
+
+def ngram_components(
+    docs: DataFrame,
+    workspace: Workspace,
+    n: int = 5,
+    percent: int = 80,
+    cell_rows: int = CELL_ROWS,
+) -> DataFrame:
+    """Documents with shingle counts and components: doc_id, n_shingles, component_id.
+
+    ``docs`` needs doc_id (long) and text; other columns are ignored. Texts are
+    linked when 100 * common >= percent * all of their distinct n-word
+    shingles. component_id is the smallest doc_id reachable by links.
+
+    Null and blank texts have no shingles and link with nothing, not even with
+    each other. Repeated rows come out repeated. A null doc_id is never the
+    smallest of a component that has another. An empty table gives no rows.
+
+    Equal sets are one class from the start. Classes whose shingles are mostly
+    their own cannot link: a count over all shingles finds, per class, how many
+    some other class holds. The others share one of their rarest shingles with
+    every partner; classes so connected form blocks, and inside a block
+    signature trees find the links.
+    """
+    members, classes, sets, blocks = _candidates(docs, workspace, n, percent)
+    blocks = blocks.withColumn("copies", F.lit(1).cast("long"))
+    links = (
+        _cells(sets, blocks, workspace, percent, cell_rows)
+        .groupBy("block", "band", "x", "y")
+        .applyInArrow(lambda key, table: _link_cell(percent)(table), "a long, b long")
+    )
+    named = _named(classes, links, workspace).select("class", "component_id")
     return members.join(named, "class", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")
     )
+
+
+def ngram_links(
+    docs: DataFrame,
+    workspace: Workspace,
+    n: int = 5,
+    percent: int = 80,
+    cell_rows: int = CELL_ROWS,
+) -> DataFrame:
+    """The whole join: doc_id, n_shingles, component_id, and n_links.
+
+    n_links is the number of other rows a row links with, in the sense of
+    ``ngram_components``, whose columns and rules for nulls and repeated rows
+    are the same. Rows of one doc_id count each, equal texts link, and a row
+    without shingles has no links. Every pair of classes that may link is
+    verified, also where both hang together already.
+    """
+    members, classes, sets, blocks = _candidates(docs, workspace, n, percent)
+    copies = classes.select(F.col("class").alias("node"), "copies")
+    found = workspace.store(
+        _cells(sets, blocks.join(copies, "node"), workspace, percent, cell_rows)
+        .groupBy("block", "band", "x", "y")
+        .applyInArrow(
+            lambda key, table: _count_cell(percent)(key, table), "a long, b long, links long"
+        ),
+        "found",
+    )
+    links = found.groupBy(F.col("a").alias("class")).agg(F.sum("links").alias("links"))
+    named = _named(classes, found.select("a", "b"), workspace).join(links, "class", "left")
+    return members.join(named, "class", "left").select(
+        "doc_id",
+        "n_shingles",
+        F.coalesce("component_id", "doc_id").alias("component_id"),
+        F.coalesce(F.col("copies") - 1 + F.coalesce("links", F.lit(0)), F.lit(0)).alias("n_links"),
+    )

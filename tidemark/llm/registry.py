@@ -55,6 +55,10 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(documents(spark, sf_dir), Workspace(spark))
 
 
+def op3_ngram_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_links(documents(spark, sf_dir), Workspace(spark))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.with_quality(documents(spark, sf_dir))
     columns = [
@@ -116,6 +120,7 @@ def queries() -> dict[str, Query]:
         "op1_html_extract": op1_html_extract,
         "op2_mix_sources": op2_mix_sources,
         "op3_ngram_join": op3_ngram_join,
+        "op3_ngram_links": op3_ngram_links,
         "op4_quality_rules": op4_quality_rules,
         "op5_token_files": op5_token_files,
         "op6_sharding": op6_sharding,
