@@ -305,19 +305,27 @@ def _distinct_edges(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return a[new], b[new]
 
 
-#: Buckets in which rare shingles meet.
-KEY_BITS = 6
+#: Shingles of stored sets for which a bucket of rare ones is planned, and the fewest bits.
+KEY_ROWS, KEY_BITS = 1 << 20, 6
+#: Rows of edges that leave a task at once.
+EDGE_ROWS = 1 << 16
 
 
 _ENTRY = "bucket int, keys binary, names binary, low binary, high binary, a binary, b binary"
 
 
-def _prefixes(level, percent: int):
+def _key_bits(total: int) -> int:
+    """Bits of the number of buckets, which grows with the shingles of the stored sets."""
+    return min(20, max(KEY_BITS, math.ceil(math.log2(max(1, total / KEY_ROWS)))))
+
+
+def _prefixes(level, percent: int, key_bits: int = KEY_BITS):
     """Per batch and bucket the shingles of which linked sets share one.
 
     A set must share one of its rarest shingles with any set it links to. The
     classes of a batch that share one and are of similar size are joined here;
-    one of them travels on with the shingle and the range of their sizes.
+    one of them travels on with the shingle and the range of their sizes. The
+    edges are rows without a bucket.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -338,16 +346,19 @@ def _prefixes(level, percent: int):
             )
             edges = _distinct_edges(a, b)
             entry[2:] = [x.astype(np.uint32) for x in entry[2:]]
-            start = np.arange(1 << KEY_BITS, dtype=np.uint64) << np.uint64(64 - KEY_BITS)
-            cuts = np.append(np.searchsorted(entry[0], start), len(entry[0]))
-            for k in range(1 << KEY_BITS):
-                if k == 0 or cuts[k] < cuts[k + 1]:
-                    part = [x[cuts[k] : cuts[k + 1]] for x in entry]
-                    part += edges if k == 0 else [x[:0] for x in edges]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([k], pa.int32()), *[pa.array([v.tobytes()]) for v in part]],
-                        names=[f.split()[0] for f in _ENTRY.split(", ")],
-                    )
+            for k in range(0, len(edges[0]), EDGE_ROWS):
+                part = [x[:0] for x in entry] + [x[k : k + EDGE_ROWS] for x in edges]
+                yield row(None, part)
+            bucket = (entry[0] >> np.uint64(64 - key_bits)).astype(np.int64)
+            first = np.flatnonzero(np.diff(bucket, prepend=-1))
+            for x, y in zip(first, np.append(first[1:], len(bucket)), strict=True):
+                yield row(int(bucket[x]), [v[x:y] for v in entry] + [v[:0] for v in edges])
+
+    def row(bucket: int | None, part: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([bucket], pa.int32()), *[pa.array([v.tobytes()]) for v in part]],
+            names=[f.split()[0] for f in _ENTRY.split(", ")],
+        )
 
     return run
 
@@ -360,12 +371,19 @@ def _meet(table: pa.Table, percent: int) -> pa.Table:
 
     low, high = (column(c, np.uint32).astype(np.int64) for c in ("low", "high"))
     *_, a, b = _chains(column("keys", np.uint64), column("names", np.int64), low, high, percent)
-    a = np.concatenate([a, column("a", np.int64)])
-    b = np.concatenate([b, column("b", np.int64)])
     a, b = _distinct_edges(a, b)
     return pa.table({"a": pa.array(a), "b": pa.array(b)})
 
 
+def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed edges as rows."""
+    for batch in batches:
+        for a, b in zip(batch["a"], batch["b"], strict=True):
+            yield pa.record_batch(
+                {c: np.frombuffer(x.as_buffer(), np.int64) for c, x in (("a", a), ("b", b))}
+            )
+
+
 def _link_cell(percent: int):
     def run(table: pa.Table) -> pa.Table:
         # Of a class that came twice, either will do.
@@ -500,11 +518,17 @@ def _candidates(
         docs.mapInArrow(tidy(_sets(n, chosen)), "class long, n long, shingles binary"), "sets"
     )
     level = spark.sparkContext.broadcast(_frequency(sets))
-    candidates = (
-        sets.mapInArrow(tidy(_prefixes(level, percent)), _ENTRY)
+    stored = sets.agg(F.sum("n")).first()[0] or 0
+    entries = workspace.store(
+        sets.mapInArrow(tidy(_prefixes(level, percent, _key_bits(stored))), _ENTRY), "entries"
+    )
+    met = (
+        entries.filter("bucket IS NOT NULL")
         .groupBy("bucket")
         .applyInArrow(lambda key, table: _meet(table, percent), "a long, b long")
     )
+    local = entries.filter("bucket IS NULL").select("a", "b")
+    candidates = met.unionByName(local.mapInArrow(tidy(_edges), "a long, b long"))
     blocks = workspace.store(connected_components(candidates, workspace), "blocks")
     return members, classes, sets, blocks
 
