@@ -8,10 +8,11 @@ from operator import and_, or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.schemas import VALUE
 
-PERCENT = "decimal(34,2)"
+PERCENT = T.DecimalType(34, 2)
 
 # Each rule is (label, alternatives); an alternative is the set of
 # words that must all occur in the lower-cased name. The first rule wins.

@@ -11,9 +11,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.rules import PERCENT
 from tidemark.functions.text import recode
 from tidemark.operators import star
-from tidemark.operators.exact import average, ratio
+from tidemark.operators.exact import average, mean, merged, total
 from tidemark.params import Params
 from tidemark.plans.dimensions import (
     RESIDENCE_LABELS,
@@ -182,7 +183,7 @@ def mortality_kpi(w: Warehouse) -> DataFrame:
             & star.is_recent()
         )
         .agg(
-            F.round(average(F.col("indicator_value")), 1).alias("avg_mortality_rate"),
+            average(F.col("indicator_value"), 1).alias("avg_mortality_rate"),
             F.count(F.lit(1)).alias("data_points"),
             F.min("year").alias("from_year"),
             F.max("year").alias("to_year"),
@@ -222,7 +223,7 @@ def trend_scorecard(w: Warehouse) -> DataFrame:
                 "worsening_indicators"
             ),
             F.count_if(_is("trend_direction", "Stable")).alias("stable_indicators"),
-            F.round(average(F.col("percentage_change")), 2).alias("avg_change_pct"),
+            average(F.col("percentage_change"), 2, PERCENT).alias("avg_change_pct"),
         )
         .orderBy(*_up("indicator_category"))
     )
@@ -236,7 +237,7 @@ def quality_summary(w: Warehouse) -> DataFrame:
             F.sum(F.when(F.col("is_missing_value"), 1).otherwise(0)).alias(
                 "missing_values"
             ),
-            F.round(average(F.col("data_quality_score")), 1).alias("avg_quality_score"),
+            average(F.col("data_quality_score"), 1).alias("avg_quality_score"),
             F.count_if("is_significant_change").alias("significant_changes"),
         )
         .orderBy(*_up("indicator_category"))
@@ -338,11 +339,9 @@ def coverage(w: Warehouse) -> DataFrame:
     Facts are summed up per (year, category, demographic) first, so the
     distinct counts and the joins work on that small table.
     """
-    score = F.col("data_quality_score")
     cells = w.fact.groupBy("time_key", "indicator_category", "demographic_key").agg(
         F.count(F.lit(1)).alias("rows_n"),
-        F.sum(score).alias("score_sum"),
-        F.count(score).alias("score_n"),
+        total(F.col("data_quality_score")).alias("score_total"),
     )
     return (
         star.star(cells, w.dim_time, w.dim_demographics)
@@ -355,9 +354,7 @@ def coverage(w: Warehouse) -> DataFrame:
                 "demographic_combinations"
             ),
             F.sum("rows_n").alias("total_measurements"),
-            F.round(ratio(F.sum("score_sum"), F.sum("score_n")), 1).alias(
-                "avg_quality"
-            ),
+            mean(merged("score_total"), 1).alias("avg_quality"),
         )
         .orderBy(_down("year"))
     )

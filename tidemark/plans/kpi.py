@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.rules import disparity_band
-from tidemark.operators.exact import ratio
+from tidemark.functions.rules import PERCENT, disparity_band
+from tidemark.operators.exact import mean, merged, total
 from tidemark.operators.star import is_recent
 from tidemark.params import Params
 from tidemark.plans.dimensions import RESIDENCE_LABELS, WEALTH_LABELS
@@ -36,12 +36,10 @@ def recent_cells(
         fact.join(F.broadcast(recent), fact["time_key"] == recent["year"])
         .groupBy("indicator_category", "year", "demographic_key")
         .agg(
-            F.sum(value).alias("value_sum"),
-            F.count(value).alias("value_n"),
+            total(value).alias("value_total"),
             F.min(value).alias("value_min"),
             F.max(value).alias("value_max"),
-            F.sum(pct).alias("pct_sum"),
-            F.count(pct).alias("pct_n"),
+            total(pct, PERCENT).alias("pct_total"),
             F.count(F.lit(1)).alias("rows_n"),
         )
     )
@@ -54,13 +52,11 @@ def recent_cells(
 def subgroup_aggregates(cells: DataFrame) -> DataFrame:
     low, high = F.min("value_min"), F.max("value_max")
     return cells.groupBy(*SUBGROUP).agg(
-        F.round(ratio(F.sum("value_sum"), F.sum("value_n")), 2).alias(
-            "avg_indicator_value"
-        ),
+        mean(merged("value_total"), 2).alias("avg_indicator_value"),
         F.round(low, 2).alias("min_indicator_value"),
         F.round(high, 2).alias("max_indicator_value"),
         F.round(high - low, 2).alias("value_range"),
-        ratio(F.sum("pct_sum"), F.sum("pct_n")).alias("avg_percentage_change"),
+        mean(merged("pct_total"), 4, PERCENT).alias("avg_percentage_change"),
         F.sum("rows_n").alias("measurement_count"),
         F.max("year").alias("most_recent_year"),
         F.bool_or("is_low_wealth").alias("includes_low_wealth"),
