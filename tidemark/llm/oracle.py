@@ -188,6 +188,77 @@ SELECT t.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM texts t LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)"""
 
 
+def crc32(x: str) -> str:
+    """The unsigned CRC-32 of an ASCII text: each byte, then eight steps marked -1."""
+    steps = (
+        f"flatten(list_transform(string_split({x}, ''),"
+        " lambda b: [ord(b)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))"
+    )
+    return (
+        f"xor(list_reduce([4294967295::BIGINT] || {steps}, lambda c, v: CASE WHEN v >= 0"
+        " THEN xor(c, v) ELSE xor(c >> 1, 3988292384::BIGINT * (c & 1)) END), 4294967295::BIGINT)"
+    )
+
+
+#: Levels of the trees in SQL: 16 million leaves a group, 1,024 groups.
+LEAF_LEVELS, GROUP_LEVELS = 24, 10
+
+
+def _merkle() -> str:
+    def size(x: str) -> str:
+        return f"coalesce(octet_length(encode({x}::VARCHAR)) || ':' || {x}::VARCHAR, '-')"
+
+    def leaf(n_chars: str) -> str:
+        parts = [size(x) for x in ("doc_id", "source", "lang", n_chars, "text")]
+        return f"sha256({' || '.join(parts)})"
+
+    def levels(name: str, n: int) -> str:
+        """Tables name0 (grp, pos, node) to name<n>, and their siblings."""
+        return "".join(
+            f""",
+{name}{k + 1} AS MATERIALIZED (
+  SELECT grp, pos // 2 AS pos, CASE WHEN max(total) = 1 THEN any_value(node)
+           ELSE sha256(string_agg(node, '' ORDER BY pos)) END AS node
+  FROM (SELECT *, count(*) OVER (PARTITION BY grp) AS total FROM {name}{k}) GROUP BY ALL)"""
+            for k in range(n)
+        )
+
+    def climb(name: str, k: int, source: str, target: str) -> str:
+        """One level up: siblings so far, and the node from the offered leaf."""
+        return f""",
+{target} AS MATERIALIZED (
+  SELECT p.* REPLACE (
+    p.pos // 2 AS pos,
+    p.proof || coalesce(s.node, '') AS proof,
+    CASE WHEN t.total = 1 THEN p.node WHEN s.pos IS NULL THEN sha256(p.node)
+         WHEN s.pos < p.pos THEN sha256(s.node || p.node)
+         ELSE sha256(p.node || s.node) END AS node)
+  FROM {source} p
+  JOIN (SELECT grp, count(*) AS total FROM {name}{k} GROUP BY grp) t ON t.grp = p.grp
+  LEFT JOIN {name}{k} s ON s.grp = p.grp AND s.pos = xor(p.pos, 1))"""
+
+    climbs = "".join(
+        climb("n", k, f"p{k}", f"p{k + 1}") for k in range(LEAF_LEVELS)
+    ) + f""",
+q0 AS (SELECT * REPLACE (0 AS grp, grp AS pos) FROM p{LEAF_LEVELS})""" + "".join(
+        climb("g", k, f"q{k}", f"q{k + 1}") for k in range(GROUP_LEVELS)
+    )
+    return f"""
+WITH leaves AS MATERIALIZED (
+  SELECT doc_id, {leaf("n_chars")} AS leaf,
+         CASE WHEN {crc32("doc_id::VARCHAR")} % 7 = 0 THEN {leaf("(n_chars::HUGEINT + 1)")}
+              ELSE leaf END AS offered,
+         dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS grp,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos
+  FROM documents),
+n0 AS (SELECT grp, pos, leaf AS node FROM leaves){levels("n", LEAF_LEVELS)},
+g0 AS (SELECT 0 AS grp, grp AS pos, node FROM n{LEAF_LEVELS}){levels("g", GROUP_LEVELS)},
+p0 AS (SELECT doc_id, leaf, grp, pos, offered AS node, '' AS proof, grp AS lang FROM leaves){climbs}
+SELECT doc_id, leaf, sub.node AS subroot, top.node AS root, sha256(proof) AS proof_sha256,
+       q{GROUP_LEVELS}.node AS folded_root, q{GROUP_LEVELS}.node = top.node AS verified
+FROM q{GROUP_LEVELS} JOIN n{LEAF_LEVELS} sub ON sub.grp = lang CROSS JOIN g{GROUP_LEVELS} top"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_mix_sources": _mix(),
@@ -195,4 +266,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_quality_rules": _quality(Rules()),
         "op8_line_dedup": _lines(),
         "op10_decontaminate": _contamination(),
+        "op11_merkle_manifest": _merkle(),
     }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
@@ -12,6 +12,7 @@ from tidemark.llm import (
     decontaminate,
     html_text,
     line_dedup,
+    merkle,
     mixing,
     ngram_join,
     quality_rules,
@@ -115,6 +116,30 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[f"found.{c}" for c in columns])
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+
+    def leaf(**changed: Column) -> Column:
+        return merkle.digest(*[merkle.field(changed.get(f, F.col(f))) for f in fields])
+
+    # One more character; wide enough for the largest number.
+    n_chars = F.col("n_chars").cast("decimal(20,0)") + 1
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    offered = F.when(tampered, leaf(n_chars=n_chars)).otherwise(leaf())
+    found = merkle.manifest(
+        docs, Workspace(spark), leaf(), ["doc_id"], "lang", {"offered": offered}
+    )
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof(F.col("path")).alias("proof_sha256"),
+        merkle.folded(F.col("offered"), F.col("path")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_html_extract": op1_html_extract,
@@ -128,4 +153,5 @@ def queries() -> dict[str, Query]:
         "op8_line_dedup": op8_line_dedup,
         "op9_token_counts": op9_token_counts,
         "op10_decontaminate": op10_decontaminate,
+        "op11_merkle_manifest": op11_merkle_manifest,
     }
