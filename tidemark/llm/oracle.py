@@ -259,6 +259,89 @@ SELECT doc_id, leaf, sub.node AS subroot, top.node AS root, sha256(proof) AS pro
 FROM q{GROUP_LEVELS} JOIN n{LEAF_LEVELS} sub ON sub.grp = lang CROSS JOIN g{GROUP_LEVELS} top"""
 
 
+def _repair() -> str:
+    def best(*offers: str) -> str:
+        return f"list_min([{', '.join(offers)}])"
+
+    def edit(state: str, cost: str, letter: str, line: str = "", when: str = "NOT go") -> str:
+        out = f"{state}.o || CASE WHEN {state}.o = '' THEN '' ELSE chr(10) END || {line}"
+        return (
+            f"CASE WHEN {state} IS NOT NULL AND {when} THEN {{'c': {state}.c + {cost},"
+            f" 'a': {state}.a || '{letter}', 'o': {out if line else f'{state}.o'}}} END"
+        )
+
+    def keep(state: str, initial: str) -> str:
+        return edit(state, "cut", "K", "role || ':' || text", f"NOT go AND initial = '{initial}'")
+
+    def rerole(state: str, role: str) -> str:
+        return edit(state, "2 + cut", "R", f"'{role}:' || text")
+
+    def insert(state: str, role: str) -> str:
+        return edit(state, "2", "I", f"'{role}:'", "true")
+
+    def delete(state: str) -> str:
+        return edit(state, "3", "D", when="true")
+
+    def inserted(source: str) -> str:
+        """Two rounds of insertions over the four states; others than u and a stay."""
+        for _ in range(2):
+            user = best("u", insert("z", "user"), insert("s", "user"), insert("a", "user"))
+            source = f"""(
+    SELECT * REPLACE ({user} AS u, {best("a", insert("u", "assistant"))} AS a) FROM {source})"""
+        return source
+
+    from_any = [f(x, *y) for x in "zsa" for f, y in ((keep, "u"), (rerole, ["user"]))]
+    step = f"""(
+    SELECT conv, n + 1 AS n, {delete("z")} AS z,
+           {best(delete("s"), keep("z", "s"))} AS s,
+           {best(delete("u"), *from_any)} AS u,
+           {best(delete("a"), keep("u", "a"), rerole("u", "assistant"))} AS a
+    FROM (SELECT d.*, r.go, r.cut, r.initial, r.role, r.text
+          FROM search d JOIN judged r ON r.conv = d.conv AND r.n = d.n))"""
+    nothing = "{'c': 0::BIGINT, 'a': '', 'o': ''}"
+    name = "coalesce(t.conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')"
+    blank = "[\\x20\\x09-\\x0D]"
+    return f"""
+WITH RECURSIVE convs AS (
+  SELECT conv_id, row_number() OVER () AS conv FROM (SELECT DISTINCT conv_id FROM conversations)),
+faulty AS (
+  SELECT conv, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {crc32(name)} % 20 AS fault
+  FROM conversations t JOIN convs c ON t.conv_id IS NOT DISTINCT FROM c.conv_id),
+turns AS (
+  SELECT conv, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g')
+                    ELSE text END AS text
+  FROM faulty, unnest(range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copies(copy)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text) - 1 AS n,
+         NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+         NOT regexp_matches(text, '[.!?]{blank}*\\z') AS open FROM turns),
+judged AS (
+  SELECT *, substr(role, 1, 1) AS initial, NOT blank AND row_number() OVER (
+           PARTITION BY conv, role, text ORDER BY n) > 1 AS again,
+         blank OR again AS go, CASE WHEN open AND NOT blank THEN 1 ELSE 0 END AS cut,
+         lag(initial) OVER (PARTITION BY conv ORDER BY n) || initial AS pair FROM placed),
+search AS (
+  SELECT * FROM {inserted(f"""(
+    SELECT conv, 0::BIGINT AS n, {nothing} AS z, NULL::STRUCT(c BIGINT, a VARCHAR, o VARCHAR) AS s,
+           s AS u, s AS a FROM convs)""")}
+  UNION ALL SELECT * FROM {inserted(step)}),
+ended AS (
+  SELECT conv, {best("z", "a")} AS found FROM search s
+  WHERE n = (SELECT count(*) FROM judged j WHERE j.conv = s.conv)),
+counts AS (
+  SELECT conv, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps,
+         count(*) FILTER (blank) AS blank, count(*) FILTER (again) AS duplicate,
+         count(*) FILTER (cut = 1 AND NOT again) AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY conv)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, found.c::BIGINT AS cost, found.a AS audit,
+       sha256(found.o) AS repaired_sha256
+FROM convs JOIN ended USING (conv) LEFT JOIN counts USING (conv)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_mix_sources": _mix(),
@@ -267,4 +350,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_line_dedup": _lines(),
         "op10_decontaminate": _contamination(),
         "op11_merkle_manifest": _merkle(),
+        "op12_conversation_repair": _repair(),
     }

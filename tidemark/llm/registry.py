@@ -16,6 +16,7 @@ from tidemark.llm import (
     mixing,
     ngram_join,
     quality_rules,
+    repair,
     sharding,
     token_counts,
     token_files,
@@ -140,6 +141,40 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Turns (conv_id, turn, role, text) with faults; dropped ones stay, not ``there``."""
+    space = F.lit(" ")
+    name = F.concat(
+        F.coalesce(F.col("conv_id").cast("string"), space),
+        F.lit(":"),
+        F.coalesce(F.col("turn").cast("string"), space),
+    )
+    fault, role, text = F.col("fault"), F.col("role"), F.col("text")
+    return (
+        turns.select("conv_id", "turn", *[F.coalesce(c, space).alias(n) for n, c in (
+            ("role", role), ("text", text))], (F.crc32(name) % 20).alias("fault"))
+        .select(
+            "conv_id",
+            "turn",
+            F.when(fault == 4, "user").otherwise(role).alias("role"),
+            F.when(fault == 1, "")
+            .when(fault == 2, F.regexp_replace(text, "[.!?]", ""))
+            .otherwise(text)
+            .alias("text"),
+            (fault != 0).alias("there"),
+            F.explode(F.when(fault == 3, F.array(F.lit(0), F.lit(1))).otherwise(
+                F.array(F.lit(0)))).alias("copy"),
+        )
+        .drop("copy")
+    )
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = damaged(table(spark, sf_dir, "conversations"))
+    found = repair.repair_summary(turns, Workspace(spark), there=F.col("there"))
+    return found.withColumnRenamed("conv", "conv_id")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_html_extract": op1_html_extract,
@@ -154,4 +189,5 @@ def queries() -> dict[str, Query]:
         "op9_token_counts": op9_token_counts,
         "op10_decontaminate": op10_decontaminate,
         "op11_merkle_manifest": op11_merkle_manifest,
+        "op12_conversation_repair": op12_conversation_repair,
     }
