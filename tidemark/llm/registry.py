@@ -18,6 +18,7 @@ from tidemark.llm import (
     quality_rules,
     repair,
     sharding,
+    suffix_dedup,
     token_counts,
     token_files,
 )
@@ -175,6 +176,17 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("conv", "conv_id")
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.with_repeats(documents(spark, sf_dir), Workspace(spark))
+    return found.select(
+        "doc_id",
+        "repeats.n_bytes",
+        "repeats.n_removed",
+        "repeats.n_spans",
+        F.sha2("repeats.kept", 256).alias("kept_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_html_extract": op1_html_extract,
@@ -190,4 +202,5 @@ def queries() -> dict[str, Query]:
         "op10_decontaminate": op10_decontaminate,
         "op11_merkle_manifest": op11_merkle_manifest,
         "op12_conversation_repair": op12_conversation_repair,
+        "op13_suffix_dedup": op13_suffix_dedup,
     }
