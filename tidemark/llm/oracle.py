@@ -342,6 +342,36 @@ SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS
 FROM convs JOIN ended USING (conv) LEFT JOIN counts USING (conv)"""
 
 
+def _repeats() -> str:
+    return """
+WITH texts AS (
+  SELECT doc_id, row_number() OVER () AS id, hex(encode(coalesce(text, ''))) AS digits,
+         length(digits) // 2 AS n FROM documents),
+strings AS (
+  SELECT id, i, md5(substr(digits, 2 * i + 1, 800)) AS s
+  FROM texts, unnest(range(n - 399)) AS r(i)),
+hits AS (
+  SELECT id, i FROM (SELECT id, i, count(*) OVER (PARTITION BY s) AS times FROM strings)
+  WHERE times > 1),
+spans AS (
+  SELECT id, min(i) AS lo, max(i) + 400 AS hi FROM (
+    SELECT id, i, count(*) FILTER (i > coalesce(last, -401) + 400) OVER (PARTITION BY id ORDER BY i)
+      AS span
+    FROM (SELECT id, i, lag(i) OVER (PARTITION BY id ORDER BY i) AS last FROM hits))
+  GROUP BY id, span),
+edges AS (
+  SELECT id, lo, hi, coalesce(lag(hi) OVER (PARTITION BY id ORDER BY lo), 0) AS since FROM spans),
+cut AS (
+  SELECT id, sum(hi - lo) AS removed, count(*) AS n_spans, max(hi) AS since,
+         string_agg(substr(digits, 2 * since + 1, 2 * (lo - since)), '' ORDER BY lo) AS parts
+  FROM edges JOIN texts USING (id) GROUP BY id)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(parts, '') || substr(digits, 2 * coalesce(since, 0) + 1)))
+         AS kept_sha256
+FROM texts LEFT JOIN cut USING (id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_mix_sources": _mix(),
@@ -351,4 +381,5 @@ def oracle_sql() -> dict[str, str]:
         "op10_decontaminate": _contamination(),
         "op11_merkle_manifest": _merkle(),
         "op12_conversation_repair": _repair(),
+        "op13_suffix_dedup": _repeats(),
     }
