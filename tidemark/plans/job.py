@@ -189,11 +189,13 @@ def run_job(
     strict: bool = True,
     multi_line: bool = False,
     seed: bool = False,
+    infer: bool = False,
 ) -> Run:
     """Ingest, validate, build, check and publish one extract.
 
     ``seed`` reads a typed seed instead (year, number and bounds in columns of
-    their own). Tables that fail a check stay in the run's folder, with the
+    their own). ``infer`` reads columns of numbers alone as numbers, so that ``1e3``
+    counts as 1000. Tables that fail a check stay in the run's folder, with the
     rows that failed, but are not published.
     """
     params = params or Params()
@@ -204,13 +206,18 @@ def run_job(
     def shape(rows: DataFrame) -> DataFrame:
         return conform_raw(raw_from_seed(rows, params.run_ts) if seed else rows, rename)
 
-    if seed:
-        extract = read_typed(spark, csv_path, **options)
-    else:
-        extract = read_extract(spark, csv_path, params.run_ts, **options)
     with Workspace(spark) as workspace:
-        if not strict:
+        options["workspace"] = workspace
+        if seed:
+            extract = read_typed(spark, csv_path, **options)
+        else:
+            extract = read_extract(spark, csv_path, params.run_ts, **options)
+        if infer and seed:
+            raise ValueError("a typed seed has its types")
+        if infer or not strict:
             extract = extract.stored(workspace)
+        if infer:
+            extract = extract.inferred()
         raw, metrics = load_raw(extract, f"{folder}/raw_observations", shape)
         validate_raw(raw)
         tables = build_tables(raw, params, workspace, folder)

@@ -18,6 +18,8 @@ from tidemark.sources.headers import (
     normalized_names,
     read_header,
 )
+from tidemark.sources.infer import as_read, column_kinds
+from tidemark.sources.records import parsed, read_records
 from tidemark.workspace import Workspace
 
 # Texts read as NULL, as the usual data-frame readers do.
@@ -78,6 +80,14 @@ class Extract:
         """The same with its lines parsed once and written down."""
         return replace(self, lines=workspace.store(self.lines, "lines"))
 
+    def inferred(self) -> Extract:
+        """The same with columns of numbers, or of truths, alone read as such.
+
+        Looks at all rows once; store the lines before if they are parsed again.
+        """
+        kinds, shape = column_kinds(self.rows, self.names), self.shape
+        return replace(self, shape=lambda lines: as_read(shape(lines), kinds))
+
 
 def null_tokens(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """NULL in place of a null token, in all or the given columns."""
@@ -128,23 +138,31 @@ def _too_long(line: Column, width: int, field: Column) -> Column:
 
 
 def _scan(
-    spark: SparkSession, path: str, header: Sequence[str], names: Sequence[str], multi_line: bool
+    spark: SparkSession,
+    path: str,
+    header: Sequence[str],
+    names: Sequence[str],
+    multi_line: bool,
+    workspace: Workspace | None,
 ) -> DataFrame:
     """All data lines as text. Files whose header differs fail the read.
 
-    Spark compares every file's header with the schema as it opens the file, if
+    Without line breaks in fields, Spark compares every file's header with the schema as it opens the file, if
     the names can be a schema; else the first lines are looked at beforehand.
     """
+    if multi_line:
+        records = read_records(spark, path, workspace or Workspace(spark))
+        lines = parsed(records, names, LINE)
+        return lines.withColumn(LONG, _too_long(F.col(LINE), len(names), F.lit("")))
     plain = len({h.lower() for h in header if h}) == len(header) and LINE not in header
     if not plain:
-        check_headers(spark, path, multi_line)
+        check_headers(spark, path)
     fields = [*(header if plain else names), LINE]
     scanned = (
         spark.read.schema(T.StructType([T.StructField(n, T.StringType()) for n in fields]))
         .option("header", True)
         .option("enforceSchema", not plain)
         .option("escape", '"')
-        .option("multiLine", multi_line)
         .option("columnNameOfCorruptRecord", LINE)
         .option("columnPruning", False)  # else fields are not counted
         .csv(path)
@@ -165,13 +183,15 @@ def read_extract(
     *,
     strict: bool = True,
     multi_line: bool = False,
+    workspace: Workspace | None = None,
 ) -> Extract:
     """Read a CSV extract: one file, or a folder of files with equal headers.
 
-    A file whose header differs from the others' fails the job. Every field is text. Short lines are filled with NULLs. A line with more
-    fields than the header fails the job when ``strict``, else it is set aside.
-    ``multi_line`` admits line breaks inside quotes but keeps Spark from
-    splitting a file, so large extracts should come without them.
+    A file whose header differs from the others' fails the job. Every field is text.
+    Short lines are filled with NULLs. A line with more fields than the header fails
+    the job when ``strict``, else it is set aside. ``multi_line`` admits line breaks
+    inside quotes; files are split all the same, but read twice, and a row per split is
+    kept in ``workspace``.
     """
     header = read_header(spark, path, multi_line)
     names = normalized_names(header)
@@ -179,7 +199,8 @@ def read_extract(
     def shape(lines: DataFrame) -> DataFrame:
         return null_tokens(lines, names).withColumn("ingestion_timestamp", F.lit(run_ts))
 
-    return Extract(_scan(spark, path, header, names, multi_line), tuple(names), shape, strict)
+    lines = _scan(spark, path, header, names, multi_line, workspace)
+    return Extract(lines, tuple(names), shape, strict)
 
 
 def read_typed(
@@ -189,6 +210,7 @@ def read_typed(
     *,
     strict: bool = True,
     multi_line: bool = False,
+    workspace: Workspace | None = None,
 ) -> Extract:
     """Read a CSV whose headers are kept and whose listed columns are typed.
 
@@ -207,7 +229,8 @@ def read_typed(
 
         return null_tokens(lines, names).select(*map(typed, names), *ORDER)
 
-    return Extract(_scan(spark, path, header, names, multi_line), tuple(names), shape, strict)
+    lines = _scan(spark, path, header, names, multi_line, workspace)
+    return Extract(lines, tuple(names), shape, strict)
 
 
 def raw_from_seed(rows: DataFrame, run_ts: dt.datetime) -> DataFrame:

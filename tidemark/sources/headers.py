@@ -65,28 +65,24 @@ def _fields(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
         raise
 
 
-def check_headers(spark: SparkSession, path: str, multi_line: bool = False) -> None:
+def check_headers(spark: SparkSession, path: str) -> None:
     """Raise if two files of the extract begin with different lines.
 
     Reads the extract once; lines are numbered in file order, so the first one
     of each file is that with the least number of its first block.
     """
-    if multi_line:
-        fields = _fields(spark, path, multi_line)
-        line = F.to_json(F.array(*[F.col(f"`{c}`") for c in fields.columns]))
-    else:
-        fields = spark.read.text(path).filter("trim(value) <> ''")
-        line = F.col("value")
     first = (
-        fields.select(
+        spark.read.text(path)
+        .filter("trim(value) <> ''")
+        .select(
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("row"),
-            line.alias("header"),
+            "value",
         )
         .filter("block = 0")
         .groupBy("file")
-        .agg(F.min_by("header", "row").alias("header"))
+        .agg(F.min_by("value", "row").alias("header"))
     )
     if len(first.select("header").distinct().limit(2).collect()) > 1:
         raise ValueError(f"files in {path} have different headers")

@@ -435,6 +435,22 @@ SELECTS: dict[str, str] = {
     # sources and sinks
     "src_csv": f"""SELECT * REPLACE (if(period IN ({listed(NULL_TOKENS)}), NULL, period)
         AS period, if(value IN ({listed(NULL_TOKENS)}), NULL, value) AS value) FROM raw""",
+    "src_csv_breaks": f"""SELECT src_key, if(period IN ({listed(NULL_TOKENS)}), NULL, period)
+        AS period, CASE src_key % 5 WHEN 0 THEN indicator || chr(10)
+          WHEN 1 THEN '"' || chr(10) || ',' || indicator
+          WHEN 2 THEN indicator || chr(13) || chr(10) || '"",' || chr(10) || chr(10) || '"'
+            || indicator ELSE indicator END AS note FROM raw""",
+    "inferred_types": """SELECT src_key, src_key::VARCHAR AS spelt, src_key::VARCHAR AS padded,
+        (src_key // 2) || CASE src_key % 2 WHEN 1 THEN '.5' ELSE '' END AS halves,
+        CASE WHEN src_key < 999 THEN (src_key + 1) || repeat('0', 12)
+          ELSE rtrim(rtrim(left((src_key + 1)::VARCHAR, 1) || '.' || substr((src_key + 1)::VARCHAR, 2), '0'), '.')
+            || 'e+' || (11 + length((src_key + 1)::VARCHAR)) END AS large,
+        CASE src_key % 2 WHEN 1 THEN 'true' ELSE 'false' END AS truth,
+        CASE WHEN src_key % 1000 = 999 THEN 'n/k' WHEN src_key % 4 = 0 THEN src_key || 'e0'
+          WHEN src_key % 4 = 1 THEN src_key || '.0' WHEN src_key % 4 = 2 THEN ' +' || src_key
+          ELSE src_key::VARCHAR END AS mixed,
+        CASE src_key % 2 WHEN 1 THEN src_key::VARCHAR END AS holes,
+        CASE src_key % 2 WHEN 1 THEN 'true' END AS truth_holes FROM raw""",
     "null_tokens": f"""SELECT src_key, if(period = 'n/a', NULL, period) AS period,
         if([{listed(TOKENS)}][src_key % {len(TOKENS)} + 1] IN ({listed(NULL_TOKENS)}),
            NULL, [{listed(TOKENS)}][src_key % {len(TOKENS)} + 1]) AS token FROM raw""",

@@ -107,6 +107,49 @@ def src_csv(s: Session) -> DataFrame:
     return rows.select(*MESSY).withColumn("src_key", F.col("src_key").cast("long"))
 
 
+def src_csv_breaks(s: Session) -> DataFrame:
+    """One file whose texts hold line breaks, quotes and commas."""
+    key, note = F.col("src_key"), F.col("indicator")
+    broken = (
+        F.when(key % 5 == 0, F.concat(note, F.lit("\n")))
+        .when(key % 5 == 1, F.concat(F.lit('"\n,'), note))
+        .when(key % 5 == 2, F.concat(note, F.lit('\r\n"",\n\n"'), note))
+        .otherwise(note)
+    )
+    rows = s.raw.select("src_key", broken.alias("note"), "period").repartition(1)
+    read = extract.read_extract(
+        s.workspace.spark, write_csv(rows, s, "breaks"), PARAMS.run_ts,
+        multi_line=True, workspace=s.workspace,
+    )
+    return read.rows.select(F.col("src_key").cast("long").alias("src_key"), "note", "period")
+
+
+def inferred_types(s: Session) -> DataFrame:
+    """Columns of numbers in many spellings, truths, and texts, as inference reads them."""
+    key = F.col("src_key")
+    text, odd = key.cast("string"), key % 2 == 1
+    spelt = (
+        F.when(key % 4 == 0, F.concat(text, F.lit("e0")))
+        .when(key % 4 == 1, F.concat(text, F.lit(".0")))
+        .when(key % 4 == 2, F.concat(F.lit(" +"), text))
+        .otherwise(text)
+    )
+    rows = s.raw.select(
+        key,
+        spelt.alias("spelt"),
+        F.lpad(text, 9, "0").alias("padded"),
+        F.concat((key * 5).cast("string"), F.lit("E-1")).alias("halves"),
+        F.concat((key + 1).cast("string"), F.lit("e12")).alias("large"),
+        F.when(odd, "TRUE").otherwise("False").alias("truth"),
+        F.when(key % 1000 == 999, "n/k").otherwise(spelt).alias("mixed"),
+        F.when(odd, text).otherwise("NA").alias("holes"),
+        F.when(odd, "true").alias("truth_holes"),
+    )
+    read = extract.read_extract(s.workspace.spark, write_csv(rows, s, "typed"), PARAMS.run_ts)
+    found = read.stored(s.workspace).inferred().rows.drop(*extract.ORDER, "ingestion_timestamp")
+    return found.withColumn("src_key", F.col("src_key").cast("long"))
+
+
 def null_tokens(s: Session) -> DataFrame:
     pick = (F.col("src_key") % len(TOKENS) + 1).cast("int")
     token = F.element_at(F.array(*map(F.lit, TOKENS)), pick)
@@ -387,6 +430,8 @@ def title_case(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SESSION_QUERIES: dict[str, Callable[[Session], DataFrame]] = {
     "src_csv": src_csv,
+    "src_csv_breaks": src_csv_breaks,
+    "inferred_types": inferred_types,
     "null_tokens": null_tokens,
     "bad_rows": bad_rows,
     "normalize_headers": normalize_headers,
