@@ -7,11 +7,12 @@ recomputation that could number rows differently from what was already used.
 from __future__ import annotations
 
 import atexit
+import contextlib
 import functools
 import shutil
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,10 +37,30 @@ def _local_root() -> str:
     return folder
 
 
+#: Workspaces made inside each ``cleared`` block that is open, innermost last.
+_made: list[list[Workspace]] = []
+
+
+@contextlib.contextmanager
+def cleared() -> Iterator[None]:
+    """Delete the workspaces made inside the block when it ends.
+
+    What is to be kept must be stored in one made outside by then.
+    """
+    _made.append([])
+    try:
+        yield
+    finally:
+        for workspace in _made.pop():
+            workspace.clear()
+
+
 class Workspace:
     """A fresh subfolder of the shared folder holding this run's tables."""
 
     def __init__(self, spark: SparkSession, root: str | None = None):
+        if _made:
+            _made[-1].append(self)
         self.spark = spark
         base = (root or shared_root(spark)).rstrip("/")
         self.root = f"{base}/tidemark-{uuid.uuid4().hex}"
