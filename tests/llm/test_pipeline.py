@@ -29,7 +29,7 @@ def good(text):
     words, chars = WORD.findall(text), sum(map(len, WORD.findall(text)))
     if len(words) < 10:
         return False
-    for n, limit in ((5, 20), (8, 20), (12, 20)):
+    for n, limit in ((5, 20), (8, 15), (12, 10)):
         found = grams(words, n)
         inside = {k + j for k, g in enumerate(found) if found.count(g) > 1 for j in range(n)}
         if n == 5 and 100 * len(inside) > 20 * len(words):
@@ -140,3 +140,26 @@ def test_odd_rows_pass_every_stage(spark, k):
     if k == 3:
         assert set(ids) <= {0, 1, 4} and ids
     assert stage(spark, docs, SF_DIR).count() == 0
+
+
+def test_repeated_ids_keep_one_row_whatever_the_order(spark):
+    text = " ".join(f"word{k}" for k in range(30))
+    rows = [(1, f"{text} {k}", "a", None, k) for k in range(6)] + [(2, None, "b", "x", 1)]
+    schema = "doc_id long, text string, source string, lang string, n_chars long"
+    found = set()
+    for parts in (1, 3, 5):
+        docs = spark.createDataFrame(rows[::-1] if parts == 3 else rows, schema).repartition(parts)
+        kept = corpus_pipeline.near_duplicates(spark, docs, SF_DIR).collect()
+        assert sorted(r.doc_id for r in kept) == [1, 2]
+        found.add(next(r.text for r in kept if r.doc_id == 1))
+    assert len(found) == 1
+
+
+def test_only_the_result_is_left_in_the_shared_folder(spark, tmp_path, monkeypatch):
+    from tidemark import workspace
+
+    monkeypatch.setattr(workspace, "shared_root", lambda spark: str(tmp_path))
+    result = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    left = [p for p in tmp_path.glob("*/*") if p.is_dir()]
+    assert [p.name.split("-")[0] for p in left] == ["stage"]
+    assert result.count() > 0

@@ -54,12 +54,27 @@ def test_counts_of_whole_texts(name):
     assert ids is None or not len(ids)
 
 
-def test_equal_hashes_fall_back_to_whole_texts(encoder, monkeypatch):
+@pytest.mark.parametrize("kind", [lambda a, b: np.zeros(len(a), np.uint64), lambda a, b: b - a])
+def test_equal_hashes_fall_back_to_whole_texts(encoder, monkeypatch, kind):
+    """All pieces with one hash, and those of one length: bytes tell them apart."""
     encoder._forget()
     monkeypatch.setattr(
-        tokens, "span_hashes", lambda data, a, b: np.zeros(len(a), np.uint64)
+        tokens, "quick_hashes", lambda data, a, b: kind(a, b).astype(np.uint64)
     )
-    texts = ["one three", "five sixty seventy"]
-    counts, ids = encoder.encode(pa.array(texts))
+    for texts in (["one three", "five sixty seventy"], ["one two six", "the fat cat"]):
+        counts, ids = encoder.encode(pa.array(texts))
+        assert (counts.tolist(), ids.tolist()) == library(encoder, texts)
+    encoder._forget()
+
+
+def test_pieces_met_again_are_remembered(encoder, monkeypatch):
+    encoder._forget()
+    monkeypatch.setattr(tokens, "REMEMBERED", 40)
+    for k in range(30):
+        texts = [f"the same old words and new{k} other{k}, words{k}.", "the same"]
+        counts, ids = encoder.encode(pa.array(texts))
+        assert (counts.tolist(), ids.tolist()) == library(encoder, texts)
+        assert len(encoder.hashes) <= 40
+    known = bytes(encoder.bytes)
+    assert b" same" in known and b" old" in known and b" new3 " not in known
     encoder._forget()
-    assert (counts.tolist(), ids.tolist()) == library(encoder, texts)

@@ -31,12 +31,11 @@ FIELDS = (
 
 @dataclass
 class TestSet:
-    """Windows of one length: sorted hashes, their words, and the items that have each."""
+    """Windows of one length: sorted hashes, and by words the items that have each."""
 
     length: int
     hashes: np.ndarray
-    words: list[bytes]
-    items: list[list[str]]
+    items: list[dict[bytes, list[str]]]
     table: np.ndarray
 
 
@@ -83,10 +82,10 @@ def _test_sets(table: pa.Table) -> list[TestSet]:
     lengths = np.array(table["n"], np.int64)
     for n in sorted(set(lengths.tolist())):
         rows = table.filter(pa.array(lengths == n))
-        by_hash: dict[int, tuple[bytes, set[str]]] = {}
+        by_hash: dict[int, dict[bytes, set[str]]] = {}
         columns = (rows[c].to_pylist() for c in ("hash", "words", "item"))
         for h, words, item in zip(*columns, strict=True):
-            by_hash.setdefault(h % 2**64, (words, set()))[1].add(item)
+            by_hash.setdefault(h % 2**64, {}).setdefault(words, set()).add(item)
         keys = sorted(by_hash)
         hashes = np.array(keys, np.uint64)
         table_ = np.zeros(1 << _FILTER_BITS, bool)
@@ -95,8 +94,7 @@ def _test_sets(table: pa.Table) -> list[TestSet]:
             TestSet(
                 n,
                 hashes,
-                [by_hash[k][0] for k in keys],
-                [sorted(by_hash[k][1]) for k in keys],
+                [{w: sorted(found) for w, found in by_hash[k].items()} for k in keys],
                 table_,
             )
         )
@@ -127,9 +125,10 @@ def _scan(part: pa.RecordBatch, tests: list[TestSet], found_before: str | None):
         equal = test.hashes[at] == windows
         for f, k in zip(first[equal].tolist(), at[equal].tolist(), strict=True):
             raw = data.tobytes() if raw is None else raw
-            if _phrase(raw, words, f, test.length) == test.words[k]:
+            found = test.items[k].get(_phrase(raw, words, f, test.length))
+            if found is not None:
                 hit[f : f + test.length] = True
-                items[text_of[f]].update(test.items[k])
+                items[text_of[f]].update(found)
     sums = np.zeros(len(hit) + 1, np.int64)
     np.cumsum(hit, out=sums[1:])
     n_hit = sums[words.bound[1:]] - sums[words.bound[:-1]]

@@ -20,14 +20,16 @@ class Rules:
 
     ``ngram_percent`` has, per n-gram length, the largest share of characters
     in n-grams that occur twice or more in the text; ``line_percent`` that of
-    characters in lines that do.
+    characters in lines that do. What repeated 12-grams cover, repeated 5-grams cover
+    too, so only limits that fall with the length let the longer ones decide: long
+    repetitions count for more than short ones.
     """
 
     min_words: int = 10
     window: int = 5
     repeat_percent: int = 20
     ngram_percent: dict[int, int] = field(
-        default_factory=lambda: {5: 20, 8: 20, 12: 20}
+        default_factory=lambda: {5: 20, 8: 15, 12: 10}
     )
     line_percent: int = 30
 

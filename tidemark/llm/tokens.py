@@ -4,8 +4,8 @@ Byte-level BPE without a normalizer splits text by a pattern before it merges.
 Between a character that is no white space and white space, between an ASCII
 letter and a comma or full stop, and behind a lone line feed the pattern always
 splits, so the ids of a text are those of its pieces in turn. Pieces repeat, and
-each worker encodes a piece once for as long as it remembers it. Other
-tokenizers get whole texts.
+each worker encodes a piece once for as long as it remembers it. Pieces are looked up
+by hash and compared byte by byte. Other tokenizers get whole texts.
 """
 
 from __future__ import annotations
@@ -17,10 +17,10 @@ import re
 import numpy as np
 import pyarrow as pa
 
-from tidemark.llm.words import span_hashes, text_bytes
+from tidemark.llm.words import quick_hashes, text_bytes
 
-#: Pieces a worker remembers before it starts anew.
-REMEMBERED = 1 << 19
+#: Pieces a worker remembers; beyond, it forgets those it has met in one batch only.
+REMEMBERED = 3 << 18
 #: Text bytes of one encoding batch.
 BATCH_BYTES = 1 << 20
 
@@ -78,6 +78,12 @@ def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return ordered[new], order[new], rank
 
 
+def _places(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """All places of runs, each given by its first place and their number."""
+    before = np.cumsum(count, dtype=np.int64) - count
+    return np.arange(int(count.sum())) + np.repeat(first - before, count)
+
+
 class Encoder:
     """Ids of texts; keeps ids of pieces between calls."""
 
@@ -113,11 +119,32 @@ class Encoder:
     def _forget(self) -> None:
         # Known pieces by hash, sorted; slot says where the rest stands.
         self.hashes = np.zeros(0, np.uint64)
-        self.slot = np.zeros(0, np.int64)
-        self.count = np.zeros(0, np.int64)
-        self.length = np.zeros(0, np.int64)
+        self.slot = np.zeros(0, np.int32)
+        self.count = np.zeros(0, np.int32)
+        self.length = np.zeros(0, np.int32)
         self.first = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
+        self.start = np.zeros(0, np.int64)
+        self.bytes = np.zeros(0, np.uint8)
+        self.again = np.zeros(0, bool)
+
+    def _make_room(self, more: int) -> None:
+        """Forget pieces that were not met again since the last time."""
+        if len(self.hashes) + more <= REMEMBERED:
+            return
+        kept = np.flatnonzero(self.again[self.slot])
+        if len(kept) + more > REMEMBERED // 2:
+            self._forget()
+            return
+        slot = self.slot[kept]
+        self.hashes, self.slot = self.hashes[kept], np.arange(len(kept), dtype=np.int32)
+        self.bytes = self.bytes[_places(self.start[slot], self.length[slot])]
+        self.count, self.length = self.count[slot], self.length[slot]
+        self.start = np.cumsum(self.length, dtype=np.int64) - self.length
+        if self.keep_ids:
+            self.ids = self.ids[_places(self.first[slot], self.count)]
+            self.first = np.cumsum(self.count, dtype=np.int64) - self.count
+        self.again = np.zeros(len(kept), bool)
 
     def _encode(self, texts: list[str]) -> list:
         return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -149,15 +176,20 @@ class Encoder:
     def _learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
         have = len(self.count)
         order, count, ids = self._encode_pieces(pieces)
-        length = np.array([len(p) for p in pieces])
-        self.count = np.concatenate([self.count, count])
-        self.length = np.concatenate([self.length, length[order]])
+        length = np.array([len(p) for p in pieces], np.int32)[order]
+        start = len(self.bytes) + np.cumsum(length, dtype=np.int64) - length
+        new = np.frombuffer(b"".join([pieces[k] for k in order]), np.uint8)
+        self.bytes = np.concatenate([self.bytes, new])
+        self.start = np.concatenate([self.start, start])
+        self.again = np.concatenate([self.again, np.zeros(len(pieces), bool)])
+        self.count = np.concatenate([self.count, count.astype(np.int32)])
+        self.length = np.concatenate([self.length, length])
         if self.keep_ids:
-            first = len(self.ids) + np.cumsum(count) - count
+            first = len(self.ids) + np.cumsum(count, dtype=np.int64) - count
             self.first = np.concatenate([self.first, first])
             self.ids = np.concatenate([self.ids, ids])
         at = np.searchsorted(self.hashes, hashes)
-        slot = np.empty(len(pieces), np.int64)
+        slot = np.empty(len(pieces), np.int32)
         slot[order] = np.arange(have, have + len(pieces))
         self.hashes = np.insert(self.hashes, at, hashes)
         self.slot = np.insert(self.slot, at, slot)
@@ -213,13 +245,13 @@ class Encoder:
         if not len(start):
             return np.zeros(len(offsets) - 1, np.int64), np.zeros(0, np.uint32)
         end = np.append(start[1:], len(data))
-        hashes, at, rank = _distinct(span_hashes(data, start, end))
-        if len(self.hashes) + len(hashes) > REMEMBERED:
-            self._forget()
+        hashes, at, rank = _distinct(quick_hashes(data, start, end))
+        self._make_room(len(hashes))
         place = np.searchsorted(self.hashes, hashes)
         known = np.zeros(len(hashes), bool)
         inside = place < len(self.hashes)
         known[inside] = self.hashes[place[inside]] == hashes[inside]
+        self.again[self.slot[place[known]]] = True
         if not known.all():
             raw = data.tobytes()
             new = at[~known]
@@ -229,6 +261,9 @@ class Encoder:
         slot = self.slot[place][rank]
         if not np.array_equal(self.length[slot], end - start):
             return None  # two pieces with one hash
+        # Pieces follow each other without gaps, so this is the whole text again.
+        if not np.array_equal(self.bytes[_places(self.start[slot], self.length[slot])], data):
+            return None
         count = self.count[slot]
         total = np.zeros(len(count) + 1, np.int64)
         np.cumsum(count, out=total[1:])

@@ -1,8 +1,10 @@
 """Words and word windows of Arrow text columns, vectorised in numpy.
 
 Texts stay UTF-8 bytes. A word is a maximal run of word bytes inside one text;
-every byte of a multi-byte character is a word byte. Hashes are 64 bits wide:
-polynomials over random byte values modulo 2**64, mixed at the end.
+every byte of a multi-byte character is a word byte. Hashes are polynomials modulo
+the prime 2**61 - 1, spread over 64 bits at the end: two different spans of n values
+have equal ones for at most n of the 2**61 bases. A power of two as modulus has no such
+bound: strings that repeat in the manner of Thue and Morse are equal under it.
 """
 
 from __future__ import annotations
@@ -37,28 +39,54 @@ _UPPER = np.arange(ord("A"), ord("Z") + 1)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[_UPPER] += 32
 
-_VALUES = np.random.Generator(np.random.PCG64(20)).integers(
-    1, 2**63, 256, dtype=np.uint64
-)
-_BASES = {"byte": 0x9E3779B97F4A7C15, "word": 0xD1342543DE82EF95}
-_powers: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+#: A prime, so that few bases make two given spans equal.
+PRIME = (1 << 61) - 1
+_P, _31, _30 = U64(PRIME), U64(31), U64(30)
+_LOW31, _LOW30 = U64((1 << 31) - 1), U64((1 << 30) - 1)
+_BASES = {"byte": 0x0A3B1E6C2D94F857, "word": 0x13F0C5D97B6A8E21}
+_powers: dict[str, tuple[np.ndarray, ...]] = {}
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """Any 64-bit values modulo PRIME."""
+    x = (x & _P) + (x >> U64(61))
+    return np.minimum(x, x - _P)  # below PRIME the difference wraps round
+
+
+def _times_2_31(x: np.ndarray) -> np.ndarray:
+    """x * 2**31 for x below PRIME, where 2**61 is one; below 2**62."""
+    return ((x & _LOW30) << _31) + (x >> _30)
 
 
-def _power_tables(kind: str, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, at least n of each."""
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo PRIME, by limbs of 30 and 31 bits."""
+    a1, a0, b1, b0 = a >> _31, a & _LOW31, b >> _31, b & _LOW31
+    middle = a1 * b0 + a0 * b1  # below 2**62
+    # 2**61 and 2**62, then 2**32 and 2**61: below 2**64 together
+    return _reduced(((a1 * b1) << U64(1)) + a0 * b0 + _times_2_31(middle))
+
+
+def _power_tables(kind: str, n: int) -> tuple[np.ndarray, ...]:
+    """The first n powers of the base and of its inverse modulo PRIME, and the high and
+    low limbs of the former."""
     have = _powers.get(kind)
     if have is None or len(have[0]) < n:
-        size = max(n, 1 << 16)
+        size = 1 << max(n - 1, (1 << 16) - 1).bit_length()
         base = _BASES[kind]
         tables = []
-        for b in (base, pow(base, -1, 1 << 64)):
-            t = np.full(size, b, U64)
-            t[0] = 1
-            tables.append(np.cumprod(t))
-        have = _powers[kind] = (tables[0], tables[1])
+        for b in (base, pow(base, -1, PRIME)):
+            table = np.ones(size, U64)
+            done = 1
+            while done < size:  # by doubling: the powers so far times base**done
+                factor = np.full(done, pow(b, done, PRIME), U64)
+                table[done : 2 * done] = _product(table[:done], factor)
+                done *= 2
+            tables.append(table)
+        up, down = tables
+        have = _powers[kind] = (up, down, up >> _31, up & _LOW31)
         if size > 8 * SLICE_BYTES:  # one huge text: don't keep its tables
             del _powers[kind]
-    return have[0][:n], have[1][:n]
+    return tuple(table[:n] for table in have)
 
 
 def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -80,12 +108,48 @@ def distinct(values: np.ndarray) -> np.ndarray:
     return ordered[new]
 
 
+#: Values summed up before their sums could leave 64 bits.
+_SAFE = 1 << 24
+
+
+def _running(terms: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(terms) + 1, U64)
+    np.cumsum(terms, out=out[1:])
+    return out
+
+
+def _running_reduced(limb: np.ndarray) -> np.ndarray:
+    """Running sums of small values modulo PRIME, whatever their number."""
+    out = np.zeros(len(limb) + 1, U64)
+    for a in range(0, len(limb), _SAFE):
+        part = np.cumsum(limb[a : a + _SAFE])
+        out[a + 1 : a + 1 + len(part)] = _reduced(_reduced(part) + out[a])
+    return out
+
+
 def _spans(values: np.ndarray, kind: str, first: np.ndarray, last: np.ndarray):
-    """Hashes of values[first:last], whatever their place."""
-    up, down = _power_tables(kind, len(values) + 1)
-    sums = np.zeros(len(values) + 1, U64)
-    np.cumsum(values * up[:-1], out=sums[1:])
-    return (sums[last] - sums[first]) * down[first]
+    """Hashes of values[first:last], whatever their place; values fit 8 bits if
+    ``kind`` is byte, else 64.
+
+    The difference of two running sums holds the span's values times powers from
+    ``first`` on; the inverse power takes these to zero.
+    """
+    up, down, up_high, up_low = _power_tables(kind, len(values) + 1)
+    if kind == "byte":
+        terms = values.astype(U64)
+        terms += U64(1)
+        high, low = terms * up_high[:-1], terms * up_low[:-1]  # below 2**40
+    else:
+        terms = _product(_reduced(values), up[:-1])
+        high, low = terms >> _31, terms & _LOW31
+    if len(values) <= _SAFE:
+        high, low = _running(high), _running(low)
+        high, low = high[last] - high[first], low[last] - low[first]
+    else:
+        high, low = _running_reduced(high), _running_reduced(low)
+        high, low = high[last] + _P - high[first], low[last] + _P - low[first]
+    total = _reduced(_times_2_31(_reduced(high)) + _reduced(low))
+    return _product(total, down[first])
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -141,7 +205,7 @@ class Words:
         return np.repeat(np.arange(len(self.counts)), self.counts)
 
     def hashes(self) -> np.ndarray:
-        return mix(_spans(_VALUES[self.data], "byte", self.start, self.end))
+        return mix(_spans(self.data, "byte", self.start, self.end))
 
     def windows(self, hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """First words and hashes of all windows of n words inside one text."""
@@ -182,6 +246,26 @@ def lines(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return start, end, bound
 
 
+_ODD = 0x9E3779B97F4A7C15
+_odd_powers: list[np.ndarray] = []
+
+
+def quick_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the bytes of spans, modulo 2**64: cheap, but made spans can have equal
+    ones, so bytes must be compared before two spans count as equal."""
+    n = len(data) + 1
+    if not _odd_powers or len(_odd_powers[0]) < n:
+        tables = []
+        for b in (_ODD, pow(_ODD, -1, 1 << 64)):
+            table = np.full(max(n, 1 << 16), b, U64)
+            table[0] = 1
+            tables.append(np.cumprod(table))
+        _odd_powers[:] = tables
+    up, down = _odd_powers
+    sums = _running(data * up[: n - 1])
+    return mix((sums[end] - sums[start]) * down[start], 2)
+
+
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hashes of the bytes of any spans."""
-    return mix(_spans(_VALUES[data], "byte", start, end), 1)
+    return mix(_spans(data, "byte", start, end), 1)
