@@ -15,6 +15,7 @@ from tidemark.functions.rules import PERCENT
 from tidemark.functions.text import recode
 from tidemark.operators import star
 from tidemark.operators.exact import average, mean, merged, total
+from tidemark.operators.newest import newest_partitions
 from tidemark.params import Params
 from tidemark.plans.dimensions import (
     RESIDENCE_LABELS,
@@ -154,14 +155,20 @@ def sex_gap(w: Warehouse) -> DataFrame:
 
 
 def stunting_kpi(w: Warehouse) -> DataFrame:
-    """The latest stunting measurement of the whole population."""
+    """The latest stunting measurement of the whole population.
+
+    Facts are partitioned by year, and only the newest years up to the first one with
+    such a measurement are read.
+    """
+    measured = w.star().filter(
+        _is("indicator_category", "Stunting")
+        & F.col("is_total_population")
+        & _is("severity_level", "Overall")
+    )
+    # Four-digit years: at most 10,000 of them.
+    years = [r["year"] for r in w.dim_time.select("year").collect()]
     return (
-        w.star()
-        .filter(
-            _is("indicator_category", "Stunting")
-            & F.col("is_total_population")
-            & _is("severity_level", "Overall")
-        )
+        newest_partitions(measured, "time_key", years, 1)
         .orderBy(_down("year"), *_up("fact_key"))
         .limit(1)
         .select(

@@ -549,10 +549,33 @@ SELECTS: dict[str, str] = {
         check("unique", "raw_observations", c, "raw", repeats("raw", c))
         for c in ("src_key", "value_ci")
     ),
+    "check_unique_stored": " UNION ALL ".join(
+        check("unique", name, "fact_key", source, repeats(source, "fact_key"))
+        for name, source in (
+            ("fact_observations", "facts"),
+            (
+                "repeated",
+                "(SELECT CASE WHEN fact_key % 97 = 0 THEN NULL WHEN fact_key % 89 = 0"
+                " THEN fact_key - fact_key % 2 - 1 ELSE fact_key END AS fact_key FROM facts)",
+            ),
+        )
+    ),
     "check_accepted_values": check(
         "accepted_values", "raw_observations", "sex", "raw",
         "SELECT count(*) FROM raw WHERE sex NOT IN ('Male')",
     ),
+    "check_relationships_large": " UNION ALL ".join(
+        check("relationships", name, "l_orderkey", source,
+              orphans(source, "l_orderkey", "orders", "o_orderkey"))
+        for name, source in (
+            ("lineitem", "lineitem"),
+            (
+                "other",
+                "(SELECT CASE WHEN l_orderkey % 97 = 0 THEN -l_orderkey"
+                " WHEN l_orderkey % 89 <> 0 THEN l_orderkey END AS l_orderkey FROM lineitem)",
+            ),
+        )
+    ),
     "check_relationships": check(
         "relationships", "orders", "o_custkey", "orders",
         orphans(

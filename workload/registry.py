@@ -413,6 +413,33 @@ def check_unique(s: Session) -> DataFrame:
     )
 
 
+def check_unique_stored(s: Session) -> DataFrame:
+    """Keys of the fact as stored, and with some repeated and some missing."""
+    fact, workspace = s.tables["fact_observations"], s.workspace
+    key = F.col("fact_key")
+    again = F.when(key % 89 == 0, key - key % 2 - 1).otherwise(key)
+    again = fact.withColumn("fact_key", F.when(key % 97 != 0, again))
+    return quality.check_unique_number(
+        fact, "fact_observations", "fact_key", workspace
+    ).unionByName(quality.check_unique_number(again, "repeated", "fact_key", workspace))
+
+
+def check_relationships_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines against orders, as they are and with some orders made up or unknown."""
+    workspace = Workspace(spark)
+    lines, orders = read(spark, sf_dir, "lineitem"), read(spark, sf_dir, "orders")
+    key = F.col("l_orderkey")
+    other = F.when(key % 97 == 0, -key).when(key % 89 != 0, key)
+    checks = [(lines, "lineitem"), (lines.withColumn("l_orderkey", other), "other")]
+    reports = [
+        quality.check_relationships_number(
+            child, name, "l_orderkey", orders, "o_orderkey", workspace
+        )
+        for child, name in checks
+    ]
+    return reports[0].unionByName(reports[1])
+
+
 def check_relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders against customers, with unknown customers made up for some orders."""
     unknown = F.when(F.col("o_orderkey") % 97 == 0, -F.col("o_custkey"))
@@ -481,6 +508,7 @@ SESSION_QUERIES: dict[str, Callable[[Session], DataFrame]] = {
     "validate_staging": lambda s: quality.validate_raw(s.raw),
     "check_not_null": check_not_null,
     "check_unique": check_unique,
+    "check_unique_stored": check_unique_stored,
     "check_accepted_values": lambda s: quality.check_accepted_values(
         s.raw, "raw_observations", "sex", ["Male"]
     ),
@@ -493,6 +521,7 @@ SESSION_QUERIES: dict[str, Callable[[Session], DataFrame]] = {
 TABLE_QUERIES: dict[str, Query] = {
     "title_case": title_case,
     "check_relationships": check_relationships,
+    "check_relationships_large": check_relationships_large,
 }
 
 
