@@ -512,6 +512,7 @@ SELECTS: dict[str, str] = {
     # models
     "stg_observations": STG,
     "int_classified": CLASSIFIED,
+    "int_classified_by_name": CLASSIFIED,
     "yoy_changes": YOY,
     "yoy_changes_hot": YOY,
     "yoy_ordered": YOY,

@@ -16,8 +16,9 @@ from pyspark.sql import types as T
 from tidemark import schemas
 from tidemark.functions import parse, rules, text
 from tidemark.operators import quality
+from tidemark.operators.colocated import join_colocated, write_colocated
 from tidemark.plans import dashboard, dimensions, job, kpi, staging, yoy
-from tidemark.plans.classified import classify
+from tidemark.plans.classified import classify, classify_by_dictionary
 from tidemark.plans.fact import build_fact
 from tidemark.sources import extract, headers
 from tidemark.workspace import Workspace, write_table
@@ -26,6 +27,9 @@ from workload.oracle import TOKENS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Files of a table stored for joins by id.
+BUCKETS = 16
+
 
 @dataclass(frozen=True)
 class Session:
@@ -343,9 +347,9 @@ def fact_observations(s: Session) -> DataFrame:
     )
 
 
-def fact_yoy_join(s: Session) -> DataFrame:
-    """The change columns by join instead of in the same pass."""
-    keys = ["indicator_id", "year", "sex", "residence", "wealth_quintile"]
+def colocated_changes(s: Session) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Valued rows and their changes, both in buckets by id, and the other keys."""
+    keys = ["year", "sex", "residence", "wealth_quintile"]
     changes = [
         "previous_year_value",
         "absolute_change",
@@ -354,9 +358,23 @@ def fact_yoy_join(s: Session) -> DataFrame:
         "is_significant_change",
     ]
     valued = s.tables["int_classified"].filter("indicator_value IS NOT NULL")
-    return valued.select(*keys, "indicator_value").join(
-        yoy_changes(s).select(*keys, *changes), keys, "left"
-    )
+    left = valued.select("indicator_id", *keys, "indicator_value")
+    right = yoy_changes(s).select("indicator_id", *keys, *changes)
+    stored = [
+        write_colocated(df, name, "indicator_id", BUCKETS, s.workspace)
+        for df, name in ((left, "valued"), (right, "changes"))
+    ]
+    return stored[0], stored[1], keys
+
+
+def fact_yoy_join(s: Session) -> DataFrame:
+    """The change columns by join instead of in the same pass, bucket by bucket."""
+    valued, changes, keys = colocated_changes(s)
+    return join_colocated(valued, changes, "indicator_id", keys)
+
+
+def int_classified_by_name(s: Session) -> DataFrame:
+    return classify_by_dictionary(s.tables["stg_observations"], s.workspace)
 
 
 def star_join(s: Session) -> DataFrame:
@@ -499,6 +517,7 @@ SESSION_QUERIES: dict[str, Callable[[Session], DataFrame]] = {
     ),
     "fact_observations": fact_observations,
     "fact_yoy_join": fact_yoy_join,
+    "int_classified_by_name": int_classified_by_name,
     "star_join": star_join,
     "subgroup_aggregates": lambda s: kpi.subgroup_aggregates(s.cells()),
     "equity_gap": lambda s: kpi.equity_gap(s.cells()),
