@@ -2,7 +2,7 @@
 
 Every run writes its tables to a folder of its own; the run becomes visible in
 one step, when its row is appended to the ``published`` table. Readers keep the
-previous run until then, and a failed run publishes nothing.
+previous run until then, and a failed run publishes nothing; it can be resumed.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from tidemark.plans.dashboard import Warehouse
 from tidemark.plans.dimensions import dim_demographics, dim_time
 from tidemark.plans.fact import build_fact
 from tidemark.plans.kpi import kpi_summary, recent_cells
+from tidemark.plans.runs import Tables, fingerprint, note, unfinished
 from tidemark.plans.staging import malformed_numbers, stage
 from tidemark.plans.yoy import yoy_changes
 from tidemark.schemas import conform_raw
@@ -111,25 +112,29 @@ def build_tables(
 ) -> dict[str, DataFrame]:
     """Write staging, dimensions, fact and KPI tables; each feeds the next.
 
+    Tables that the folder has already are read and not built again.
+
     Dimensions are stored before they are joined: their size on disk
     tells Spark whether a broadcast is safe.
     """
 
-    def table(df: DataFrame, name: str, by: tuple[str, ...] = ()) -> DataFrame:
-        return write_table(df, f"{folder}/{name}", by)
+    table = Tables(raw.sparkSession, folder).table
 
-    staged = table(stage(raw, params, workspace), "stg_observations")
-    time = table(dim_time(staged, params), "dim_time")
-    people = table(dim_demographics(staged, params, workspace), "dim_demographics")
+    staged = table("stg_observations", lambda: stage(raw, params, workspace))
+    time = table("dim_time", lambda: dim_time(staged, params))
+    people = table("dim_demographics", lambda: dim_demographics(staged, params, workspace))
     classified = classify(staged)
-    fact = build_fact(classified, time, people, params, workspace)
-    # The write sorts by year anyway; by key as well, equal names stay together.
-    fact = table(
-        fact.sortWithinPartitions("time_key", "fact_key"),
-        "fact_observations",
-        ("time_key",),
-    )
-    cells = workspace.store(recent_cells(fact, time, people), "cells")
+
+    def by_year_and_key() -> DataFrame:
+        # The write sorts by year anyway; by key as well, equal names stay together.
+        fact = build_fact(classified, time, people, params, workspace)
+        return fact.sortWithinPartitions("time_key", "fact_key")
+
+    fact = table("fact_observations", by_year_and_key, ("time_key",))
+
+    def kpis() -> DataFrame:
+        return kpi_summary(workspace.store(recent_cells(fact, time, people), "cells"), params)
+
     return with_derived(
         {
             "raw_observations": raw,
@@ -137,7 +142,7 @@ def build_tables(
             "dim_time": time,
             "dim_demographics": people,
             "fact_observations": fact,
-            "mart_kpi_summary": table(kpi_summary(cells, params), "mart_kpi_summary"),
+            "mart_kpi_summary": table("mart_kpi_summary", kpis),
         },
         classified,
     )
@@ -190,6 +195,7 @@ def run_job(
     multi_line: bool = False,
     seed: bool = False,
     infer: bool = False,
+    resume: bool = False,
 ) -> Run:
     """Ingest, validate, build, check and publish one extract.
 
@@ -197,33 +203,56 @@ def run_job(
     their own). ``infer`` reads columns of numbers alone as numbers, so that ``1e3``
     counts as 1000. Tables that fail a check stay in the run's folder, with the
     rows that failed, but are not published.
+
+    ``resume`` goes on with the last run over the same files and parameters that was
+    not published: its batch time holds and its finished tables stay as they are. Two
+    runs at a time must not resume the same one.
     """
-    params = params or Params()
-    run_id = f"{params.run_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
-    folder = f"{out.rstrip('/')}/runs/{run_id}"
+    params, out = params or Params(), out.rstrip("/")
+    if infer and seed:
+        raise ValueError("a typed seed has its types")
     options = {"strict": strict, "multi_line": multi_line}
+    shaped = {**options, "seed": seed, "infer": infer, "rename": sorted((rename or {}).items())}
+    name = fingerprint(spark, csv_path, params, shaped)
+    begun = unfinished(spark, out, name) if resume else None
+    if begun is None:
+        run_id = f"{params.run_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+        note(spark, out, name, run_id, params.run_ts)
+    else:
+        run_id, run_ts = begun
+        params = replace(params, run_ts=run_ts)
+    folder = f"{out}/runs/{run_id}"
+    stored = Tables(spark, folder)
 
     def shape(rows: DataFrame) -> DataFrame:
         return conform_raw(raw_from_seed(rows, params.run_ts) if seed else rows, rename)
 
-    with Workspace(spark) as workspace:
-        options["workspace"] = workspace
+    def ingest(workspace: Workspace) -> tuple[DataFrame, DataFrame]:
+        """Write the raw table, the rejected lines, and last the metrics of both."""
+        reading = {**options, "workspace": workspace}
         if seed:
-            extract = read_typed(spark, csv_path, **options)
+            extract = read_typed(spark, csv_path, **reading)
         else:
-            extract = read_extract(spark, csv_path, params.run_ts, **options)
-        if infer and seed:
-            raise ValueError("a typed seed has its types")
+            extract = read_extract(spark, csv_path, params.run_ts, **reading)
         if infer or not strict:
             extract = extract.stored(workspace)
         if infer:
             extract = extract.inferred()
-        raw, metrics = load_raw(extract, f"{folder}/raw_observations", shape)
+        raw, metrics = load_raw(extract, stored.path("raw_observations"), shape)
+        if not strict:
+            write_table(extract.rejected, stored.path("rejected"))
+        return raw, write_table(metrics, stored.path("metrics"))
+
+    with Workspace(spark) as workspace:
+        if stored.has("metrics"):
+            raw, metrics = stored.read("raw_observations"), stored.read("metrics")
+        else:
+            raw, metrics = ingest(workspace)
         validate_raw(raw)
         tables = build_tables(raw, params, workspace, folder)
         if not strict:
-            tables["rejected"] = write_table(extract.rejected, f"{folder}/rejected")
-        checks = write_table(run_suite(tables, workspace), f"{folder}/checks")
+            tables["rejected"] = stored.read("rejected")
+        checks = write_table(run_suite(tables, workspace), stored.path("checks"))
         tables["checks"] = checks
         failed = checks.filter("status = 'fail'").collect()
         failures = {
@@ -240,7 +269,7 @@ def run_job(
         F.current_timestamp().alias("published_at"),
         "*",
     )
-    line.write.mode("append").parquet(f"{out.rstrip('/')}/published")
+    line.write.mode("append").parquet(f"{out}/published")
     return Run(
         tables=tables,
         warehouse=as_warehouse(tables, params),

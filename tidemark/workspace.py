@@ -88,6 +88,12 @@ class Workspace:
         self.clear()
 
 
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written to ``path`` to the end."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def write_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = ()
 ) -> DataFrame:
