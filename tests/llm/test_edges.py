@@ -28,7 +28,8 @@ ROWS = [
     (None, None, None, None), (9, "one two", "a", ""), (10, "One TWO", "a", ""),
 ]
 SCHEMA = "doc_id long, text string, source string, `odd.name` string"
-CLASHES = ("quality", "found", "mix", "tokens", "__draw", "__held", "__range", "n_words", "block")
+CLASHES = ("quality", "found", "mix", "tokens", "__draw", "__held", "__range", "n_words", "block",
+           "rate", "limit", "__rate", "__size", "quota", "copies")
 
 
 @pytest.fixture(scope="module")
@@ -208,3 +209,35 @@ def test_chat_with_long_turns(spark, workspace):
     path = registry.tokenizer_path()
     found = chat.read_conversations(*chat.format_conversations(turns, path, workspace), path)
     assert found.select("n_turns", "loss_chars").head() == (3, 0)
+
+
+def test_probability_follows_size(spark, workspace):
+    """Over many seeds, how often documents are taken goes with their size; the largest
+    are certain."""
+    rows = [(k, "w " * (40 if k < 60 else 80 if k < 90 else 4000 if k == 90 else 10), "a") for k in range(120)]
+    rows += [(k, "w " * 1000, "b") for k in range(120, 220)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    times = dict.fromkeys(range(120), 0)
+    for seed in range(25):
+        found = mixing.with_mix(df, workspace, weights=(1, 19), most=3, seed=str(seed))
+        for r in found.filter("source = 'a'").collect():
+            times[r.doc_id] += r.mix.copies
+        assert abs(r.mix.target - sum(
+            x.mix.taken for x in found.filter("source = 'a'").collect())) <= 80
+    assert times[90] == 25
+    small, middle, large = (
+        sum(times[k] for k in ks) / len(ks) / 25
+        for ks in (range(91, 120), range(60), range(60, 90))
+    )
+    assert 3 < middle / small < 5.5 and 1.6 < large / middle < 2.5
+
+
+def test_token_files_of_one_id_keep_their_order(spark, workspace):
+    rows = [(1, f"text {k}") for k in range(9)] + [(1, None), (None, "x"), (None, "y")]
+    path, seen = registry.tokenizer_path(), set()
+    for parts in (1, 4):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        files = token_files.write_token_files(df, path, workspace)
+        found = token_files.read_token_files(files).orderBy("start").collect()
+        seen.add(tuple((r.doc_id, r.start, r.ids_crc32) for r in found))
+    assert len(seen) == 1

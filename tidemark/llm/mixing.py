@@ -84,6 +84,43 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST
     )
 
 
+def inclusion_rates(sized: DataFrame, goals: DataFrame) -> DataFrame:
+    """Per source with a quota the sizes in words that are certain, and a rate.
+
+    Documents join the sample with a probability in proportion to their size, so that
+    the sum of probability times size is the quota. Where that would exceed one, a
+    document is certain: those larger than ``limit``. What they leave of the quota is
+    shared by the others: theirs is ``rate`` times size. Rows per size are counted
+    first, so the window is over different sizes, not documents.
+    """
+    counted = sized.groupBy("source", _SIZE).agg(F.count(F.lit(1)).alias("n"))
+    words = (F.col(_SIZE) * F.col("n")).cast("decimal(38,0)")
+    squares = (F.col(_SIZE) * F.col(_SIZE)).cast("decimal(28,0)") * F.col("n")
+    falling = Window.partitionBy("source").orderBy(F.desc(_SIZE))
+    larger = falling.rowsBetween(Window.unboundedPreceding, -1)
+    rest = falling.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    shares = counted.filter(F.col(_SIZE) > 0).withColumns(
+        {
+            "certain": F.coalesce(F.sum(words).over(larger), F.lit(0)).cast("double"),
+            "squares": F.sum(squares.cast("decimal(38,0)")).over(rest).cast("double"),
+        }
+    )
+    rated = (
+        shares.alias("s")
+        .join(goals.filter("quota > 0").alias("g"), same_as("s", "g"))
+        .select(
+            "s.source", _SIZE,
+            ((F.col("quota") - F.col("certain")) / F.col("squares")).alias("rate"),
+        )
+    )
+    # The largest size at which the rest of the quota makes no one certain.
+    return (
+        rated.filter(F.col("rate") * F.col(_SIZE) < 1)
+        .groupBy("source")
+        .agg(F.max(_SIZE).alias("limit"), F.max_by("rate", _SIZE).alias("rate"))
+    )
+
+
 def same_as(a: str, b: str) -> Column:
     """Sources of two aliased tables are equal, null being one of them."""
     return F.col(f"{a}.source").eqNullSafe(F.col(f"{b}.source"))
@@ -162,6 +199,21 @@ def cuts(draws: DataFrame, goals: DataFrame, workspace: Workspace) -> DataFrame:
     )
 
 
+def _rank(
+    chance: Column, size: Column, odds: Column | None, limit: Column, rate: Column
+) -> Column:
+    """Random odds over inclusion odds; certain documents come first, at zero."""
+    drawn = chance / (1 - chance)
+    if odds is not None:
+        return drawn / odds.cast("double")
+    share = rate * size
+    return (
+        F.when(size > limit, F.lit(0.0))
+        .when(share > 0, drawn / (share / (1 - share)))
+        .otherwise(drawn)
+    )
+
+
 def with_mix(
     docs: DataFrame,
     workspace: Workspace,
@@ -177,8 +229,9 @@ def with_mix(
     document of a source is expected target / source_size times: the whole
     part is certain, and a sample of fixed size in words gets one copy more.
     For the sample documents are ranked by the odds of a random number over
-    their inclusion odds, which ``odds`` (positive, default 1) multiplies per
-    document. The random number depends on seed and doc_id only, so reruns
+    their inclusion odds: those of a probability in proportion to their size
+    (``inclusion_rates``), or ``odds`` per document, which must be positive.
+    The random number depends on seed and doc_id only, so reruns
     agree. A sample stays within its quota but for one document, chosen by size
     to come nearest to it.
 
@@ -187,20 +240,30 @@ def with_mix(
     ones join or stay together. Other columns pass, but one called ``name``; an
     empty table stays empty.
     """
-    chance = uniform(F.col("doc_id"), seed)
-    weight = F.lit(1.0) if odds is None else odds.cast("double")
-    held = free_name(docs, "__held")
-    drawn = docs.withColumn(
-        held,
-        F.struct(
-            word_count(F.col("text")).alias(_SIZE), (chance / (1 - chance) / weight).alias(_ODDS)
-        ),
-    )
-    draws = drawn.select("source", "doc_id", f"{held}.*").withColumn(_DRAW, _draw())
-    draws = workspace.store(draws.drop("doc_id"), "draws")
-    goals = workspace.store(
-        targets(draws.select("source", F.col(_SIZE).alias("size")), weights, most), "goals"
+    held, limit, rate = (free_name(docs, n) for n in ("__held", "__limit", "__rate"))
+    content = word_count(F.col("text"))
+    given = (F.lit(None) if odds is None else odds).cast("double")
+    sized = workspace.store(
+        docs.select("source", "doc_id", content.alias(_SIZE), given.alias("given")), "sizes"
+    )
+    goals = targets(sized.select("source", F.col(_SIZE).alias("size")), weights, most)
+    goals = workspace.store(goals, "goals")
+    rates = inclusion_rates(sized, goals) if odds is None else goals.selectExpr(
+        "source", "0L AS limit", "0D AS rate"
     )
+    of = free_name(docs, "__source")
+    rates = workspace.store(rates, "rates").toDF(of, limit, rate)
+
+    def ranked(df: DataFrame, size: Column, given: Column | None) -> DataFrame:
+        """``df`` with a struct of size and rank."""
+        known = df.join(rates, F.col("source").eqNullSafe(quoted(of)), "left")
+        rank = _rank(uniform(F.col("doc_id"), seed), size, given, quoted(limit), quoted(rate))
+        return known.select(*own(df), F.struct(size.alias(_SIZE), rank.alias(_ODDS)).alias(held))
+
+    drawn = ranked(docs, content, odds)
+    draws = ranked(sized, F.col(_SIZE), None if odds is None else F.col("given"))
+    draws = draws.select("source", "doc_id", f"{held}.*").withColumn(_DRAW, _draw())
+    draws = workspace.store(draws.drop("doc_id"), "draws")
     ends = cuts(draws, goals, workspace)
     plan = workspace.store(
         goals.alias("g")

@@ -84,11 +84,10 @@ WITH docs AS (
   SELECT doc_id, source, len({WORDS})::BIGINT AS size,
          (('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT::DOUBLE
           + 0.5) / 281474976710656.0 AS u FROM documents),
-draws AS (SELECT doc_id, source, size, u / (1 - u) AS odds FROM docs),
 sources AS (
   SELECT source, sum(size)::BIGINT AS source_size,
          row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank
-  FROM draws GROUP BY source),
+  FROM docs GROUP BY source),
 weighed AS (SELECT *, {weight}::BIGINT AS weight FROM sources),
 spread AS (
   SELECT *, (sum(source_size) OVER ()
@@ -109,6 +108,23 @@ goals AS (
   FROM stopped s LEFT JOIN (
     SELECT rest_size, rest_weight FROM stopped WHERE NOT stops
     ORDER BY source_size / weight, rank LIMIT 1) free ON true),
+shares AS (
+  SELECT source, size, coalesce(sum(size * n) OVER larger, 0)::DOUBLE AS certain,
+         (sum(size::HUGEINT * size * n) OVER rest)::DOUBLE AS squares
+  FROM (SELECT source, size, count(*) AS n FROM docs WHERE size > 0 GROUP BY ALL)
+  WINDOW larger AS (PARTITION BY source ORDER BY size DESC
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+         rest AS (PARTITION BY source ORDER BY size DESC
+                  ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+rates AS (
+  SELECT s.source, max(size) AS most, arg_max((quota - certain) / squares, size) AS rate
+  FROM shares s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source
+  WHERE quota > 0 AND (quota - certain) / squares * size < 1 GROUP BY s.source),
+draws AS (
+  SELECT d.doc_id, d.source, d.size, CASE WHEN d.size > r.most THEN 0.0
+         WHEN rate * d.size > 0 THEN u / (1 - u) / (rate * d.size / (1 - rate * d.size))
+         ELSE u / (1 - u) END AS odds
+  FROM docs d LEFT JOIN rates r ON d.source IS NOT DISTINCT FROM r.source),
 ordered AS (
   SELECT d.*, g.source_size, g.target, g.copies, g.quota,
          sum(size) OVER (PARTITION BY d.source ORDER BY odds, doc_id, size) AS upto

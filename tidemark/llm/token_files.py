@@ -123,16 +123,21 @@ def write_token_files(
     ``path`` is a file of the tokenizers library; special tokens are not added.
     ``docs`` needs doc_id (long) and text; other columns are left out. A null
     text has the end id only; a null doc_id comes first; rows with one doc_id
-    follow each other in no set order. An empty table gives no files.
+    follow each other by a hash of their text, so reruns agree. An empty table gives
+    no files.
 
-    Rows are dealt by ranges of doc_id; each task encodes its range in order
-    and closes a file every ``file_tokens`` ids, so it holds one file at most.
+    Rows are dealt by ranges of doc_id and that hash, so that different texts of one
+    doc_id spread over tasks; each task encodes its range in order and closes a file
+    every ``file_tokens`` ids, so it holds one file at most.
     """
     bound_batches(docs.sparkSession)
     ordered = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id")
+        docs.select(
+            F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie")
+        )
+        .repartitionByRange("doc_id", "tie")
+        .sortWithinPartitions("doc_id", "tie")
+        .drop("tie")
     )
     files = ordered.mapInArrow(tidy(_write(path, end_id, file_tokens)), FILES)
     return workspace.store(files, "token-files")
