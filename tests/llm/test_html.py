@@ -138,3 +138,96 @@ def test_no_text_vanishes(page):
 
 def test_text_in_an_open_head():
     assert h.main_text("<head><meta charset=utf-8>Just text<p>more") == "Just text\nmore"
+
+
+# What surrounds an article, under names of many kinds.
+LEAKS = [
+    "reader-comments", "user-comments", "comment-thread", "ad-slot", "ad-unit",
+    "related-posts", "related-articles", "sticky-banner", "cookie-message", "left-rail",
+    "article-footer", "siteFooter", "post-share-buttons", "newsletter-signup", "breadcrumb",
+]
+LEAK = "<p>" + "Some words that belong to no article at all. " * 4 + "</p>"
+
+
+@pytest.mark.parametrize("name", LEAKS)
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body><article>{0}<div class='{1}'>{2}</div>{0}</article>",
+        "<body><article>{0}</article><div class='{1}'>{2}</div>",
+        "<body><div><div class=story>{0}{0}</div><div id='{1}'>{2}</div></div>",
+    ],
+)
+def test_named_surroundings_go(name, page):
+    text = h.main_text(page.format(paragraphs(4), name, LEAK))
+    assert "belong to no article" not in text
+    assert text.count("\n") in (3, 7)
+
+
+RIGHTS = "<div>Copyright 2024 Somebody. All rights reserved.</div>"
+COOKIES = "<div>We use cookies on this site. <button>Accept</button></div>"
+LINKS = "<ul><li><a href=a>One</a><li><a href=b>Two</a><li><a href=c>Three</a></ul>"
+BARE = "<ul><li>Home<li>News<li>Sport</ul>"
+# (page, whether the two paragraph runs have something between them that stays)
+PAGES = [
+    f"<body><div>{{}}</div>{RIGHTS}",
+    f"<body>{COOKIES}<div>{{}}</div>",
+    f"<body><main>{LINKS}{{}}</main>",
+    f"<body><main>{{}}{LINKS}</main>",
+    f"<body>{BARE}<div>{{}}</div>{BARE}",
+    f"<body><div>{BARE}</div><section>{{}}</section>",
+    f"<body>{LINKS}{{}}{LINKS}{RIGHTS}",
+    f"<body><table><tr><td>{LINKS}<td>{{}}</table>",
+    f"<body><div><div>{BARE}</div><div>{{}}</div><div>{COOKIES}</div></div>",
+    f"<body><main><div>{COOKIES}</div><div>{{}}</div>{RIGHTS}</main>",
+    "<body><div><p>Copyright 2024 Somebody</p></div><div>{}</div>",
+    "<body><div>{}</div><div><p>&copy; Somebody</p></div>",
+]
+
+
+@pytest.mark.parametrize("page", PAGES)
+def test_unnamed_surroundings_go(page):
+    assert h.main_text(page.format(paragraphs(4))).split("\n") == expected(4)
+
+
+@pytest.mark.parametrize(
+    "inside, lines",
+    [
+        ("<p><a href=a>An opening paragraph that is a link</a></p>{}", ["An opening paragraph that is a link", None]),
+        ("{}<p><a href=a>A closing paragraph that is a link</a></p>", [None, "A closing paragraph that is a link"]),
+        ("<div><h1>Title</h1></div>{}", ["Title", None]),
+        ("<div><p>By somebody</p></div><div>{}</div>", ["By somebody", None]),
+        ("{}<ul><li>First<li>Second</ul>{}", [None, "First", "Second", None]),
+        ("{}<table><tr><td>1<td>2</table>{}", [None, "1", "2", None]),
+    ],
+)
+@pytest.mark.parametrize("around", ["<body><div>{}</div>", "<body><main>{}</main>", "<article>{}</article>"])
+def test_lines_of_the_article_stay(around, inside, lines):
+    runs = inside.count("{}")
+    page = around.format(inside.format(*[paragraphs(3)] * runs))
+    want = [x for line in lines for x in (expected(3) if line is None else [line])]
+    assert h.main_text(page).split("\n") == want
+
+
+def test_the_clusters_decide(monkeypatch):
+    """With every line in the upper cluster, what they tell apart comes along."""
+    page = PAGES[4].format(paragraphs(4))
+    assert h.main_text(page).split("\n") == expected(4)
+    monkeypatch.setattr(h, "threshold", lambda values: 0.0)
+    assert "Sport" in h.main_text(page)
+    changed = sum(h.main_text(p.format(paragraphs(4))).split("\n") != expected(4) for p in PAGES)
+    assert changed >= 6
+
+
+@pytest.mark.parametrize(
+    "piece",
+    ["<div><p>word</p>", "<div class=ad><p>word</p>", "<p>word<br>", "</p></div>word", "<ul><li>word",
+     "<article><p>word</p></article>", "<article><p>word", "<a href=x>word"],
+)
+def test_megabytes_of_broken_markup(piece):
+    import time
+
+    page = piece * (1_000_000 // len(piece))
+    start = time.perf_counter()
+    h.main_text(page)
+    assert time.perf_counter() - start < 15  # some 3 s; quadratic work took minutes

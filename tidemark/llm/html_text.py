@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 from dataclasses import dataclass
@@ -46,25 +47,33 @@ _LINES = _BOXES | frozenset(
 # Boxes judged as a whole; rows, cells and parts of a list go with what they are in.
 _LAYOUT = frozenset("div section center header ul ol dl table".split())
 _WHOLE = frozenset("table ul ol dl blockquote figure details".split())
-# Names in class, id and role that mark what surrounds an article. A longer name
-# is one if it is made of these and of _PLACES only: "has-sidebar" is none.
+# Names in class, id and role that mark what surrounds an article. A longer name is one
+# if its other words say only which or where: "sticky-banner" is one, "has-sidebar" and
+# "market-share" are none.
 _AROUND = frozenset(
     "ad ads adbox adslot advert adverts advertisement advertising banner sponsor sponsored "
     "promo promoted promotion cookie cookies consent gdpr notice notices alert newsletter "
-    "subscribe subscription signup social share sharing sidebar menu menubar nav navbar "
+    "subscribe subscription signup social share sharing sidebar rail menu menubar nav navbar "
     "navigation breadcrumb breadcrumbs footer masthead related recommended recommendations "
     "widget popup modal overlay pagination pager login search searchbox toolbar copyright "
     "legal disclaimer skip contentinfo complementary dialog hidden".split()
 )
 _PLACES = frozenset(
     "site page global bar box block wrapper wrap container list links link section area top "
-    "bottom left right primary secondary inner outer item items buttons button form".split()
+    "bottom left right primary secondary inner outer item items buttons button form slot unit "
+    "message thread posts post articles article stories story reader readers user users sticky "
+    "fixed floating mobile desktop blog news zone panel strip row column col widget".split()
 )
 _COMMENTS = frozenset(
     "comment comments commentlist disqus discussion replies reply respond responses".split()
 )
 _HEADER = frozenset("header topbar".split())
+_CONTROLS = frozenset("button input select textarea".split())
+_PARAGRAPHS = frozenset(
+    "p h1 h2 h3 h4 h5 h6 pre blockquote figcaption dd dt address hgroup".split()
+)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_RIGHTS = re.compile(r"(©|\(c\)|copyright\b|all rights reserved)", re.IGNORECASE)
 
 
 @dataclass
@@ -72,7 +81,8 @@ class Box:
     """An element that holds lines: how far to trust it, and its content's size.
 
     ``named`` boxes are boilerplate by their class, id or role alone, ``sure``
-    ones by more; ``dropped`` and ``main`` follow from the boxes around.
+    ones by more; ``dropped`` and ``main`` follow from the boxes around. Boxes are
+    numbered as they open: those inside are ``index`` + 1 to ``end``.
     """
 
     tag: str
@@ -83,7 +93,10 @@ class Box:
     header: bool = False
     dropped: bool = False
     main: bool = False
+    controls: bool = False
     mass: int = 0
+    index: int = 0
+    end: int = 0
 
 
 @dataclass
@@ -92,6 +105,7 @@ class Line:
     tags: int
     linked: int
     box: Box
+    block: str = ""
 
     @property
     def links(self) -> bool:
@@ -132,6 +146,8 @@ class LineParser(HTMLParser):
         super().__init__(convert_charrefs=True)
         root = Box("", None)
         self.box, self.boxes = root, [root]
+        self.open: dict[str, int] = {}
+        self.block = ""
         self.lines: list[Line] = []
         self.text: list[str] = []
         self.tags, self.anchors = 0, False
@@ -144,11 +160,13 @@ class LineParser(HTMLParser):
         self.text.clear()
         self.linked.clear()
         if text:
-            self.lines.append(Line(text, self.tags, linked, self.box))
+            self.lines.append(Line(text, self.tags, linked, self.box, self.block))
             self.tags = 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += tag not in _BOXES
+        if tag in _CONTROLS:
+            self.box.controls = True
         if self.silent:
             first, last = self.silent[0], self.silent[-1]
             in_head = first in ("head", "title") and last in ("head", "title")
@@ -170,6 +188,8 @@ class LineParser(HTMLParser):
         self.end_line()
         if tag in _BOXES:
             self._open(tag, attrs)
+        elif tag not in ("br", "hr"):
+            self.block = tag
 
     def _open(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         page = tag in ("html", "body")
@@ -181,8 +201,11 @@ class LineParser(HTMLParser):
             named=_marked(names, _AROUND),
             comments=self.box.comments or _marked(names, _COMMENTS),
             header=tag == "header" or _marked(names, _HEADER),
+            index=len(self.boxes),
         )
         self.boxes.append(self.box)
+        self.open[tag] = self.open.get(tag, 0) + 1
+        self.block = ""
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1
@@ -201,11 +224,15 @@ class LineParser(HTMLParser):
         if tag not in _LINES:
             return
         self.end_line()
-        box = self.box
-        while box.parent is not None and box.tag != tag:
-            box = box.parent
-        if box.parent is not None:
-            self.box = box.parent
+        if tag not in ("br", "hr"):
+            self.block = ""
+        # Each box is left once, so that ends of what isn't open cost nothing.
+        if self.open.get(tag):
+            while True:
+                left, self.box = self.box, self.box.parent
+                self.open[left.tag] -= 1
+                if left.tag == tag:
+                    break
 
     def handle_data(self, data: str) -> None:
         if self.silent == ["head"] and data.strip():
@@ -287,107 +314,157 @@ def _clear_names(boxes: list[Box], lines: list[Line]) -> bool:
     large = [b for b in boxes if b.named and b.mass > half]
     if not large:
         return False
-    articles = {id(x.box) for x in lines if x.box.main and not x.box.dropped}
-    wrong = [b for b in large if articles <= _within(boxes, [b])]
+    articles = [x.box.index for x in lines if x.box.main and not x.box.dropped]
+    low, high = min(articles, default=0), max(articles, default=0)
+    wrong = [b for b in large if not articles or (b.index <= low and high <= b.end)]
     for box in wrong:
         box.named = False
     return bool(wrong)
 
 
-def _within(boxes: list[Box], regions: list[Box]) -> set[int]:
-    """Identities of the regions and all boxes in them."""
-    inside = {id(b) for b in regions}
-    for box in boxes:
-        if id(box.parent) in inside:
-            inside.add(id(box))
-    return inside
-
+def _number(boxes: list[Box]) -> None:
+    """Say where the boxes inside each box end."""
+    for box in reversed(boxes):
+        box.end = max(box.end, box.index)
+        if box.parent is not None:
+            box.parent.end = max(box.parent.end, box.end)
 
-def _innermost(boxes: list[Box], start: int, tags: frozenset[str] | None = None) -> Box:
-    """From a box down, as long as one box in it, of ``tags`` if given, has all its content.
 
-    What is in a box follows it without a gap.
-    """
-    region = boxes[start]
-    inside = {id(region)}
-    for k in range(start + 1, len(boxes)):
+def _innermost(boxes: list[Box], region: Box, tags: frozenset[str] | None = None) -> Box:
+    """From a box down, as long as one box in it, of ``tags`` if given, has all its content."""
+    k = region.index + 1
+    while k <= region.end:
         box = boxes[k]
-        if id(box.parent) not in inside:
-            break
-        inside.add(id(box))
         if region.mass and box.mass == region.mass and (tags is None or box.tag in tags):
-            region, inside = box, {id(box)}
+            region = box
+        k += 1
     return region
 
 
 def _articles(boxes: list[Box]) -> list[Box]:
     """The outermost article and main elements that have content."""
-    out, inside = [], set()
-    for k, box in enumerate(boxes):
-        if id(box.parent) in inside:
-            inside.add(id(box))
-        elif box.tag in _MAIN and box.main and not box.dropped and box.mass:
-            inside.add(id(box))
-            out.append(_innermost(boxes, k, _MAIN))
+    out, k = [], 0
+    while k < len(boxes):
+        box = boxes[k]
+        if box.tag in _MAIN and box.main and not box.dropped and box.mass:
+            out.append(_innermost(boxes, box, _MAIN))
+            k = box.end
+        k += 1
     return out
 
 
-def _link_blocks(boxes: list[Box], region: Box) -> set[int]:
-    """Boxes of a region that hold nothing but lines of links."""
-    empty, whole = set(), set()
-    for box in boxes:
-        if id(box.parent) in empty:
-            empty.add(id(box))
-        elif box is not region and id(box.parent) not in whole and box.tag in _LAYOUT:
-            if not box.mass:
-                empty.add(id(box))
-        if box.tag in _WHOLE or id(box.parent) in whole:
-            whole.add(id(box))
-    return empty
+def _parts(boxes: list[Box], region: Box) -> dict[int, Box]:
+    """Per box of a region the one its lines are judged with: the innermost layout box
+    around it, or the region.
+
+    Rows, cells and items go with the list or table they are in.
+    """
+    out, whole = {region.index: region}, set()
+    for box in boxes[region.index + 1 : region.end + 1]:
+        above = out[box.parent.index]
+        if box.parent.index in whole:
+            whole.add(box.index)
+        elif box.tag in _WHOLE:
+            whole.add(box.index)
+            above = box
+        elif box.tag in _LAYOUT:
+            above = box
+        out[box.index] = above
+    return out
+
+
+def _chosen(boxes: list[Box], region: Box, lines: list[tuple[Line, bool]]) -> list[Line]:
+    """The lines of a region by its clusters.
+
+    A part with a line of the upper cluster stays whole, whatever else is in it. Other
+    parts go if they hold nothing but links, or controls to press. So do those before
+    the first and behind the last such line, unless they have paragraphs or headings
+    that aren't about rights; bare links there go too.
+    """
+    dense = [k for k, (_, good) in enumerate(lines) if good]
+    first, last = dense[0], dense[-1]
+    of = _parts(boxes, region)
+    parts = [of[x.box.index] for x, _ in lines]
+    full = {id(parts[k]) for k in dense}
+    told, heads = set(), set()  # parts with more than links, and with paragraphs
+    for (x, _), part in zip(lines, parts, strict=True):
+        if not x.links:
+            told.add(id(part))
+        if x.block in _PARAGRAPHS and not _RIGHTS.match(x.text):
+            heads.add(id(part))
+    out = []
+    for k, ((x, _), part) in enumerate(zip(lines, parts, strict=True)):
+        at_end = not first <= k <= last
+        if id(part) in full or part is region:
+            keep = not (at_end and (x.links and not x.block or _RIGHTS.match(x.text)))
+        elif id(part) not in told or part.controls:
+            keep = False
+        else:
+            keep = not at_end or id(part) in heads
+        if keep:
+            out.append(x)
+    return out
+
+
+def clusters(lines: list[Line]) -> list[bool]:
+    """Flags of the lines whose ratio, alone and smoothed, is in the upper cluster.
+
+    A line's ratio is its length by the tags in and before it.
+    """
+    own = [len(x.text) / max(1, x.tags) for x in lines]
+    ratios = smoothed(own)
+    least = threshold(ratios)
+    dense = [min(r, o) >= least for r, o in zip(ratios, own, strict=True)]
+    return dense if any(dense) else [r >= least for r in ratios]
 
 
 def main_text(html: str | None) -> str:
     """The article of a page: its blocks in order, one per line.
 
-    Lines end at block elements and line breaks. A line's ratio is its length
-    by the tags in and before it; ratios are smoothed and split in two clusters.
-    A line is content if its ratio and the smoothed one are in the upper, or if it is
-    not mostly links, so short lines beside long ones are never lost. The
-    regions are all article and main elements with content, and all of their
-    lines stay. If there is none, or articles without a main element hold less
-    than half of the content, the region is the innermost element that holds
-    all content; of its lines only blocks of links go, and lines of links at
-    its ends. Elements known to stand around articles (menus, notices, adverts,
-    forms, comments) are dropped anywhere, if known by a class name only unless
-    most of the page is in them.
+    Lines end at block elements and line breaks. Their text-to-tag ratios are smoothed
+    and split in two clusters. Lines of the upper one, and others that are not mostly
+    links, are content; they choose the region. That is all article and main elements
+    with content, if a main element is among them or they hold half of the content at
+    least, else the innermost element that holds all content. In article elements all
+    lines stay. Elsewhere the clusters decide, part by part (``_chosen``): parts with a
+    line of the upper cluster stay whole, so no line beside it is lost, and of the
+    others lists of links, notices to be clicked away and bare texts at the ends go.
+
+    Elements known to stand around articles (menus, notices, adverts, forms, comments)
+    are dropped anywhere, if known by a class name only unless most of the page is in
+    them.
     """
     if not html:
         return ""
     parser = LineParser()
     every, boxes = parser.run(html), parser.boxes
+    _number(boxes)
     _judge(boxes)
     while _clear_names(boxes, every):
         _judge(boxes)
     lines = [x for x in every if not x.box.dropped]
     if not lines:
         return ""
-    own = [len(x.text) / max(1, x.tags) for x in lines]
-    ratios = smoothed(own)
-    least = threshold(ratios)
-    content = [
-        min(r, o) >= least or not x.links for x, r, o in zip(lines, ratios, own, strict=True)
-    ]
+    dense = clusters(lines)
+    content = [good or not x.links for x, good in zip(lines, dense, strict=True)]
     _weigh(boxes, [(x, len(x.text) * good) for x, good in zip(lines, content, strict=True)])
     regions = _articles(boxes)
     sure = any(b.tag == "main" for b in regions)
-    if regions and (sure or 2 * sum(b.mass for b in regions) >= boxes[0].mass):
-        inside = _within(boxes, regions)
-        return "\n".join(x.text for x in lines if id(x.box) in inside)
-    region = _innermost(boxes, 0)
-    inside = _within(boxes, [region]) - _link_blocks(boxes, region)
-    kept = [(x, good) for x, good in zip(lines, content, strict=True) if id(x.box) in inside]
-    edges = [k for k, (_, good) in enumerate(kept) if good]
-    return "\n".join(x.text for x, _ in kept[edges[0] : edges[-1] + 1]) if edges else ""
+    if not regions or not (sure or 2 * sum(b.mass for b in regions) >= boxes[0].mass):
+        regions = [_innermost(boxes, boxes[0])]
+    starts = [r.index for r in regions]
+    held: list[list[tuple[Line, bool]]] = [[] for _ in regions]
+    for x, good in zip(lines, dense, strict=True):
+        k = bisect.bisect_right(starts, x.box.index) - 1
+        if k >= 0 and x.box.index <= regions[k].end:
+            held[k].append((x, good))
+    out = []
+    for region, own in zip(regions, held, strict=True):
+        if region.tag != "article" and any(good for _, good in own):
+            out += _chosen(boxes, region, own)
+        elif region.mass:
+            out += [x for x, _ in own]
+    return "\n".join(x.text for x in out)
 
 
 def extract(column: pa.Array) -> dict[str, pa.Array]:
