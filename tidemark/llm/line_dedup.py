@@ -12,21 +12,18 @@ from pyspark.sql import functions as F
 from tidemark.llm import words as w
 from tidemark.llm.batches import bound_batches, tidy
 from tidemark.llm.columns import free_name, quoted
-from tidemark.llm.components import connected_components
 from tidemark.workspace import Workspace
 
 PERCENT = 80
 #: Counters of token frequency: 2 MB are broadcast at any input size.
-COUNTERS, PARTS = 1 << 19, 1024
-_COUNTER_BITS = np.uint64(64 - 19)
-#: Buckets in which lines meet that share a rare token.
-BUCKET_BITS = 6
+COUNTERS, PARTS = 1 << 21, 1024
+_COUNTER_BITS = np.uint64(64 - 21)
+#: Tokens that a bucket is planned for, in which lines meet that share a rare one.
+BUCKET_TOKENS = 1 << 20
 #: Earlier lines with the same rare token that every line is compared with.
 REACH = 255
 #: The largest bitmap of lines to look at again: 2**24 bits are 2 MB.
 MOST_BITS = 24
-#: Lines with a block that are broadcast, 16 bytes each; more are joined by shuffle.
-MOST_KNOWN = 1 << 20
 #: Stands for a null doc_id, which comes first.
 NULL_ID = np.iinfo(np.int64).min
 
@@ -69,10 +66,14 @@ class Lines:
             return np.zeros(0, np.int64)
         return np.add.reduceat(w.mix(self.tokens, 5), self.first).view(np.int64)
 
-    def bits(self) -> np.ndarray:
-        """A bitmap of 64 bits of each line's tokens."""
+    def bits(self) -> tuple[np.ndarray, np.ndarray]:
+        """A bitmap of 128 bits of each line's tokens, as two halves."""
         one = np.uint64(1) << ((self.tokens >> np.uint64(20)) & np.uint64(63))
-        return np.bitwise_or.reduceat(one, self.first) if len(self) else one
+        upper = ((self.tokens >> np.uint64(26)) & np.uint64(1)) == 1
+        halves = np.where(upper, np.uint64(0), one), np.where(upper, one, np.uint64(0))
+        if not len(self):
+            return halves
+        return tuple(np.bitwise_or.reduceat(h, self.first) for h in halves)
 
 
 def _blobs(names: list[str], rows: list[tuple]) -> pa.RecordBatch:
@@ -112,8 +113,9 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield rows(zero, zero, zero, np.arange(PARTS), pieces)
 
 
-def _levels(survey: DataFrame) -> np.ndarray:
-    """Per counter the logarithm of how many tokens it counts, in quarters."""
+def _levels(survey: DataFrame) -> tuple[np.ndarray, int]:
+    """Per counter the logarithm of how many tokens it counts, in quarters, and the
+    number of all tokens. A counter of one is at level 0."""
 
     def add(key, table):
         total = sum(np.frombuffer(x.as_py(), np.uint32).astype(np.int64) for x in table["counts"])
@@ -124,18 +126,19 @@ def _levels(survey: DataFrame) -> np.ndarray:
     counts = np.zeros((PARTS, COUNTERS // PARTS), np.int64)
     for part, raw in zip(sums["part"].to_pylist(), sums["counts"], strict=True):
         counts[part] = np.frombuffer(raw.as_py(), np.int64)
-    return (4 * np.log2(np.maximum(counts.ravel(), 1))).astype(np.uint8)
+    return (4 * np.log2(np.maximum(counts.ravel(), 1))).astype(np.uint8), int(counts.sum())
 
 
-_POSTING = ["bucket", "token", "doc_id", "line", "n", "pos", "bits", "name"]
-_KINDS = [np.uint32, np.int64, np.int32, np.uint32, np.uint32, np.uint64, np.int64]
+_POSTING = ["bucket", "token", "doc_id", "line", "n", "pos", "bits", "more", "name"]
+_KINDS = [np.uint32, np.int64, np.int32, np.uint32, np.uint32, np.uint64, np.uint64, np.int64]
 
 
-def _postings(levels, percent: int):
+def _postings(levels, percent: int, bucket_bits: int):
     """Per slice and bucket the rarest tokens of lines, of which linked ones share one.
 
     Of the lines of a slice with one set only the first is sent. Sets of a few
-    tokens link with equal ones alone and are left out.
+    tokens link with equal ones alone and are left out, and so are tokens that
+    occur once.
     """
     smallest = -(-percent // (100 - percent))
 
@@ -151,31 +154,35 @@ def _postings(levels, percent: int):
                 chosen &= lines.size >= smallest
                 pos = np.arange(len(lines.of)) - lines.first[lines.of]
                 prefix = lines.size - -(-percent * lines.size // 100) + 1
-                sent = np.flatnonzero(chosen[lines.of] & (pos < prefix[lines.of]))
+                rare = chosen[lines.of] & (pos < prefix[lines.of])
+                rare &= levels.value[(lines.tokens >> _COUNTER_BITS).astype(np.int64)] > 0
+                sent = np.flatnonzero(rare)
+                if not len(sent):
+                    continue
                 of, tokens = lines.of[sent], lines.tokens[sent]
-                bucket = tokens >> np.uint64(64 - BUCKET_BITS)
+                bucket = tokens >> np.uint64(64 - bucket_bits)
+                bits, more = lines.bits()
                 order = np.argsort(bucket, kind="stable")
                 of, tokens, bucket = of[order], tokens[order], bucket[order]
                 columns = [
                     tokens & np.uint64(0xFFFFFFFF), lines.doc_id[of], lines.number[of],
-                    lines.size[of], pos[sent][order], lines.bits()[of], classes[of],
+                    lines.size[of], pos[sent][order], bits[of], more[of], classes[of],
                 ]
                 columns = [c.astype(k) for c, k in zip(columns, _KINDS, strict=True)]
-                cuts = np.searchsorted(bucket, np.arange((1 << BUCKET_BITS) + 1))
+                cuts = np.flatnonzero(np.diff(bucket, prepend=np.uint64(1 << bucket_bits)))
+                ends = np.append(cuts[1:], len(bucket))
                 rows = [
-                    (k, *[c[a:b] for c in columns])
-                    for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True))
-                    if a < b
+                    (int(bucket[a]), *[c[a:b] for c in columns])
+                    for a, b in zip(cuts, ends, strict=True)
                 ]
-                if rows:
-                    yield _blobs(_POSTING, rows)
+                yield _blobs(_POSTING, rows)
 
     return run
 
 
 _FOUND = (
-    "name long, other long, token long, rank long, doc_id long, line int, "
-    "n long, pos long, bits long, open boolean"
+    "name long, other long, common long, token long, rank long, doc_id long, line int, "
+    "n long, pos long, bits long, more long, open boolean"
 )
 
 
@@ -186,8 +193,10 @@ def _common(a: dict, b: dict, percent: int) -> np.ndarray:
     """
     na, nb = a["n"].astype(np.int64), b["n"].astype(np.int64)
     left = np.minimum(na - a["pos"], nb - b["pos"])
-    misses_a = np.bitwise_count(a["bits"] & ~b["bits"])
-    misses_b = np.bitwise_count(b["bits"] & ~a["bits"])
+    misses_a, misses_b = (
+        sum(np.bitwise_count(x[k] & ~y[k]).astype(np.int64) for k in ("bits", "more"))
+        for x, y in ((a, b), (b, a))
+    )
     common = np.minimum(left, np.minimum(na - misses_a, nb - misses_b))
     sizes = 100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)
     return np.where(sizes & (common * (100 + percent) >= percent * (na + nb)), common, 0)
@@ -242,18 +251,19 @@ def _meet(table: pa.Table, percent: int, reach: int) -> pa.Table:
         more = common > most[a]
         most[a[more]], best[a[more]] = common[more], a[more] - back
     far = np.flatnonzero(rank > reach)
-    first = _common(taken(far), taken(starts[group[far]]), percent) > 0
+    first = _common(taken(far), taken(starts[group[far]]), percent)
     some = np.flatnonzero(found)
-    a = np.concatenate([some, far[first]])
-    b = np.concatenate([best[some], starts[group[far[first]]]])
+    a = np.concatenate([some, far[first > 0]])
+    b = np.concatenate([best[some], starts[group[far[first > 0]]]])
+    common = np.concatenate([most[some], first[first > 0]])
     # Lines at one place of repeated documents are no match for each other.
     apart = (seat["doc_id"][a] != seat["doc_id"][b]) | (seat["line"][a] != seat["line"][b])
-    name, other = seat["name"][a[apart]], seat["name"][b[apart]]
-    order = np.lexsort((other, name))
-    name, other = name[order], other[order]
+    name, other, common = seat["name"][a[apart]], seat["name"][b[apart]], common[apart]
+    order = np.lexsort((common, other, name))
+    name, other, common = name[order], other[order], common[order]
     once = np.ones(len(order), bool)
     once[1:] = (name[1:] != name[:-1]) | (other[1:] != other[:-1])
-    name, other = name[once], other[once]
+    name, other, common = name[once], other[once], common[once]
     open_ = (found > 1) | (rank > reach)
     crowd = np.flatnonzero(np.bitwise_or.reduceat(open_, starts)[group] if len(new) else new)
     own = taken(crowd)
@@ -271,6 +281,7 @@ def _meet(table: pa.Table, percent: int, reach: int) -> pa.Table:
         "n": own["n"].astype(np.int64),
         "pos": own["pos"].astype(np.int64),
         "bits": own["bits"].view(np.int64),
+        "more": own["more"].view(np.int64),
         "open": open_[crowd],
     }
     kinds = {"line": pa.int32(), "open": pa.bool_()}
@@ -278,6 +289,7 @@ def _meet(table: pa.Table, percent: int, reach: int) -> pa.Table:
         {
             "name": column(name, own["name"], pa.int64()),
             "other": column(other, no_pair, pa.int64()),
+            "common": column(common, no_pair, pa.int64()),
             **{k: column(no_place, v, kinds.get(k, pa.int64())) for k, v in place.items()},
         }
     )
@@ -286,7 +298,7 @@ def _meet(table: pa.Table, percent: int, reach: int) -> pa.Table:
 def _rest(places: DataFrame, near: DataFrame, percent: int) -> DataFrame:
     """Open lines that are still there with all those before them that pass the filters."""
 
-    columns = ("name", "rank", "doc_id", "line", "n", "pos", "bits")
+    columns = ("name", "rank", "doc_id", "line", "n", "pos", "bits", "more")
 
     def side(df, name):
         return df.select("token", *[F.col(c).alias(f"{name}_{c}") for c in columns])
@@ -297,7 +309,10 @@ def _rest(places: DataFrame, near: DataFrame, percent: int) -> DataFrame:
     left = F.least(na - F.col("a_pos"), nb - F.col("b_pos"))
 
     def misses(x, y):
-        return F.bit_count(F.col(f"{x}_bits").bitwiseAND(F.bitwise_not(F.col(f"{y}_bits"))))
+        return sum(
+            F.bit_count(F.col(f"{x}_{k}").bitwiseAND(F.bitwise_not(F.col(f"{y}_{k}"))))
+            for k in ("bits", "more")
+        )
 
     common = F.least(left, na - misses("a", "b"), nb - misses("b", "a"))
     return both.filter(
@@ -349,7 +364,8 @@ def _sets(wanted):
                     {
                         "name": pa.array(names),
                         "tokens": pa.array(
-                            [lines.tokens[a:b].tobytes() for a, b in spans], pa.binary()
+                            [lines.tokens[a:b].view(np.int64) for a, b in spans],
+                            pa.list_(pa.int64()),
                         ),
                     }
                 )
@@ -357,49 +373,30 @@ def _sets(wanted):
     return run
 
 
-def _verify(pairs: pa.Table, sets: pa.Table, percent: int) -> pa.Table:
-    """Later lines of a block's pairs that reach the similarity."""
-    named = zip(sets["name"].to_pylist(), sets["tokens"], strict=True)
-    tokens = {name: np.frombuffer(raw.as_py(), np.uint64) for name, raw in named}
-    done = set()
-    for name, other in zip(pairs["name"].to_pylist(), pairs["other"].to_pylist(), strict=True):
-        if name not in done:
-            a, b = tokens[name], tokens[other]
-            both = np.concatenate([a, b])
-            both.sort()
-            common = int(np.count_nonzero(both[1:] == both[:-1]))
-            if common * (100 + percent) >= percent * (len(a) + len(b)):
-                done.add(name)
-    return pa.table({"name": pa.array(list(done), pa.int64())})
-
-
 def _verified(
     docs: DataFrame, pairs: DataFrame, workspace: Workspace, percent: int
 ) -> DataFrame:
     """The later lines of pairs whose Jaccard similarity reaches ``percent``.
 
-    Pairs that hang together form a block, which gets each of its sets once.
+    Pairs get both sets by name, so nothing but a pair is ever in one place. Sets are
+    read from the documents again, those the pairs name only.
     """
-    spark = docs.sparkSession
-    pairs = workspace.store(pairs.distinct(), "pairs")
+    pairs = workspace.store(pairs.select("name", "other").distinct(), "pairs")
     ends = pairs.select("name").unionByName(pairs.select(F.col("other").alias("name")))
     ends = workspace.store(ends.distinct(), "ends")
-    chosen = spark.sparkContext.broadcast(_bitmap(ends, ends.count()))
-    edges = pairs.select(F.col("name").alias("a"), F.col("other").alias("b"))
-    blocks = workspace.store(connected_components(edges, workspace), "blocks")
-    small = blocks.count() <= MOST_KNOWN
-
-    def by_block(df: DataFrame, block: str) -> DataFrame:
-        own = blocks.select(F.col("node").alias("name"), F.col("root").alias(block))
-        return df.join(F.broadcast(own) if small else own, "name")
-
-    sets = docs.mapInArrow(tidy(_sets(chosen)), "name long, tokens binary")
-    return (
-        by_block(pairs, "y")
-        .groupBy("y")
-        .cogroup(by_block(sets, "x").groupBy("x"))
-        .applyInArrow(lambda left, right: _verify(left, right, percent), "name long")
+    chosen = docs.sparkSession.sparkContext.broadcast(_bitmap(ends, ends.count()))
+    sets = docs.mapInArrow(tidy(_sets(chosen)), "name long, tokens array<long>")
+    sets = workspace.store(
+        sets.join(ends, "name", "left_semi").dropDuplicates(["name"]), "sets"
     )
+    one = sets.select(F.col("name"), F.col("tokens").alias("a"))
+    two = sets.select(F.col("name").alias("other"), F.col("tokens").alias("b"))
+    both = pairs.join(one, "name").join(two, "other")
+    common = F.size(F.array_intersect("a", "b"))
+    enough = common * (100 + percent) >= percent * (F.size("a") + F.size("b"))
+    found = workspace.store(both.filter(enough).select("name").distinct(), "near")
+    chosen.unpersist()
+    return found
 
 
 def repeated_lines(
@@ -428,22 +425,27 @@ def repeated_lines(
         ),
         "survey",
     )
-    levels = docs.sparkSession.sparkContext.broadcast(_levels(survey))
+    counted, tokens = _levels(survey)
+    levels = docs.sparkSession.sparkContext.broadcast(counted)
+    bucket_bits = min(24, max(6, (tokens // BUCKET_TOKENS).bit_length()))
     found = (
         docs.mapInArrow(
-            tidy(_postings(levels, percent)),
+            tidy(_postings(levels, percent, bucket_bits)),
             "bucket int, " + ", ".join(f"{c} binary" for c in _POSTING[1:]),
         )
         .groupBy("bucket")
         .applyInArrow(lambda key, table: _meet(table, percent, reach), _FOUND)
     )
     found = workspace.store(found, "found")
-    pairs = found.filter("other IS NOT NULL").select("name", "other")
-    near = workspace.store(_verified(docs, pairs, workspace, percent), "near")
-    # Lines with more candidates than were verified, if they are still there.
-    rest = workspace.store(
-        _rest(found.filter("other IS NULL"), near, percent).distinct(), "rest"
-    )
+    levels.unpersist()
+    # Of each line's candidates the one that may share most comes first.
+    pairs = found.filter("other IS NOT NULL").select("name", "other", "common")
+    best = pairs.groupBy("name").agg(F.max_by("other", F.struct("common", "other")).alias("other"))
+    near = _verified(docs, best, workspace, percent)
+    # Then all of those that are still there, also beyond what was looked at.
+    others = pairs.join(near, "name", "left_anti").join(best, ["name", "other"], "left_anti")
+    more = _rest(found.filter("other IS NULL"), near, percent)
+    rest = workspace.store(others.select("name", "other").unionByName(more).distinct(), "rest")
     if not rest.isEmpty():
         near = near.unionByName(_verified(docs, rest, workspace, percent))
     near = near.distinct().select(F.col("name").alias("class"), F.lit(True).alias("hit"))

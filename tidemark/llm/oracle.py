@@ -13,7 +13,7 @@ LOWER = (
 )
 
 
-def _shingles() -> str:
+def _shingles(links: bool = False) -> str:
     return f"""
 WITH RECURSIVE texts AS (
   SELECT doc_id, regexp_extract_all({LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
@@ -31,8 +31,9 @@ reached AS (
   SELECT a, b FROM pairs
   UNION SELECT r.a, p.b FROM reached r JOIN pairs p ON p.a = r.b)
 SELECT doc_id, len(s)::BIGINT AS n_shingles,
-       least(doc_id, coalesce(low, doc_id)) AS component_id
-FROM sets LEFT JOIN (SELECT a, min(b) AS low FROM reached GROUP BY a) ON a = doc_id"""
+       least(doc_id, coalesce(low, doc_id)) AS component_id{", coalesce(n, 0)::BIGINT AS n_links" if links else ""}
+FROM sets LEFT JOIN (SELECT a, min(b) AS low FROM reached GROUP BY a) ON a = doc_id
+LEFT JOIN (SELECT a AS linked, count(*) AS n FROM pairs GROUP BY a) ON linked = doc_id"""
 
 
 def _quality(rules: Rules) -> str:
@@ -392,6 +393,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_mix_sources": _mix(),
         "op3_ngram_join": _shingles(),
+        "op3_ngram_links": _shingles(links=True),
         "op4_quality_rules": _quality(Rules()),
         "op8_line_dedup": _lines(),
         "op10_decontaminate": _contamination(),
