@@ -539,6 +539,18 @@ SELECTS: dict[str, str] = {
         {band("urban_rural_gap")} AS disparity_level FROM gaps""",
     "sql_views": f"""SELECT year, sex_label, count(*) AS measurements, {MEAN} AS avg_value
         FROM star WHERE is_total_wealth GROUP BY ALL""",
+    "sql_relations": " UNION ALL ".join(
+        f"SELECT '{view}' AS relation, count(*) AS rows, sum({c})::BIGINT AS total FROM {source}"
+        for view, source, c in (
+            ("stg_health_indicators", "staged", "year"),
+            ("int_child_health_indicators", "classified", "data_quality_score"),
+            ("int_yoy_changes", "changed", "year - prev_year"),
+            ("fact_child_health", "facts", "demographic_key"),
+            ("dim_time", "times", "years_ago"),
+            ("dim_demographics", "people", "demographic_key"),
+            ("mart_kpi_summary", "kpi", "measurement_count"),
+        )
+    ),
     # checks
     "validate_staging": """SELECT count(*) AS total_rows, count(indicator)
         AS non_null_indicators, count(value) AS non_null_values FROM raw""",

@@ -417,6 +417,27 @@ def sql_views(s: Session) -> DataFrame:
     )
 
 
+def sql_relations(s: Session) -> DataFrame:
+    """All seven relations through spark.sql: their rows, and the sum of a column."""
+    job.register_views(s.tables, PARAMS, s.workspace)
+    columns = {
+        "stg_health_indicators": "year",
+        "int_child_health_indicators": "data_quality_score",
+        "int_yoy_changes": "years_gap",
+        "fact_child_health": "demographic_key",
+        "dim_time": "years_ago",
+        "dim_demographics": "demographic_key",
+        "mart_kpi_summary": "measurement_count",
+    }
+    return s.workspace.spark.sql(
+        " UNION ALL ".join(
+            f"SELECT '{view}' AS relation, count(*) AS rows, CAST(sum({c}) AS BIGINT) AS total"
+            f" FROM {view}"
+            for view, c in columns.items()
+        )
+    )
+
+
 # --- checks
 
 
@@ -524,6 +545,7 @@ SESSION_QUERIES: dict[str, Callable[[Session], DataFrame]] = {
     "disparity_band": disparity_band,
     "mart_kpi_summary": lambda s: kpi.kpi_summary(stored_cells(s), PARAMS),
     "sql_views": sql_views,
+    "sql_relations": sql_relations,
     "validate_staging": lambda s: quality.validate_raw(s.raw),
     "check_not_null": check_not_null,
     "check_unique": check_unique,
