@@ -78,3 +78,18 @@ def test_pieces_met_again_are_remembered(encoder, monkeypatch):
     known = bytes(encoder.bytes)
     assert b" same" in known and b" old" in known and b" new3 " not in known
     encoder._forget()
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_decoded_texts_are_the_librarys(name):
+    made, read = tokens.Encoder(registry.tokenizer_path(name)), tokens.decoder(registry.tokenizer_path(name))
+    texts = ["Hello there, World.", "", "a  b\n\nc <|endoftext|> d", "日本 é \x00 ­ ÿ Ā", "x" * 50]
+    counts, ids = made.encode(pa.array(texts))
+    ends = np.cumsum(counts)
+    expected = [
+        read.tokenizer.decode(ids[a:b].tolist(), skip_special_tokens=False)
+        for a, b in zip(ends - counts, ends, strict=True)
+    ]
+    assert read.decode(ids, counts) == expected
+    if read.by_bytes:
+        assert expected == texts

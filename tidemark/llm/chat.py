@@ -6,12 +6,13 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.batches import bound_batches, tidy
-from tidemark.llm.tokens import BATCH_BYTES, encoder
+from tidemark.llm.tokens import BATCH_BYTES, decoder, encoder
 from tidemark.llm.words import slices
 from tidemark.operators.numbering import number_rows
 from tidemark.workspace import Workspace
@@ -210,21 +211,35 @@ def format_conversations(
     ranks = number_rows(
         steps.filter("depth = 0").select("conv_id", "path"), ["path", "conv_id"], "rank", workspace
     ).drop("path")
-    placed = steps.alias("s").join(
-        ranks.alias("r"), F.col("s.conv_id").eqNullSafe(F.col("r.conv_id"))
+    # Only names travel until it is known which conversation is a node's first.
+    placed = workspace.store(
+        steps.select("conv_id", "depth", "node")
+        .alias("s")
+        .join(ranks.alias("r"), F.col("s.conv_id").eqNullSafe(F.col("r.conv_id")))
+        .select("s.*", "rank"),
+        "placed",
     )
-    # The first conversation through a node brings its text.
-    first = placed.groupBy("node").agg(F.min("rank").alias("rank"))
-    own = placed.select("s.depth", "s.node", "s.parent", "s.role", "s.text", "rank")
-    nodes = own.join(first, ["node", "rank"]).mapInArrow(
-        tidy(_segments(path)),
-        "node binary, parent binary, depth int, rank long, ids array<int>, n_tokens long, "
-        "n_chars long, loss_from int, loss_to int",
+    first = placed.groupBy("node").agg(F.min(F.struct("rank", "conv_id", "depth")).alias("f"))
+    first = workspace.store(
+        first.select("f.rank", F.col("f.conv_id").alias("c"), F.col("f.depth").alias("d")), "first"
+    )
+    # It brings the text, once.
+    same = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("depth") == F.col("d"))
+    own = steps.join(first, same).select("depth", "node", "parent", "role", "text", "rank")
+    made = workspace.store(
+        own.mapInArrow(
+            tidy(_segments(path)),
+            "node binary, parent binary, depth int, rank long, ids array<int>, n_tokens long, "
+            "n_chars long, loss_from int, loss_to int",
+        ),
+        "made",
+    )
+    nodes = workspace.store(
+        _with_starts(made.select("node", "depth", "rank", "n_tokens")), "nodes"
     )
-    nodes = workspace.store(_with_starts(nodes), "nodes")
     where = nodes.select("node", "start", "n_tokens", F.col("rank").alias("first"))
     # Repeated conversations and shared turns meet their node's one row here.
-    way = placed.select("s.conv_id", "s.depth", "s.node", "rank").join(where, "node")
+    way = placed.select("conv_id", "depth", "node", "rank").join(where, "node")
     seat = F.struct("depth", "start", "n_tokens", "first")
     ways = way.groupBy("rank").agg(
         F.first("conv_id").alias("conv_id"), F.sort_array(F.collect_list(seat)).alias("seats")
@@ -243,7 +258,8 @@ def format_conversations(
             lambda x: F.struct(x["start"].alias("start"), (x["start"] + x["n_tokens"]).alias("end")),
         ).alias("attends"),
     )
-    tree = nodes.join(context, "start").select(
+    light = nodes.select("node", "start").join(context, "start")
+    tree = made.join(light, "node").select(
         "start", "ids", "n_tokens", "n_chars", "loss_from", "loss_to", "position", "attends"
     )
     conversations = ways.select(
@@ -259,22 +275,28 @@ DIGESTS = (
 
 
 def _read(path: str):
+    """Digests of conversations, from ids alone. A node's ids are decoded as the three
+    pieces they were made of: before, under and behind the loss mask."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decode = encoder(path).tokenizer.decode
+        decode = decoder(path).decode
         for batch in batches:
+            lists = batch["parts"]
+            edges = lists.offsets.to_numpy()
+            parts = lists.values
+            ids = parts.field("ids")
+            lo, hi = (parts.field(f"loss_{k}").to_numpy() for k in ("from", "to"))
+            first = ids.offsets.to_numpy()
+            n = np.diff(first)
+            pieces = np.stack([lo, hi - lo, n - hi], axis=1)
+            flat = ids.values.to_numpy()[first[0] : first[-1]] if len(n) else np.zeros(0, np.int64)
+            texts = decode(flat, pieces.ravel())
             out = []
-            for conv, parts in zip(
-                batch["conv_id"].to_pylist(), batch["parts"].to_pylist(), strict=True
+            for conv, a, b in zip(
+                batch["conv_id"].to_pylist(), edges[:-1], edges[1:], strict=True
             ):
-                segments = [decode(p["ids"], skip_special_tokens=False) for p in parts]
-                formatted = "".join(segments)
-                spoken = [
-                    unescape(
-                        decode(p["ids"][p["loss_from"] : p["loss_to"]], skip_special_tokens=False)
-                    )
-                    for p in parts
-                ]
-                loss, turns = "".join(spoken), parse(formatted)
+                formatted = "".join(texts[3 * a : 3 * b])
+                loss, turns = "".join(map(unescape, texts[3 * a + 1 : 3 * b : 3])), parse(formatted)
                 told = "".join(f"{r}\n{t}\n" for r, t in turns)
                 out.append(
                     (

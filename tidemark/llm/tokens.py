@@ -274,6 +274,64 @@ class Encoder:
         return per_text, self.ids[place]
 
 
+def _byte_of_letter() -> dict[str, int]:
+    """How byte-level vocabularies write bytes: printable ones as themselves, the others
+    by the characters from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(others)}
+
+
+class Decoder:
+    """Texts of ids. Ids of a byte-level vocabulary are bytes, joined by lookup; others
+    go through the library."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self.size = self.tokenizer.get_vocab_size()
+        self.by_bytes = (spec.get("decoder") or {}).get("type") == "ByteLevel"
+        if self.by_bytes:
+            letters = _byte_of_letter()
+            added = {t["id"]: t["content"] for t in spec.get("added_tokens", [])}
+            pieces = []
+            for k in range(self.size):
+                token = self.tokenizer.id_to_token(k) or ""
+                known = k not in added and all(c in letters for c in token)
+                pieces.append(
+                    bytes(letters[c] for c in token) if known else added.get(k, token).encode()
+                )
+            self.length = np.array([len(p) for p in pieces])
+            self.start = np.cumsum(self.length) - self.length
+            self.bytes = np.frombuffer(b"".join(pieces), np.uint8)
+
+    def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
+        """The texts of runs of ids that follow each other, ``counts`` of them each."""
+        ids = np.asarray(ids, np.int64)
+        ends = np.cumsum(counts)
+        if not self.by_bytes:
+            parts = zip((ends - counts).tolist(), ends.tolist(), strict=True)
+            return [self.tokenizer.decode(ids[a:b], skip_special_tokens=False) for a, b in parts]
+        length = self.length[ids]
+        raw = self.bytes[_places(self.start[ids], length)].tobytes()
+        edge = np.concatenate([[0], np.cumsum(length)])
+        parts = zip(edge[ends - counts].tolist(), edge[ends].tolist(), strict=True)
+        return [raw[a:b].decode("utf-8", "replace") for a, b in parts]
+
+
+_decoders: dict[str, Decoder] = {}
+
+
+def decoder(path: str) -> Decoder:
+    """This process's decoder of a tokenizer file."""
+    if path not in _decoders:
+        _decoders[path] = Decoder(path)
+    return _decoders[path]
+
+
 _encoders: dict[tuple[str, bool], Encoder] = {}
 
 
