@@ -34,8 +34,11 @@ def documents(seed):
     return rows + rows[-3:]
 
 
-@pytest.mark.parametrize("seed, cell_rows", [(1, 4096), (2, 4), (3, 1)])
-def test_links_equal_brute_force(spark, seed, cell_rows):
+@pytest.mark.parametrize(
+    "seed, cell_rows, cell_items", [(1, 4096, 1 << 22), (2, 4, 1 << 22), (3, 1, 9), (4, 4096, 120)]
+)
+def test_links_equal_brute_force(spark, monkeypatch, seed, cell_rows, cell_items):
+    monkeypatch.setattr(ngram_join, "CELL_ITEMS", cell_items)
     rows = documents(seed)
     sets = [shingles(t) for _, t in rows]
     links = [sum(linked(a, b) for b in sets) - bool(a) for a in sets]

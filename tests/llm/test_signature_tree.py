@@ -34,3 +34,18 @@ def test_links_equal_brute_force(seed, percent):
             kept += [rng.getrandbits(64) for _ in range(rng.choice([0, 0, 1, 5]))]
             sets.append(np.unique(np.array(kept, np.uint64)))
     assert same_groups(tree.link(sets, percent).tolist(), brute(sets, percent))
+
+
+def test_one_large_set_does_not_widen_all_bitmaps():
+    import tracemalloc
+
+    rng = np.random.Generator(np.random.PCG64(8))
+    sets = [np.unique(rng.integers(0, 2**63, 60, dtype=np.uint64)) for _ in range(4000)]
+    sets.append(np.unique(rng.integers(0, 2**63, 300_000, dtype=np.uint64)))
+    sets.append(sets[-1][3:])
+    tracemalloc.start()
+    labels = tree.link(sets, 80)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert labels[-1] == labels[-2] and len(set(labels.tolist())) == 4001
+    assert peak < 150e6

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import signature_tree
@@ -26,8 +26,8 @@ PARTS = 1024
 MOST_BITS = 24
 #: Classes with a block that are broadcast, 24 bytes each; more are joined by shuffle.
 MOST_KNOWN = 1 << 20
-#: Classes one signature tree holds; larger blocks are cut.
-CELL_ROWS = 4096
+#: Classes one signature tree holds, and their shingles; larger blocks are cut.
+CELL_ROWS, CELL_ITEMS = 4096, 1 << 22
 
 
 def shingle_sets(column: pa.Array, n: int) -> list[np.ndarray]:
@@ -428,40 +428,58 @@ def _count_cell(percent: int):
     return run
 
 
+def _parts_of(count: str, items: str, rows: int, most: int) -> Column:
+    """How many cells' worth of classes and shingles there are."""
+    return F.greatest(F.ceil(F.col(count) / rows), F.ceil(F.col(items) / most))
+
+
 def _cells(
-    sets: DataFrame, blocks: DataFrame, workspace: Workspace, percent: int, cell_rows: int
+    sets: DataFrame,
+    blocks: DataFrame,
+    workspace: Workspace,
+    percent: int,
+    cell_rows: int,
 ) -> DataFrame:
     """Sets by cell. Two sets of a block that can link meet in some cell.
 
     ``blocks`` has node, root and the copies of the node. With every set go its
     own band and its chunk.
 
-    A block of up to ``cell_rows`` classes is one cell. A larger one is cut by
-    size: sets a band or more apart are too unequal, so each goes to its own
-    band's cell and to the next one's. A cell still too large is cut into
-    chunks, and pairs of chunks are its cells.
+    A block of up to ``cell_rows`` classes with up to CELL_ITEMS shingles is one
+    cell. A larger one is cut by size: sets a band or more apart are too unequal, so
+    each goes to its own band's cell and to the next one's. A cell still too large is
+    cut into chunks, and pairs of chunks are its cells.
     """
     ratio = math.log(1.04 * 100 / percent)
-    count = blocks.groupBy(F.col("root").alias("block")).agg(F.count(F.lit(1)).alias("size"))
+    sizes = sets.groupBy(F.col("class").alias("node")).agg(F.max("n").alias("n"))
+    count = (
+        blocks.join(sizes, "node")
+        .groupBy(F.col("root").alias("block"))
+        .agg(F.count(F.lit(1)).alias("count"), F.sum("n").alias("items"))
+        .select("block", _parts_of("count", "items", cell_rows, CELL_ITEMS).alias("size"))
+    )
     known = blocks.select(F.col("node").alias("class"), F.col("root").alias("block"), "copies")
     known = workspace.store(known.join(count, "block"), "known")
     if known.count() <= MOST_KNOWN:
         known = F.broadcast(known)
     sized = sets.join(known, "class")
-    small = sized.filter(F.col("size") <= cell_rows).select(
+    small = sized.filter("size <= 1").select(
         "block", F.lit(0).alias("band"), F.lit(0).alias("x"), F.lit(0).alias("y"),
         "class", "shingles", "copies", F.lit(0).alias("own"), F.lit(0).alias("c"),
     )
-    if count.filter(F.col("size") > cell_rows).isEmpty():
+    if count.filter("size > 1").isEmpty():
         return small
     band = F.floor(F.log("n") / ratio).cast("int")
     large = (
-        sized.filter(F.col("size") > cell_rows)
+        sized.filter("size > 1")
         .withColumn("own", band)
         .withColumn("band", F.explode(F.array(F.col("own"), F.col("own") + 1)))
     )
-    chunks = large.groupBy("block", "band").agg(
-        F.ceil(F.count(F.lit(1)) / (max(1, cell_rows // 2))).cast("int").alias("k")
+    half = _parts_of("count", "items", max(1, cell_rows // 2), max(1, CELL_ITEMS // 2))
+    chunks = (
+        large.groupBy("block", "band")
+        .agg(F.count(F.lit(1)).alias("count"), F.sum("n").alias("items"))
+        .select("block", "band", half.cast("int").alias("k"))
     )
     x = F.pmod(F.xxhash64("class"), "k").cast("int")
     large = (

@@ -7,6 +7,8 @@ import numpy as np
 LEAF, FANOUT = 32, 8
 #: Pairs from which on a pair of leaves is verified at once, and the flags that may take.
 MANY, MOST_FLAGS = 64, 1 << 24
+#: Bits of all sets' bitmaps together: 32 MB, whatever the largest set is.
+MOST_BITS = 1 << 28
 
 
 class Forest:
@@ -84,6 +86,8 @@ def _traverse(
     m = len(sets)
     size = np.array([len(s) for s in sets], np.int64)
     bits = 1 << max(6, int(2 * size.max() - 1).bit_length())
+    # Narrower ones prune less; what they lose is counted in ``lost``.
+    bits = min(bits, 1 << max(6, (MOST_BITS // m).bit_length() - 1))
     words = bits // 64
     maps = np.zeros((m, words), np.uint64)
     for row, s in zip(maps, sets, strict=True):
