@@ -57,20 +57,20 @@ def document(rng, lines, end="\n"):
     return end.join(["one,two,three", *rows]) + (end if rng.random() < 0.5 else "")
 
 
-@pytest.mark.parametrize("seed", range(6))
+@pytest.mark.parametrize("seed", range(3))
 def test_random_files_in_small_splits(spark, tmp_path, seed):
     rng = random.Random(seed)
-    text = document(rng, 60, rng.choice(["\n", "\r\n"]))
+    text = document(rng, 40, rng.choice(["\n", "\r\n"]))
     path = tmp_path / "extract.csv"
     path.write_bytes(text.encode())
     want = expected(text, 3)
-    for size in (37, 1 << 20):
+    for size in (67, 1 << 20):
         found, rows = read(spark, path, size)
         assert rows == want
-    with splits_of(spark, 37):
+    with splits_of(spark, 67):
         found = extract.read_extract(spark, str(path), RUN_TS, multi_line=True)
         assert found.rows.select("source_block").distinct().count() > 3
-        assert records.read_lines(spark, str(path)).rdd.getNumPartitions() > 10
+        assert records.read_lines(spark, str(path)).rdd.getNumPartitions() > 5
 
 
 def test_a_record_over_many_splits(spark, tmp_path):
