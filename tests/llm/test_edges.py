@@ -218,18 +218,18 @@ def test_probability_follows_size(spark, workspace):
     rows += [(k, "w " * 1000, "b") for k in range(120, 220)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     times = dict.fromkeys(range(120), 0)
-    for seed in range(25):
+    for seed in range(12):
         found = mixing.with_mix(df, workspace, weights=(1, 19), most=3, seed=str(seed))
         for r in found.filter("source = 'a'").collect():
             times[r.doc_id] += r.mix.copies
         assert abs(r.mix.target - sum(
             x.mix.taken for x in found.filter("source = 'a'").collect())) <= 80
-    assert times[90] == 25
+    assert times[90] == 12
     small, middle, large = (
-        sum(times[k] for k in ks) / len(ks) / 25
+        sum(times[k] for k in ks) / len(ks) / 12
         for ks in (range(91, 120), range(60), range(60, 90))
     )
-    assert 3 < middle / small < 5.5 and 1.6 < large / middle < 2.5
+    assert 2.5 < middle / small < 6.5 and 1.5 < large / middle < 2.7
 
 
 def test_token_files_of_one_id_keep_their_order(spark, workspace):
