@@ -29,7 +29,7 @@ def good(text):
     words, chars = WORD.findall(text), sum(map(len, WORD.findall(text)))
     if len(words) < 10:
         return False
-    for n, limit in ((5, 20), (8, 15), (12, 10)):
+    for n, limit in ((5, 20), (8, 18), (12, 16)):
         found = grams(words, n)
         inside = {k + j for k, g in enumerate(found) if found.count(g) > 1 for j in range(n)}
         if n == 5 and 100 * len(inside) > 20 * len(words):

@@ -29,7 +29,7 @@ class Rules:
     window: int = 5
     repeat_percent: int = 20
     ngram_percent: dict[int, int] = field(
-        default_factory=lambda: {5: 20, 8: 15, 12: 10}
+        default_factory=lambda: {5: 20, 8: 18, 12: 16}
     )
     line_percent: int = 30
 
