@@ -70,6 +70,9 @@ def derived_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_nationkey").alias("nk"), F.col("n_regionkey").alias("r_regionkey")
     )
     region = read(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    # A file is read by as many tasks as it has row groups, maybe by one. Dealt out, all
+    # that follows runs on every core, and the stored rows come in as many files.
+    orders = orders.repartition(*orders.columns)
     joined = (
         orders.join(customer, "c_custkey").join(nation, "nk").join(region, "r_regionkey")
     )
@@ -89,6 +92,9 @@ def derived_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         _text(F.floor(h * 12 / 10).cast("bigint")),
         F.lit("]"),
     )
+    # Columns of their own are computed once, however often they are used below.
+    joined = joined.withColumns({"number": _text(h), "interval": interval})
+    number, interval = F.col("number"), F.col("interval")
     quintile = F.col("nk") % 7
     segment, status = F.col("c_mktsegment"), F.col("o_orderstatus")
     return joined.select(
@@ -114,21 +120,21 @@ def derived_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("wealth_quintile"),
         F.when(k % 11 == 0, None)
         .when(k % 13 == 0, "No data")
-        .when(k % 37 == 0, F.concat(F.lit(MANY_DIGITS), _text(h)))
-        .when(k % 41 == 0, F.concat(_text(h), F.lit(MANY_DECIMALS)))
+        .when(k % 37 == 0, F.concat(F.lit(MANY_DIGITS), number))
+        .when(k % 41 == 0, F.concat(number, F.lit(MANY_DECIMALS)))
         .when(k % 43 == 0, F.concat(F.lit(TINY), (k % 10).cast("string")))
         .when(k % 211 == 0, TOO_LONG)
-        .otherwise(_text(h))
+        .otherwise(number)
         .alias("value_numeric"),
         F.when(k % 17 == 0, "")
         .when(k % 143 == 0, "1.2.3")
-        .otherwise(_text(h))
+        .otherwise(number)
         .alias("value"),
         F.when(k % 7 == 0, None)
         .when(k % 223 == 0, "[1.2.3-4]")
         .when(k % 227 == 0, f"[5-{TOO_LONG}]")
         .when(k % 229 == 0, f"[0.5-7.5{MANY_DECIMALS}0001]")
-        .when(k % 19 == 0, F.concat(_text(h), F.lit(" "), interval))
+        .when(k % 19 == 0, F.concat(number, F.lit(" "), interval))
         .otherwise(interval)
         .alias("value_ci"),
         k.alias("src_key"),
