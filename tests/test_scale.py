@@ -1,11 +1,14 @@
-"""What grows with the input is spread over tasks."""
+"""What grows with the input is spread over tasks, and built when needed."""
 
 import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
 
-from workload.derived import derived_raw
+from tidemark.plans import job
+from tidemark.workspace import Workspace, is_written
+from workload import registry
+from workload.derived import PARAMS, derived_raw
 
 ORDERS = 4000
 
@@ -49,3 +52,29 @@ def test_rows_of_one_row_group_go_to_many_tasks(spark, one_row_group):
     assert sum(r["count"] for r in sizes) == ORDERS
     assert len(sizes) > 2
     assert max(r["count"] for r in sizes) < ORDERS / 2
+
+
+def test_tables_are_built_when_asked_for(spark, one_row_group):
+    with Workspace(spark) as workspace:
+        folder = workspace.path("warehouse")
+        raw = workspace.store(derived_raw(spark, one_row_group), "raw")
+        tables = job.tables_on_demand(raw, PARAMS, workspace, folder)
+        assert tables["int_classified"].count() > 0
+        assert is_written(spark, f"{folder}/stg_observations")
+        assert not is_written(spark, f"{folder}/fact_observations")
+        assert tables["fact_observations"].count() > 0
+        assert not is_written(spark, f"{folder}/mart_kpi_summary")
+        assert set(job.STORED) < set(dict(tables))
+        assert is_written(spark, f"{folder}/mart_kpi_summary")
+
+
+def test_queries_share_tables(spark, one_row_group):
+    queries = registry.queries()
+    scored = queries["quality_score"](spark, one_row_group)
+    assert scored.count() > 0
+    tables = registry.session(spark, one_row_group).tables
+    assert tables["stg_observations"] is tables["stg_observations"]
+    root = tables["stg_observations"].inputFiles()[0].split("/stg_observations")[0]
+    assert not is_written(spark, f"{root}/fact_observations")
+    assert queries["disparity_band"](spark, one_row_group).columns[-1] == "disparity_level"
+    assert is_written(spark, f"{root}/fact_observations")

@@ -8,7 +8,7 @@ previous run until then, and a failed run publishes nothing; it can be resumed.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
@@ -107,10 +107,29 @@ def load_raw(
     return raw, metrics
 
 
-def build_tables(
+class OnDemand(Mapping[str, DataFrame]):
+    """Tables by name, each built when it is first asked for."""
+
+    def __init__(self, builders: Mapping[str, Callable[[], DataFrame]]):
+        self._builders, self._built = dict(builders), {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
+def tables_on_demand(
     raw: DataFrame, params: Params, workspace: Workspace, folder: str
-) -> dict[str, DataFrame]:
-    """Write staging, dimensions, fact and KPI tables; each feeds the next.
+) -> OnDemand:
+    """Staging, dimensions, fact and KPI tables, written when first asked for; each
+    feeds the next.
 
     Tables that the folder has already are read and not built again.
 
@@ -120,43 +139,54 @@ def build_tables(
 
     table = Tables(raw.sparkSession, folder).table
 
-    staged = table("stg_observations", lambda: stage(raw, params, workspace))
-    time = table("dim_time", lambda: dim_time(staged, params))
-    people = table("dim_demographics", lambda: dim_demographics(staged, params, workspace))
-    classified = classify(staged)
-
     def by_year_and_key() -> DataFrame:
         # The write sorts by year anyway; by key as well, equal names stay together.
-        fact = build_fact(classified, time, people, params, workspace)
+        dimensions = tables["dim_time"], tables["dim_demographics"]
+        fact = build_fact(tables["int_classified"], *dimensions, params, workspace)
         return fact.sortWithinPartitions("time_key", "fact_key")
 
-    fact = table("fact_observations", by_year_and_key, ("time_key",))
-
     def kpis() -> DataFrame:
-        return kpi_summary(workspace.store(recent_cells(fact, time, people), "cells"), params)
+        star = [tables[n] for n in ("fact_observations", "dim_time", "dim_demographics")]
+        return kpi_summary(workspace.store(recent_cells(*star), "cells"), params)
+
+    def staged() -> DataFrame:
+        return tables["stg_observations"]
+
+    models = {
+        "stg_observations": lambda: stage(raw, params, workspace),
+        "dim_time": lambda: dim_time(staged(), params),
+        "dim_demographics": lambda: dim_demographics(staged(), params, workspace),
+        "fact_observations": by_year_and_key,
+        "mart_kpi_summary": kpis,
+    }
+    partitions = {"fact_observations": ("time_key",)}
 
-    return with_derived(
+    def stored(name: str) -> Callable[[], DataFrame]:
+        return lambda: table(name, models[name], partitions.get(name, ()))
+
+    tables = OnDemand(
         {
-            "raw_observations": raw,
-            "stg_observations": staged,
-            "dim_time": time,
-            "dim_demographics": people,
-            "fact_observations": fact,
-            "mart_kpi_summary": table("mart_kpi_summary", kpis),
-        },
-        classified,
+            "raw_observations": lambda: raw,
+            **{name: stored(name) for name in models},
+            "int_classified": lambda: classify(staged()),
+            "quarantine": lambda: malformed_numbers(raw),
+        }
     )
+    return tables
 
 
-def with_derived(
-    tables: Mapping[str, DataFrame], classified: DataFrame | None = None
+def build_tables(
+    raw: DataFrame, params: Params, workspace: Workspace, folder: str
 ) -> dict[str, DataFrame]:
+    """All tables of a run, written; see ``tables_on_demand``."""
+    return dict(tables_on_demand(raw, params, workspace, folder))
+
+
+def with_derived(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Add the tables that are a filter and a projection of a stored one."""
-    if classified is None:
-        classified = classify(tables["stg_observations"])
     return {
         **tables,
-        "int_classified": classified,
+        "int_classified": classify(tables["stg_observations"]),
         "quarantine": malformed_numbers(tables["raw_observations"]),
     }
 

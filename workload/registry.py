@@ -1,12 +1,13 @@
 """The registered queries: every operator and model over the given tables.
 
 Models read the tables one step upstream, stored once per session and input
-folder, as the batch job stores them; operators read the raw table.
+folder, as the batch job stores them, when a query first needs them; operators read
+the raw table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,15 +38,15 @@ class Session:
 
     workspace: Workspace
     raw: DataFrame
-    tables: dict[str, DataFrame]
+    tables: Mapping[str, DataFrame]
 
     @property
     def warehouse(self) -> dashboard.Warehouse:
         return job.as_warehouse(self.tables, PARAMS)
 
     def cells(self) -> DataFrame:
-        w = self.warehouse
-        return kpi.recent_cells(w.fact, w.dim_time, w.dim_demographics)
+        t = self.tables
+        return kpi.recent_cells(t["fact_observations"], t["dim_time"], t["dim_demographics"])
 
 
 _sessions: dict[tuple[str, str], Session] = {}
@@ -56,7 +57,7 @@ def session(spark: SparkSession, sf_dir: str) -> Session:
     if key not in _sessions:
         workspace = Workspace(spark)
         raw = workspace.store(derived_raw(spark, sf_dir), "raw")
-        tables = job.build_tables(raw, PARAMS, workspace, workspace.path("warehouse"))
+        tables = job.tables_on_demand(raw, PARAMS, workspace, workspace.path("warehouse"))
         _sessions[key] = Session(workspace, raw, tables)
     return _sessions[key]
 
