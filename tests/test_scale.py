@@ -1,4 +1,4 @@
-"""What grows with the input is spread over tasks, and built when needed."""
+"""What grows with the input is spread over tasks, built once, and only when needed."""
 
 import datetime as dt
 
@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.plans import job
+from tidemark.sources import infer
 from tidemark.workspace import Workspace, is_written
 from workload import registry
 from workload.derived import PARAMS, derived_raw
@@ -78,3 +79,17 @@ def test_queries_share_tables(spark, one_row_group):
     assert not is_written(spark, f"{root}/fact_observations")
     assert queries["disparity_band"](spark, one_row_group).columns[-1] == "disparity_level"
     assert is_written(spark, f"{root}/fact_observations")
+
+
+def test_a_number_is_parsed_and_printed_once(spark):
+    df = spark.createDataFrame(
+        [("\t1.50 ", "1"), ("-0e3", "2"), (" +INF", "3"), ("1.25e-7", " 4\n"), ("2e3", None)],
+        "x string, __x0 string",
+    )
+    read = infer.as_read(df, {"x": infer.NUMBER, "__x0": infer.WHOLE})
+    plan = read._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("as double)") == 1
+    assert read.columns == ["x", "__x0"]
+    assert [tuple(r) for r in read.collect()] == [
+        ("1.5", "1"), ("-0", "2"), ("Infinity", "3"), ("1.25e-07", "4"), ("2000", None),
+    ]

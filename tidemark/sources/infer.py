@@ -23,8 +23,8 @@ _INFINITE = r"(?i)\A\s*[+-]?inf(inity)?\s*\z"
 
 
 def _long(c: Column) -> Column:
-    """A whole number of 64 bits; NULL beyond."""
-    return F.trim(F.regexp_replace(c, r"\s", "")).try_cast("long")
+    """A whole number of 64 bits; NULL beyond. The cast takes off blanks around it."""
+    return c.try_cast("long")
 
 
 def _facts(c: Column) -> Column:
@@ -63,10 +63,19 @@ def column_kinds(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     return {c: kind(facts[k]) for k, c in zip(named, columns, strict=True)}
 
 
+def _bare(c: Column) -> Column:
+    """A decimal text without zeros at its end."""
+    return F.rtrim(F.rtrim(c, F.lit("0")), F.lit("."))
+
+
 def shortest(x: Column) -> Column:
     """A double as the shortest text that reads back as it: plain from 1e-4 up to 1e15,
     else with a signed exponent of two digits at least."""
-    text = x.cast("string")
+    return _shortest(x, x.cast("string"))
+
+
+def _shortest(x: Column, text: Column) -> Column:
+    """``shortest`` of a double and of its text, which both are used often."""
     mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0\z", "")
     power = F.substring_index(text, "E", -1).try_cast("int")
     digits = F.abs(power).cast("string")
@@ -76,32 +85,49 @@ def shortest(x: Column) -> Column:
         F.lpad(digits, F.greatest(F.length(digits), F.lit(2)), F.lit("0")),
     )
     # Enough decimals for seventeen digits behind four zeros.
-    plain = F.regexp_replace(text.try_cast("decimal(38,22)").cast("string"), r"\.?0+\z", "")
+    spelt_out = text.try_cast("decimal(38,22)").cast("string")
     size = F.abs(x)
     return (
         F.when(F.isnan(x), "NaN")
         .when(size == float("inf"), F.when(x > 0, "Infinity").otherwise("-Infinity"))
         .when(x == 0, F.when(text.startswith("-"), "-0").otherwise("0"))
-        .when((size >= 1e-4) & (size < 1e15), plain)
+        .when(
+            (size >= 1e-4) & (size < 1e15),
+            _bare(F.when(text.contains("E"), spelt_out).otherwise(text)),
+        )
         .otherwise(signed)
     )
 
 
-def rendered(c: Column, kind: str) -> Column:
-    """A text column as its kind prints it."""
-    if kind == WHOLE:
-        return _long(c).cast("string")
-    if kind == NUMBER:
-        bare = F.regexp_replace(c, r"\s", "")
-        endless = F.when(bare.startswith("-"), float("-inf")).otherwise(float("inf"))
-        return shortest(F.when(bare.rlike(_INFINITE), endless).otherwise(bare.try_cast("double")))
-    return F.lower(c) if kind == TRUTH else c
+def as_read(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
+    """``df`` with the columns of ``kinds`` as the reader would hand them on as text.
 
+    Every double, and its text, is a column first: that way it is computed once, while
+    an expression would compute it wherever it stands.
+    """
 
-def as_read(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
-    """``df`` with the columns of ``kinds`` as the reader would hand them on as text."""
-    columns = []
-    for name in df.columns:
-        c = F.col(f"`{name.replace('`', '``')}`")
-        columns.append(rendered(c, kinds[name]).alias(name) if name in kinds else c)
-    return df.select(*columns)
+    def named(name: str) -> Column:
+        return F.col(f"`{name.replace('`', '``')}`")
+
+    def free(stem: str) -> str:
+        while stem.lower() in taken:
+            stem += "_"
+        return stem
+
+    taken = {c.lower() for c in df.columns}
+    numbers = [c for c in df.columns if kinds.get(c) == NUMBER]
+    doubles = {c: free(f"__x{k}") for k, c in enumerate(numbers)}
+    texts = {c: free(f"__t{k}") for k, c in enumerate(numbers)}
+    # Blanks around a number, and infinity in all its spellings, are the cast's business.
+    df, columns = df.withColumns({x: named(c).try_cast("double") for c, x in doubles.items()}), df.columns
+    df = df.withColumns({t: F.col(doubles[c]).cast("string") for c, t in texts.items()})
+
+    def rendered(name: str) -> Column:
+        c, kind = named(name), kinds.get(name)
+        if kind == WHOLE:
+            return _long(c).cast("string")
+        if kind == NUMBER:
+            return _shortest(F.col(doubles[name]), F.col(texts[name]))
+        return F.lower(c) if kind == TRUTH else c
+
+    return df.select(*[rendered(c).alias(c) for c in columns])
