@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from tidemark.llm import line_dedup
@@ -51,3 +52,24 @@ def test_equals_brute_force(spark, seed, reach):
     expected = brute(docs)
     assert sum(r[3] for r in expected) > 20
     assert sorted(map(tuple, found), key=repr) == expected
+
+
+def test_filters_are_those_of_every_pair():
+    rng = np.random.default_rng(3)
+    n = rng.integers(5, 12, 400)
+    seat = {"n": n, "pos": rng.integers(0, 4, 400)}
+    seat |= {k: rng.integers(0, 1 << 6, 400).astype(np.uint64) for k in ("bits", "more")}
+    a, b = np.arange(1, 400), np.arange(399)
+    expected = []
+    for k, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
+        left = min(n[x] - seat["pos"][x], n[y] - seat["pos"][y])
+        lost = [
+            sum(int(seat[m][p] & ~seat[m][q]).bit_count() for m in ("bits", "more"))
+            for p, q in ((x, y), (y, x))
+        ]
+        common = min(left, n[x] - lost[0], n[y] - lost[1])
+        if 5 * min(n[x], n[y]) >= 4 * max(n[x], n[y]) and 9 * common >= 4 * (n[x] + n[y]):
+            expected.append((k, int(common)))
+    at, common = line_dedup._passing(seat, a, b, 80)
+    assert expected
+    assert list(zip(at.tolist(), common.tolist(), strict=True)) == expected

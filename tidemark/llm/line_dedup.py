@@ -186,30 +186,36 @@ _FOUND = (
 )
 
 
-def _common(a: dict, b: dict, percent: int) -> np.ndarray:
-    """Most tokens pairs of lines can share, or 0 if that or their sizes won't do.
+def _passing(seat: dict, a: np.ndarray, b: np.ndarray, percent: int):
+    """Which pairs of places pass, and the most tokens that each of those can share.
 
-    Length, positional and bitmap filters.
+    Length, positional and bitmap filters; bitmaps of the pairs only that pass the others.
     """
-    na, nb = a["n"].astype(np.int64), b["n"].astype(np.int64)
-    left = np.minimum(na - a["pos"], nb - b["pos"])
-    misses_a, misses_b = (
-        sum(np.bitwise_count(x[k] & ~y[k]).astype(np.int64) for k in ("bits", "more"))
-        for x, y in ((a, b), (b, a))
-    )
-    common = np.minimum(left, np.minimum(na - misses_a, nb - misses_b))
+    na, nb = seat["n"][a], seat["n"][b]
+    left = np.minimum(na - seat["pos"][a], nb - seat["pos"][b])
+    need = percent * (na + nb)
     sizes = 100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)
-    return np.where(sizes & (common * (100 + percent) >= percent * (na + nb)), common, 0)
+    at = np.flatnonzero(sizes & (left * (100 + percent) >= need))
+    a, b = a[at], b[at]
+    misses_a, misses_b = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+    for k in ("bits", "more"):
+        x, y = seat[k][a], seat[k][b]
+        misses_a += np.bitwise_count(x & ~y)
+        misses_b += np.bitwise_count(y & ~x)
+    common = np.minimum(left[at], np.minimum(na[at] - misses_a, nb[at] - misses_b))
+    passed = common * (100 + percent) >= need[at]
+    return at[passed], common[passed]
 
 
 def _first_of_each(seat: dict) -> dict:
     """Of lines with one set the first stands for all; in order of token and place."""
-    order = np.lexsort((seat["line"], seat["doc_id"], seat["name"], seat["token"]))
+    order = np.lexsort((seat["line"], seat["doc_id"], seat["token"]))
     token, name = seat["token"][order], seat["name"][order]
+    by_set = np.lexsort((name, token))
+    token, name = token[by_set], name[by_set]
     once = np.ones(len(order), bool)
     once[1:] = (token[1:] != token[:-1]) | (name[1:] != name[:-1])
-    seat = {k: v[order[once]] for k, v in seat.items()}
-    order = np.lexsort((seat["line"], seat["doc_id"], seat["token"]))
+    order = order[np.sort(by_set[once])]
     return {k: v[order] for k, v in seat.items()}
 
 
@@ -229,6 +235,7 @@ def _meet(table: pa.Table, percent: int, reach: int) -> pa.Table:
             for name, kind in zip(_POSTING[1:], _KINDS, strict=True)
         }
     )
+    seat |= {k: seat[k].astype(np.int64) for k in ("n", "pos")}
     new = np.ones(len(seat["token"]), bool)
     new[1:] = seat["token"][1:] != seat["token"][:-1]
     starts = np.flatnonzero(new)
@@ -245,17 +252,17 @@ def _meet(table: pa.Table, percent: int, reach: int) -> pa.Table:
         later = later[rank[later] >= back]
         if not len(later):
             break
-        common = _common(taken(later), taken(later - back), percent)
-        a, common = later[common > 0], common[common > 0]
+        at, common = _passing(seat, later, later - back, percent)
+        a = later[at]
         found[a] += 1
         more = common > most[a]
         most[a[more]], best[a[more]] = common[more], a[more] - back
     far = np.flatnonzero(rank > reach)
-    first = _common(taken(far), taken(starts[group[far]]), percent)
-    some = np.flatnonzero(found)
-    a = np.concatenate([some, far[first > 0]])
-    b = np.concatenate([best[some], starts[group[far[first > 0]]]])
-    common = np.concatenate([most[some], first[first > 0]])
+    at, first = _passing(seat, far, starts[group[far]], percent)
+    some, far = np.flatnonzero(found), far[at]
+    a = np.concatenate([some, far])
+    b = np.concatenate([best[some], starts[group[far]]])
+    common = np.concatenate([most[some], first])
     # Lines at one place of repeated documents are no match for each other.
     apart = (seat["doc_id"][a] != seat["doc_id"][b]) | (seat["line"][a] != seat["line"][b])
     name, other, common = seat["name"][a[apart]], seat["name"][b[apart]], common[apart]
