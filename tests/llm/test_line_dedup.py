@@ -73,3 +73,38 @@ def test_filters_are_those_of_every_pair():
     at, common = line_dedup._passing(seat, a, b, 80)
     assert expected
     assert list(zip(at.tolist(), common.tolist(), strict=True)) == expected
+
+
+def test_lines_of_large_groups_come_out_of_joins_once(spark, monkeypatch):
+    """Lines that pass the filters with very many others, and match few of them or none."""
+    rng = random.Random(5)
+    pool = [f"w{k}" for k in range(310)]
+    docs = [(k, " ".join(rng.sample(pool, 270))) for k in range(250)]
+    rows, store = {}, Workspace.store
+
+    def counted(self, df, name, *args):
+        out = store(self, df, name, *args)
+        rows.setdefault(name, []).append(out.count())
+        if name == "found":
+            rows["places"] = [out.filter("other IS NULL").count()]
+        return out
+
+    monkeypatch.setattr(Workspace, "store", counted)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    with Workspace(spark) as w:
+        found = line_dedup.repeated_lines(df, w, reach=0).collect()
+    assert sorted(map(tuple, found), key=repr) == brute(docs)
+    places = rows.pop("places")[0]
+    assert max(max(n) for name, n in rows.items() if name != "found") <= 2 * places
+    assert rows["rest"][0] <= len(docs)
+
+
+def test_sets_come_from_documents_without_id_too(spark):
+    line = [f"w{k}" for k in range(20)]
+    docs = [(None, " ".join(line)), (1, " ".join(line[:-1])), (2, " ".join([*line[1:], "x"]))]
+    docs += [(k, f"other text {k}") for k in range(3, 40)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    with Workspace(spark) as w:
+        found = line_dedup.repeated_lines(df, w).collect()
+    assert sorted(map(tuple, found), key=repr) == brute(docs)
+    assert {r.doc_id for r in found if r.near} == {1, 2}

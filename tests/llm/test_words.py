@@ -60,3 +60,15 @@ def test_slices_hold_whole_rows():
     assert [p["k"].to_pylist() for p in parts] == [[1, 2], [3], [4, 5]]
     assert [p["k"].to_pylist() for p in w.slices(batch.slice(1, 3), "text", 1000)] == [[2, 3, 4]]
     assert list(w.slices(batch.slice(0, 0), "text")) == []
+
+
+def test_block_hashes_are_equal_for_equal_words_only():
+    rng = np.random.default_rng(8)
+    spans = [bytes(rng.integers(0, 3, n).astype(np.uint8)) for n in [*range(1, 90)] * 6]
+    spans += [s + b"\0" for s in spans] + [s[:-1] + b"\x01" for s in spans]
+    end = np.cumsum([len(s) for s in spans])
+    start = end - [len(s) for s in spans]
+    data = np.frombuffer(b"".join(spans), np.uint8)
+    found = w.block_hashes(data, start, end)
+    assert len(set(found.tolist())) == len(set(spans))
+    assert len(set(zip(found.tolist(), spans, strict=True))) == len(set(spans))

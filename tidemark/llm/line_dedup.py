@@ -41,7 +41,7 @@ class Lines:
         full = count > 0
         self.doc_id = part["doc_id"].fill_null(NULL_ID).to_numpy(zero_copy_only=False)[owner][full]
         self.number = (np.arange(len(start)) - bound[owner])[full].astype(np.int32)
-        tokens = found.hashes()
+        tokens = found.block_hashes()
         of = np.repeat(np.arange(len(self.number)), count[full])
         # One key sorts: line, rarity, and as many bits of the hash as are left.
         rarity = np.uint64(0)
@@ -104,7 +104,7 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in w.slices(batch, "text"):
             lines = Lines(piece)
             at = (lines.tokens >> _COUNTER_BITS).astype(np.int64)
-            counts += np.bincount(at, minlength=COUNTERS)
+            np.add.at(counts, at, 1)
             none = [None] * len(lines)
             yield rows(lines.doc_id, lines.number, lines.classes(), none, none)
     if counts.any():
@@ -181,7 +181,7 @@ def _postings(levels, percent: int, bucket_bits: int):
 
 
 _FOUND = (
-    "name long, other long, common long, token long, rank long, doc_id long, line int, "
+    "name long, other long, common long, other_id long, token long, rank long, doc_id long, line int, "
     "n long, pos long, bits long, more long, open boolean"
 )
 
@@ -224,7 +224,7 @@ def _meet(table: pa.Table, percent: int, reach: int) -> pa.Table:
 
     Every line is compared with the ``reach`` lines before it that have the
     same token. Of those that pass the filters, the one that may have most in
-    common is told, and the first line of all where there are more than
+    common is told with both documents, and the first line of all where there are more than
     ``reach``. A line with further ones is open; of the tokens of open lines
     every place is told as well (other is null). Lines go by the names of their
     sets, for each of which its first line stands.
@@ -265,12 +265,13 @@ def _meet(table: pa.Table, percent: int, reach: int) -> pa.Table:
     common = np.concatenate([most[some], first])
     # Lines at one place of repeated documents are no match for each other.
     apart = (seat["doc_id"][a] != seat["doc_id"][b]) | (seat["line"][a] != seat["line"][b])
-    name, other, common = seat["name"][a[apart]], seat["name"][b[apart]], common[apart]
-    order = np.lexsort((common, other, name))
-    name, other, common = name[order], other[order], common[order]
+    a, b, common = a[apart], b[apart], common[apart]
+    order = np.lexsort((common, seat["name"][b], seat["name"][a]))
+    a, b, common = a[order], b[order], common[order]
+    name, other = seat["name"][a], seat["name"][b]
     once = np.ones(len(order), bool)
     once[1:] = (name[1:] != name[:-1]) | (other[1:] != other[:-1])
-    name, other, common = name[once], other[once], common[once]
+    a, b, name, other, common = (x[once] for x in (a, b, name, other, common))
     open_ = (found > 1) | (rank > reach)
     crowd = np.flatnonzero(np.bitwise_or.reduceat(open_, starts)[group] if len(new) else new)
     own = taken(crowd)
@@ -283,7 +284,6 @@ def _meet(table: pa.Table, percent: int, reach: int) -> pa.Table:
     place = {
         "token": own["token"].astype(np.int64) + (bucket << 32),
         "rank": rank[crowd],
-        "doc_id": own["doc_id"],
         "line": own["line"].astype(np.int64),
         "n": own["n"].astype(np.int64),
         "pos": own["pos"].astype(np.int64),
@@ -297,37 +297,62 @@ def _meet(table: pa.Table, percent: int, reach: int) -> pa.Table:
             "name": column(name, own["name"], pa.int64()),
             "other": column(other, no_pair, pa.int64()),
             "common": column(common, no_pair, pa.int64()),
+            "other_id": column(seat["doc_id"][b], no_pair, pa.int64()),
+            "doc_id": column(seat["doc_id"][a], own["doc_id"], pa.int64()),
             **{k: column(no_place, v, kinds.get(k, pa.int64())) for k, v in place.items()},
         }
     )
 
 
-def _rest(places: DataFrame, near: DataFrame, percent: int) -> DataFrame:
-    """Open lines that are still there with all those before them that pass the filters."""
+_PLACE = ["token", "name", "rank", "doc_id", "line", "n", "pos", "bits", "more"]
 
-    columns = ("name", "rank", "doc_id", "line", "n", "pos", "bits", "more")
 
-    def side(df, name):
-        return df.select("token", *[F.col(c).alias(f"{name}_{c}") for c in columns])
+def _before(percent: int):
+    """Whether a line b of the same token is before line a, and the two pass the filters."""
 
-    open_ = places.filter("open").join(near, "name", "left_anti")
-    both = side(open_, "a").join(side(places, "b"), "token")
-    na, nb = F.col("a_n"), F.col("b_n")
-    left = F.least(na - F.col("a_pos"), nb - F.col("b_pos"))
+    def a(name):
+        return F.col(f"a.{name}")
+
+    def b(name):
+        return F.col(f"b.{name}")
 
     def misses(x, y):
-        return sum(
-            F.bit_count(F.col(f"{x}_{k}").bitwiseAND(F.bitwise_not(F.col(f"{y}_{k}"))))
-            for k in ("bits", "more")
-        )
+        return sum(F.bit_count(x(k).bitwiseAND(F.bitwise_not(y(k)))) for k in ("bits", "more"))
+
+    left = F.least(a("n") - a("pos"), b("n") - b("pos"))
+    common = F.least(left, a("n") - misses(a, b), b("n") - misses(b, a))
+    return (
+        (a("token") == b("token"))
+        & (a("name") != b("name"))
+        & (b("rank") < a("rank"))
+        & ((a("doc_id") != b("doc_id")) | (a("line") != b("line")))
+        & (100 * F.least(a("n"), b("n")) >= percent * F.greatest(a("n"), b("n")))
+        & (common * (100 + percent) >= percent * (a("n") + b("n")))
+    )
 
-    common = F.least(left, na - misses("a", "b"), nb - misses("b", "a"))
-    return both.filter(
-        (F.col("b_rank") < F.col("a_rank"))
-        & ((F.col("a_doc_id") != F.col("b_doc_id")) | (F.col("a_line") != F.col("b_line")))
-        & (100 * F.least(na, nb) >= percent * F.greatest(na, nb))
-        & (common * (100 + percent) >= percent * (na + nb))
-    ).select(F.col("a_name").alias("name"), F.col("b_name").alias("other"))
+
+def _candidates(
+    places: DataFrame, near: DataFrame, workspace: Workspace, percent: int
+) -> DataFrame:
+    """Open lines that are still there and have a line before them that passes the filters
+    (``late``), and all such lines. Each comes once per token, however many others it
+    meets there."""
+    open_ = places.filter("open").join(near, "name", "left_anti").select(*_PLACE).alias("a")
+    all_ = places.select(*_PLACE).alias("b")
+    later = open_.join(all_, _before(percent), "left_semi").withColumn("late", F.lit(True))
+    earlier = all_.join(open_, _before(percent), "left_semi").withColumn("late", F.lit(False))
+    # In one job, so that both joins read the same shuffled places.
+    return workspace.store(later.unionByName(earlier), "candidates")
+
+
+def _matching(candidates: DataFrame, near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Names of late lines that are still there and match one before them on whole sets."""
+    later = candidates.filter("late").join(near, "name", "left_anti").join(sets, "name")
+    earlier = candidates.filter("NOT late").join(sets, "name")
+    common = F.size(F.array_intersect("a.tokens", "b.tokens"))
+    enough = common * (100 + percent) >= percent * (F.col("a.n") + F.col("b.n"))
+    same = _before(percent) & enough
+    return later.alias("a").join(earlier.alias("b"), same, "left_semi").select("name")
 
 
 def _slots(names: np.ndarray, bits: int) -> np.ndarray:
@@ -354,17 +379,24 @@ def _bitmap(ends: DataFrame, count: int) -> tuple[int, np.ndarray]:
     return bits, bitmap.view(np.uint64)
 
 
+def _hit(wanted: tuple[int, np.ndarray], names: np.ndarray) -> np.ndarray:
+    bits, bitmap = wanted
+    at = _slots(names, bits)
+    return ((bitmap[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)) == 1
+
+
 def _sets(wanted):
-    """Sets of the lines that the bitmap lets pass, each once per slice."""
+    """Sets of the lines that the bitmaps of names and documents let pass, once per slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, bitmap = wanted.value
+        names_, docs = wanted.value
         for batch in batches:
+            doc_id = batch["doc_id"].fill_null(NULL_ID).to_numpy(zero_copy_only=False)
+            batch = batch.filter(pa.array(_hit(docs, doc_id)))
             for piece in w.slices(batch, "text"):
                 lines = Lines(piece)
                 names, once = np.unique(lines.classes(), return_index=True)
-                at = _slots(names, bits)
-                hit = ((bitmap[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)) == 1
+                hit = _hit(names_, names)
                 names, once = names[hit], once[hit]
                 spans = zip(lines.first[once], lines.first[once] + lines.size[once], strict=True)
                 yield pa.record_batch(
@@ -380,30 +412,36 @@ def _sets(wanted):
     return run
 
 
-def _verified(
-    docs: DataFrame, pairs: DataFrame, workspace: Workspace, percent: int
-) -> DataFrame:
-    """The later lines of pairs whose Jaccard similarity reaches ``percent``.
-
-    Pairs get both sets by name, so nothing but a pair is ever in one place. Sets are
-    read from the documents again, those the pairs name only.
-    """
-    pairs = workspace.store(pairs.select("name", "other").distinct(), "pairs")
-    ends = pairs.select("name").unionByName(pairs.select(F.col("other").alias("name")))
-    ends = workspace.store(ends.distinct(), "ends")
-    chosen = docs.sparkSession.sparkContext.broadcast(_bitmap(ends, ends.count()))
+def _sets_of(docs: DataFrame, lines: DataFrame, workspace: Workspace) -> DataFrame:
+    """The sets of ``lines`` (name, doc_id), read from their documents again: name, tokens."""
+    lines = workspace.store(lines.select("name", "doc_id").distinct(), "wanted")
+    names, ids = lines.select("name"), lines.select(F.col("doc_id").alias("name")).distinct()
+    wanted = _bitmap(names, lines.count()), _bitmap(ids, ids.count())
+    chosen = docs.sparkSession.sparkContext.broadcast(wanted)
     sets = docs.mapInArrow(tidy(_sets(chosen)), "name long, tokens array<long>")
     sets = workspace.store(
-        sets.join(ends, "name", "left_semi").dropDuplicates(["name"]), "sets"
+        sets.join(names, "name", "left_semi").dropDuplicates(["name"]), "sets"
     )
+    chosen.unpersist()
+    return sets
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    other = pairs.select(F.col("other").alias("name"), F.col("other_id").alias("doc_id"))
+    return pairs.select("name", "doc_id").unionByName(other)
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, workspace: Workspace, percent: int) -> DataFrame:
+    """The later lines of pairs whose Jaccard similarity reaches ``percent``.
+
+    Pairs get both sets by name, so nothing but a pair is ever in one place.
+    """
     one = sets.select(F.col("name"), F.col("tokens").alias("a"))
     two = sets.select(F.col("name").alias("other"), F.col("tokens").alias("b"))
-    both = pairs.join(one, "name").join(two, "other")
+    both = pairs.select("name", "other").join(one, "name").join(two, "other")
     common = F.size(F.array_intersect("a", "b"))
     enough = common * (100 + percent) >= percent * (F.size("a") + F.size("b"))
-    found = workspace.store(both.filter(enough).select("name").distinct(), "near")
-    chosen.unpersist()
-    return found
+    return workspace.store(both.filter(enough).select("name").distinct(), "near")
 
 
 def repeated_lines(
@@ -445,16 +483,28 @@ def repeated_lines(
     )
     found = workspace.store(found, "found")
     levels.unpersist()
+    pairs = found.filter("other IS NOT NULL")
+    # Lines that share many tokens meet by each: once per pair goes on.
+    pairs = pairs.groupBy("name", "other").agg(
+        *[F.max(c).alias(c) for c in ("common", "doc_id", "other_id")]
+    )
+    pairs = workspace.store(pairs, "pairs")
     # Of each line's candidates the one that may share most comes first.
-    pairs = found.filter("other IS NOT NULL").select("name", "other", "common")
-    best = pairs.groupBy("name").agg(F.max_by("other", F.struct("common", "other")).alias("other"))
-    near = _verified(docs, best, workspace, percent)
+    best = pairs.groupBy("name").agg(
+        F.max(F.struct("common", "other", "doc_id", "other_id")).alias("p")
+    )
+    best = workspace.store(best.select("name", "p.*").drop("common"), "best")
+    near = _verified(best, _sets_of(docs, _ends(best), workspace), workspace, percent)
     # Then all of those that are still there, also beyond what was looked at.
-    others = pairs.join(near, "name", "left_anti").join(best, ["name", "other"], "left_anti")
-    more = _rest(found.filter("other IS NULL"), near, percent)
-    rest = workspace.store(others.select("name", "other").unionByName(more).distinct(), "rest")
-    if not rest.isEmpty():
-        near = near.unionByName(_verified(docs, rest, workspace, percent))
+    others = pairs.drop("common").join(near, "name", "left_anti")
+    others = workspace.store(others.join(best, ["name", "other"], "left_anti"), "others")
+    candidates = _candidates(found.filter("other IS NULL"), near, workspace, percent)
+    lines = _ends(others).unionByName(candidates.select("name", "doc_id"))
+    if not lines.isEmpty():
+        sets = _sets_of(docs, lines, workspace)
+        near = near.unionByName(_verified(others, sets, workspace, percent))
+        rest = _matching(candidates, near, sets, percent)
+        near = near.unionByName(workspace.store(rest.distinct(), "rest"))
     near = near.distinct().select(F.col("name").alias("class"), F.lit(True).alias("hit"))
     named = survey.filter("part IS NULL").select("doc_id", "line", "class")
     firsts = named.groupBy("class").agg(F.min(F.struct("doc_id", "line")).alias("first"))
