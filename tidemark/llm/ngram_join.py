@@ -75,107 +75,126 @@ def _membership(n: int):
     return run
 
 
-#: Stands for two classes of one slice that share a shingle.
-_SHARED = (-1, -2)
+#: Shingles that are packed together.
+PART_ROWS = 1 << 19
 
+_PACK = "bucket int, part long, sent binary, hashes binary, owners binary"
+_OWNERS = np.dtype([("class", np.int64), ("n", np.uint32), ("known", np.uint32)])
+_COUNTED = "part long, slots binary, counts binary, owners binary"
 
-def _pack(n: int, bits: int):
-    """Per slice and bucket: classes, entries of each, entries found shared, hashes.
 
-    A shingle that two classes of the slice share counts as shared at once and
-    travels as two markers; so a hot shingle sends one entry per slice at most
-    besides them, however many documents hold it.
+def _runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
+    """First and last place, exclusive, of each run of equal values, none of them -1."""
+    first = np.flatnonzero(np.diff(values, prepend=-1))
+    return zip(first.tolist(), np.append(first[1:], len(values)).tolist(), strict=True)
+
+
+def _binaries(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
+    columns = zip(*rows, strict=True)
+    arrays = [pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, names=[name for name, _ in fields])
+
+
+def _pack(n: int, bits: int, once):
+    """Per part and bucket: entries of each of the part's classes, and their hashes.
+
+    A shingle that two classes of the part share counts as shared at once and
+    travels as a marker; so a hot shingle sends one entry per part at most,
+    however many documents hold it. Names travel once, with the part's first bucket:
+    the more buckets there are, the fewer entries of a class are in each.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets: dict[int, np.ndarray] = {}
+        total = 0
         for batch in batches:
-            for part in slices(batch, "text"):
-                sets = {class_of(s): s for s in shingle_sets(part["text"], n) if len(s)}
-                if not sets:
-                    continue
-                names = np.fromiter(sets, np.int64, len(sets))
-                sizes = np.array([len(s) for s in sets.values()])
-                owner = np.repeat(np.arange(len(names)), sizes)
-                cut = np.concatenate(list(sets.values())) >> np.uint64(32 - bits)
-                order = np.argsort(cut, kind="stable")
-                cut, owner = cut[order], owner[order]
-                same = np.zeros(len(cut), bool)
-                same[1:] = cut[1:] == cut[:-1]
-                shared = same.copy()
-                shared[:-1] |= same[1:]
-                marker = distinct(cut[shared])
-                keys = np.concatenate([cut, marker, marker])
-                owners = np.concatenate(
-                    [owner, *(np.full(len(marker), len(names) + k) for k in (0, 1))]
-                )
-                known = np.concatenate([shared, np.zeros(2 * len(marker), bool)])
-                bucket = (keys >> np.uint64(32)).astype(np.int64)
-                order = np.lexsort((owners, bucket))
-                keys, owners, known, bucket = (
-                    x[order] for x in (keys, owners, known, bucket)
-                )
-                rest = (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-                names = np.concatenate([names, np.array(_SHARED)])
-                starts = np.flatnonzero(np.diff(bucket, prepend=-1))
-                rows = []
-                for a, b in zip(starts, np.append(starts[1:], len(bucket)), strict=True):
-                    at, slot = np.unique(owners[a:b], return_inverse=True)
-                    sent = ~known[a:b]
-                    rows.append(
-                        (
-                            int(bucket[a]),
-                            names[at].tobytes(),
-                            np.bincount(slot, sent, len(at)).astype(np.uint32).tobytes(),
-                            np.bincount(slot, ~sent, len(at)).astype(np.uint32).tobytes(),
-                            rest[a:b][sent].tobytes(),
-                        )
-                    )
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(c, t)
-                        for c, t in zip(
-                            zip(*rows, strict=True),
-                            [pa.int32(), *[pa.binary()] * 4],
-                            strict=True,
-                        )
-                    ],
-                    names=["bucket", "names", "sent", "known", "hashes"],
-                )
+            for part in slices(_filtered(batch, once), "text"):
+                for s in shingle_sets(part["text"], n):
+                    if len(s) and (name := class_of(s)) not in sets:
+                        sets[name] = s
+                        total += len(s)
+                if total >= PART_ROWS:
+                    yield packed(sets)
+                    sets, total = {}, 0
+        if sets:
+            yield packed(sets)
+
+    def packed(sets: dict[int, np.ndarray]) -> pa.RecordBatch:
+        names = np.fromiter(sets, np.int64, len(sets))
+        sizes = np.array([len(s) for s in sets.values()])
+        owner = np.repeat(np.arange(len(names)), sizes)
+        cut = np.concatenate(list(sets.values())) >> np.uint64(32 - bits)
+        order = np.argsort(cut)
+        ordered = cut[order]
+        same = np.zeros(len(cut), bool)
+        same[1:] = ordered[1:] == ordered[:-1]
+        marker = ordered[1:][same[1:] & ~same[:-1]]
+        same[:-1] |= same[1:]
+        shared = np.empty(len(cut), bool)
+        shared[order] = same
+        owners = np.zeros(len(names), _OWNERS)
+        owners["class"], owners["n"] = names, sizes
+        owners["known"] = np.bincount(owner[shared], minlength=len(names))
+        # By owner, and after the next line by bucket first; short numbers sort fastest.
+        keys = np.concatenate([cut[~shared], marker])
+        owner = np.concatenate([owner[~shared], np.full(len(marker), len(names))])
+        bucket = (keys >> np.uint64(32)).astype(np.uint16 if bits <= 16 else np.int64)
+        order = np.argsort(bucket, kind="stable")
+        keys, owner, bucket = keys[order], owner[order], bucket[order].astype(np.int64)
+        rest = (keys & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        # The same again when a lost task is repeated.
+        part = class_of(names)
+        rows = []
+        for a, b in _runs(bucket):
+            sent = np.bincount(owner[a:b], minlength=len(names) + 1).astype(np.uint32)
+            known = owners.tobytes() if not rows else b""
+            rows.append((int(bucket[a]), part, sent.tobytes(), rest[a:b].tobytes(), known))
+        return _binaries(rows, _PACK)
 
     return run
 
 
 def _count_shared(table: pa.Table) -> pa.Table:
-    """Per class of a bucket how many of its shingles another class holds too."""
-
-    def column(name, dtype):
-        return [np.frombuffer(x.as_py(), dtype) for x in table[name]]
-
-    names = np.concatenate(column("names", np.int64))
-    sent = np.concatenate(column("sent", np.uint32))
-    known = np.concatenate(column("known", np.uint32))
-    hashes = np.concatenate(column("hashes", np.uint32))
-    classes, slot = np.unique(names, return_inverse=True)
-    shared = np.bincount(slot, known, len(classes))
-    entry = distinct(
-        (hashes.astype(np.uint64) << np.uint64(32)) | np.repeat(slot, sent).astype(np.uint64)
-    )
+    """Per part, which of its classes have shingles of the bucket that others hold too,
+    and how many."""
+    sent = [np.frombuffer(x.as_py(), np.uint32) for x in table["sent"]]
+    hashes = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in table["hashes"]])
+    bound = np.cumsum([0, *map(len, sent)])
+    every = np.concatenate(sent)
+    entry = hashes.astype(np.uint64) << np.uint64(32)
+    entry |= np.repeat(np.arange(len(every), dtype=np.uint64), every)
+    entry.sort()
     key = entry >> np.uint64(32)
     same = key[1:] == key[:-1]
     found = np.zeros(len(entry), bool)
     found[1:] |= same
     found[:-1] |= same
     at = (entry[found] & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    shared += np.bincount(at, minlength=len(classes))
-    del entry, key, same, found, at, hashes, names
+    shared = np.bincount(at, minlength=len(every)).astype(np.uint32)
+    del entry, key, same, found, at, hashes, every
     give_back()
-    keep = (shared > 0) & (classes >= 0)
-    return pa.table(
-        {
-            "class": pa.array(classes[keep]),
-            "shared": pa.array(shared[keep].astype(np.int64)),
-        }
-    )
+    rows = []
+    both = zip(table["part"].to_pylist(), table["owners"].to_pylist(), strict=True)
+    for (part, owners), a, b in zip(both, bound[:-1], bound[1:], strict=True):
+        counts = shared[a : b - 1]  # without the markers
+        slots = np.flatnonzero(counts)
+        if len(slots) or owners:
+            slots32 = slots.astype(np.uint32)
+            rows.append((part, slots32.tobytes(), counts[slots].tobytes(), owners))
+    batch = _binaries(rows or [(0, b"", b"", b"")], _COUNTED)
+    return pa.Table.from_batches([batch.slice(0, len(rows))])
+
+
+def _enough(table: pa.Table, percent: int) -> pa.Table:
+    """Classes of a part of which others hold ``percent`` of the shingles at least."""
+    owners = next(np.frombuffer(x.as_py(), _OWNERS) for x in table["owners"] if len(x.as_py()))
+    shared = owners["known"].astype(np.int64)
+    for slots, counts in zip(table["slots"], table["counts"], strict=True):
+        shared[np.frombuffer(slots.as_py(), np.uint32)] += np.frombuffer(counts.as_py(), np.uint32)
+    live = shared * 100 >= owners["n"].astype(np.int64) * percent
+    return pa.table({"class": pa.array(owners["class"][live])})
 
 
 def _slots(ids: np.ndarray, bits: int) -> np.ndarray:
@@ -212,13 +231,17 @@ def _bitmap(live: DataFrame) -> tuple[int, np.ndarray]:
     return bits, bitmap.view(np.uint64)
 
 
-def _sets(n: int, filtered):
+def _filtered(batch: pa.RecordBatch, chosen) -> pa.RecordBatch:
+    bits, bitmap = chosen.value
+    at = _slots(_ids(batch["doc_id"]), bits)
+    hit = (bitmap[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
+    return batch.filter(pa.array(hit == 1))
+
+
+def _sets(n: int, chosen):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, bitmap = filtered.value
         for batch in batches:
-            at = _slots(_ids(batch["doc_id"]), bits)
-            hit = (bitmap[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
-            for part in slices(batch.filter(pa.array(hit == 1)), "text"):
+            for part in slices(_filtered(batch, chosen), "text"):
                 sets = {class_of(s): s for s in shingle_sets(part["text"], n) if len(s)}
                 yield pa.record_batch(
                     {
@@ -319,13 +342,33 @@ def _key_bits(total: int) -> int:
     return min(20, max(KEY_BITS, math.ceil(math.log2(max(1, total / KEY_ROWS)))))
 
 
+def _entries(
+    keys: np.ndarray, names: np.ndarray, size: np.ndarray, percent: int, key_bits: int
+) -> Iterator[pa.RecordBatch]:
+    """Rows of what shares a key: edges of the classes at hand, and entries by bucket.
+
+    Classes that share a key and are of similar size are joined here; one of them
+    travels on with the key and the range of their sizes. The edges are rows
+    without a bucket.
+    """
+    *entry, a, b = _chains(keys, names, size, size, percent)
+    edges = _distinct_edges(a, b)
+    entry[2:] = [x.astype(np.uint32) for x in entry[2:]]
+
+    def row(bucket: int | None, part: list[np.ndarray]) -> pa.RecordBatch:
+        return _binaries([(bucket, *[v.tobytes() for v in part])], _ENTRY)
+
+    for k in range(0, len(edges[0]), EDGE_ROWS):
+        yield row(None, [x[:0] for x in entry] + [x[k : k + EDGE_ROWS] for x in edges])
+    bucket = (entry[0] >> np.uint64(64 - key_bits)).astype(np.int64)
+    for x, y in _runs(bucket):
+        yield row(int(bucket[x]), [v[x:y] for v in entry] + [v[:0] for v in edges])
+
+
 def _prefixes(level, percent: int, key_bits: int = KEY_BITS):
     """Per batch and bucket the shingles of which linked sets share one.
 
-    A set must share one of its rarest shingles with any set it links to. The
-    classes of a batch that share one and are of similar size are joined here;
-    one of them travels on with the shingle and the range of their sizes. The
-    edges are rows without a bucket.
+    A set must share one of its rarest shingles with any set it links to.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -340,29 +383,166 @@ def _prefixes(level, percent: int, key_bits: int = KEY_BITS):
                 keys.append(h[order[:take]])
                 names.append(np.full(take, name))
                 sizes.append(np.full(take, len(h)))
-            size = np.concatenate(sizes)
-            *entry, a, b = _chains(
-                np.concatenate(keys), np.concatenate(names), size, size, percent
-            )
-            edges = _distinct_edges(a, b)
-            entry[2:] = [x.astype(np.uint32) for x in entry[2:]]
-            for k in range(0, len(edges[0]), EDGE_ROWS):
-                part = [x[:0] for x in entry] + [x[k : k + EDGE_ROWS] for x in edges]
-                yield row(None, part)
-            bucket = (entry[0] >> np.uint64(64 - key_bits)).astype(np.int64)
-            first = np.flatnonzero(np.diff(bucket, prepend=-1))
-            for x, y in zip(first, np.append(first[1:], len(bucket)), strict=True):
-                yield row(int(bucket[x]), [v[x:y] for v in entry] + [v[:0] for v in edges])
+            columns = (np.concatenate(x) for x in (keys, names, sizes))
+            yield from _entries(*columns, percent, key_bits)
 
-    def row(bucket: int | None, part: list[np.ndarray]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([bucket], pa.int32()), *[pa.array([v.tobytes()]) for v in part]],
-            names=[f.split()[0] for f in _ENTRY.split(", ")],
-        )
+    return run
+
+
+#: The percentages for which pieces have several shingles each and are rarely empty.
+PIECES = range(75, 100)
+#: Pieces of a set for each that must be alike, so that common ones can be left out.
+MORE_PIECES = 1.25
+#: Stands for the need of all pieces of a set.
+_ALL = (1 << 32) - 1
+
+_PIECE = "bucket int, part long, keys binary, at binary, owners binary"
+_KNOWN = "part long, keys binary, at binary, count binary, alone binary, owners binary"
+_SIDES = np.dtype([("class", np.int64), ("n", np.uint32), ("need", np.uint32, 2)])
+
+
+def _size_bands(most: int, percent: int) -> np.ndarray:
+    """Least sizes of bands: what links a set of a band is in that or the next one, if
+    it isn't smaller. The last is above ``most``."""
+    least = [1, 2]
+    while least[-1] <= most:
+        least.append(max(least[-1] + 1, 100 * (least[-1] - 1) // percent + 1))
+    return np.array(least)
+
+
+def _piece_keys(
+    sets: list[np.ndarray], percent: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of the pieces of sets, the side (twice the set, plus 0 or 1) each is of, and
+    how many of its rarest keys each side needs.
+
+    With c common elements, linked sets differ in c * (100 - percent) / percent at most.
+    The hashes of all elements are cut in more pieces than that: by a number for each
+    band of sizes, so sets are cut for their own band and, as the larger of two, for
+    the one below. So some pieces are alike, and of any set's keys no more than that
+    number are not found in the other. Put in the same order, the first of one more
+    hold a common one. Empty pieces have no key, but in a set that has too few others;
+    such a set needs all of its keys.
+    """
+    size = np.array([len(s) for s in sets], np.int64)
+    least = _size_bands(int(size.max(initial=1)), percent)
+    differ = (least[1:] - 1) * (100 - percent) // percent
+    pieces = np.where(differ > 0, np.ceil(MORE_PIECES * (differ + 1)), 1).astype(np.uint64)
+    own = np.searchsorted(least, size, "right") - 1
+    data = np.concatenate([np.zeros(0, np.uint64), *sets])
+    high, mixed = data >> np.uint64(32), mix(data, 5)
+    owner = np.repeat(np.arange(len(sets)), size)
+    need = np.zeros((len(sets), 2), np.uint32)
+    keys, sides = [], []
+
+    def named(total: np.ndarray, piece: np.ndarray, band: np.ndarray) -> np.ndarray:
+        return mix(total ^ mix(piece + (band.astype(np.uint64) << np.uint64(32)), 7), 9)
+
+    for side in (0, 1):
+        band = np.maximum(own - side, 0)
+        piece = (high * pieces[band][owner]) >> np.uint64(32)
+        new = np.ones(len(data), bool)
+        new[1:] = (piece[1:] != piece[:-1]) | (owner[1:] != owner[:-1])
+        if side:
+            new &= own[owner] > 0
+        first = np.flatnonzero(new)
+        if not len(first):
+            continue
+        found = owner[first]
+        keys.append(named(np.add.reduceat(mixed, first), piece[first], band[found]))
+        sides.append(2 * found + side)
+        need[:, side] = np.minimum(size * (100 - percent) // percent, differ[band]) + 1
+        few = np.bincount(found, minlength=len(sets)) < need[:, side]
+        few &= own >= side
+        need[few, side] = _ALL
+        for k in np.flatnonzero(few):
+            empty = np.setdiff1d(np.arange(pieces[band[k]], dtype=np.uint64), piece[first[found == k]])
+            keys.append(named(np.zeros(len(empty), np.uint64), empty, np.full(len(empty), band[k])))
+            sides.append(np.full(len(empty), 2 * k + side))
+    return (
+        np.concatenate([np.zeros(0, np.uint64), *keys]),
+        np.concatenate([np.zeros(0, np.int64), *sides]),
+        need,
+    )
+
+
+def _pieces(percent: int, key_bits: int):
+    """Per part and bucket the keys of pieces, and of which of the part's sets they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in batch["shingles"]]
+            names = batch["class"].to_numpy()
+            cut = np.cumsum([len(s) for s in sets]) // PART_ROWS
+            for a, b in _runs(cut):
+                yield packed(names[a:b], sets[a:b])
+
+    def packed(names: np.ndarray, sets: list[np.ndarray]) -> pa.RecordBatch:
+        keys, at, need = _piece_keys(sets, percent)
+        owners = np.zeros(len(names), _SIDES)
+        owners["class"], owners["n"], owners["need"] = names, [len(s) for s in sets], need
+        bucket = (keys >> np.uint64(64 - key_bits)).astype(np.int64)
+        order = np.lexsort((at, bucket))
+        keys, at, bucket = keys[order], at[order].astype(np.uint32), bucket[order]
+        part = class_of(names)
+        rows = []
+        for a, b in _runs(bucket):
+            known = owners.tobytes() if not rows else b""
+            rows.append((int(bucket[a]), part, keys[a:b].tobytes(), at[a:b].tobytes(), known))
+        return _binaries(rows, _PIECE)
 
     return run
 
 
+def _count_keys(table: pa.Table) -> pa.Table:
+    """Per part the keys of a bucket that come several times, how often they do, and the
+    sides that have a key alone."""
+    keys = [np.frombuffer(x.as_py(), np.uint64) for x in table["keys"]]
+    every = np.concatenate(keys)
+    order = np.argsort(every, kind="stable")
+    new = np.ones(len(every), bool)
+    new[1:] = every[order][1:] != every[order][:-1]
+    times = np.diff(np.append(np.flatnonzero(new), len(every)))
+    count = np.empty(len(every), np.uint32)
+    count[order] = times[np.cumsum(new) - 1]
+    del every, order, new, times
+    bound = np.cumsum([0, *map(len, keys)])
+    rows = []
+    for k, (part, owners) in enumerate(
+        zip(table["part"].to_pylist(), table["owners"].to_pylist(), strict=True)
+    ):
+        own = count[bound[k] : bound[k + 1]]
+        at = np.frombuffer(table["at"][k].as_py(), np.uint32)
+        some = own > 1
+        columns = (keys[k][some], at[some], own[some], at[~some])
+        rows.append((part, *[c.tobytes() for c in columns], owners))
+    return pa.Table.from_batches([_binaries(rows, _KNOWN)])
+
+
+def _rarest(table: pa.Table, percent: int, key_bits: int) -> pa.Table:
+    """Entries and edges by the rarest keys of every side, as many as it needs."""
+
+    def column(name, dtype):
+        return np.concatenate([np.frombuffer(x.as_py(), dtype) for x in table[name]])
+
+    owners = next(np.frombuffer(x.as_py(), _SIDES) for x in table["owners"] if len(x.as_py()))
+    keys, at = column("keys", np.uint64), column("at", np.uint32).astype(np.int64)
+    alone = np.bincount(column("alone", np.uint32), minlength=2 * len(owners))
+    order = np.lexsort((keys, column("count", np.uint32), at))
+    keys, at = keys[order], at[order]
+    once = np.ones(len(keys), bool)  # two parts may be the same
+    once[1:] = (keys[1:] != keys[:-1]) | (at[1:] != at[:-1])
+    keys, at = keys[once], at[once]
+    before = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=2 * len(owners)))])
+    rank = np.arange(len(keys)) - before[at] + alone[at]
+    keep = rank < owners["need"].astype(np.int64).ravel()[at]
+    keys, of = keys[keep], at[keep] >> 1
+    size = owners["n"][of].astype(np.int64)
+    batches = list(_entries(keys, owners["class"][of], size, percent, key_bits))
+    empty = _binaries([(None, *[b""] * 6)], _ENTRY).slice(0, 0)
+    return pa.Table.from_batches([*batches, empty])
+
+
 def _meet(table: pa.Table, percent: int) -> pa.Table:
     """Edges between classes that share a shingle of the bucket and may be alike in size."""
 
@@ -509,37 +689,41 @@ def _candidates(
         .groupBy("class")
         .agg(
             F.min("doc_id").alias("least"),
-            F.first("n_shingles").alias("n"),
             F.count(F.lit(1)).alias("copies"),
         )
     )
     total = members.agg(F.sum("n_shingles")).first()[0] or 0
     bits = min(20, max(6, math.ceil(math.log2(max(1, total / BUCKET_ROWS)))))
-    counts = (
-        docs.mapInArrow(
-            tidy(_pack(n, bits)),
-            "bucket int, names binary, sent binary, known binary, hashes binary",
-        )
+    # Copies in other parts would count as other classes; a few that pass do no harm.
+    least = F.coalesce("least", F.lit(0)).alias("doc_id")
+    once = spark.sparkContext.broadcast(_bitmap(workspace.store(classes.select(least), "once")))
+    enough = (
+        docs.mapInArrow(tidy(_pack(n, bits, once)), _PACK)
         .groupBy("bucket")
-        .applyInArrow(lambda key, table: _count_shared(table), "class long, shared long")
-    )
-    shared = counts.groupBy("class").agg(F.sum("shared").alias("shared"))
-    live = workspace.store(
-        classes.join(shared, "class")
-        .filter(F.col("shared") * 100 >= F.col("n") * percent)
-        .select(F.coalesce("least", F.lit(0)).alias("doc_id")),
-        "live",
+        .applyInArrow(lambda key, table: _count_shared(table), _COUNTED)
+        .groupBy("part")
+        .applyInArrow(lambda key, table: _enough(table, percent), "class long")
+        .distinct()
     )
+    live = workspace.store(classes.join(enough, "class").select(least), "live")
     # One document stands for a class; a few others that pass do no harm.
     chosen = spark.sparkContext.broadcast(_bitmap(live))
     sets = workspace.store(
         docs.mapInArrow(tidy(_sets(n, chosen)), "class long, n long, shingles binary"), "sets"
     )
-    level = spark.sparkContext.broadcast(_frequency(sets))
-    stored = sets.agg(F.sum("n")).first()[0] or 0
-    entries = workspace.store(
-        sets.mapInArrow(tidy(_prefixes(level, percent, _key_bits(stored))), _ENTRY), "entries"
-    )
+    bits = _key_bits(sets.agg(F.sum("n")).first()[0] or 0)
+    if percent in PIECES:
+        entries = (
+            sets.mapInArrow(tidy(_pieces(percent, bits)), _PIECE)
+            .groupBy("bucket")
+            .applyInArrow(lambda key, table: _count_keys(table), _KNOWN)
+            .groupBy("part")
+            .applyInArrow(lambda key, table: _rarest(table, percent, bits), _ENTRY)
+        )
+    else:
+        level = spark.sparkContext.broadcast(_frequency(sets))
+        entries = sets.mapInArrow(tidy(_prefixes(level, percent, bits)), _ENTRY)
+    entries = workspace.store(entries, "entries")
     met = (
         entries.filter("bucket IS NOT NULL")
         .groupBy("bucket")
@@ -583,8 +767,9 @@ def ngram_components(
 
     Equal sets are one class from the start. Classes whose shingles are mostly
     their own cannot link: a count over all shingles finds, per class, how many
-    some other class holds. The others share one of their rarest shingles with
-    every partner; classes so connected form blocks, and inside a block
+    some other class holds. The others are cut in pieces of a few shingles and share
+    one of their rarest pieces with every partner, where a single shingle would
+    connect them to much else; classes so connected form blocks, and inside a block
     signature trees find the links.
     """
     members, classes, sets, blocks = _candidates(docs, workspace, n, percent)
