@@ -73,6 +73,22 @@ def test_random_files_in_small_splits(spark, tmp_path, seed):
         assert records.read_lines(spark, str(path)).rdd.getNumPartitions() > 5
 
 
+def test_many_lines_of_a_split_are_folded_in_numbers(spark, tmp_path):
+    rng = random.Random(9)
+    text = document(rng, 900)
+    path = tmp_path / "extract.csv"
+    path.write_bytes(text.encode())
+    for size in (1500, 1 << 20):
+        assert read(spark, path, size)[1] == expected(text, 3)
+    with splits_of(spark, 1 << 20):
+        splits = records._splits(records.read_lines(spark, str(path)))
+        # The longest list of the fold has one element for 64 lines at most.
+        plan = splits._jdf.queryExecution().optimizedPlan().toString()
+        lists = [k for k, line in enumerate(plan.splitlines()) if "collect_list" in line]
+        folds = [k for k, line in enumerate(plan.splitlines()) if "bit_or" in line]
+        assert lists and folds and max(lists) < min(folds)
+
+
 def test_a_record_over_many_splits(spark, tmp_path):
     long = "\n".join(f"line {k}, with ""no quote" for k in range(200))
     text = f'a,b\n1,"{long}"\n2,"x"\n"",""\n3,"{long}\n"\n'

@@ -80,17 +80,41 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _splits(lines: DataFrame) -> DataFrame:
-    """Per split its state at the start and end, whether a quote stays open at the end
-    of a line, and its first line that isn't blank."""
+def _chunks(lines: DataFrame) -> DataFrame:
+    """Per 64 rows of a split the state they end in, if it is the same from either, else
+    whether they turn it; whether a quote stays open, and the first line that isn't blank.
+
+    Lines that turn the state are bits of one number, so no list grows with the lines.
+    """
     out, into, row = F.col("from_out"), F.col("from_in"), F.col("source_row")
-    folded = lines.groupBy("path", "source_block").agg(
-        F.max(F.when(out == into, F.struct(row, out.alias("state")))).alias("last"),
-        F.collect_list(F.when(out & ~into, row)).alias("turns"),
+    bit = F.expr("shiftleft(1L, cast(source_row % 64 as int))")
+    folded = lines.groupBy("path", "source_block", F.shiftright(row, 6).alias("chunk")).agg(
+        F.max(F.when(out == into, row * 2 + out.cast("long"))).alias("last"),
+        F.coalesce(F.bit_or(F.when(out & ~into, bit)), F.lit(0).cast("long")).alias("turns"),
         F.bool_or(out).alias("opens"),
         F.min(F.when(F.trim("line") != "", row)).alias("first_row"),
     )
-    since = F.filter("turns", lambda r: r > F.coalesce(F.col("last.source_row"), F.lit(-1)))
+    last = F.col("last")
+    behind = F.expr("shiftrightunsigned(shiftrightunsigned(turns, cast(last div 2 % 64 as int)), 1)")
+    odd = F.bit_count(F.when(last.isNull(), F.col("turns")).otherwise(behind)) % 2 == 1
+    return folded.select(
+        "path", "source_block", "chunk", "opens", "first_row",
+        F.when(last.isNotNull(), _differ(last % 2 == 1, odd)).alias("fixed"),
+        (last.isNull() & odd).alias("turned"),
+    )
+
+
+def _splits(lines: DataFrame) -> DataFrame:
+    """Per split its state at the start and end, whether a quote stays open at the end
+    of a line, and its first line that isn't blank."""
+    chunk, state = F.col("chunk"), F.col("fixed")
+    folded = _chunks(lines).groupBy("path", "source_block").agg(
+        F.max(F.when(state.isNotNull(), F.struct(chunk, state.alias("state")))).alias("last"),
+        F.collect_list(F.when(F.col("turned"), chunk)).alias("turns"),
+        F.bool_or("opens").alias("opens"),
+        F.min("first_row").alias("first_row"),
+    )
+    since = F.filter("turns", lambda c: c > F.coalesce(F.col("last.chunk"), F.lit(-1)))
     odd = F.size(since) % 2 == 1
     folded = folded.select(
         "path", "source_block", "opens", "first_row",
